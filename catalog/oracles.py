@@ -23,6 +23,21 @@ def _lit(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+def _expand_display(sql: str) -> str:
+    """Spell ``display(x, n)`` out: half to even, after cutting six digits further down."""
+    while "display(" in sql:
+        start = sql.rindex("display(")
+        depth, at = 1, start + len("display(")
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[at], 0)
+            at += 1
+        value, places = sql[start + len("display(") : at - 1].rsplit(",", 1)
+        n = int(places)
+        exact = f"CAST(round_even(CAST({value} AS DECIMAL(38, {n + 6})), {n}) AS DOUBLE)"
+        sql = sql[:start] + exact + sql[at:]
+    return sql
+
+
 def _with(*tables: str, **more: str) -> str:
     extra = "".join(f",\n{name} AS ({body})" for name, body in more.items())
     return with_clause(*tables) + extra + "\n"
@@ -46,7 +61,7 @@ FROM {CHAT} WHERE {HAS_KEYS}"""
 CLICK_SESSIONS = f"""
 SELECT contact_id, session_id, count(*) AS click_event_count,
        CAST(sum(is_bounce) AS INTEGER) AS bounce_events,
-       round(avg(scroll_depth_pct), 4) AS avg_scroll_depth_pct,
+       display(avg(scroll_depth_pct), 4) AS avg_scroll_depth_pct,
        CAST(sum(time_on_page_seconds) AS BIGINT) AS total_time_on_page_seconds,
        count(DISTINCT page_name) AS unique_pages_visited,
        count(DISTINCT event_type) AS unique_event_types
@@ -113,23 +128,23 @@ def _joined_metadata(meta: str) -> str:
 
 RATED = "(thumbs_up = 1 OR thumbs_down = 1)"
 TURN_KPIS = """count(*) AS total_chatbot_turns,
-  round(avg(escalated_to_agent) * 100, 2) AS escalation_rate_chatbot,
-  round(avg(confidence_score), 4) AS avg_confidence_score,
-  round(avg(handle_seconds_dur), 1) AS avg_handle_seconds,
-  round(avg(derived_resolution_score), 4) AS avg_resolution_score"""
+  display(avg(escalated_to_agent) * 100, 2) AS escalation_rate_chatbot,
+  display(avg(confidence_score), 4) AS avg_confidence_score,
+  display(avg(handle_seconds_dur), 1) AS avg_handle_seconds,
+  display(avg(derived_resolution_score), 4) AS avg_resolution_score"""
 FEEDBACK_KPIS = f"""
-  round(sum(thumbs_up) FILTER ({RATED}) / nullif(count(*) FILTER ({RATED}), 0) * 100, 2)
+  display(sum(thumbs_up) FILTER ({RATED}) / nullif(count(*) FILTER ({RATED}), 0) * 100, 2)
     AS thumbs_up_rate,
-  round(sum(thumbs_down) FILTER ({RATED}) / nullif(count(*) FILTER ({RATED}), 0) * 100, 2)
+  display(sum(thumbs_down) FILTER ({RATED}) / nullif(count(*) FILTER ({RATED}), 0) * 100, 2)
     AS thumbs_down_rate,
   count(*) FILTER ({RATED}) AS feedback_volume"""
 SESSION_KPIS = """count(*) AS total_sessions,
-  round(avg(contained) * 100, 2) AS containment_rate,
-  round(avg(escalated_to_agent) * 100, 2) AS escalation_rate_session,
-  round(avg(num_turns), 2) AS avg_turns_per_session,
-  round(avg(session_duration_seconds), 1) AS avg_session_duration_seconds"""
-CSAT_KPIS = """round(avg(csat_score), 2) AS avg_csat_score,
-  round(count(csat_score) / nullif(count(*), 0) * 100, 2) AS csat_response_rate"""
+  display(avg(contained) * 100, 2) AS containment_rate,
+  display(avg(escalated_to_agent) * 100, 2) AS escalation_rate_session,
+  display(avg(num_turns), 2) AS avg_turns_per_session,
+  display(avg(session_duration_seconds), 1) AS avg_session_duration_seconds"""
+CSAT_KPIS = """display(avg(csat_score), 2) AS avg_csat_score,
+  display(count(csat_score) / nullif(count(*), 0) * 100, 2) AS csat_response_rate"""
 
 RETAIL_WEB_ECHO = {
     "business_unit": "retail",
@@ -201,19 +216,19 @@ TOPIC_MEASURES = """topic_name, count(*) AS volume,
   CAST(sum(escalated_to_agent) AS BIGINT) AS escalation_count,
   CAST(sum(thumbs_up) AS BIGINT) AS thumbs_up_count,
   CAST(sum(thumbs_down) AS BIGINT) AS thumbs_down_count,
-  round(avg(confidence_score), 4) AS avg_confidence_score,
-  round(avg(derived_resolution_score), 4) AS avg_resolution_score,
-  round(avg(handle_seconds_dur), 1) AS avg_handle_seconds,
-  round(sum(escalated_to_agent) / count(*) * 100, 2) AS escalation_rate_pct,
-  round(sum(thumbs_up) / count(*) * 100, 2) AS thumbs_up_rate_pct,
-  round(sum(thumbs_down) / count(*) * 100, 2) AS thumbs_down_rate_pct"""
+  display(avg(confidence_score), 4) AS avg_confidence_score,
+  display(avg(derived_resolution_score), 4) AS avg_resolution_score,
+  display(avg(handle_seconds_dur), 1) AS avg_handle_seconds,
+  display(sum(escalated_to_agent) / count(*) * 100, 2) AS escalation_rate_pct,
+  display(sum(thumbs_up) / count(*) * 100, 2) AS thumbs_up_rate_pct,
+  display(sum(thumbs_down) / count(*) * 100, 2) AS thumbs_down_rate_pct"""
 BY_TOPIC = "topic_name IS NOT NULL GROUP BY topic_name"
 
 SESSION_QUALITY = """topic_name,
   CASE WHEN avg(derived_resolution_score) >= 0.65 THEN 'HIGH'
        WHEN avg(derived_resolution_score) >= 0.40 THEN 'MEDIUM' ELSE 'LOW' END
     AS resolution_quality,
-  round(avg(derived_resolution_score), 4) AS avg_resolution,
+  display(avg(derived_resolution_score), 4) AS avg_resolution,
   count(*) AS session_count"""
 
 
@@ -242,7 +257,7 @@ def _trending(n: int, order: str, where: str = "TRUE") -> str:
     turns, sessions = where.format(ts=TURN_TS), where.format(ts=SESSION_TS)
     return _with(
         CHAT, META,
-        leading=f"""SELECT {TOPIC_MEASURES} FROM {CHAT} WHERE ({turns}) AND {BY_TOPIC}
+        lead_topics=f"""SELECT {TOPIC_MEASURES} FROM {CHAT} WHERE ({turns}) AND {BY_TOPIC}
                     ORDER BY {order} DESC, topic_name LIMIT {n}""",
         sq=f"SELECT {SESSION_QUALITY} FROM {META} WHERE ({sessions}) AND {BY_TOPIC}",
         **_trend(turns),
@@ -266,7 +281,7 @@ def _topics_json() -> str:
         'sort_by', 'escalation_rate',
         'filters', json_object('business_unit', 'ALL', 'application_channel', 'ALL')),
       'topics', list({entry} {order})) AS VARCHAR) AS document
-    FROM leading LEFT JOIN sq USING (topic_name) LEFT JOIN trend USING (topic_name)"""
+    FROM lead_topics LEFT JOIN sq USING (topic_name) LEFT JOIN trend USING (topic_name)"""
 
 
 def _daily(where: str, value: str, missing: str, name: str) -> str:
@@ -304,7 +319,7 @@ def _quality_rows(rules: quality.RuleSet, table: str | None = None) -> list[str]
         share = f"(count(*) FILTER ({c} IS NULL) / count(*))"
         rows.append(
             _row(source, "nulls", c, f"CASE WHEN {share} > CAST(0.05 AS DOUBLE) THEN 'FAIL' ELSE 'OK' END",
-                 f"round({share}, 6)", "<= 5%",
+                 f"display({share}, 6)", "<= 5%",
                  f"concat(printf('%.1f', {share} * 100), '% of values are null')", table)
         )
     bounds = [(r.column, r.low, r.high) for r in rules.ranges]
@@ -314,7 +329,7 @@ def _quality_rows(rules: quality.RuleSet, table: str | None = None) -> list[str]
         rows.append(
             _row(source, "mean_confidence", "confidence_score",
                  f"CASE WHEN {mean} < CAST(0.4 AS DOUBLE) THEN 'WARN' ELSE 'OK' END",
-                 f"round({mean}, 4)", ">= 0.4",
+                 f"display({mean}, 4)", ">= 0.4",
                  f"concat('mean confidence ', printf('%.4f', {mean}))", table)
         )
     for c, values in rules.allowed.items():
@@ -519,7 +534,7 @@ def _usage(*groups: str) -> str:
       CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens,
       CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens,
       CAST(sum(prompt_tokens + completion_tokens) AS BIGINT) AS total_tokens,
-      round(sum({COST}), 6) AS cost_usd
+      display(sum({COST}), 6) AS cost_usd
     FROM model_calls GROUP BY ROLLUP ({', '.join(groups)})"""
 
 
@@ -527,7 +542,7 @@ def _run_times(kind: str) -> str:
     label = kind.capitalize()
     return f"""{_with('log_records')}SELECT {kind}, count(*) AS runs,
       count(*) FILTER (message = '{label} failed') AS failures,
-      round(avg(elapsed_seconds), 3) AS mean_seconds, max(elapsed_seconds) AS max_seconds
+      display(avg(elapsed_seconds), 3) AS mean_seconds, max(elapsed_seconds) AS max_seconds
     FROM log_records WHERE message IN ('{label} completed', '{label} failed') GROUP BY {kind}"""
 
 
@@ -583,13 +598,13 @@ def oracles() -> dict[str, str]:
         "c8_turn_resolution_score": _from(
             CHAT,
             """contact_id, session_id, CASE WHEN confidence_score IS NOT NULL THEN
-               round(greatest(0.0, least(1.0, confidence_score * CAST(0.5 AS DOUBLE)
+               display(greatest(0.0, least(1.0, confidence_score * CAST(0.5 AS DOUBLE)
                  + thumbs_up * CAST(0.3 AS DOUBLE) - thumbs_down * CAST(0.2 AS DOUBLE)
                  - escalated_to_agent * CAST(0.15 AS DOUBLE))), 4) END AS resolution_score""",
         ),
         "c9_session_resolution_score": _from(
             META,
-            """contact_id, session_id, round(confidence_score * CAST(0.4 AS DOUBLE)
+            """contact_id, session_id, display(confidence_score * CAST(0.4 AS DOUBLE)
                + contained * CAST(0.3 AS DOUBLE)
                + coalesce(csat_score / 5, confidence_score) * CAST(0.3 AS DOUBLE), 4)
                AS resolution_score""",
@@ -630,7 +645,7 @@ def oracles() -> dict[str, str]:
         "e5_metadata_coverage": f"""{_with(CHAT, META)}
             SELECT count(*) AS chatbot_sessions, count(known) AS with_metadata,
               count(*) - count(known) AS without_metadata,
-              round(count(known) / count(*), 4) AS coverage
+              display(count(known) / count(*), 4) AS coverage
             FROM (SELECT DISTINCT contact_id, session_id FROM {CHAT} WHERE {HAS_KEYS})
             LEFT JOIN (SELECT DISTINCT contact_id, session_id, 1 AS known FROM {META})
               USING (contact_id, session_id)""",
@@ -652,18 +667,18 @@ def oracles() -> dict[str, str]:
         "f10_topic_table": _from(
             CHAT,
             """topic_name, count(*) AS volume,
-               round(sum(escalated_to_agent) / count(*) * 100, 1) AS escalation_rate_pct,
-               round(sum(thumbs_up) / count(*) * 100, 1) AS thumbs_up_rate_pct,
-               round(avg(confidence_score), 3) AS avg_confidence,
-               round(avg(derived_resolution_score), 3) AS avg_resolution,
-               CAST(round(avg(handle_seconds_dur), 0) AS INTEGER) AS avg_handle_secs""",
+               display(sum(escalated_to_agent) / count(*) * 100, 1) AS escalation_rate_pct,
+               display(sum(thumbs_up) / count(*) * 100, 1) AS thumbs_up_rate_pct,
+               display(avg(confidence_score), 3) AS avg_confidence,
+               display(avg(derived_resolution_score), 3) AS avg_resolution,
+               CAST(display(avg(handle_seconds_dur), 0) AS INTEGER) AS avg_handle_secs""",
             f"WHERE {BY_TOPIC}",
         ),
         "f11_escalation_by_topic": _from(
             CHAT,
             """topic_name, count(*) AS volume,
                CAST(sum(escalated_to_agent) AS BIGINT) AS escalations,
-               round(sum(escalated_to_agent) / count(*) * 100, 4) AS escalation_rate""",
+               display(sum(escalated_to_agent) / count(*) * 100, 4) AS escalation_rate""",
             f"WHERE {BY_TOPIC} ORDER BY sum(escalated_to_agent) / count(*) DESC, topic_name LIMIT 8",
         ),
         "f12_daily_volume": _daily(
@@ -680,20 +695,20 @@ def oracles() -> dict[str, str]:
             FROM (SELECT least(19, CAST(floor(round(derived_resolution_score * 10000) / 500) AS INTEGER)) AS bin
                   FROM {CHAT} WHERE derived_resolution_score IS NOT NULL) GROUP BY bin""",
         "f15_headline_kpis": f"""{_with(CHAT, META)}SELECT * FROM
-            (SELECT round(avg(escalated_to_agent) * 100, 4) AS escalation_rate,
-               round(avg(confidence_score), 4) AS avg_confidence,
-               round(avg(derived_resolution_score), 4) AS avg_resolution FROM {CHAT}
+            (SELECT display(avg(escalated_to_agent) * 100, 4) AS escalation_rate,
+               display(avg(confidence_score), 4) AS avg_confidence,
+               display(avg(derived_resolution_score), 4) AS avg_resolution FROM {CHAT}
              WHERE {DASHBOARD_WHERE.format(ts=TURN_TS)}),
-            (SELECT coalesce(round(avg(contained) * 100, 4), 0) AS containment_rate,
-               round(avg(csat_score), 4) AS csat_score FROM {META}
+            (SELECT coalesce(display(avg(contained) * 100, 4), 0) AS containment_rate,
+               display(avg(csat_score), 4) AS csat_score FROM {META}
              WHERE {DASHBOARD_WHERE.format(ts=SESSION_TS)})""",
         "f16_thumbs_split": f"""{_with(CHAT)}
-            SELECT 'Thumbs Up' AS feedback, round(sum(thumbs_up) / count(*) * 100, 4) AS percent
+            SELECT 'Thumbs Up' AS feedback, display(sum(thumbs_up) / count(*) * 100, 4) AS percent
             FROM {CHAT} WHERE {RATED}
-            UNION ALL SELECT 'Thumbs Down', round(sum(thumbs_down) / count(*) * 100, 4)
+            UNION ALL SELECT 'Thumbs Down', display(sum(thumbs_down) / count(*) * 100, 4)
             FROM {CHAT} WHERE {RATED}""",
         "f17_daily_escalation": _daily(
-            "lower(application_channel) = 'fax'", "round(avg(escalated_to_agent) * 100, 4)", "NULL",
+            "lower(application_channel) = 'fax'", "display(avg(escalated_to_agent) * 100, 4)", "NULL",
             "escalation_rate",
         ),
         "f18_volume_by_unit": _from(
@@ -702,8 +717,8 @@ def oracles() -> dict[str, str]:
         ),
         # rankings, trend, set operations
         "g2_trending_topics": f"""{_trending(5, 'volume', FULL_WEEKS_WHERE)}
-            SELECT leading.*, resolution_quality, avg_resolution, session_count, wow_trend
-            FROM leading LEFT JOIN sq USING (topic_name) LEFT JOIN trend USING (topic_name)""",
+            SELECT lead_topics.*, resolution_quality, avg_resolution, session_count, wow_trend
+            FROM lead_topics LEFT JOIN sq USING (topic_name) LEFT JOIN trend USING (topic_name)""",
         "g3_weekly_trend": f"{_with(CHAT, **_trend())}SELECT * FROM trend",
         "g3_weekly_trend_full_weeks": f"""{_with(CHAT, **_trend(FULL_WEEKS_WHERE.format(ts=TURN_TS)))}
             SELECT * FROM trend""",
@@ -830,7 +845,7 @@ def oracles() -> dict[str, str]:
             FROM unified u WHERE NOT EXISTS (SELECT 1 FROM unified d WHERE d.resolution_tier = 'HIGH'
               AND d.contact_id = u.contact_id AND d.session_id = u.session_id
               AND d.created_at = u.created_at)""",
-        "l8_call_cost": _from("model_calls", f"call_id, model, round({COST}, 9) AS cost_usd"),
+        "l8_call_cost": _from("model_calls", f"call_id, model, display({COST}, 6) AS cost_usd"),
         "l9_usage_by_model": _usage("model"),
         "l9_usage_by_session": _usage("session_id", "model"),
         "l10_insight_prompt": f"""SELECT document, {_lit(get_template('insight').system)} AS "system",
@@ -856,4 +871,4 @@ def oracles() -> dict[str, str]:
         sql[f"g1_top_by_{name}"] = f"""{_with(CHAT)}SELECT * FROM
             (SELECT {TOPIC_MEASURES} FROM {CHAT} WHERE {BY_TOPIC})
             ORDER BY {column} DESC, topic_name LIMIT 4"""
-    return sql
+    return {name: _expand_display(text) for name, text in sql.items()}

@@ -11,6 +11,7 @@ from catalog.inputs import derived_table, given_table, interactions
 from parley.functions import scores, text
 from parley.functions.casts import as_timestamp
 from parley.functions.prompts import get_template
+from parley.functions.rounding import display
 from parley.operators import (
     annotate,
     clean,
@@ -84,7 +85,7 @@ def _session_time():
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     """Unrounded measures are cut for comparison: their last digits depend on summation order."""
-    return df.withColumns({c: F.round(c, 4) for c in columns})
+    return df.withColumns({c: display(F.col(c), 4) for c in columns})
 
 
 def _csv_base(spark: SparkSession, sf: str) -> str:
@@ -323,7 +324,7 @@ def e2_join_clicks(spark, sf):
         "created_at",
         "click_event_count",
         "bounce_events",
-        F.round("avg_scroll_depth_pct", 4).alias("avg_scroll_depth_pct"),
+        display(F.col("avg_scroll_depth_pct"), 4).alias("avg_scroll_depth_pct"),
         "total_time_on_page_seconds",
         "unique_pages_visited",
         "unique_event_types",
@@ -765,7 +766,7 @@ def l7_resume(spark, sf):
 @_query
 def l8_call_cost(spark, sf):
     priced = cost.price_calls(derived_table(spark, sf, "model_calls"))
-    return priced.select("call_id", "model", F.round("cost_usd", 9).alias("cost_usd"))
+    return priced.select("call_id", "model", display(F.col("cost_usd"), 6).alias("cost_usd"))
 
 
 @_query

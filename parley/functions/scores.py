@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from parley.functions.rounding import display
+
 
 def _or(name: str, default) -> Column:
     return F.coalesce(F.col(name), F.lit(default))
@@ -56,14 +58,14 @@ def turn_resolution_score() -> Column:
     )
     # greatest/least skip nulls, so an unknown score has to be kept null by hand
     return F.when(
-        raw.isNotNull(), F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw)), 4)
+        raw.isNotNull(), display(F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw)), 4)
     )
 
 
 def session_resolution_score() -> Column:
     """Resolution score of a session; an unanswered survey is stood in for by confidence."""
     satisfaction = F.coalesce(F.col("csat_score") / 5.0, F.col("confidence_score"))
-    return F.round(
+    return display(
         F.col("confidence_score") * 0.4 + F.col("contained") * 0.3 + satisfaction * 0.3, 4
     )
 

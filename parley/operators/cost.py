@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.functions.rounding import display
+
 # USD per million input and output tokens, and the price of any other model.
 PRICES = {
     "gpt-4o": (5.00, 15.00),
@@ -72,5 +74,5 @@ def usage_summary(
         "prompt_tokens",
         "completion_tokens",
         (F.col("prompt_tokens") + F.col("completion_tokens")).alias("total_tokens"),
-        F.round("cost_usd", 6).alias("cost_usd"),
+        display(F.col("cost_usd"), 6).alias("cost_usd"),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.casts import as_timestamp
+from parley.functions.rounding import display
 from parley.operators.clean import rated_turns
 from parley.operators.filters import Selection, select_rows
 
@@ -89,25 +90,25 @@ def _mean(name: str) -> Column:
 
 
 def _percent(part: str, whole: str) -> Column:
-    return F.round(F.try_divide(F.col(part), F.col(whole)) * 100, 2)
+    return display(F.try_divide(F.col(part), F.col(whole)) * 100, 2)
 
 
 def _kpi_columns() -> dict[str, Column]:
     return {
         "total_chatbot_turns": F.coalesce("turns", F.lit(0)),
-        "escalation_rate_chatbot": F.round(_mean("escalated") * 100, 2),
-        "avg_confidence_score": F.round(_mean("confidence"), 4),
-        "avg_handle_seconds": F.round(_mean("handle"), 1),
-        "avg_resolution_score": F.round(_mean("resolution"), 4),
+        "escalation_rate_chatbot": display(_mean("escalated") * 100, 2),
+        "avg_confidence_score": display(_mean("confidence"), 4),
+        "avg_handle_seconds": display(_mean("handle"), 1),
+        "avg_resolution_score": display(_mean("resolution"), 4),
         "thumbs_up_rate": _percent("rated_up", "rated"),
         "thumbs_down_rate": _percent("rated_down", "rated"),
         "feedback_volume": F.coalesce("rated", F.lit(0)),
         "total_sessions": F.coalesce("sessions", F.lit(0)),
-        "containment_rate": F.round(_mean("contained") * 100, 2),
-        "escalation_rate_session": F.round(_mean("session_escalated") * 100, 2),
-        "avg_turns_per_session": F.round(_mean("session_turns"), 2),
-        "avg_session_duration_seconds": F.round(_mean("duration"), 1),
-        "avg_csat_score": F.round(_mean("csat"), 2),
+        "containment_rate": display(_mean("contained") * 100, 2),
+        "escalation_rate_session": display(_mean("session_escalated") * 100, 2),
+        "avg_turns_per_session": display(_mean("session_turns"), 2),
+        "avg_session_duration_seconds": display(_mean("duration"), 1),
+        "avg_csat_score": display(_mean("csat"), 2),
         "csat_response_rate": _percent("csat_n", "sessions"),
     }
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.functions.rounding import display
 from parley.functions.text import mask_sensitive
 from parley.sources.schemas import LOG_LINE
 
@@ -33,7 +34,7 @@ def _run_times(logs: DataFrame, kind: str) -> DataFrame:
     return ended.groupBy(kind).agg(
         F.count("*").alias("runs"),
         F.count_if(F.col("message") == f"{label} failed").alias("failures"),
-        F.round(F.avg(elapsed), 3).alias("mean_seconds"),
+        display(F.avg(elapsed), 3).alias("mean_seconds"),
         F.max(elapsed).alias("max_seconds"),
     )
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions.casts import as_double, as_timestamp
+from parley.functions.rounding import display
 from parley.sources.schemas import (
     BUSINESS_UNITS,
     CHANNELS,
@@ -193,7 +194,7 @@ def _empty_result(total: Column) -> Column:
 
 def _null_result(column: str, share: Column, limit: float, total: Column) -> Column:
     return _result(
-        "nulls", column, _status(share > limit, "FAIL"), F.round(share, 6), f"<= {limit:.0%}",
+        "nulls", column, _status(share > limit, "FAIL"), display(share, 6), f"<= {limit:.0%}",
         F.concat(_percent(share, 1), F.lit(" of values are null")),
         applies=total > 0,
     )
@@ -211,7 +212,7 @@ def _mean_result(mean: Column) -> Column:
     shown = F.coalesce(F.call_function("format_number", mean, F.lit("0.0000")), F.lit("unknown"))
     return _result(
         "mean_confidence", "confidence_score",
-        _status(mean < LOW_MEAN_CONFIDENCE, "WARN"), F.round(mean, 4),
+        _status(mean < LOW_MEAN_CONFIDENCE, "WARN"), display(mean, 4),
         f">= {LOW_MEAN_CONFIDENCE}", F.concat(F.lit("mean confidence "), shown),
     )
 

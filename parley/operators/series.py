@@ -23,11 +23,9 @@ def _fill_days(daily: DataFrame, **missing: Column) -> DataFrame:
     calendar day, however many turns there are.
     """
     following = F.lead("date").over(W.orderBy("date"))
-    stretched = daily.withColumn(
-        "day",
-        F.explode(
-            F.sequence("date", F.coalesce(F.date_sub(following, 1), F.col("date")))
-        ),
+    last = F.coalesce(F.date_sub(following, 1), F.col("date"))
+    stretched = daily.withColumn("last", last).withColumn(
+        "day", F.explode(F.sequence("date", "last"))
     )
     return stretched.select(
         F.col("day").alias("date"),

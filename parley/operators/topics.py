@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.casts import as_timestamp
+from parley.functions.rounding import display
 from parley.functions.scores import topic_quality
 
 # The columns a ranking may be asked for; anything else ranks by volume.
@@ -53,12 +54,12 @@ def topic_measures(turns: DataFrame) -> DataFrame:
         "escalation_count",
         "thumbs_up_count",
         "thumbs_down_count",
-        F.round("avg_confidence", 4).alias("avg_confidence_score"),
-        F.round("avg_resolution", 4).alias("avg_resolution_score"),
-        F.round("avg_handle", 1).alias("avg_handle_seconds"),
-        F.round(_rate("escalation_count"), 2).alias("escalation_rate_pct"),
-        F.round(_rate("thumbs_up_count"), 2).alias("thumbs_up_rate_pct"),
-        F.round(_rate("thumbs_down_count"), 2).alias("thumbs_down_rate_pct"),
+        display(F.col("avg_confidence"), 4).alias("avg_confidence_score"),
+        display(F.col("avg_resolution"), 4).alias("avg_resolution_score"),
+        display(F.col("avg_handle"), 1).alias("avg_handle_seconds"),
+        display(_rate("escalation_count"), 2).alias("escalation_rate_pct"),
+        display(_rate("thumbs_up_count"), 2).alias("thumbs_up_rate_pct"),
+        display(_rate("thumbs_down_count"), 2).alias("thumbs_down_rate_pct"),
     )
 
 
@@ -71,7 +72,7 @@ def topic_session_quality(meta: DataFrame) -> DataFrame:
         .select(
             "topic_name",
             topic_quality(F.col("mean")).alias("resolution_quality"),
-            F.round("mean", 4).alias("avg_resolution"),
+            display(F.col("mean"), 4).alias("avg_resolution"),
             "session_count",
         )
     )
@@ -156,11 +157,11 @@ def topic_table(turns: DataFrame) -> DataFrame:
         .select(
             "topic_name",
             F.col("volume"),
-            F.round(_rate("escalation_count"), 1).alias("escalation_rate_pct"),
-            F.round(_rate("thumbs_up_count"), 1).alias("thumbs_up_rate_pct"),
-            F.round("avg_confidence", 3).alias("avg_confidence"),
-            F.round("avg_resolution", 3).alias("avg_resolution"),
-            F.round("avg_handle", 0).cast("int").alias("avg_handle_secs"),
+            display(_rate("escalation_count"), 1).alias("escalation_rate_pct"),
+            display(_rate("thumbs_up_count"), 1).alias("thumbs_up_rate_pct"),
+            display(F.col("avg_confidence"), 3).alias("avg_confidence"),
+            display(F.col("avg_resolution"), 3).alias("avg_resolution"),
+            display(F.col("avg_handle"), 0).cast("int").alias("avg_handle_secs"),
         )
         .orderBy(F.desc("volume"), "topic_name")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parley.functions import scores
 from parley.functions.casts import as_timestamp
+from parley.functions.rounding import display
 from parley.operators.clean import clean_chatbot, clean_clickstream, clean_metadata
 from parley.sources.schemas import KEYS
 
@@ -113,5 +114,5 @@ def metadata_coverage(turns: DataFrame, meta: DataFrame) -> DataFrame:
         F.count("*").alias("chatbot_sessions"),
         F.count("known").alias("with_metadata"),
         (F.count("*") - F.count("known")).alias("without_metadata"),
-        F.round(F.try_divide(F.count("known"), F.count("*")), 4).alias("coverage"),
+        display(F.try_divide(F.count("known"), F.count("*")), 4).alias("coverage"),
     )
