@@ -387,7 +387,7 @@ def _recency(source: str, column: str, hours: int) -> str:
 
 SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 S = f"[{SPACE}]"
-INVISIBLE = "​‌‍‎‏﻿"
+INVISIBLE = "\u200b\u200c\u200d\u200e\u200f\ufeff"
 START, END = r"(?:^|[^\pL\pN_])", r"(?:$|[^\pL\pN_])"
 
 PROMPT_RE = "|".join([

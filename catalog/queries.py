@@ -629,34 +629,35 @@ def k7_filter_values(spark, sf):
     values = _turns(spark, sf).select("topic_name").union(
         given_table(spark, sf, "pages").select("url")
     )
-    judged = guard.sanitize_filter_values(values, "topic_name")
-    return judged.groupBy("topic_name", "clean", "verdict").agg(F.count("*").alias("rows"))
+    counted = values.groupBy("topic_name").agg(F.count("*").alias("rows"))
+    return guard.sanitize_filter_values(counted, "topic_name")
 
 
 @_query
 def k8_allowed_values(spark, sf):
-    return (
+    counted = (
         _turns(spark, sf)
-        .select(
-            "business_unit",
-            "application_channel",
-            text.business_unit_verdict(F.col("business_unit")).alias("unit_verdict"),
-            text.channel_verdict(F.col("application_channel")).alias("channel_verdict"),
-        )
-        .groupBy("business_unit", "application_channel", "unit_verdict", "channel_verdict")
+        .groupBy("business_unit", "application_channel")
         .agg(F.count("*").alias("rows"))
     )
+    return counted.withColumns(
+        {
+            "unit_verdict": text.business_unit_verdict(F.col("business_unit")),
+            "channel_verdict": text.channel_verdict(F.col("application_channel")),
+        }
+    )
 
 
 @_query
 def k9_date_text(spark, sf):
     value = F.regexp_replace(F.substring("created_at", 1, 10), "-31$", "-99")
-    judged = _turns(spark, sf).select(value.alias("value"))
-    return judged.groupBy(
-        "value",
-        text.date_text_verdict(F.col("value")).alias("verdict"),
-        text.is_calendar_date(F.col("value")).alias("is_date"),
-    ).agg(F.count("*").alias("rows"))
+    counted = _turns(spark, sf).groupBy(value.alias("value")).agg(F.count("*").alias("rows"))
+    return counted.withColumns(
+        {
+            "verdict": text.date_text_verdict(F.col("value")),
+            "is_date": text.is_calendar_date(F.col("value")),
+        }
+    )
 
 
 @_query

@@ -60,7 +60,7 @@ MASKS = [
 
 # Control characters (tab, newline and carriage return stay) and invisible ones.
 CONTROL_PATTERN = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
-INVISIBLE = "​‌‍‎‏﻿"
+INVISIBLE = "\u200b\u200c\u200d\u200e\u200f\ufeff"
 
 # Every character Python's str.strip removes.
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
@@ -105,7 +105,7 @@ _NEEDED = {
 
 def _folded(c: Column) -> Column:
     """Lower case as the case-blind patterns see it: four other letters also equal ASCII ones."""
-    return F.lower(F.translate(c, "İıſK", "iisk"))
+    return F.lower(F.translate(c, "\u0130\u0131\u017f\u212a", "iisk"))
 
 
 def _any_of(c: Column, patterns: list[str]) -> Column:

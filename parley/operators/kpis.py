@@ -113,29 +113,30 @@ def _kpi_columns() -> dict[str, Column]:
     }
 
 
-def _kpis(names: list[str]) -> list[Column]:
+def figures(names: list[str]) -> list[Column]:
+    """Named KPI columns over a frame of sums."""
     columns = _kpi_columns()
     return [columns[name].alias(name) for name in names]
 
 
 def turn_kpis(turns: DataFrame, *groups: str) -> DataFrame:
     """Turn volume, escalation rate and mean scores, overall or per group."""
-    return turn_sums(turns, *groups).select(*groups, *_kpis(TURN_KPIS))
+    return turn_sums(turns, *groups).select(*groups, *figures(TURN_KPIS))
 
 
 def feedback_kpis(turns: DataFrame, *groups: str) -> DataFrame:
     """Thumbs up and down as shares of the rated turns."""
-    return turn_sums(turns, *groups).select(*groups, *_kpis(FEEDBACK_KPIS))
+    return turn_sums(turns, *groups).select(*groups, *figures(FEEDBACK_KPIS))
 
 
 def session_kpis(meta: DataFrame, *groups: str) -> DataFrame:
     """Session volume, containment, escalation and mean length."""
-    return session_sums(meta, *groups).select(*groups, *_kpis(SESSION_KPIS))
+    return session_sums(meta, *groups).select(*groups, *figures(SESSION_KPIS))
 
 
 def csat_kpis(meta: DataFrame, *groups: str) -> DataFrame:
     """Mean satisfaction and the share of sessions that answered."""
-    return session_sums(meta, *groups).select(*groups, *_kpis(CSAT_KPIS))
+    return session_sums(meta, *groups).select(*groups, *figures(CSAT_KPIS))
 
 
 def kpi_report(
@@ -157,7 +158,7 @@ def kpi_report(
     status = F.when(F.col("turns") + F.col("sessions") == 0, "NO_DATA").otherwise("OK")
     return sums.agg(*_add_up(_TURN_SUMS + _SESSION_SUMS)).select(
         status.alias("status"),
-        *_kpis(ALL_KPIS),
+        *figures(ALL_KPIS),
         *[
             F.lit(value).alias(f"filter_{name}")
             for name, value in (selection or Selection()).echo().items()
@@ -194,7 +195,7 @@ def kpi_cube(turns: DataFrame, meta: DataFrame) -> DataFrame:
         (F.col("business_unit_all") * 2 + F.col("application_channel_all"))
         .cast("int")
         .alias("grouping_level"),
-        *_kpis(ALL_KPIS),
+        *figures(ALL_KPIS),
     )
 
 

@@ -90,16 +90,20 @@ def weekly_trend(turns: DataFrame, ts: Column | None = None) -> DataFrame:
     """Direction of each topic's volume from the last but one to the last week that has turns.
 
     Weeks are ISO weeks together with their ISO year. A topic absent from the earlier week is NEW;
-    with fewer than two weeks every topic is UNKNOWN. The two weeks come from a scalar subquery over
-    the (topic, week) counts, so the turns are aggregated once.
+    with fewer than two weeks every topic is UNKNOWN.
+
+    The two weeks come from a scalar subquery over the (topic, week) counts. Both it and the label
+    read the same counts, none filtered or narrowed below the aggregation, so Spark shuffles them
+    once and reuses that; rows without a topic are dropped last for the same reason.
     """
     ts = as_timestamp(F.col("created_at")) if ts is None else ts
     week = F.extract(F.lit("YEAROFWEEK"), ts) * 100 + F.weekofyear(ts)
     counts = turns.groupBy("topic_name", week.alias("week")).agg(F.count("*").alias("turns"))
-    last_two = counts.select("week").dropna().distinct().orderBy(F.desc("week")).limit(2)
+    weekly = counts.groupBy("week").agg(F.sum("turns").alias("turns"))
+    last_two = weekly.filter(F.col("turns") > 0).orderBy(F.desc_nulls_last("week")).limit(2)
     bounds = last_two.agg(
         F.struct(
-            F.min("week").alias("previous"), F.max("week").alias("current"), F.count("*").alias("n")
+            F.min("week").alias("previous"), F.max("week").alias("current"), F.count("week").alias("n")
         )
     ).scalar()
 
@@ -108,10 +112,15 @@ def weekly_trend(turns: DataFrame, ts: Column | None = None) -> DataFrame:
         return F.coalesce(picked, F.lit(0)).alias(which)
 
     volumes = (
-        counts.filter(F.col("topic_name").isNotNull())
-        .withColumn("bounds", bounds)
+        counts.withColumn("bounds", bounds)
         .groupBy("topic_name")
-        .agg(volume_of("previous"), volume_of("current"), F.max("bounds.n").alias("weeks"))
+        .agg(
+            volume_of("previous"),
+            volume_of("current"),
+            F.max("bounds.n").alias("weeks"),
+            F.count("topic_name").alias("named"),
+        )
+        .filter("named > 0")
     )
     before, now = F.col("previous"), F.col("current")
     label = (

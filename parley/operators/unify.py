@@ -101,18 +101,40 @@ def unify(
     return enrich(joined, run_ts)
 
 
+def _presence(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key with a flag for each side it occurs in.
+
+    Appending both sides and grouping once needs one shuffle and reduces frequent keys before it; a
+    semi join would shuffle every row of both.
+    """
+    tagged = [
+        side.select(*keys, F.lit(here).alias("in_left"), F.lit(not here).alias("in_right"))
+        for side, here in ((left, True), (right, False))
+    ]
+    return (
+        tagged[0]
+        .union(tagged[1])
+        .dropna(subset=keys)
+        .groupBy(*keys)
+        .agg(F.max("in_left").alias("in_left"), F.max("in_right").alias("in_right"))
+    )
+
+
 def shared_contacts(left: DataFrame, right: DataFrame) -> DataFrame:
     """Contacts that occur in both sources."""
-    return left.select("contact_id").intersect(right.select("contact_id")).dropna()
+    return _presence(left, right, ["contact_id"]).filter("in_left AND in_right").select("contact_id")
 
 
 def metadata_coverage(turns: DataFrame, meta: DataFrame) -> DataFrame:
     """How many distinct chatbot sessions have metadata, and which share of all that is."""
-    sessions = turns.select(*KEYS).dropna().distinct()
-    known = meta.select(*KEYS).dropna().distinct().withColumn("known", F.lit(1))
-    return sessions.join(known, KEYS, "left").agg(
-        F.count("*").alias("chatbot_sessions"),
-        F.count("known").alias("with_metadata"),
-        (F.count("*") - F.count("known")).alias("without_metadata"),
-        display(F.try_divide(F.count("known"), F.count("*")), 4).alias("coverage"),
+    sessions, known = F.count("*"), F.count_if("in_right")
+    return (
+        _presence(turns, meta, KEYS)
+        .filter("in_left")
+        .agg(
+            sessions.alias("chatbot_sessions"),
+            known.alias("with_metadata"),
+            (sessions - known).alias("without_metadata"),
+            display(F.try_divide(known, sessions), 4).alias("coverage"),
+        )
     )
