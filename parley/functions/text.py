@@ -80,17 +80,17 @@ def java_pattern(pattern: str) -> str:
     return spelled.replace(r"\s", r"[\s\x1c-\x1f]").replace(r"\d", r"\p{Nd}")
 
 
-# Text that has to be present, in lower case, before a pattern can match.
+# Text that has to be present, in lower case and without the letter i, before a pattern can match.
 _NEEDED = {
-    r"ignore\s+(all\s+)?previous\s+instructions": ["instructions"],
-    r"disregard\s+(all\s+)?prior\s+instructions": ["instructions"],
+    r"ignore\s+(all\s+)?previous\s+instructions": ["nstruct"],
+    r"disregard\s+(all\s+)?prior\s+instructions": ["nstruct"],
     r"forget\s+(all\s+)?(previous|prior)\s+(instructions|rules|context)": ["forget"],
     r"new\s+(system\s+)?prompt": ["prompt"],
     r"you\s+are\s+now\s+(?!an?\s+AEP)": ["now"],
     r"\bDAN\b": ["dan"],
-    r"jailbreak": ["jailbreak"],
+    r"jailbreak": ["lbreak"],
     r"<\s*system\s*>": ["system"],
-    r"\[INST\]": ["[inst]"],
+    r"\[INST\]": ["nst]"],
     r"###\s*instruction": ["###"],
     r";\s*(drop|delete|truncate|alter|create|insert|update)\s+": [";"],
     r"\bunion\s+select\b": ["select"],
@@ -104,8 +104,12 @@ _NEEDED = {
 
 
 def _folded(c: Column) -> Column:
-    """Lower case as the case-blind patterns see it: four other letters also equal ASCII ones."""
-    return F.lower(F.translate(c, "\u0130\u0131\u017f\u212a", "iisk"))
+    """Text as the case-blind patterns see it: upper and then lower case.
+
+    This brings the long s, the dotless i and the Kelvin sign to their ASCII letters. A capital
+    dotted I becomes an i with a mark behind it, so the needed texts do without that letter.
+    """
+    return F.lower(F.upper(c))
 
 
 def _any_of(c: Column, patterns: list[str]) -> Column:
@@ -142,11 +146,10 @@ def normalize(c: Column) -> Column:
     """Canonical composition, then removal of invisible characters.
 
     Spark has no built-in for composition. Text whose characters all lie below U+0300 is already
-    composed, so only other text is sent to Python; it is null on the way there otherwise.
+    composed and holds nothing invisible, so only other text is sent to Python, as null otherwise.
     """
-    needs_python = c.rlike(r"[^\x{0}-\x{2ff}]")
-    composed = F.coalesce(_compose(F.when(needs_python, c)), c)
-    return F.translate(composed, INVISIBLE, "")
+    composed = _compose(F.when(c.rlike(r"[^\x{0}-\x{2ff}]"), c))
+    return F.when(composed.isNull(), c).otherwise(F.translate(composed, INVISIBLE, ""))
 
 
 def matches_family(c: Column, family: str) -> Column:
@@ -165,9 +168,12 @@ def contains_injection(c: Column) -> Column:
 def collapse_whitespace(c: Column) -> Column:
     """Runs of spaces and tabs become one space, three or more newlines become two.
 
-    A lone space is left out of the pattern, as replacing it by itself would copy most of the text.
+    Text without any such run is passed through uncopied.
     """
-    return F.regexp_replace(F.regexp_replace(c, r"[ \t]{2,}|\t", " "), r"\n{3,}", "\n\n")
+    spaced = F.when(
+        c.contains("  ") | c.contains("\t"), F.regexp_replace(c, r"[ \t]{2,}|\t", " ")
+    ).otherwise(c)
+    return F.when(c.contains("\n\n\n"), F.regexp_replace(spaced, r"\n{3,}", "\n\n")).otherwise(spaced)
 
 
 def question_length_verdict(c: Column) -> Column:
@@ -180,11 +186,6 @@ def question_length_verdict(c: Column) -> Column:
     )
 
 
-def sanitize_prepared(c: Column) -> Column:
-    """The text after stripping, control removal and normalisation, before the verdict."""
-    return normalize(strip_control(strip(c)))
-
-
 def filter_value_verdict(c: Column) -> Column:
     """Verdict on a value used as a filter."""
     value = strip(c)

@@ -23,7 +23,8 @@ def sanitize(df: DataFrame, column: str) -> DataFrame:
 
     Patterns are looked for before white space is collapsed.
     """
-    prepared = df.withColumn("__prepared", text.sanitize_prepared(F.col(column)))
+    bare = df.withColumn("__bare", text.strip_control(text.strip(F.col(column))))
+    prepared = bare.withColumn("__prepared", text.normalize(F.col("__bare"))).drop("__bare")
     hit = text.contains_injection(F.col("__prepared"))
     # the pattern test comes first: a first condition is always evaluated, so its parts are shared
     reason = F.when(hit, "INJECTION").when(F.col(column).isNull(), "NOT_TEXT")
