@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from parley.functions import replies
 from parley.functions.casts import as_double
 from parley.functions.prompts import PromptTemplate, fill_template, get_template
+from parley.operators.joins import spread_join
 from parley.sources.schemas import TOPICS
 
 # A scorer answers (task, messages, max_tokens, temperature) with the reply text, or with None when
@@ -183,14 +184,8 @@ def annotate(df: DataFrame, scorer_factory: ScorerFactory | None = None) -> Data
 
 
 def not_yet_annotated(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key is not among the finished ones, to resume an interrupted run.
-
-    The finished keys are reduced to one row each. Their hash is part of that grouping, so that the
-    join has to shuffle them again by the keys alone: adaptive execution splits a frequent key of
-    ``df`` only if both inputs of the join come straight from a shuffle of its own.
-    """
-    finished = done.select(*keys, F.xxhash64(*keys).alias("__hash")).distinct().drop("__hash")
-    return df.join(finished, keys, "left_anti")
+    """Rows whose key is not among the finished ones, to resume an interrupted run."""
+    return spread_join(df, done.select(*keys).distinct(), keys, "left_anti")
 
 
 def offline_scorer() -> ScorerFactory:

@@ -9,6 +9,7 @@ from parley.functions import scores
 from parley.functions.casts import as_timestamp
 from parley.functions.rounding import display
 from parley.operators.clean import clean_chatbot, clean_clickstream, clean_metadata
+from parley.operators.joins import spread_join
 from parley.sources.schemas import KEYS
 
 
@@ -37,12 +38,26 @@ def latest_metadata(meta: DataFrame, order_by: str = "session_start") -> DataFra
     """
     rest = [c for c in meta.columns if c not in KEYS and c != order_by]
     packed = F.max(F.struct(order_by, *rest)).alias("row")
-    return meta.groupBy(*KEYS).agg(packed).select(*KEYS, *[f"row.{c}" for c in meta.columns if c not in KEYS])
+    kept = [c if c in KEYS else f"row.{c}" for c in meta.columns]
+    return meta.groupBy(*KEYS).agg(packed).select(*kept)
 
 
-def session_facts(meta: DataFrame, click_summary: DataFrame) -> DataFrame:
-    """Metadata and click measures side by side, one row per session known to either."""
-    return meta.join(click_summary, KEYS, "full")
+def session_facts(
+    meta: DataFrame, click_summary: DataFrame, unique_metadata: bool = True
+) -> DataFrame:
+    """Metadata and click measures side by side, for every session known to either.
+
+    With one metadata row per session both inputs are already spread by session and a full join
+    needs no further shuffle. Otherwise a repeated session is kept out of a full join, which cannot
+    be split: metadata takes its click measures by a left join, and the sessions without metadata
+    are appended.
+    """
+    if unique_metadata:
+        return meta.join(click_summary, KEYS, "full")
+    clicks_only = spread_join(click_summary, meta.select(*KEYS).distinct(), KEYS, "left_anti")
+    return spread_join(meta, click_summary, KEYS, "left").unionByName(
+        clicks_only, allowMissingColumns=True
+    )
 
 
 def join_sources(
@@ -60,12 +75,10 @@ def join_sources(
 
     ``dedupe_metadata=False`` lets a repeated metadata key multiply its turns.
     """
-    sessions = session_facts(latest_metadata(meta) if dedupe_metadata else meta, click_summary)
-    joined = turns.join(sessions, KEYS, "left")
-    names = turns.columns + [
-        c for side in (meta, click_summary) for c in side.columns if c not in KEYS
-    ]
-    return joined.select(*KEYS, *[c for c in names if c not in KEYS])
+    kept = latest_metadata(meta) if dedupe_metadata else meta
+    sessions = session_facts(kept, click_summary, dedupe_metadata)
+    names = turns.columns + [c for c in sessions.columns if c not in KEYS]
+    return turns.join(sessions, KEYS, "left").select(*names)
 
 
 def enrich(df: DataFrame, run_ts: str) -> DataFrame:

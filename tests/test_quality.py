@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from parley.operators import quality
+from parley.operators.filters import Selection
+from parley.plans.dashboard import dashboard_job
 from parley.plans.jobs import annotate_job, quality_job, unify_job
 from parley.sources import writers
 from tests.helpers import clicks, sessions, turns
@@ -122,3 +124,16 @@ def test_unify_and_annotate_jobs(spark, tmp_path):
     assert [(r.session_id, r.llm_sentiment) for r in rest] == [("s3", "NEGATIVE")]
     # null fields are written
     assert '"llm_processing_error":null' in spark.read.text(second).first().value
+
+
+@pytest.mark.parametrize("keep", [True, False])
+def test_dashboard_job(spark, tmp_path, keep):
+    _write(spark, tmp_path, [{"thumbs_up": 1}, {"created_at": "2024-01-12T09:00:00"}, {"business_unit": "Travel"}])
+    chosen = Selection(business_unit="Retail", exact=True, end_date="2024-01-12")
+    names = dashboard_job(spark, str(tmp_path), str(tmp_path / "out"), chosen, keep)
+    tables = {name: spark.read.parquet(str(tmp_path / "out" / name)).collect() for name in names}
+    assert len(names) == 10
+    assert [r.interactions for r in sorted(tables["daily_volume"])] == [1, 0, 1]
+    assert [r.volume for r in tables["topic_table"]] == [2]
+    assert tables["headline"][0].avg_confidence == 0.8
+    assert {r.value for r in tables["filter_options"] if r.option == "business_unit"} == {"Retail", "Travel"}

@@ -145,12 +145,13 @@ def skew_conf(spark):
         spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_hot_session_is_split_in_the_join(spark, skew_conf):
+@pytest.mark.parametrize("dedupe", [True, False])
+def test_hot_session_is_split_in_the_join(spark, skew_conf, dedupe):
     big = _skewed(spark)
     meta = clean_metadata(sessions(spark, *[{"contact_id": "c", "session_id": f"s{i}"} for i in range(5000)],
                                    {"contact_id": "c", "session_id": "hot"}))
     summary = unify.click_sessions(clean_clickstream(clicks(spark, {"contact_id": "c", "session_id": "hot"})))
-    joined = unify.join_sources(big, summary, meta)
+    joined = unify.join_sources(big, summary, meta, dedupe)
     got = joined.agg(
         F.count("*"), F.count("num_turns"), F.count("click_event_count"), F.sum(F.length("filler"))
     )
@@ -170,6 +171,26 @@ def test_hot_key_is_split_when_resuming(spark, skew_conf):
     assert "SortMergeJoin(skew=true)" in plan_of(got)
 
 
+def test_hot_metadata_is_split_when_copies_are_kept(spark, skew_conf):
+    meta = _skewed(spark)
+    summary = unify.click_sessions(
+        clean_clickstream(
+            clicks(spark, {"contact_id": "c", "session_id": "hot"}, {"contact_id": "c", "session_id": "new"})
+        )
+    )
+    facts = unify.session_facts(meta, summary, unique_metadata=False)
+    got = facts.agg(F.count("*"), F.count("click_event_count"), F.max(F.length("filler")))
+    assert tuple(got.collect()[0])[:2] == (60001, 20001)
+    assert "SortMergeJoin(skew=true)" in plan_of(got)
+
+
+def test_resume_knows_rows_with_a_null_key(spark):
+    rows = turns(spark, {"created_at": None}, {})
+    keys = ["contact_id", "session_id", "created_at"]
+    left = not_yet_annotated(rows, rows.filter("created_at IS NULL"), keys)
+    assert [r.created_at for r in left.collect()] == ["2024-01-10T10:00:00"]
+
+
 def test_shared_contacts_and_coverage(spark):
     t = turns(spark, {}, {"contact_id": "c2"}, {"contact_id": None}, {"contact_id": "c2"})
     assert [r.contact_id for r in unify.shared_contacts(t, clicks(spark, {}, {"contact_id": "c9"})).collect()] == ["c1"]
