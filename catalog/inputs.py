@@ -2,7 +2,8 @@
 
 The statements are plain SQL that Spark and DuckDB both accept, so a registered query and its SQL
 counterpart start from the same rows. They hold nulls, duplicates, padding, out-of-range values and
-unreadable dates on purpose.
+unreadable dates on purpose. Every event is a chatbot turn; some turns have no click event and some
+sessions no metadata, so that the joins meet rows without a partner.
 """
 
 from __future__ import annotations

@@ -291,7 +291,7 @@ def _daily(where: str, value: str, missing: str, name: str) -> str:
                   WHERE {where} AND {TURN_TS} IS NOT NULL GROUP BY 1""",
         span="SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d FROM daily",
     )
-    return f"""{ctes}SELECT d AS "date", CASE WHEN daily.d IS NULL THEN {missing} ELSE v END AS {name}
+    return f"""{ctes}SELECT CAST(d AS VARCHAR) AS "date", CASE WHEN daily.d IS NULL THEN {missing} ELSE v END AS {name}
     FROM span LEFT JOIN daily USING (d)"""
 
 
@@ -570,8 +570,8 @@ def oracles() -> dict[str, str]:
                CAST(sum(num_turns) AS BIGINT) AS num_turns, count(csat_score) AS with_csat""",
         ),
         "a7_parsed_timestamps": f"""{_with(CHAT, META)}
-            SELECT 'turn' AS kind, CAST({TURN_TS} AS DATE) AS "day", count(*) AS "rows" FROM {CHAT} GROUP BY ALL
-            UNION ALL SELECT 'session', CAST({SESSION_TS} AS DATE), count(*) FROM {META} GROUP BY ALL""",
+            SELECT 'turn' AS kind, CAST(CAST({TURN_TS} AS DATE) AS VARCHAR) AS "day", count(*) AS "rows" FROM {CHAT} GROUP BY ALL
+            UNION ALL SELECT 'session', CAST(CAST({SESSION_TS} AS DATE) AS VARCHAR), count(*) FROM {META} GROUP BY ALL""",
         "a8_metrics_document": f"""SELECT {_metrics_json(RETAIL_WEB_ECHO)} AS document
             FROM ({_kpi_report(RETAIL_WEB_WHERE, RETAIL_WEB_ECHO)})""",
         "a8_topics_document": _topics_json(),

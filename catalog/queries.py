@@ -88,6 +88,10 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: display(F.col(c), 4) for c in columns})
 
 
+def _day_as_text(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn(column, F.col(column).cast("string"))
+
+
 def _csv_base(spark: SparkSession, sf: str) -> str:
     base = scratch_folder(spark, "raw-csv")
     for name in schemas.SOURCES:
@@ -161,7 +165,7 @@ def a6_json_lines(spark, sf):
 @_query
 def a7_parsed_timestamps(spark, sf):
     turns, meta = readers.load_timed(spark, _csv_base(spark, sf))
-    day = F.col("event_time").cast("date")
+    day = F.col("event_time").cast("date").cast("string")
     return (
         turns.select(F.lit("turn").alias("kind"), day.alias("day"))
         .unionAll(meta.select(F.lit("session").alias("kind"), day.alias("day")))
@@ -416,7 +420,7 @@ def f12_daily_volume(spark, sf):
     chosen = filters.by_dimensions(
         _turns(spark, sf), Selection(business_unit="Travel", application_channel="Fax")
     )
-    return series.daily_volume(chosen)
+    return _day_as_text(series.daily_volume(chosen), "date")
 
 
 @_query
@@ -446,7 +450,7 @@ def f16_thumbs_split(spark, sf):
 @_query
 def f17_daily_escalation(spark, sf):
     chosen = filters.by_dimensions(_turns(spark, sf), Selection(application_channel="fax"))
-    return _rounded(series.daily_escalation(chosen), "escalation_rate")
+    return _day_as_text(_rounded(series.daily_escalation(chosen), "escalation_rate"), "date")
 
 
 @_query

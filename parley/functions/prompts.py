@@ -44,7 +44,10 @@ class PromptTemplate:
     def render(self, **values) -> dict[str, Column]:
         """Both texts as columns; values are columns or constants. A missing one is an error now."""
         self._require(values)
-        return {"system": fill_template(self.system, values), "user": fill_template(self.user, values)}
+        return {
+            "system": fill_template(self.system, values),
+            "user": fill_template(self.user, values),
+        }
 
     def messages(self, **values) -> Column:
         """Chat messages as ``array<struct<role, content>>``."""
@@ -133,7 +136,7 @@ TEMPLATES = [
         system=f"You review how human agents handled escalated chats. {_JSON_ONLY}",
         user=(
             "Rate the agent in this escalated chat from 1 (poor) to 5 (excellent). Fields:\n"
-            "empathy_score, resolution_score, efficiency_score, professionalism_score: whole numbers\n"
+            "empathy_score, resolution_score, efficiency_score, professionalism_score: integers\n"
             "overall_score: mean of the four\n"
             "coaching_notes: one thing to do better\n\n"
             "${transcript}\n\n"
@@ -163,7 +166,7 @@ TEMPLATES = [
     PromptTemplate(
         key="insight",
         version=1,
-        system="You advise business leaders on customer service figures, concretely and with evidence.",
+        system="You explain customer service figures to business leaders, with evidence.",
         user=(
             "These are the customer service figures for ${time_period}:\n\n${metrics_json}\n\n"
             "List three to five insights. For each give the observation, what it means for the "

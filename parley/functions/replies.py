@@ -10,7 +10,16 @@ from parley.sources.schemas import TOPICS
 INVALID_REPLY = "reply is not a JSON object"
 
 
-def _object(reply: Column, fields: str) -> Column:
+# The fields read from the reply to each task.
+SUMMARY = "summary string, core_issue string, outcome string"
+SENTIMENT = (
+    "overall_sentiment string, sentiment_score double, frustration_signal boolean, "
+    "churn_risk string"
+)
+TOPIC = "topic string, confidence double"
+
+
+def as_object(reply: Column, fields: str) -> Column:
     """The reply as a struct, or null unless it is exactly one JSON object.
 
     Spark's parser stops after the first value. Read as the only element of an array, a reply with
@@ -25,9 +34,8 @@ def _blank(reply: Column) -> Column:
     return reply.isNull() | (F.trim(reply) == "")
 
 
-def summary_fields(reply: Column) -> dict[str, Column]:
+def summary_fields(reply: Column, parsed: Column) -> dict[str, Column]:
     """Summary, issue and outcome; a reply that cannot be read leaves an error text."""
-    parsed = _object(reply, "summary string, core_issue string, outcome string")
     unreadable = ~_blank(reply) & parsed.isNull()
     return {
         "llm_summary": parsed["summary"],
@@ -37,13 +45,8 @@ def summary_fields(reply: Column) -> dict[str, Column]:
     }
 
 
-def sentiment_fields(reply: Column) -> dict[str, Column]:
+def sentiment_fields(parsed: Column) -> dict[str, Column]:
     """Sentiment, score, frustration and churn risk; null when the reply cannot be read."""
-    parsed = _object(
-        reply,
-        "overall_sentiment string, sentiment_score double, frustration_signal boolean, "
-        "churn_risk string",
-    )
     return {
         "llm_sentiment": parsed["overall_sentiment"],
         "llm_sentiment_score": parsed["sentiment_score"],
@@ -52,9 +55,8 @@ def sentiment_fields(reply: Column) -> dict[str, Column]:
     }
 
 
-def topic_fields(reply: Column) -> dict[str, Column]:
+def topic_fields(parsed: Column) -> dict[str, Column]:
     """Topic, confidence, and whether the topic is one of the offered ones."""
-    parsed = _object(reply, "topic string, confidence double")
     return {
         "llm_topic": parsed["topic"],
         "llm_topic_confidence": parsed["confidence"],

@@ -1,8 +1,8 @@
 """Text guard and masking as column expressions.
 
-The patterns follow Python's Unicode rules, whose classes differ from Java's: ``\\s`` also covers the
-four separator controls, ``\\w`` is any letter or number or the underscore, and ``\\b`` is an edge of
-that class. They are therefore spelled out before the pattern reaches Java.
+The patterns follow Python's Unicode rules, whose classes differ from Java's: ``\\s`` also covers
+the four separator controls, ``\\w`` is any letter or number or the underscore, and ``\\b`` is an
+edge of that class. They are therefore spelled out before the pattern reaches Java.
 """
 
 from __future__ import annotations
@@ -80,26 +80,15 @@ def java_pattern(pattern: str) -> str:
     return spelled.replace(r"\s", r"[\s\x1c-\x1f]").replace(r"\d", r"\p{Nd}")
 
 
-# Text that has to be present, in lower case and without the letter i, before a pattern can match.
+# Per pattern, in the same order: texts of which one has to be present before it can match, in lower
+# case and without the letter i. An empty list runs the pattern always.
 _NEEDED = {
-    r"ignore\s+(all\s+)?previous\s+instructions": ["nstruct"],
-    r"disregard\s+(all\s+)?prior\s+instructions": ["nstruct"],
-    r"forget\s+(all\s+)?(previous|prior)\s+(instructions|rules|context)": ["forget"],
-    r"new\s+(system\s+)?prompt": ["prompt"],
-    r"you\s+are\s+now\s+(?!an?\s+AEP)": ["now"],
-    r"\bDAN\b": ["dan"],
-    r"jailbreak": ["lbreak"],
-    r"<\s*system\s*>": ["system"],
-    r"\[INST\]": ["nst]"],
-    r"###\s*instruction": ["###"],
-    r";\s*(drop|delete|truncate|alter|create|insert|update)\s+": [";"],
-    r"\bunion\s+select\b": ["select"],
-    r"\bor\s+1\s*=\s*1\b": ["="],
-    r"--\s+": ["--"],
-    r"/\*.*?\*/": ["/*"],
-    r"\$\(": ["$("],
-    r"\.\./": ["../"],
-    r"(?:rm|del|format|shutdown|reboot)\s": ["rm", "del", "format", "shutdown", "reboot"],
+    "prompt": [
+        ["nstruct"], ["nstruct"], ["forget"], ["prompt"], ["now"],
+        ["dan"], ["lbreak"], ["system"], ["nst]"], ["###"],
+    ],
+    "sql": [[";"], ["select"], ["="], ["--"], ["/*"]],
+    "shell": [[], ["$("], ["../"], ["rm", "del", "format", "shutdown", "reboot"]],
 }
 
 
@@ -112,20 +101,25 @@ def _folded(c: Column) -> Column:
     return F.lower(F.upper(c))
 
 
-def _any_of(c: Column, patterns: list[str]) -> Column:
-    """Whether any pattern occurs, with case ignored and a dot matching newlines.
+def _occurs(c: Column, pattern: str, needed: list[str]) -> Column:
+    """Whether a pattern occurs, with case ignored and a dot matching newlines.
 
-    A pattern runs only on text that holds what it needs; looking for plain bytes is several times
-    cheaper than a regular expression. The tests stop at the first hit.
+    It runs only on text that holds what it needs; looking for plain bytes is several times cheaper
+    than a regular expression.
     """
-    folded = _folded(c)
+    found = c.rlike("(?isU)" + java_pattern(pattern))
+    present = [_folded(c).contains(part) for part in needed]
+    return reduce(lambda a, b: a | b, present) & found if present else found
 
-    def occurs(pattern: str) -> Column:
-        found = c.rlike("(?isU)" + java_pattern(pattern))
-        needed = [folded.contains(part) for part in _NEEDED.get(pattern, [])]
-        return reduce(lambda a, b: a | b, needed) & found if needed else found
 
-    return reduce(lambda a, b: a | b, [occurs(p) for p in patterns])
+def _any_of(c: Column, *families: str) -> Column:
+    """Whether any pattern of the families occurs; the tests stop at the first hit."""
+    tests = [
+        _occurs(c, pattern, needed)
+        for family in families
+        for pattern, needed in zip(INJECTION_FAMILIES[family], _NEEDED[family], strict=True)
+    ]
+    return reduce(lambda a, b: a | b, tests)
 
 
 def strip(c: Column) -> Column:
@@ -153,7 +147,7 @@ def normalize(c: Column) -> Column:
 
 
 def matches_family(c: Column, family: str) -> Column:
-    return _any_of(c, INJECTION_FAMILIES[family])
+    return _any_of(c, family)
 
 
 def contains_injection(c: Column) -> Column:
@@ -162,7 +156,7 @@ def contains_injection(c: Column) -> Column:
     The first test reads the folded text unconditionally, which lets Spark compute that text once
     for all of them.
     """
-    return _any_of(c, SQL_PATTERNS + SHELL_PATTERNS + PROMPT_PATTERNS)
+    return _any_of(c, "sql", "shell", "prompt")
 
 
 def collapse_whitespace(c: Column) -> Column:
@@ -173,7 +167,8 @@ def collapse_whitespace(c: Column) -> Column:
     spaced = F.when(
         c.contains("  ") | c.contains("\t"), F.regexp_replace(c, r"[ \t]{2,}|\t", " ")
     ).otherwise(c)
-    return F.when(c.contains("\n\n\n"), F.regexp_replace(spaced, r"\n{3,}", "\n\n")).otherwise(spaced)
+    joined = F.regexp_replace(spaced, r"\n{3,}", "\n\n")
+    return F.when(c.contains("\n\n\n"), joined).otherwise(spaced)
 
 
 def question_length_verdict(c: Column) -> Column:

@@ -155,27 +155,42 @@ def ask_model(scorer_factory: ScorerFactory) -> Callable[[Column], Column]:
 def parse_replies(
     df: DataFrame, summary: str, sentiment: str, topic: str, call_error: str | None = None
 ) -> DataFrame:
-    """Replace three reply columns by the annotation columns read from them."""
+    """Add the annotation columns read from three reply columns.
+
+    The parsed objects are columns of their own at first, so that each reply is parsed once.
+    """
+    parsed = df.withColumns(
+        {
+            "__summary_object": replies.as_object(F.col(summary), replies.SUMMARY),
+            "__sentiment_object": replies.as_object(F.col(sentiment), replies.SENTIMENT),
+            "__topic_object": replies.as_object(F.col(topic), replies.TOPIC),
+        }
+    )
     fields = {
-        **replies.summary_fields(F.col(summary)),
-        **replies.sentiment_fields(F.col(sentiment)),
-        **replies.topic_fields(F.col(topic)),
+        **replies.summary_fields(F.col(summary), F.col("__summary_object")),
+        **replies.sentiment_fields(F.col("__sentiment_object")),
+        **replies.topic_fields(F.col("__topic_object")),
     }
     if call_error:
         fields["llm_processing_error"] = F.coalesce(
             F.col(call_error), fields["llm_processing_error"]
         )
-    return df.withColumns(fields)
+    return parsed.withColumns(fields).drop(
+        "__summary_object", "__sentiment_object", "__topic_object"
+    )
 
 
-def annotate(df: DataFrame, scorer_factory: ScorerFactory | None = None) -> DataFrame:
+def annotate(
+    df: DataFrame, scorer_factory: ScorerFactory | None = None, concurrency: int = 0
+) -> DataFrame:
     """Every input row with its ``llm_*`` columns.
 
-    The number of partitions is the number of concurrent scorers: repartition beforehand to set the
-    call rate.
+    ``concurrency`` spreads the rows evenly over that many scorers, to set the call rate; 0 leaves
+    them where they are.
     """
     ask = ask_model(scorer_factory or offline_scorer())
-    asked = df.withColumn("__reply", ask(transcript(df)))
+    rows = df.repartition(concurrency) if concurrency else df
+    asked = rows.withColumn("__reply", ask(transcript(df)))
     flat = asked.withColumns(
         {f"__{name}": F.col(f"__reply.{name}") for name in _REPLY_SCHEMA.names}
     ).drop("__reply")

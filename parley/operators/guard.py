@@ -58,8 +58,9 @@ def guard_summary(df: DataFrame, column: str, source: str) -> DataFrame:
     reason = F.when(F.col("__length") != "OK", F.col("__length")).otherwise(
         F.coalesce("reason", F.lit("NONE"))
     )
+    verdict = F.when(F.col("reason") == "NONE", "OK").otherwise("REJECTED")
     return (
         judged.select(source, reason.alias("reason"))
-        .groupBy(source, F.when(F.col("reason") == "NONE", "OK").otherwise("REJECTED").alias("verdict"), "reason")
+        .groupBy(source, verdict.alias("verdict"), "reason")
         .agg(F.count("*").alias("rows"))
     )

@@ -46,7 +46,9 @@ class Range:
         return reduce(lambda a, b: a | b, tests) if tests else None
 
     def __str__(self) -> str:
-        return f"[{'-inf' if self.low is None else self.low}, {'inf' if self.high is None else self.high}]"
+        low = "-inf" if self.low is None else self.low
+        high = "inf" if self.high is None else self.high
+        return f"[{low}, {high}]"
 
 
 @dataclass(frozen=True)

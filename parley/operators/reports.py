@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parley.functions.casts import as_timestamp
 from parley.functions.prompts import get_template
 from parley.operators import kpis, topics
 from parley.operators.filters import Selection, select_rows
-from parley.functions.casts import as_timestamp
 
 # Fixed value: the answer when a selection holds nothing.
 NO_DATA = "No data found for the specified filters."
@@ -32,9 +32,8 @@ def metrics_document(
     document = F.to_json(
         F.struct(*kpis.ALL_KPIS, echo.alias("filters_applied")), {"ignoreNullFields": "false"}
     )
-    return report.select(
-        F.when(F.col("status") == "NO_DATA", _error_document()).otherwise(document).alias("document")
-    )
+    empty = F.col("status") == "NO_DATA"
+    return report.select(F.when(empty, _error_document()).otherwise(document).alias("document"))
 
 
 def topics_document(

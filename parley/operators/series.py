@@ -11,9 +11,8 @@ from parley.functions.casts import as_timestamp
 
 def _by_day(turns: DataFrame, ts: Column | None, *measures: Column) -> DataFrame:
     ts = as_timestamp(F.col("created_at")) if ts is None else ts
-    return (
-        turns.groupBy(ts.cast("date").alias("date")).agg(*measures).filter(F.col("date").isNotNull())
-    )
+    daily = turns.groupBy(ts.cast("date").alias("date")).agg(*measures)
+    return daily.filter(F.col("date").isNotNull())
 
 
 def _fill_days(daily: DataFrame, **missing: Column) -> DataFrame:

@@ -103,7 +103,9 @@ def weekly_trend(turns: DataFrame, ts: Column | None = None) -> DataFrame:
     last_two = weekly.filter(F.col("turns") > 0).orderBy(F.desc_nulls_last("week")).limit(2)
     bounds = last_two.agg(
         F.struct(
-            F.min("week").alias("previous"), F.max("week").alias("current"), F.count("week").alias("n")
+            F.min("week").alias("previous"),
+            F.max("week").alias("current"),
+            F.count("week").alias("n"),
         )
     ).scalar()
 

@@ -135,7 +135,8 @@ def _presence(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 def shared_contacts(left: DataFrame, right: DataFrame) -> DataFrame:
     """Contacts that occur in both sources."""
-    return _presence(left, right, ["contact_id"]).filter("in_left AND in_right").select("contact_id")
+    contacts = _presence(left, right, ["contact_id"])
+    return contacts.filter("in_left AND in_right").select("contact_id")
 
 
 def metadata_coverage(turns: DataFrame, meta: DataFrame) -> DataFrame:

@@ -48,6 +48,4 @@ def annotate_job(
     if done_path:
         rows = not_yet_annotated(rows, spark.read.json(done_path), keys)
     rows = sample_rows(rows, limit, keys)
-    if concurrency:
-        rows = rows.repartition(concurrency)
-    write_json_lines(annotate(rows, scorer_factory), out)
+    write_json_lines(annotate(rows, scorer_factory, concurrency), out)

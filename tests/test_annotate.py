@@ -66,7 +66,7 @@ def test_columns_render_like_text(spark):
 
 
 def test_messages_shape(spark):
-    out = texts(spark, "I hate waiting").select(get_template("sentiment").messages(conversation=F.col("text")).alias("m"))
+    out = texts(spark, "this waiting is bad").select(get_template("sentiment").messages(conversation=F.col("text")).alias("m"))
     roles = [(m.role, "waiting" in m.content) for m in out.first().m]
     assert roles == [("system", False), ("user", True)]
 
