@@ -8,8 +8,9 @@ edge of that class. They are therefore spelled out before the pattern reaches Ja
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
-from functools import reduce
+from functools import cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -206,9 +207,19 @@ def channel_verdict(c: Column) -> Column:
     return _allowed_verdict(c, CHANNELS)
 
 
+@cache
+def _foreign_digits() -> tuple[str, str]:
+    """All decimal digits beyond ASCII, and the ASCII digit of each."""
+    digits = [d for d in map(chr, range(128, sys.maxunicode + 1)) if d.isdecimal()]
+    return "".join(digits), "".join(str(unicodedata.decimal(d)) for d in digits)
+
+
 def date_text_verdict(c: Column) -> Column:
-    """``YYYY-MM-DD`` with a year from 2000 to 2100; month and day are not looked at."""
-    value = strip(c)
+    """``YYYY-MM-DD`` with a year from 2000 to 2100; month and day are not looked at.
+
+    Decimal digits of any script count.
+    """
+    value = F.translate(strip(c), *_foreign_digits())
     safe = filter_value_verdict(c)
     year = F.substring(value, 1, 4).try_cast("int")
     return (

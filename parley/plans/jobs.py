@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from parley.operators.annotate import ScorerFactory, annotate, not_yet_annotated
 from parley.operators.quality import all_sources_report, enforce
@@ -24,8 +25,9 @@ def quality_job(spark: SparkSession, base: str, report_path: str) -> DataFrame:
 
 def unify_job(spark: SparkSession, base: str, out: str, run_ts: str) -> DataFrame:
     """Write the unified table and return it as read back."""
-    write_unified(unify(*load_sources(spark, base), run_ts=run_ts), out)
-    return read_unified(spark, out)
+    unified = unify(*load_sources(spark, base), run_ts=run_ts)
+    write_unified(unified, out)
+    return read_unified(spark, out, unified.schema)
 
 
 def annotate_job(
@@ -46,6 +48,8 @@ def annotate_job(
     keys = keys or ["contact_id", "session_id", "created_at"]
     rows = read_unified(spark, unified_path)
     if done_path:
-        rows = not_yet_annotated(rows, spark.read.json(done_path), keys)
+        # naming the key fields spares a pass over the finished rows to infer all of theirs
+        key_fields = T.StructType([rows.schema[key] for key in keys])
+        rows = not_yet_annotated(rows, spark.read.schema(key_fields).json(done_path), keys)
     rows = sample_rows(rows, limit, keys)
     write_json_lines(annotate(rows, scorer_factory, concurrency), out)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 import unicodedata
 
@@ -48,15 +49,16 @@ def test_sanitize_follows_python_rules(spark):
         assert (row.clean, row.verdict) == _python_sanitize(row.text), row.text
 
 
-def test_masking_follows_python_rules(spark):
-    def python_mask(value):
-        for pattern, replacement in text.MASKS:
-            value = re.sub(pattern, replacement, value)
-        return value
+def _python_mask(value):
+    for pattern, replacement in text.MASKS:
+        value = re.sub(pattern, replacement, value)
+    return value
+
 
+def test_masking_follows_python_rules(spark):
     out = texts(spark, *SECRETS).withColumn("masked", text.mask_sensitive(F.col("text"))).collect()
     for row in out:
-        assert row.masked == python_mask(row.text), row.text
+        assert row.masked == _python_mask(row.text), row.text
 
 
 @pytest.mark.parametrize(
@@ -108,7 +110,9 @@ def test_channel(spark):
     ("value", "verdict", "real"),
     [("2026-03-15", "OK", True), ("15/03/2026", "BAD_FORMAT", False), (" 2024-13-45 ", "OK", False),
      ("1999-01-01", "YEAR_OUT_OF_RANGE", True), ("2101-01-01", "YEAR_OUT_OF_RANGE", True),
-     ("2024-01-01\n2024-01-01", "BAD_FORMAT", False)],
+     ("2024-01-01\n2024-01-01", "BAD_FORMAT", False),
+     ("\u0662\u0660\u0662\u0664-01-01", "OK", False),
+     ("\U0001d7cf999-01-01", "YEAR_OUT_OF_RANGE", False)],
 )
 def test_date_text(spark, value, verdict, real):
     row = texts(spark, value).select(
@@ -127,3 +131,31 @@ def test_summary_covers_every_row(spark):
     out = guard.guard_summary(rows, "text", "source")
     assert out.agg(F.sum("rows")).first()[0] == len(EDGES) + 1
     assert {r.reason for r in out.collect()} == {"NONE", "INJECTION", "TOO_SHORT", "NOT_TEXT"}
+
+
+def _random_texts(n):
+    """Texts put together from pieces that patterns care about, with a fixed seed."""
+    pieces = [
+        "ignore", "disregard", "forget", "all", "previous", "prior", "instructions", "rules", "new",
+        "system", "prompt", "you", "are", "now", "an", "a", "AEP", "DAN", "jailbreak", "<", ">", "[INST]",
+        "###", "instruction", ";", "drop", "union", "select", "or", "1", "=", "--", "/*", "*/", "$(", "../",
+        "rm", "del", "shutdown", "x", "_", "\u00e9", "e\u0301", "\u200b", "\u0131", "\u017f", "\u212a",
+        "sk-", "AKIA", "A" * 16, "123-45-6789", "12", "-", "me", "@", "b.org", ".co", "\u0661" * 3,
+    ]
+    gaps = ["", "", " ", " ", "  ", "\n", "\n\n\n", "\t", "\u00a0", "\x1c", "\x07", "\u3000"]
+    pick = random.Random(7)
+    for _ in range(n):
+        words = [pick.choice(pieces) for _ in range(pick.randint(1, 9))]
+        out = "".join(w + pick.choice(gaps) for w in words)
+        yield out.upper() if pick.random() < 0.2 else out
+
+
+def test_random_texts_follow_python_rules(spark):
+    rows = texts(spark, *_random_texts(4000)).repartition(8)
+    out = guard.sanitize(rows, "text").withColumn("masked", text.mask_sensitive(F.col("text")))
+    verdicts = set()
+    for row in out.collect():
+        assert (row.clean, row.verdict) == _python_sanitize(row.text), row.text
+        assert row.masked == _python_mask(row.text), row.text
+        verdicts.add(row.verdict)
+    assert verdicts == {"OK", "REJECTED"}
