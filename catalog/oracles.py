@@ -625,6 +625,9 @@ def oracles() -> dict[str, str]:
             f"WHERE {TURN_TS} BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12'",
         ),
         "d3_whole_day_range": _from(CHAT, "*", "WHERE " + DASHBOARD_WHERE.format(ts=TURN_TS)),
+        "d3_whole_day_range_on_unified": f"""{_with(CHAT, clean_chat=CLEAN_CHAT)}
+            SELECT application_channel, {TURN_KPIS} FROM clean_chat
+            WHERE {DASHBOARD_WHERE.format(ts=TURN_TS)} GROUP BY application_channel""",
         "d4_filter_options": f"""{_with(CHAT)}
             SELECT DISTINCT 'business_unit' AS option, business_unit AS value FROM {CHAT}
             UNION ALL SELECT DISTINCT 'application_channel', application_channel FROM {CHAT}
@@ -663,6 +666,11 @@ def oracles() -> dict[str, str]:
         ),
         "f7_kpi_cube": _cube(),
         "f8_topic_measures": _from(CHAT, TOPIC_MEASURES, f"WHERE {BY_TOPIC}"),
+        "f8_topic_measures_by_unit_and_channel": _from(
+            CHAT,
+            f"business_unit, application_channel, {TOPIC_MEASURES}",
+            f"WHERE {BY_TOPIC}, business_unit, application_channel",
+        ),
         "f9_topic_session_quality": _from(META, SESSION_QUALITY, f"WHERE {BY_TOPIC}"),
         "f10_topic_table": _from(
             CHAT,

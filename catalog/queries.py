@@ -285,6 +285,15 @@ def d3_whole_day_range(spark, sf):
     return filters.select_rows(_turns(spark, sf), DASHBOARD, _turn_time())
 
 
+@_query
+def d3_whole_day_range_on_unified(spark, sf):
+    path = scratch_folder(spark, "unified")
+    writers.write_unified(_unified(spark, sf), path)
+    days = readers.read_unified(spark, path)
+    chosen = filters.select_rows(days, DASHBOARD, F.col("created_at_ts"))
+    return kpis.turn_kpis(chosen, "application_channel")
+
+
 @_query
 def d4_filter_options(spark, sf):
     return filters.filter_options(_turns(spark, sf), _turn_time())
@@ -400,6 +409,11 @@ def f8_topic_measures(spark, sf):
     return topics.topic_measures(_turns(spark, sf))
 
 
+@_query
+def f8_topic_measures_by_unit_and_channel(spark, sf):
+    return topics.topic_measures(_turns(spark, sf), "business_unit", "application_channel")
+
+
 @_query
 def f9_topic_session_quality(spark, sf):
     return topics.topic_session_quality(_meta(spark, sf))

@@ -21,10 +21,10 @@ SORT_COLUMNS = {
 }
 
 
-def _topic_sums(turns: DataFrame) -> DataFrame:
+def _topic_sums(turns: DataFrame, *by: str) -> DataFrame:
     return (
         turns.filter(F.col("topic_name").isNotNull())
-        .groupBy("topic_name")
+        .groupBy("topic_name", *by)
         .agg(
             F.count("*").alias("volume"),
             *[
@@ -46,10 +46,14 @@ def _rate(count: str) -> Column:
     return F.col(count) / F.col("volume") * 100
 
 
-def topic_measures(turns: DataFrame) -> DataFrame:
-    """Volume, counts, mean scores and rates per topic; rates are shares of the topic's volume."""
-    return _topic_sums(turns).select(
+def topic_measures(turns: DataFrame, *by: str) -> DataFrame:
+    """Volume, counts, mean scores and rates per topic; rates are shares of the topic's volume.
+
+    Further columns break each topic down, for example by unit or channel.
+    """
+    return _topic_sums(turns, *by).select(
         "topic_name",
+        *by,
         "volume",
         "escalation_count",
         "thumbs_up_count",

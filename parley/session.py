@@ -25,11 +25,13 @@ def build_session(name: str = "parley", **conf: str) -> SparkSession:
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder for a written intermediate table.
 
-    It lies under ``spark.checkpoint.dir``, which a cluster points at shared storage. Only a session
-    without that setting (a local test run) gets a temporary folder of this machine.
+    It lies under ``spark.checkpoint.dir``, which a cluster points at shared storage. Only a local
+    session without that setting, as in tests, gets a temporary folder of this machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="parley-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
