@@ -11,7 +11,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from parley.functions.casts import as_double, as_timestamp
 from parley.functions.rounding import display
@@ -327,16 +326,3 @@ def row_counts(**tables: DataFrame) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
-
-
-RESULT_SCHEMA = T.StructType(
-    [
-        T.StructField("source", T.StringType()),
-        T.StructField("check", T.StringType()),
-        T.StructField("column", T.StringType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("observed", T.DoubleType()),
-        T.StructField("threshold", T.StringType()),
-        T.StructField("message", T.StringType()),
-    ]
-)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.operators.annotate import ScorerFactory, annotate, not_yet_annotated
 from parley.operators.quality import all_sources_report, enforce
 from parley.operators.unify import unify
 from parley.sources.readers import load_sources, read_unified, sample_rows
+from parley.sources.schemas import SOURCES
 from parley.sources.writers import write_json_lines, write_unified
 
 
@@ -23,11 +25,25 @@ def quality_job(spark: SparkSession, base: str, report_path: str) -> DataFrame:
     return report
 
 
-def unify_job(spark: SparkSession, base: str, out: str, run_ts: str) -> DataFrame:
-    """Write the unified table and return it as read back."""
-    unified = unify(*load_sources(spark, base), run_ts=run_ts)
-    write_unified(unified, out)
-    return read_unified(spark, out, unified.schema)
+def unify_job(
+    spark: SparkSession, base: str, out: str, run_ts: str
+) -> tuple[DataFrame, dict[str, int]]:
+    """Write the unified table; return it as read back, and the rows loaded and written.
+
+    The counts are observed while the table is written, so they take no pass of their own.
+    """
+    counts = {name: Observation(name) for name in [*SOURCES, "unified_interactions"]}
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.observe(counts[name], F.count(F.lit(1)).alias("rows"))
+
+    sources = [
+        counted(df, name) for name, df in zip(SOURCES, load_sources(spark, base), strict=True)
+    ]
+    unified = unify(*sources, run_ts=run_ts)
+    write_unified(counted(unified, "unified_interactions"), out)
+    rows = {name: seen.get["rows"] for name, seen in counts.items()}
+    return read_unified(spark, out, unified.schema), rows
 
 
 def annotate_job(
