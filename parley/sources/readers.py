@@ -10,6 +10,10 @@ from parley.functions.casts import as_timestamp, cast_columns
 from parley.sources.schemas import SOURCES, TIME_COLUMN
 
 
+# Quotes inside a quoted cell are doubled, as most CSV writers do; Spark's default is a backslash.
+CSV_OPTIONS = {"header": True, "nullValue": "", "escape": '"'}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header, matched to ``schema`` by column name.
 
@@ -17,7 +21,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     header line is looked at up front, no inference pass) and cast afterwards. Blank cells and
     text that does not parse become null; columns the schema does not name stay as text.
     """
-    raw = spark.read.option("header", True).option("nullValue", "").csv(path)
+    raw = spark.read.options(**CSV_OPTIONS).csv(path)
     return cast_columns(raw, schema)
 
 

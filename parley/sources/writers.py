@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from parley.sources.readers import PARTITION_COLUMNS
+from parley.sources.readers import CSV_OPTIONS, PARTITION_COLUMNS
 
 
 def write_unified(df: DataFrame, path: str) -> None:
@@ -32,7 +32,7 @@ def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; padding inside text cells is kept."""
     (
         df.write.mode("overwrite")
-        .option("header", True)
+        .options(**CSV_OPTIONS)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from parley.functions.casts import cast_columns
 from parley.operators import kpis
 from parley.operators.clean import clean_chatbot
-from parley.sources.readers import with_event_time
+from parley.sources.readers import CSV_OPTIONS, with_event_time
 from parley.sources.schemas import CHATBOT
 
 
@@ -25,9 +25,8 @@ def read_turns(spark: SparkSession, folder: str, files_per_trigger: int = 100) -
     as_text = T.StructType([T.StructField(name, T.StringType()) for name in CHATBOT.names])
     raw = (
         spark.readStream.schema(as_text)
-        .option("header", True)
+        .options(**CSV_OPTIONS)
         .option("enforceSchema", False)
-        .option("nullValue", "")
         .option("maxFilesPerTrigger", files_per_trigger)
         .csv(folder)
     )

@@ -84,6 +84,25 @@ def test_csv_columns_match_by_name(spark, tmp_path):
     assert row.time_on_page_seconds == 7 and row.page_name == "/home" and row.extra == "kept"
 
 
+def test_csv_written_elsewhere(spark, tmp_path):
+    from parley.sources.schemas import CHATBOT
+
+    values = turns(spark, {"topic_name": 'say "hi", \\ ok', "confidence_score": None, "thumbs_up": 1}).toPandas()
+    values["thumbs_up"] = values["thumbs_up"].astype(float)
+    values.to_csv(tmp_path / "turns.csv", index=False)
+    row = readers.read_csv(spark, str(tmp_path / "turns.csv"), CHATBOT).first()
+    assert row.topic_name == 'say "hi", \\ ok'
+    assert (row.confidence_score, row.thumbs_up) == (None, 1)
+
+
+def test_csv_round_trip_keeps_quotes_and_padding(spark, tmp_path):
+    from parley.sources.schemas import CHATBOT
+
+    rows = turns(spark, {"topic_name": ' "a", \\"b" ', "business_unit": " Retail "})
+    writers.write_csv(rows, str(tmp_path / "t"))
+    assert readers.read_csv(spark, str(tmp_path / "t"), CHATBOT).collect() == rows.collect()
+
+
 def _three_days(spark):
     rows = turns(
         spark,
