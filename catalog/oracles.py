@@ -665,6 +665,15 @@ def oracles() -> dict[str, str]:
             "business_unit = 'mining'", {**_ALL, "business_unit": "Mining"}
         ),
         "f7_kpi_cube": _cube(),
+        "f7_report_from_daily_cells": _kpi_report(
+            DASHBOARD_WHERE,
+            {
+                "business_unit": "Healthcare",
+                "application_channel": "ALL",
+                "start_date": "2024-01-03",
+                "end_date": "2024-01-17",
+            },
+        ),
         "f8_topic_measures": _from(CHAT, TOPIC_MEASURES, f"WHERE {BY_TOPIC}"),
         "f8_topic_measures_by_unit_and_channel": _from(
             CHAT,

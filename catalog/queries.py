@@ -404,6 +404,13 @@ def f7_kpi_cube(spark, sf):
     return kpis.kpi_cube(_turns(spark, sf), _meta(spark, sf))
 
 
+@_query
+def f7_report_from_daily_cells(spark, sf):
+    path = scratch_folder(spark, "cells")
+    kpis.daily_cells(_turns(spark, sf), _meta(spark, sf)).write.parquet(path)
+    return kpis.report_from_cells(spark.read.parquet(path), DASHBOARD)
+
+
 @_query
 def f8_topic_measures(spark, sf):
     return topics.topic_measures(_turns(spark, sf))

@@ -150,12 +150,23 @@ def kpi_report(
 
     ``status`` is NO_DATA when neither table has a row in the selection.
     """
-    turn_time = as_timestamp(F.col("created_at")) if turn_time is None else turn_time
-    session_time = as_timestamp(F.col("session_start")) if session_time is None else session_time
+    turn_time, session_time = _times(turn_time, session_time)
     sums = turn_sums(select_rows(turns, selection, turn_time)).unionByName(
         session_sums(select_rows(meta, selection, session_time)), allowMissingColumns=True
     )
-    status = F.when(F.col("turns") + F.col("sessions") == 0, "NO_DATA").otherwise("OK")
+    return _report(sums, selection)
+
+
+def _times(turn_time: Column | None, session_time: Column | None) -> tuple[Column, Column]:
+    return (
+        as_timestamp(F.col("created_at")) if turn_time is None else turn_time,
+        as_timestamp(F.col("session_start")) if session_time is None else session_time,
+    )
+
+
+def _report(sums: DataFrame, selection: Selection | None) -> DataFrame:
+    turns, sessions = F.coalesce("turns", F.lit(0)), F.coalesce("sessions", F.lit(0))
+    status = F.when(turns + sessions == 0, "NO_DATA").otherwise("OK")
     return sums.agg(*_add_up(_TURN_SUMS + _SESSION_SUMS)).select(
         status.alias("status"),
         *figures(ALL_KPIS),
@@ -166,6 +177,30 @@ def kpi_report(
     )
 
 
+def daily_cells(
+    turns: DataFrame,
+    meta: DataFrame,
+    turn_time: Column | None = None,
+    session_time: Column | None = None,
+) -> DataFrame:
+    """Sums of both tables per day, unit and channel: a small table to keep for later reports."""
+    turn_time, session_time = _times(turn_time, session_time)
+    return turn_sums(turns, turn_time.cast("date").alias("day"), *DIMENSIONS).unionByName(
+        session_sums(meta, session_time.cast("date").alias("day"), *DIMENSIONS),
+        allowMissingColumns=True,
+    )
+
+
+def report_from_cells(cells: DataFrame, selection: Selection | None = None) -> DataFrame:
+    """The KPI report of a selection from kept cells, without reading turns or sessions again.
+
+    Cells hold whole days, so a range that ends at midnight has to be answered by ``kpi_report``.
+    """
+    if selection and selection.end_date and selection.end_mode != "day":
+        raise ValueError("daily cells cannot cut a day")
+    return _report(select_rows(cells, selection, F.col("day").cast("timestamp_ntz")), selection)
+
+
 def kpi_cube(turns: DataFrame, meta: DataFrame) -> DataFrame:
     """The KPI report of every unit and channel, of each of the two alone, and of everything.
 

@@ -97,6 +97,33 @@ def test_cube_cells_equal_reports(spark):
             assert cell[name] == report[name], (cell, name)
 
 
+@pytest.mark.parametrize(
+    "chosen",
+    [
+        None,
+        Selection(business_unit="RETAIL"),
+        Selection(start_date="2024-01-10", end_date="2024-01-10"),
+        Selection(application_channel="IVR", end_date="2024-01-11"),
+        Selection(business_unit="none"),
+    ],
+)
+def test_report_from_cells(spark, chosen):
+    rows = turns(
+        spark, {"thumbs_up": 1}, {"created_at": "2024-01-10T23:59:59", "confidence_score": None},
+        {"application_channel": "IVR", "created_at": "2024-01-11T00:00:00"}, {"created_at": "?"},
+        {"business_unit": "retail", "thumbs_down": 1}, {"business_unit": None},
+    )
+    meta = sessions(spark, {}, {"session_start": "2024-01-12T00:00:00"}, {"csat_score": None})
+    cells = kpis.daily_cells(rows, meta)
+    assert kpis.report_from_cells(cells, chosen).first() == kpis.kpi_report(rows, meta, chosen).first()
+
+
+def test_cells_cannot_cut_a_day(spark):
+    cells = kpis.daily_cells(turns(spark, {}), sessions(spark, {}))
+    with pytest.raises(ValueError):
+        kpis.report_from_cells(cells, Selection(end_date="2024-01-10", end_mode="midnight"))
+
+
 def test_selection_applies_to_both_tables(spark):
     chosen = Selection(start_date="2024-01-10", end_date="2024-01-10")
     meta = sessions(spark, {}, {"session_start": "2024-01-11T00:00:00"})

@@ -178,6 +178,18 @@ def test_hot_session_is_split_in_the_join(spark, skew_conf, dedupe):
     assert "SortMergeJoin(skew=true)" in plan_of(got)
 
 
+def test_hot_day_is_written_by_several_tasks(spark, skew_conf, tmp_path):
+    day = F.when(F.col("session_id") == "hot", "05").otherwise("06")
+    rows = _skewed(spark).select(
+        "*", F.lit("2024").alias("year"), F.lit("01").alias("month"), day.alias("day")
+    )
+    writers.write_unified(rows, str(tmp_path / "out"))
+    files = list((tmp_path / "out").glob("year=2024/month=01/day=05/*.parquet"))
+    assert len(files) > 1
+    back = readers.read_unified(spark, str(tmp_path / "out"))
+    assert back.filter("day = '05'").count() == 20000 and back.count() == 60000
+
+
 def test_hot_key_is_split_when_resuming(spark, skew_conf):
     big = _skewed(spark).withColumn("created_at", F.lit("x"))
     done = big.filter(F.col("session_id").isin("s1", "s2"))
