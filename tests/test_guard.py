@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import sys
 import unicodedata
 
 import pytest
@@ -159,3 +160,26 @@ def test_random_texts_follow_python_rules(spark):
         assert row.masked == _python_mask(row.text), row.text
         verdicts.add(row.verdict)
     assert verdicts == {"OK", "REJECTED"}
+
+
+def test_every_character_that_composition_changes_is_sent(spark):
+    changing = [
+        c
+        for c in map(chr, range(sys.maxunicode + 1))
+        if not 0xD800 <= ord(c) < 0xE000
+        and (
+            not unicodedata.is_normalized("NFC", c)
+            or unicodedata.category(c).startswith("M")
+            or not unicodedata.is_normalized("NFC", "a" + c)
+            or not unicodedata.is_normalized("NFC", "\u1100" + c)
+            or not unicodedata.is_normalized("NFC", "\uac00" + c)
+            or c in text.INVISIBLE
+        )
+    ]
+    sent = F.col("text").rlike(r"[^\x{0}-\x{2ff}]") & F.col("text").rlike(
+        f"[{text._COMPOSABLE}{text.INVISIBLE}]"
+    )
+    assert len(changing) > 3000
+    assert texts(spark, *changing).filter(~sent).count() == 0
+    plain = ["curly \u201cquotes\u201d", "\u4e2d\u6587", "\u043f\u0440", "\uac01", "\U0001f600 \u2013"]
+    assert texts(spark, *plain).filter(sent).count() == 0
