@@ -877,6 +877,7 @@ def oracles() -> dict[str, str]:
         "n2_step_run_times": _run_times("step"),
         "n3_block_run_times": _run_times("block"),
     }
+    sql["l7_annotate_shared_replies"] = sql["l7_annotate"]
     heading = ", ".join(f'{c} AS "{title}"' for c, title in TOPIC_TABLE_HEADINGS.items())
     sql["b5_topic_table_headings"] = f"SELECT {heading} FROM ({sql['f10_topic_table']})"
     for name, column in (

@@ -774,13 +774,21 @@ def l6_topic_replies(spark, sf):
     )
 
 
-@_query
-def l7_annotate(spark, sf):
-    rows = annotate.annotate(_unified(spark, sf))
+def _annotations(rows: DataFrame) -> DataFrame:
     names = [c for c in rows.columns if c.startswith("llm_")]
     return rows.select(*schemas.KEYS, "created_at", "topic_in_list", *names)
 
 
+@_query
+def l7_annotate(spark, sf):
+    return _annotations(annotate.annotate(_unified(spark, sf)))
+
+
+@_query
+def l7_annotate_shared_replies(spark, sf):
+    return _annotations(annotate.annotate(_unified(spark, sf), share_replies=True))
+
+
 @_query
 def l7_resume(spark, sf):
     rows = _unified(spark, sf)

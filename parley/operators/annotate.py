@@ -181,21 +181,31 @@ def parse_replies(
 
 
 def annotate(
-    df: DataFrame, scorer_factory: ScorerFactory | None = None, concurrency: int = 0
+    df: DataFrame,
+    scorer_factory: ScorerFactory | None = None,
+    concurrency: int = 0,
+    share_replies: bool = False,
 ) -> DataFrame:
     """Every input row with its ``llm_*`` columns.
 
-    ``concurrency`` spreads the rows evenly over that many scorers, to set the call rate; 0 leaves
-    them where they are.
+    ``concurrency`` spreads the requests evenly over that many scorers, to set the call rate; 0
+    leaves them where they are. ``share_replies`` asks once per distinct transcript and gives rows
+    with the same transcript the same reply. Transcripts name a channel, a response type, a score
+    of two decimals, a number of turns and two outcomes, so there are far fewer of them than rows.
     """
+    told = df.withColumn("__transcript", transcript(df))
+    requests = told.select("__transcript").distinct() if share_replies else told
+    if concurrency:
+        requests = requests.repartition(concurrency)
     ask = ask_model(scorer_factory or offline_scorer())
-    rows = df.repartition(concurrency) if concurrency else df
-    asked = rows.withColumn("__reply", ask(transcript(df)))
+    asked = requests.withColumn("__reply", ask(F.col("__transcript")))
+    if share_replies:
+        asked = spread_join(told, asked, ["__transcript"], "left")
     flat = asked.withColumns(
         {f"__{name}": F.col(f"__reply.{name}") for name in _REPLY_SCHEMA.names}
-    ).drop("__reply")
+    )
     parsed = parse_replies(flat, "__summary", "__sentiment", "__topic", "__error")
-    return parsed.drop(*[f"__{name}" for name in _REPLY_SCHEMA.names])
+    return parsed.drop("__transcript", "__reply", *[f"__{name}" for name in _REPLY_SCHEMA.names])
 
 
 def not_yet_annotated(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

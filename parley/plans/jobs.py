@@ -55,6 +55,7 @@ def annotate_job(
     done_path: str | None = None,
     keys: list[str] | None = None,
     concurrency: int = 0,
+    share_replies: bool = False,
 ) -> None:
     """Annotate rows of the unified table and write them as JSON lines.
 
@@ -68,4 +69,4 @@ def annotate_job(
         key_fields = T.StructType([rows.schema[key] for key in keys])
         rows = not_yet_annotated(rows, spark.read.schema(key_fields).json(done_path), keys)
     rows = sample_rows(rows, limit, keys)
-    write_json_lines(annotate(rows, scorer_factory, concurrency), out)
+    write_json_lines(annotate(rows, scorer_factory, concurrency, share_replies), out)

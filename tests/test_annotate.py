@@ -133,6 +133,23 @@ def test_one_scorer_per_task_and_one_call_per_request(spark):
     assert calls.value == 60 and made.value == 2
 
 
+def test_shared_replies_ask_once_per_transcript(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def score(key, messages, max_tokens, temperature):
+            calls.add(1)
+            return '{"summary": "up"}' if "thumbs up" in messages[-1]["content"] else "{}"
+
+        return score
+
+    rows = turns(spark, *[{"session_id": str(i), "thumbs_up": i % 2} for i in range(20)])
+    out = annotate.annotate(rows, factory, share_replies=True).collect()
+    assert calls.value == 6
+    assert {(int(r.session_id) % 2, r.llm_summary) for r in out} == {(0, None), (1, "up")}
+    assert len(out) == 20 and set(out[0].asDict()) >= set(rows.columns)
+
+
 def _calls(spark, *rows):
     return spark.createDataFrame(rows, "session_id string, model string, prompt_tokens int, completion_tokens int")
 
