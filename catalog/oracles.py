@@ -60,7 +60,7 @@ FROM {CHAT} WHERE {HAS_KEYS}"""
 
 CLICK_SESSIONS = f"""
 SELECT contact_id, session_id, count(*) AS click_event_count,
-       CAST(sum(is_bounce) AS INTEGER) AS bounce_events,
+       CAST(sum(is_bounce) AS BIGINT) AS bounce_events,
        display(avg(scroll_depth_pct), 4) AS avg_scroll_depth_pct,
        CAST(sum(time_on_page_seconds) AS BIGINT) AS total_time_on_page_seconds,
        count(DISTINCT page_name) AS unique_pages_visited,

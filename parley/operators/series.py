@@ -69,19 +69,21 @@ def resolution_histogram(turns: DataFrame, bins: int = 20) -> DataFrame:
     """Turns per equal-width score bin of [0, 1]; the last bin includes 1.
 
     Edges are compared in ten-thousandths, because 0.15 / 0.05 is just below 3 as a double. Scores
-    outside [0, 1] keep bins of their own beyond either end.
+    below 0 are counted in bin -1 and scores above 1 in the bin after the last, without edges.
     """
     score = F.col("derived_resolution_score")
-    place = F.floor(F.round(score * 10000) * bins / 10000)
-    number = F.when(score == 1, bins - 1).otherwise(place).cast("int")
+    place = F.floor(F.round(score * 10000) * bins / 10000).cast("int")
+    held = F.least(F.lit(bins - 1), place)
+    number = F.when(score < 0, -1).when(score > 1, bins).otherwise(held)
+    inside = F.col("bin").between(0, bins - 1)
     return (
         turns.filter(score.isNotNull())
         .groupBy(number.alias("bin"))
         .agg(F.count("*").alias("turns"))
         .select(
             "bin",
-            (F.col("bin") / bins).alias("lower"),
-            ((F.col("bin") + 1) / bins).alias("upper"),
+            F.when(inside, F.col("bin") / bins).alias("lower"),
+            F.when(inside, (F.col("bin") + 1) / bins).alias("upper"),
             "turns",
         )
         .orderBy("bin")

@@ -22,7 +22,7 @@ def click_sessions(clicks: DataFrame, approximate_distinct: bool = False) -> Dat
     distinct = F.approx_count_distinct if approximate_distinct else F.count_distinct
     return clicks.groupBy(*KEYS).agg(
         F.count("*").alias("click_event_count"),
-        F.sum("is_bounce").cast("int").alias("bounce_events"),
+        F.sum("is_bounce").alias("bounce_events"),
         F.avg("scroll_depth_pct").alias("avg_scroll_depth_pct"),
         F.sum("time_on_page_seconds").alias("total_time_on_page_seconds"),
         distinct("page_name").alias("unique_pages_visited"),

@@ -110,9 +110,9 @@ def test_gap_days(spark):
 
 
 def test_histogram_edges(spark):
-    scores = [0.0, 0.049, 0.05, 0.15, 0.29, 0.3, 0.999, 1.0, None, 1.2, -0.01]
+    scores = [0.0, 0.049, 0.05, 0.15, 0.29, 0.3, 0.999, 0.99999, 1.0, None, 1.2, 1e300, -0.01, -1e300]
     bins = series.resolution_histogram(turns(spark, *[{"derived_resolution_score": s} for s in scores]))
-    assert {r.bin: r.turns for r in bins.collect()} == {-1: 1, 0: 2, 1: 1, 3: 1, 5: 1, 6: 1, 19: 2, 24: 1}
+    assert {r.bin: r.turns for r in bins.collect()} == {-1: 2, 0: 2, 1: 1, 3: 1, 5: 1, 6: 1, 19: 3, 20: 2}
 
 
 def test_channel_without_value_is_left_out(spark):
