@@ -45,7 +45,6 @@ DASHBOARD = Selection(
     business_unit="Healthcare", start_date="2024-01-03", end_date="2024-01-17", exact=True
 )
 FULL_WEEKS = Selection(end_date="2024-01-28")
-TURN_TIME = "created_at"
 
 _QUERIES: dict[str, Query] = {}
 
@@ -523,9 +522,9 @@ def g4_distinct_rows(spark, sf):
 # --- data quality ------------------------------------------------------------------------------
 
 
-def _checks_of(*names: str) -> Query:
+def _chatbot_checks(checks: Callable, *names: str) -> Query:
     def run(spark, sf):
-        report = quality.quality_report(_turns(spark, sf), quality.CHATBOT_RULES)
+        report = checks(_turns(spark, sf), quality.CHATBOT_RULES)
         return report.filter(F.col("check").isin(*names))
 
     return run
@@ -538,7 +537,7 @@ def j1_schema_check(spark, sf):
     return report.filter(F.col("check").isin("schema", "not_empty"))
 
 
-_QUERIES["j2_null_share"] = _checks_of("nulls", "not_empty")
+_QUERIES["j2_null_share"] = _chatbot_checks(quality.row_checks, "nulls", "not_empty")
 
 
 @_query
@@ -553,7 +552,7 @@ def j4_mean_confidence(spark, sf):
     return report.filter(F.col("check") == "mean_confidence")
 
 
-_QUERIES["j5_duplicate_rows"] = _checks_of("duplicate_rows")
+_QUERIES["j5_duplicate_rows"] = _chatbot_checks(quality.duplicate_checks, "duplicate_rows")
 
 
 @_query
@@ -565,7 +564,7 @@ def j6_duplicate_keys(spark, sf):
     return report.filter(F.col("check") == "duplicate_keys")
 
 
-_QUERIES["j7_unexpected_categories"] = _checks_of("category")
+_QUERIES["j7_unexpected_categories"] = _chatbot_checks(quality.row_checks, "category")
 
 
 @_query
