@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.operators.annotate import ScorerFactory, annotate, not_yet_annotated
+from parley.operators.joins import spread_join
 from parley.operators.quality import all_sources_report, enforce
 from parley.operators.unify import unify
 from parley.sources.readers import load_sources, read_unified, sample_rows
@@ -59,7 +60,8 @@ def annotate_job(
 ) -> None:
     """Annotate rows of the unified table and write them as JSON lines.
 
-    ``done_path`` names the output of an earlier run, whose rows are skipped by ``keys``.
+    ``done_path`` names the output of an earlier run, whose rows are skipped by ``keys``. ``limit``
+    counts keys: rows that share one are annotated together, so that a later run misses none.
     ``concurrency`` sets how many scorers run at a time; 0 leaves that to the input's partitions.
     """
     keys = keys or ["contact_id", "session_id", "created_at"]
@@ -68,5 +70,7 @@ def annotate_job(
         # naming the key fields spares a pass over the finished rows to infer all of theirs
         key_fields = T.StructType([rows.schema[key] for key in keys])
         rows = not_yet_annotated(rows, spark.read.schema(key_fields).json(done_path), keys)
-    rows = sample_rows(rows, limit, keys)
+    if limit:
+        chosen = sample_rows(rows.select(*keys).distinct(), limit, keys)
+        rows = spread_join(rows, chosen, keys, "left_semi")
     write_json_lines(annotate(rows, scorer_factory, concurrency, share_replies), out)

@@ -114,17 +114,17 @@ def test_gate_stops_on_failure(spark, tmp_path):
 
 def test_unify_and_annotate_jobs(spark, tmp_path):
     bad = {"contact_id": None}
-    _write(spark, tmp_path, [{}, {"session_id": "s2"}, {"session_id": "s3", "thumbs_down": 1}, bad])
+    _write(spark, tmp_path, [{}, {}, {"session_id": "s2"}, {"session_id": "s3", "thumbs_down": 1}, bad])
     unified, rows = unify_job(spark, str(tmp_path), str(tmp_path / "unified"), "2024-02-01T00:00:00")
-    assert unified.count() == 3 and unified.first().month == "01"
+    assert unified.count() == 4 and unified.first().month == "01"
     assert rows == {
-        "chatbot_interactions": 4, "clickstream_events": 1, "conversation_metadata": 1,
-        "unified_interactions": 3,
+        "chatbot_interactions": 5, "clickstream_events": 1, "conversation_metadata": 1,
+        "unified_interactions": 4,
     }
     first, second = str(tmp_path / "first"), str(tmp_path / "second")
     annotate_job(spark, str(tmp_path / "unified"), first, limit=2)
     annotate_job(spark, str(tmp_path / "unified"), second, done_path=first, concurrency=2)
-    assert spark.read.json(first).count() == 2
+    assert sorted(r.session_id for r in spark.read.json(first).collect()) == ["s1", "s1", "s2"]
     rest = spark.read.json(second).collect()
     assert [(r.session_id, r.llm_sentiment) for r in rest] == [("s3", "NEGATIVE")]
     # null fields are written
