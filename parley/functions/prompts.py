@@ -83,6 +83,7 @@ def fill_template(text: str, values: dict) -> Column:
 
 _JSON_ONLY = "Reply with one JSON object and nothing around it."
 
+# Keys, versions, variables, output formats, token limits and temperatures.
 TEMPLATES = [
     PromptTemplate(
         key="summarization",
