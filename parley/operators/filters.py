@@ -10,11 +10,16 @@ from pyspark.sql import functions as F
 from parley.sources.readers import PARTITION_COLUMNS
 
 
+# Fixed value: the choice that stands for every unit or channel.
+ANY = "All"
+
+
 @dataclass(frozen=True)
 class Selection:
     """What a report is restricted to; an empty field does not restrict.
 
-    ``exact`` compares unit and channel byte for byte instead of ignoring case.
+    ``exact`` compares unit and channel byte for byte instead of ignoring case, and takes ``"All"``
+    as no restriction.
     ``end_mode`` is ``"day"`` (the whole end day counts) or ``"midnight"`` (it stops at 00:00).
     """
 
@@ -42,7 +47,7 @@ class Selection:
 def by_dimensions(df: DataFrame, selection: Selection) -> DataFrame:
     for name in ("business_unit", "application_channel"):
         wanted = getattr(selection, name)
-        if not wanted:
+        if not wanted or (selection.exact and wanted == ANY):
             continue
         if selection.exact:
             df = df.filter(F.col(name) == wanted)

@@ -69,8 +69,8 @@ def turn_sums(turns: DataFrame, *groups: str | Column) -> DataFrame:
     return turns.groupBy(*groups).agg(
         F.count("*").alias("turns"),
         F.count_if(rated).alias("rated"),
-        F.sum(F.when(rated, F.col("thumbs_up"))).alias("rated_up"),
-        F.sum(F.when(rated, F.col("thumbs_down"))).alias("rated_down"),
+        F.sum(F.when(rated, F.coalesce("thumbs_up", F.lit(0)))).alias("rated_up"),
+        F.sum(F.when(rated, F.coalesce("thumbs_down", F.lit(0)))).alias("rated_down"),
         *_sums_and_counts(_TURN_VALUES),
     )
 
@@ -252,8 +252,8 @@ def thumbs_split(turns: DataFrame) -> DataFrame:
     """Unrounded share of each kind of feedback among rated turns; no rows without any."""
     totals = rated_turns(turns).agg(
         F.count("*").alias("rated"),
-        F.sum("thumbs_up").alias("up"),
-        F.sum("thumbs_down").alias("down"),
+        F.sum(F.coalesce("thumbs_up", F.lit(0))).alias("up"),
+        F.sum(F.coalesce("thumbs_down", F.lit(0))).alias("down"),
     )
 
     def row(label: str, column: str) -> Column:

@@ -34,6 +34,8 @@ def test_dimension_filter_case(spark):
     rows = turns(spark, {}, {"business_unit": "RETAIL"}, {"business_unit": None})
     assert by_dimensions(rows, Selection(business_unit="retail")).count() == 2
     assert by_dimensions(rows, Selection(business_unit="Retail", exact=True)).count() == 1
+    assert by_dimensions(rows, Selection(business_unit="All", application_channel="All", exact=True)).count() == 3
+    assert by_dimensions(rows, Selection(business_unit="All")).count() == 0
 
 
 def test_filter_options(spark):
@@ -56,6 +58,13 @@ def test_feedback_is_share_of_rated(spark):
     assert (row.thumbs_up_rate, row.thumbs_down_rate, row.feedback_volume) == (66.67, 33.33, 3)
 
 
+def test_missing_thumbs_count_as_zero(spark):
+    rows = turns(spark, {"thumbs_up": None, "thumbs_down": 1}, {"thumbs_up": None, "thumbs_down": None})
+    row = kpis.feedback_kpis(rows).first()
+    assert (row.thumbs_up_rate, row.thumbs_down_rate, row.feedback_volume) == (0.0, 100.0, 1)
+    assert {r.feedback: r.percent for r in kpis.thumbs_split(rows).collect()} == {"Thumbs Up": 0.0, "Thumbs Down": 100.0}
+
+
 def test_unanswered_surveys(spark):
     row = kpis.csat_kpis(sessions(spark, {"csat_score": None})).first()
     assert (row.avg_csat_score, row.csat_response_rate) == (None, 0.0)

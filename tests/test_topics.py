@@ -6,7 +6,7 @@ import pytest
 
 from parley.operators import reports, series, topics
 from parley.operators.filters import Selection
-from tests.helpers import sessions, turns
+from tests.helpers import plan_of, sessions, turns
 
 
 def _volume(topic, day, n):
@@ -41,6 +41,14 @@ def test_trend_across_new_year(spark):
     assert (row.previous_volume, row.current_volume, row.wow_trend) == (4, 9, "TRENDING_UP")
 
 
+def test_trend_shuffles_the_counts_once(spark):
+    rows = turns(spark, *_volume("a", "2024-01-03", 4), *_volume("b", "2024-01-10", 9)).repartition(3)
+    trend = topics.weekly_trend(rows)
+    trend.collect()
+    plan = plan_of(trend).split("Initial Plan")[0]
+    assert "ReusedExchange" in plan
+
+
 def test_one_week_is_unknown(spark):
     rows = turns(spark, *_volume("a", "2024-01-10", 4), *_volume("b", "never", 2))
     assert _labels(topics.weekly_trend(rows)) == {"a": "UNKNOWN", "b": "UNKNOWN"}
