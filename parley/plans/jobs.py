@@ -53,24 +53,45 @@ def annotate_job(
     out: str,
     scorer_factory: ScorerFactory | None = None,
     limit: int = 0,
-    done_path: str | None = None,
+    done_paths: list[str] | None = None,
     keys: list[str] | None = None,
     concurrency: int = 0,
     share_replies: bool = False,
 ) -> None:
     """Annotate rows of the unified table and write them as JSON lines.
 
-    ``done_path`` names the output of an earlier run, whose rows are skipped by ``keys``. ``limit``
-    counts keys: rows that share one are annotated together, so that a later run misses none.
+    ``done_paths`` are the outputs of earlier runs, whose rows are skipped by ``keys``; ``out`` has to
+    be another folder. ``limit`` counts keys: rows that share one are annotated together, so that a
+    later run misses none.
     ``concurrency`` sets how many scorers run at a time; 0 leaves that to the input's partitions.
     """
     keys = keys or ["contact_id", "session_id", "created_at"]
     rows = read_unified(spark, unified_path)
-    if done_path:
+    if done_paths:
+        if out in done_paths:
+            raise ValueError(f"{out} holds finished rows and would be overwritten")
         # naming the key fields spares a pass over the finished rows to infer all of theirs
         key_fields = T.StructType([rows.schema[key] for key in keys])
-        rows = not_yet_annotated(rows, spark.read.schema(key_fields).json(done_path), keys)
+        rows = not_yet_annotated(rows, spark.read.schema(key_fields).json(done_paths), keys)
     if limit:
         chosen = sample_rows(rows.select(*keys).distinct(), limit, keys)
         rows = spread_join(rows, chosen, keys, "left_semi")
     write_json_lines(annotate(rows, scorer_factory, concurrency, share_replies), out)
+
+
+def daily_job(
+    spark: SparkSession,
+    base: str,
+    out: str,
+    run_ts: str,
+    scorer_factory: ScorerFactory | None = None,
+    **annotation,
+) -> dict[str, int]:
+    """Check, unify and annotate in this order; a failed check stops the rest.
+
+    Returns the rows loaded and written. ``annotation`` goes to ``annotate_job``.
+    """
+    quality_job(spark, base, f"{out}/quality")
+    _, rows = unify_job(spark, base, f"{out}/unified", run_ts)
+    annotate_job(spark, f"{out}/unified", f"{out}/annotated", scorer_factory, **annotation)
+    return rows

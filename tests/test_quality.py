@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from parley.operators import quality
 from parley.operators.filters import Selection
 from parley.plans.dashboard import dashboard_job
-from parley.plans.jobs import annotate_job, quality_job, unify_job
+from parley.plans.jobs import annotate_job, daily_job, quality_job, unify_job
 from parley.sources import writers
 from tests.helpers import clicks, sessions, turns
 
@@ -112,6 +112,21 @@ def test_gate_stops_on_failure(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "report")).filter("status = 'FAIL'").count() == 1
 
 
+def test_daily_job(spark, tmp_path):
+    _write(spark, tmp_path, [{}, {"session_id": "s2", "escalated_to_agent": 1}])
+    rows = daily_job(spark, str(tmp_path), str(tmp_path / "out"), "2024-02-01T00:00:00", share_replies=True)
+    assert rows["unified_interactions"] == 2
+    done = spark.read.json(str(tmp_path / "out" / "annotated")).collect()
+    assert {(r.session_id, r.llm_outcome) for r in done} == {("s1", "RESOLVED"), ("s2", "ESCALATED")}
+
+
+def test_daily_job_stops_at_the_gate(spark, tmp_path):
+    _write(spark, tmp_path, [{"handle_seconds_dur": -5}])
+    with pytest.raises(quality.QualityGateError):
+        daily_job(spark, str(tmp_path), str(tmp_path / "out"), "2024-02-01T00:00:00")
+    assert not (tmp_path / "out" / "unified").exists()
+
+
 def test_unify_and_annotate_jobs(spark, tmp_path):
     bad = {"contact_id": None}
     _write(spark, tmp_path, [{}, {}, {"session_id": "s2"}, {"session_id": "s3", "thumbs_down": 1}, bad])
@@ -123,10 +138,15 @@ def test_unify_and_annotate_jobs(spark, tmp_path):
     }
     first, second = str(tmp_path / "first"), str(tmp_path / "second")
     annotate_job(spark, str(tmp_path / "unified"), first, limit=2)
-    annotate_job(spark, str(tmp_path / "unified"), second, done_path=first, concurrency=2)
+    annotate_job(spark, str(tmp_path / "unified"), second, done_paths=[first], concurrency=2)
     assert sorted(r.session_id for r in spark.read.json(first).collect()) == ["s1", "s1", "s2"]
     rest = spark.read.json(second).collect()
     assert [(r.session_id, r.llm_sentiment) for r in rest] == [("s3", "NEGATIVE")]
+    third = str(tmp_path / "third")
+    annotate_job(spark, str(tmp_path / "unified"), third, done_paths=[first, second])
+    assert spark.read.text(third).count() == 0
+    with pytest.raises(ValueError):
+        annotate_job(spark, str(tmp_path / "unified"), first, done_paths=[first])
     # null fields are written
     assert '"llm_processing_error":null' in spark.read.text(second).first().value
 
