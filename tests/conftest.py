@@ -9,10 +9,10 @@ SF = "/root/testdata/sf0.001"
 
 
 def build() -> SparkSession:
-    SparkSession.builder.master("local[8]")
     spark = build_session(
         "tests",
         **{
+            "spark.master": "local[8]",
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
