@@ -85,25 +85,33 @@ def with_transcript(df: DataFrame) -> DataFrame:
     return df.withColumn("transcript", transcript(df))
 
 
-def _requests() -> dict[str, tuple[PromptTemplate, dict, str]]:
-    """Per task: template, constant variables, and the variable that takes the transcript."""
+Templates = dict[str, PromptTemplate]
+
+
+def _requests(own: Templates | None) -> dict[str, tuple[PromptTemplate, dict, str]]:
+    """Per task: template, constant variables, and the variable that takes the transcript.
+
+    ``own`` replaces templates by task: summary, sentiment or topic.
+    """
+    templates = {
+        "summary": get_template("summarization", 2),
+        "sentiment": get_template("sentiment", 1),
+        "topic": get_template("topic_classification", 1),
+        **(own or {}),
+    }
     return {
-        "summary": (
-            get_template("summarization", 2), {"max_words": MAX_SUMMARY_WORDS}, "transcript"
-        ),
-        "sentiment": (get_template("sentiment", 1), {}, "conversation"),
-        "topic": (
-            get_template("topic_classification", 1), {"topic_list": TOPIC_LIST}, "conversation"
-        ),
+        "summary": (templates["summary"], {"max_words": MAX_SUMMARY_WORDS}, "transcript"),
+        "sentiment": (templates["sentiment"], {}, "conversation"),
+        "topic": (templates["topic"], {"topic_list": TOPIC_LIST}, "conversation"),
     }
 
 
-def with_messages(df: DataFrame) -> DataFrame:
+def with_messages(df: DataFrame, templates: Templates | None = None) -> DataFrame:
     """Add the chat messages of every task, rendered from ``transcript``."""
     return df.withColumns(
         {
             f"{task}_messages": template.messages(**constants, **{slot: F.col("transcript")})
-            for task, (template, constants, slot) in _requests().items()
+            for task, (template, constants, slot) in _requests(templates).items()
         }
     )
 
@@ -113,7 +121,9 @@ _REPLY_SCHEMA = T.StructType(
 )
 
 
-def ask_model(scorer_factory: ScorerFactory) -> Callable[[Column], Column]:
+def ask_model(
+    scorer_factory: ScorerFactory, templates: Templates | None = None
+) -> Callable[[Column], Column]:
     """Column function from transcript to the raw reply of every task.
 
     Only the transcript travels to Python; the fixed prompt text is filled in there. A call that
@@ -124,7 +134,7 @@ def ask_model(scorer_factory: ScorerFactory) -> Callable[[Column], Column]:
     prepared = [
         (task, template.key, template.max_tokens, template.temperature,
          template.render_text(**constants, **{slot: "${transcript}"}))
-        for task, (template, constants, slot) in _requests().items()
+        for task, (template, constants, slot) in _requests(templates).items()
     ]
 
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -185,6 +195,7 @@ def annotate(
     scorer_factory: ScorerFactory | None = None,
     concurrency: int = 0,
     share_replies: bool = False,
+    templates: Templates | None = None,
 ) -> DataFrame:
     """Every input row with its ``llm_*`` columns.
 
@@ -192,12 +203,13 @@ def annotate(
     leaves them where they are. ``share_replies`` asks once per distinct transcript and gives rows
     with the same transcript the same reply. Transcripts name a channel, a response type, a score
     of two decimals, a number of turns and two outcomes, so there are far fewer of them than rows.
+    ``templates`` replaces the prompts of the summary, sentiment or topic task.
     """
     told = df.withColumn("__transcript", transcript(df))
     requests = told.select("__transcript").distinct() if share_replies else told
     if concurrency:
         requests = requests.repartition(concurrency)
-    ask = ask_model(scorer_factory or offline_scorer())
+    ask = ask_model(scorer_factory or offline_scorer(), templates)
     asked = requests.withColumn("__reply", ask(F.col("__transcript")))
     if share_replies:
         asked = spread_join(told, asked, ["__transcript"], "left")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.operators.annotate import ScorerFactory, annotate, not_yet_annotated
+from parley.operators.annotate import ScorerFactory, Templates, annotate, not_yet_annotated
 from parley.operators.joins import spread_join
 from parley.operators.quality import all_sources_report, enforce
 from parley.operators.unify import unify
@@ -57,6 +57,7 @@ def annotate_job(
     keys: list[str] | None = None,
     concurrency: int = 0,
     share_replies: bool = False,
+    templates: Templates | None = None,
 ) -> None:
     """Annotate rows of the unified table and write them as JSON lines.
 
@@ -76,7 +77,8 @@ def annotate_job(
     if limit:
         chosen = sample_rows(rows.select(*keys).distinct(), limit, keys)
         rows = spread_join(rows, chosen, keys, "left_semi")
-    write_json_lines(annotate(rows, scorer_factory, concurrency, share_replies), out)
+    annotated = annotate(rows, scorer_factory, concurrency, share_replies, templates)
+    write_json_lines(annotated, out)
 
 
 def daily_job(

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from parley.functions.prompts import TEMPLATES, get_template
+from parley.functions.prompts import TEMPLATES, PromptTemplate, get_template
 from parley.operators import annotate, cost, logs
 from parley.operators.reports import insight_messages
 from tests.helpers import sessions, texts, turns
@@ -133,6 +133,17 @@ def test_one_scorer_per_task_and_one_call_per_request(spark):
     assert calls.value == 60 and made.value == 2
 
 
+def test_own_template(spark):
+    def factory():
+        return lambda key, messages, max_tokens, temperature: '{"summary": "%s %d"}' % (
+            messages[1]["content"][:4], max_tokens
+        )
+
+    own = PromptTemplate("summarization", 3, "sys", "MINE ${transcript}", "json", 7, 0.0)
+    row = annotate.annotate(turns(spark, {}), factory, templates={"summary": own}).first()
+    assert row.llm_summary == "MINE 7"
+
+
 def test_shared_replies_ask_once_per_transcript(spark):
     calls = spark.sparkContext.accumulator(0)
 
