@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import chat, mixing, quality_rules, shards
-from parley.llm.common import n_bytes, table
+from parley.llm import bpe, chat, mixing, neighbours, quality_rules, shards, token_counts
+from parley.llm.common import n_bytes, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,3 +63,35 @@ def op9_quality_rules(spark, sf):
         "base_failed",
         "kept",
     )
+
+
+@_query
+def op4_byte_bpe(spark, sf):
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, path, pattern).drop("text")
+    decoded = bpe.decode(encoded, path, pattern)
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@_query
+def op7_nearest_vectors(spark, sf):
+    vectors = written(neighbours.usable(table(spark, sf, "embeddings")), "vectors")
+    return neighbours.nearest(vectors, vectors.where("id % 100 = 0"), k=10)
+
+
+@_query
+def op8_token_counts(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select(
+        "doc_id",
+        n_bytes(F.col("text")).alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > 2048).alias("over_limit"),
+    )
