@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, chat, mixing, neighbours, quality_rules, shards, token_counts
+from parley.llm import (
+    bpe,
+    chat,
+    lz_dedup,
+    mixing,
+    neighbours,
+    quality_rules,
+    shards,
+    suffix_dedup,
+    token_counts,
+)
 from parley.llm.common import n_bytes, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +105,26 @@ def op8_token_counts(spark, sf):
         "n_tokens",
         (F.col("n_tokens") > 2048).alias("over_limit"),
     )
+
+
+@_query
+def op5_suffix_dedup(spark, sf):
+    left = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+    return left.select(
+        "doc_id",
+        F.col("bytes").alias("n_bytes"),
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@_query
+def op10_lz_dedup(spark, sf):
+    left = lz_dedup.remove_repeats(table(spark, sf, "documents"))
+    return left.select(
+        "doc_id",
+        F.col("n_tokens").alias("n_words"),
+        "n_removed",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
