@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from parley.llm import (
     bpe,
     chat,
+    jaccard,
     lz_dedup,
     mixing,
     neighbours,
@@ -128,3 +129,9 @@ def op10_lz_dedup(spark, sf):
         "n_removed",
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@_query
+def op6_jaccard_components(spark, sf):
+    found = jaccard.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
