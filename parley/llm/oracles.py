@@ -1,7 +1,235 @@
-"""DuckDB SQL of the queries in this package that SQL can express over whole tables."""
+"""DuckDB SQL of the queries in this package that SQL can express over whole tables.
+
+Left out are the shards (their order comes from a seeded generator) and the tokenizers.
+"""
 
 from __future__ import annotations
 
+import string
+
+from parley.llm import mixing, quality_rules
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+CHAT = r"""
+WITH speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM conversations WHERE role <> 'system'),
+heads AS (
+  SELECT c.conv_id, s.perspective, c.turn, c.role, coalesce(c.role = s.perspective, FALSE) AS is_target,
+    CASE WHEN c.role = 'system' THEN '<|system|>'
+         WHEN c.role = s.perspective THEN '<|assistant|>'
+         ELSE '<|user' || coalesce(' name=' || replace(c.role, '<|', '< |'), '') || '|>' END AS head,
+    replace(coalesce(c.text, ''), '<|', '< |') || '<|end|>' || chr(10) AS body
+  FROM conversations c JOIN speakers s ON c.conv_id IS NOT DISTINCT FROM s.conv_id),
+placed AS (
+  SELECT *, head || body AS rendered,
+    CAST(sum(length(head || body)) OVER (PARTITION BY conv_id, perspective
+      ORDER BY turn NULLS LAST, coalesce(role, ''), head || body
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS char_end
+  FROM heads)
+SELECT conv_id, perspective, turn, role, rendered, char_end - length(rendered) AS char_start, char_end,
+  is_target, CASE WHEN is_target THEN char_end - length(body) END AS mask_start,
+  CASE WHEN is_target THEN char_end END AS mask_end
+FROM placed
+"""
+
+MIX = rf"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size, md5('7|' || doc_id) AS k FROM documents),
+s1 AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    row_number() OVER (ORDER BY source NULLS LAST) AS source_no
+  FROM sized GROUP BY source),
+s2 AS (SELECT *, (source_no - 1) % 3 + 1 AS weight, source_size * {mixing.REPEATS} AS cap FROM s1),
+s3 AS (
+  SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source_no
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+    / CAST(sum(weight) OVER (ORDER BY cap / weight, source_no
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+  FROM s2),
+chosen AS (SELECT level FROM s3 WHERE level * weight <= cap ORDER BY cap / weight, source_no LIMIT 1),
+s4 AS (
+  SELECT s3.* EXCLUDE (level), least(CAST(cap AS DOUBLE), chosen.level * CAST(weight AS DOUBLE)) AS target
+  FROM s3, chosen),
+plan AS (
+  SELECT greatest(1, least({mixing.LARGEST_BLOCK}, CAST(sum(size) AS BIGINT) // {mixing.SLOTS})) AS block FROM sized),
+s5 AS (
+  SELECT s4.*, greatest((source_size + block - 1) // block, least(source_size, {mixing.LEAST_BLOCKS})) AS blocks FROM s4, plan),
+s6 AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target * blocks / source_size ELSE 0.0::DOUBLE END AS due FROM s5),
+s7 AS (
+  SELECT *, least(CAST(floor(due + 0.5) AS BIGINT), blocks * {mixing.REPEATS}) AS quota FROM s6),
+s8 AS (
+  SELECT *, CASE WHEN quota > 0 THEN greatest(1, CAST(floor(due * (1073741824.0::DOUBLE
+      / CAST(sum(quota + 1) OVER () AS DOUBLE))) AS BIGINT)) ELSE 0 END AS arc FROM s7),
+s9 AS (
+  SELECT *, CAST(sum(arc) OVER (ORDER BY source_no) AS BIGINT) AS hi, CAST(sum(arc) OVER () AS BIGINT) AS circle,
+    source_size // nullif(blocks, 0) AS q, source_size % nullif(blocks, 0) AS r FROM s8),
+points AS (
+  SELECT i, CAST(((i * {mixing.STEP}) % {mixing.CIRCLE})::HUGEINT * (SELECT max(circle) FROM s9) // {mixing.CIRCLE} AS BIGINT) AS place
+  FROM range(4 * (SELECT CAST(sum(quota) AS BIGINT) FROM s9) + 64) t(i)),
+ranked AS (
+  SELECT source_no, blocks, quota, row_number() OVER (PARTITION BY source_no ORDER BY i) - 1 AS rank
+  FROM points JOIN s9 ON place >= hi - arc AND place < hi),
+times AS (
+  SELECT source_no, rank % blocks AS block, count(*) AS times FROM ranked WHERE rank < quota GROUP BY ALL),
+placed AS (
+  SELECT d.*, s.source_no, s.source_size, s.target, s.q, s.r,
+    CAST(coalesce(sum(size) OVER (PARTITION BY s.source_no ORDER BY substr(k, 1, 3), k, doc_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS a
+  FROM sized d JOIN s9 s ON d.source IS NOT DISTINCT FROM s.source),
+bounds AS (
+  SELECT t.source_no, t.times, t.block * q + least(t.block, r) AS lo, (t.block + 1) * q + least(t.block + 1, r) AS up
+  FROM times t JOIN s9 USING (source_no)),
+part AS (
+  SELECT p.doc_id, sum((least(p.a + p.size, b.up) - greatest(p.a, b.lo)) * b.times) AS taken
+  FROM placed p JOIN bounds b ON p.source_no = b.source_no AND b.lo < p.a + p.size AND b.up > p.a
+  GROUP BY p.doc_id)
+SELECT placed.doc_id, source, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
+FROM placed LEFT JOIN part USING (doc_id)
+"""
+
+BYTE_REPEATS = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS (SELECT *, CAST(length(h) // 2 AS BIGINT) AS size FROM d),
+w AS (
+  SELECT doc_id, i, md5_number(substr(h, CAST(2 * i + 1 AS BIGINT), 200)) AS g
+  FROM (SELECT doc_id, unnest(range(size - 99)) AS i, h FROM n WHERE size >= 100)),
+firsts AS (SELECT g, min(ROW(doc_id, i)) AS f FROM w GROUP BY g HAVING count(*) > 1),
+again AS (SELECT doc_id, i FROM w JOIN firsts USING (g) WHERE ROW(doc_id, i) > f),
+runs AS (
+  SELECT doc_id, i, lag(i) OVER by_doc AS before, lead(i) OVER by_doc AS after
+  FROM again WINDOW by_doc AS (PARTITION BY doc_id ORDER BY i)),
+sums AS (
+  SELECT doc_id, sum(least(100, coalesce(after - i, 100))) AS gone,
+    sum(CASE WHEN before IS NULL OR i - before > 100 THEN 1 ELSE 0 END) AS spans
+  FROM runs GROUP BY doc_id),
+ends AS (
+  SELECT doc_id, i + 100 AS a, after AS b FROM runs WHERE after IS NULL OR after > i + 100
+  UNION ALL SELECT doc_id, 0, min(i) FROM again GROUP BY doc_id),
+left_over AS (
+  SELECT e.doc_id, string_agg(substr(h, CAST(2 * a + 1 AS BIGINT), CAST(2 * (coalesce(b, size) - a) AS BIGINT)), '' ORDER BY a) AS kept
+  FROM ends e JOIN n USING (doc_id) GROUP BY e.doc_id)
+SELECT doc_id, size AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM n LEFT JOIN sums USING (doc_id) LEFT JOIN left_over USING (doc_id)
+"""
+
+WORD_REPEATS = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS first FROM windows) WHERE doc_id > first),
+gone AS (SELECT DISTINCT doc_id, i + k AS at FROM again, range(13) t(k)),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM d),
+left_over AS (
+  SELECT e.doc_id, count(g.at) AS n_removed, string_agg(CASE WHEN g.at IS NULL THEN word END, ' ' ORDER BY e.at) AS kept
+  FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.at = g.at GROUP BY e.doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (doc_id)
+"""
+
+JACCARD = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, {WORDS.replace("coalesce(text, '')", f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')")} AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * k >= 80 * (p.n + q.n - k)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS root FROM d UNION SELECT y, root FROM reached JOIN both_ways ON x = reached.doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(root) FROM reached r WHERE r.doc_id = d.doc_id) AS component_id
+FROM d LEFT JOIN sizes USING (doc_id)
+"""
+
+NEAREST = """
+WITH ok AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM (
+    SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(range(1, len(q.v) + 1), lambda i: (c.v[i] - q.v[i]) * (c.v[i] - q.v[i])),
+        lambda a, b: a + b)) AS score
+    FROM ok q JOIN ok c ON q.vec_id <> c.vec_id AND q.vec_id % 100 = 0 AND len(q.v) = len(c.v)))
+WHERE rank <= 10
+"""
+
+
+def _quality() -> str:
+    r = quality_rules
+    scores = " UNION ALL ".join(
+        f"SELECT doc_id, lang, '{name}' AS rule, CAST({above} AS DOUBLE) / CAST({below} AS DOUBLE) AS score FROM counts"
+        for name, (rule, _) in r.RULES.items()
+        for above, below in [rule.split(" / ")]
+    )
+    cuts = ", ".join(f"('{name}', {k}, {cut!r})" for name, (_, cs) in r.RULES.items() for k, cut in enumerate(cs))
+    rate = r.FALSE_REJECTION / len(r.RULES)
+    return rf"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+lines AS (
+  SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+grams AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+repeats AS (
+  SELECT doc_id, count(DISTINCT i + t.j) AS n FROM grams, range(3) t(j) WHERE k > 1 GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, CAST(len(l) AS BIGINT) AS n_lines
+  FROM d JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+failed AS (
+  SELECT doc_id, n_words < {r.MIN_WORDS} OR 100 * n_repeat_words > {r.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counts),
+scores AS ({scores}),
+good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING max(quality) = 1),
+held AS (
+  SELECT lang, rule, score, s.doc_id FROM scores s JOIN good USING (doc_id) JOIN failed USING (doc_id) WHERE NOT base_failed),
+strata AS (SELECT lang, count(DISTINCT doc_id) AS n FROM held GROUP BY lang),
+cuts(rule, k, cut) AS (VALUES {cuts}),
+rejected AS (
+  SELECT s.lang, s.n, c.rule, c.k, c.cut, (SELECT count(*) FROM held h
+    WHERE h.lang IS NOT DISTINCT FROM s.lang AND h.rule = c.rule AND h.score > c.cut) AS x
+  FROM strata s, cuts c),
+tails AS (
+  SELECT lang, rule, k, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate!r}::DOUBLE)
+    + (n - i) * ln(1 - {rate!r}::DOUBLE))) AS tail
+  FROM (SELECT *, unnest(range(x + 1)) AS i FROM rejected) GROUP BY ALL),
+tests AS (
+  SELECT r.lang, r.rule, r.k, r.cut, x <= n * {rate!r}::DOUBLE
+    AND tail <= {r.ERROR!r}::DOUBLE / ((SELECT count(*) FROM strata) * {len(r.RULES)}) AS ok
+  FROM rejected r JOIN tails t ON r.lang IS NOT DISTINCT FROM t.lang AND r.rule = t.rule AND r.k = t.k),
+certified AS (
+  SELECT lang, rule, arg_max(cut, k) AS cut
+  FROM (SELECT *, min(CAST(ok AS INTEGER)) OVER (PARTITION BY lang, rule ORDER BY k) AS so_far FROM tests)
+  WHERE so_far = 1 GROUP BY lang, rule),
+above AS (
+  SELECT DISTINCT s.doc_id FROM scores s JOIN certified c
+  ON s.lang IS NOT DISTINCT FROM c.lang AND s.rule = c.rule AND s.score > c.cut)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND a.doc_id IS NULL AS kept
+FROM counts c JOIN failed f USING (doc_id) LEFT JOIN above a USING (doc_id)
+"""
+
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op1_chat_perspectives": CHAT,
+        "op3_mixed_sources": MIX,
+        "op5_suffix_dedup": BYTE_REPEATS,
+        "op6_jaccard_components": JACCARD,
+        "op7_nearest_vectors": NEAREST,
+        "op9_quality_rules": _quality(),
+        "op10_lz_dedup": WORD_REPEATS,
+    }
