@@ -54,7 +54,7 @@ def rotate(
         .distinct()
     )
     own = F.col("role") == F.col("perspective")
-    name = F.concat(F.lit(" name="), escaped(F.col("role")))
+    name = F.when(F.col("role").isNotNull(), F.concat(F.lit(" name="), escaped(F.col("role"))))
     header = (
         F.when(F.col("role") == system, F.lit(f"{OPEN}system{CLOSE}"))
         .when(own, F.lit(f"{OPEN}assistant{CLOSE}"))
