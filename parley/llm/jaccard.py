@@ -14,7 +14,6 @@ So every link between two parts is found, and the components are those of all li
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 from itertools import chain
 
 import numpy as np
@@ -33,33 +32,20 @@ PERCENT = 80
 #: each stretch of 2,048 texts hands on the shingles it meets four times. Only speed depends on them.
 OFTEN, MOST_OFTEN, STRETCH, IN_STRETCH = 64, 1 << 17, 2048, 4
 TILE = 1024
-CACHED_WORDS = 500_000
 SLICE_ROWS = 64
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        self[word] = value
-        return value
-
-
-_HASHES = _WordHashes()
-
-
 def shingle_set(text: str) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles: five words in a row, with A-Z in lower case.
 
     A text of fewer words is one shingle, one without words has none.
     """
-    found = text.encode().lower().split()  # lower and split of bytes know ASCII only
+    found = text.encode().lower().split()  # of bytes, both know ASCII only
     if not found:
         return np.zeros(0, np.uint64)
     size = min(SIZE, len(found))
-    hashes = np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
-    return np.unique(windows.gram_hashes(hashes, size) + np.uint64(SIZE - size))
+    grams = windows.gram_hashes(windows.word_hashes(found), size)
+    return np.unique(grams + np.uint64(SIZE - size))
 
 
 def bitmap(own: np.ndarray) -> bytes:
@@ -356,12 +342,13 @@ def open_pairs(tiled: DataFrame, roots: DataFrame, signed: DataFrame) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, digest (of the text), n_shingles and component_id for each row of ``docs``.
+    """doc_id, digest (of the text), n_shingles, component_id and is_first for each row of ``docs``.
 
     Two documents are linked if 100 * intersection >= 80 * union of their shingle sets; ``component_id``
-    is the smallest doc_id that links lead to, the own one included. Null, empty and blank texts have
-    no shingles and no links; equal texts with shingles are linked. A null id comes after all others
-    and is its component's only if it is alone. Repeated rows stay. Other columns are not read.
+    is the smallest doc_id that links lead to, the own one included, and ``is_first`` tells whether the
+    row is that document (or has no shingles). Null, empty and blank texts have no shingles and no
+    links; equal texts with shingles are linked. A null id comes after all others and is its
+    component's only if no other is in it. Repeated rows stay. Other columns are not read.
     """
     known = windows.corpus(docs, doc_id, text)
     signed = written(signatures(known.texts), "shingle-signatures")
@@ -369,10 +356,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     links = written(verified(nearest_heads(tiled), known), "shingle-links")
     more = written(open_pairs(tiled, components(links), signed), "shingle-pairs")
     every = written(links.union(verified(more, known)), "shingle-links")
-    roots = components(every).select("node", "root")
+    roots = components(every)
     sizes = signed.where("doc IS NOT NULL").select(F.struct("doc", "tie").alias("node"), "digest", "n")
     labelled = sizes.join(roots, "node", "left").select(
-        "digest", F.col("n").cast("long").alias("n_shingles"), F.coalesce("root", "node").getField("doc").alias("_root")
+        "digest",
+        F.col("n").cast("long").alias("n_shingles"),
+        F.coalesce("root", "node").getField("doc").alias("_root"),
+        F.coalesce(F.col("root") == F.col("node"), F.lit(True)).alias("_heads"),
+        F.col("node.doc").alias("_first"),
     )
     alone = F.col("n_shingles") == 0
     return known.rows.join(labelled, "digest").select(
@@ -382,4 +373,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.when(alone, F.col("doc_id"))
         .otherwise(F.when(F.col("_root") != windows.LAST_ID, F.col("_root")))
         .alias("component_id"),
+        (alone | (F.col("_heads") & (F.col("doc") == F.col("_first")))).alias("is_first"),
+    )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One document of each group of near duplicates, that with the smallest doc_id, with all columns.
+
+    Documents without words all stay, repeated rows of others count once. ``docs`` needs the columns
+    doc_id and text. Which of rows that differ in other columns alone stays is not defined.
+    """
+    found = near_duplicates(docs).where("is_first")
+    chosen = found.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("n_shingles").alias("_n")).distinct()
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select(
+        "_row", F.col("doc_id").alias("_own"), F.sha2(text, 256).alias("_digest")
+    )
+    rows = keyed.join(chosen, (F.col("_own").eqNullSafe(F.col("_id"))) & (keyed["_digest"] == chosen["_digest"])).select(
+        "_row", "_own", keyed["_digest"], "_n"
+    )
+    copies = Window.partitionBy("_own", "_digest").orderBy(F.lit(1))
+    return (
+        rows.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1 OR _n = 0").select("_row.*")
     )

@@ -9,40 +9,20 @@ is lost where a greedy factor ends and another source would go on.
 
 from __future__ import annotations
 
-import re
-from hashlib import blake2b
-
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from parley.llm import windows
-from parley.llm.common import WORD
 
 LENGTH, GRAM = 13, 5
-CACHED_WORDS = 500_000
-_WORDS = re.compile(WORD)
-
-
-class _WordHashes(dict):
-    """A worker's cache of the 64-bit hashes of words."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little")
-        self[word] = value
-        return value
-
-
-_HASHES = _WordHashes()
-
-
-def word_hashes(text: str) -> tuple[list[str], np.ndarray]:
-    found = _WORDS.findall(text)
-    return found, np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
-
-
-KIND = windows.Tokens(LENGTH, GRAM, word_hashes, lambda found, a, b: " ".join(found[a:b]).encode())
+KIND = windows.Tokens(
+    LENGTH,
+    GRAM,
+    tokens=windows.split_words,
+    hashes=windows.word_hashes,
+    cut=lambda found, a, b: b" ".join(found[a:b]),
+)
 
 
 def _window_numbers(words: np.ndarray, length: int) -> np.ndarray:
@@ -107,8 +87,8 @@ def factors(span: list[bytes], doc: np.ndarray, tie: np.ndarray, start: np.ndarr
     return spans_, firsts, counts
 
 
-def _keep(found: list[str], gone: np.ndarray) -> bytes:
-    return " ".join([w for w, g in zip(found, gone.tolist()) if not g]).encode()
+def _keep(found: list[bytes], gone: np.ndarray) -> bytes:
+    return b" ".join([w for w, g in zip(found, gone.tolist()) if not g]) if gone.any() else b" ".join(found)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -124,3 +104,34 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     known = windows.corpus(docs, doc_id, text)
     repeats = windows.repeated_windows(known, KIND, factors, within=False)
     return windows.per_document(known, windows.cut_texts(known, repeats, KIND, _keep), LENGTH)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` without repeated words, with all columns; documents that lose every word go.
+
+    A text that loses words is left as its kept words, joined by one space, and ``n_chars``, if there
+    is such a column, is its new length; other texts stay as they are. ``docs`` needs the columns doc_id
+    and text.
+    """
+    left = remove_repeats(docs).where("n_removed > 0").select(
+        F.col("doc_id").alias("_id"),
+        F.col("digest").alias("_digest"),
+        F.col("n_tokens").alias("_n"),
+        F.col("n_removed").alias("_gone"),
+        F.decode("kept", "UTF-8").alias("_kept"),
+    )
+    cut = left.dropDuplicates(["_id", "_digest"])
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col("doc_id").alias("_own"),
+        F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("_sha"),
+    )
+    joined = keyed.join(cut, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest")), "left")
+    text = F.coalesce("_kept", F.col("_row.text"))
+    fresh = {"text": text}
+    if "n_chars" in docs.columns:
+        size = F.length("_kept").cast(docs.schema["n_chars"].dataType)
+        fresh["n_chars"] = F.when(F.col("_kept").isNotNull(), size).otherwise(F.col("_row.n_chars"))
+    return joined.where("_gone IS NULL OR _gone < _n").select(
+        *[(fresh[c] if c in fresh else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns]
+    )

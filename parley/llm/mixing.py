@@ -220,7 +220,7 @@ def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
     """The mix as documents: a row for each pass over a document, with all columns of ``docs``.
 
     A document taken whole keeps its text; of one that a source's last block cuts, the words taken are
-    joined by single spaces. Repeated rows are taken as one document of that size and kept apart by
+    joined by single spaces, and ``n_chars``, if there is such a column, is the new length. Repeated rows are taken as one document of that size and kept apart by
     their place. ``docs`` needs the columns doc_id, source and text; rows come in no order.
     """
     plan = mix(docs, seed=seed)
@@ -245,9 +245,11 @@ def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
         & (F.col("l._copy") == F.col("r._copy"))
     )
     cut = F.array_join(F.slice(words(F.col("l.text")), F.col("_from") + 1, F.col("_to") - F.col("_from")), " ")
-    whole = (F.col("_from") == 0) & (F.col("_to") == F.col("size"))
-    columns = [
-        F.when(whole, F.col("l.text")).otherwise(cut).alias("text") if c.lower() == "text" else F.col(f"l.`{c}`")
-        for c in docs.columns
-    ]
-    return left.join(right, on).select(*columns)
+    whole = (F.col("_from") == 0) & (F.col("_to") == F.col("r.size"))
+    fresh = {"text": F.when(whole, F.col("l.text")).otherwise(cut)}
+    if "n_chars" in docs.columns:
+        size = F.length(cut).cast(docs.schema["n_chars"].dataType)
+        fresh["n_chars"] = F.when(whole, F.col("l.n_chars")).otherwise(size)
+    return left.join(right, on).select(
+        *[(fresh[c] if c in fresh else F.col(f"l.`{c}`")).alias(c) for c in docs.columns]
+    )

@@ -94,16 +94,17 @@ def as_runs(span: np.ndarray, place: np.ndarray) -> windows.Found:
     return span[first], place[first], np.diff(np.append(first, len(span)))
 
 
-def _hashes(text: str) -> tuple[bytes, np.ndarray]:
-    data = text.encode()
-    return data, np.frombuffer(data, np.uint8).astype(np.uint64)
-
-
-KIND = windows.Tokens(LENGTH, GRAM, _hashes, lambda data, a, b: data[a:b])
+KIND = windows.Tokens(
+    LENGTH,
+    GRAM,
+    tokens=str.encode,
+    hashes=lambda data: np.frombuffer(data, np.uint8).astype(np.uint64),
+    cut=lambda data, a, b: data[a:b],
+)
 
 
 def _keep(data: bytes, gone: np.ndarray) -> bytes:
-    return np.frombuffer(data, np.uint8)[~gone].tobytes()
+    return np.frombuffer(data, np.uint8)[~gone].tobytes() if gone.any() else data
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -17,12 +17,14 @@ Gram and stretch hashes have 64 bits each, and two stretches count as equal only
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,7 @@ BUCKET_BYTES, MAX_BUCKETS = 16 << 20, 1 << 17
 CHUNK, PLACE_BITS = 1 << 16, 18
 BLOCK_TOKENS = 4 << 20
 SLICE_ROWS = 64
+CACHED_WORDS = 500_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _PLACES = np.uint64((1 << PLACE_BITS) - 1)
@@ -42,12 +45,36 @@ _PLACES = np.uint64((1 << PLACE_BITS) - 1)
 
 @dataclass(frozen=True)
 class Tokens:
-    """How a text is cut: ``hashes`` gives a 64-bit hash per token, ``cut`` the tokens of a stretch as bytes."""
+    """How a text is cut into tokens, a 64-bit hash of each, and the tokens of a stretch as bytes."""
 
     length: int
     gram: int
-    hashes: Callable[[str], tuple[object, np.ndarray]]
-    cut: Callable[[object, int, int], bytes]
+    tokens: Callable[[str], Sequence]
+    hashes: Callable[[Sequence], np.ndarray]
+    cut: Callable[[Sequence, int, int], bytes]
+
+
+class _WordHashes(dict):
+    """A worker's cache of the 64-bit hashes of words."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        value = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        self[word] = value
+        return value
+
+
+_HASHES = _WordHashes()
+
+
+def split_words(text: str) -> list[bytes]:
+    """The words, parted by ASCII white space: the only kind that bytes are split at."""
+    return text.encode().split()
+
+
+def word_hashes(found: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -144,23 +171,48 @@ def corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Corpu
     return Corpus(rows, docs.sparkSession.table(name), buckets)
 
 
-ANCHOR = "h long, s long, doc long, tie int, start int, n int"
+ANCHOR = "h long, s long, doc long, tie int, start int, n int, more array<int>"
+
+
+def first_in_text(h: np.ndarray, s: np.ndarray, start: np.ndarray, n: np.ndarray):
+    """Keeps the first of equal stretches of one text; ``more`` lists the places of the others.
+
+    So a text that goes round in circles is no more rows under one minimizer than others.
+    """
+    count = np.zeros(len(h), np.int64)
+    if len(np.unique(s)) == len(s):
+        return h, s, start, n, count, start[:0]
+    order = np.lexsort((start, s, h))
+    new = np.ones(len(h), bool)
+    new[1:] = (h[order][1:] != h[order][:-1]) | (s[order][1:] != s[order][:-1])
+    first = order[new]
+    count = np.diff(np.append(np.flatnonzero(new), len(h))) - 1
+    return h[first], s[first], start[first], n[first], count, start[order[~new]]
 
 
 def anchor_rows(texts: DataFrame, kind: Tokens) -> DataFrame:
+    """The anchors of each text; of equal stretches in a text, the first with the places of the rest."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
                 docs, ties, found = part.column(0).to_numpy(), part.column(1).to_numpy(), []
                 for i, text in enumerate(part.column(2).to_pylist()):
-                    hashes = kind.hashes(text)[1]
-                    if (rows := anchors(hashes, kind.length, kind.gram)) is not None:
-                        k = len(rows[0])
-                        found.append((rows[0].view(np.int64), rows[1].view(np.int64), np.full(k, docs[i]), np.full(k, ties[i], np.int32), rows[2].astype(np.int32), rows[3].astype(np.int32)))
+                    rows = anchors(kind.hashes(kind.tokens(text)), kind.length, kind.gram)
+                    if rows is not None:
+                        h, s, start, n, count, more = first_in_text(*rows)
+                        found.append((h, s, np.full(len(h), docs[i]), np.full(len(h), ties[i]), start, n, count, more))
                 if found:
+                    h, s, doc, tie, start, n, count, more = (np.concatenate(c) for c in zip(*found))
+                    lists = pa.ListArray.from_arrays(
+                        pa.array(np.append(0, np.cumsum(count)).astype(np.int32)),
+                        pa.array(more.astype(np.int32)),
+                        mask=pa.array(count == 0),
+                    )
+                    columns = (h.view(np.int64), s.view(np.int64), doc, tie, start.astype(np.int32), n.astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(c)) for c in zip(*found)], names=["h", "s", "doc", "tie", "start", "n"]
+                        [*map(pa.array, columns), lists], names=["h", "s", "doc", "tie", "start", "n", "more"]
                     )
 
     return texts.select("doc", "tie", "text").mapInArrow(run, ANCHOR)
@@ -169,32 +221,49 @@ def anchor_rows(texts: DataFrame, kind: Tokens) -> DataFrame:
 def repeats_and_questions(rows: DataFrame, within: bool) -> DataFrame:
     """Anchor rows that matter: repeats (``again``) of an earlier equal stretch, and questions.
 
-    ``within`` tells whether a repeat inside one document counts.
+    ``within`` tells whether a repeat inside one document counts; then the places in ``more`` are
+    repeats in any case.
     """
     by_stretch = Window.partitionBy("h", "s").orderBy("doc", "tie", "start")
     by_gram = Window.partitionBy("h")
     again = F.row_number().over(by_stretch) > 1 if within else F.col("doc") > F.first("doc").over(by_stretch)
-    return (
+    marked = (
         rows.repartition("h")
         .withColumn("again", again)
         .withColumn("varied", F.min("s").over(by_gram) != F.max("s").over(by_gram))
-        .where("again OR varied")
-        .select("h", "doc", "tie", "start", "n", "again")
     )
+    inner = F.col("more").isNotNull() if within else F.lit(False)
+    return marked.where(F.col("again") | F.col("varied") | inner).select(
+        "h", "doc", "tie", "start", "n", "more", "again", "varied"
+    )
+
 
+def repeats(marked: DataFrame, within: bool) -> DataFrame:
+    """The windows of repeats, in all their places."""
+    more = F.coalesce("more", F.array().cast("array<int>"))
+    own = F.when(F.col("again"), F.array("start")).otherwise(F.array().cast("array<int>"))
+    places = F.concat(own, more) if within else F.concat(F.array("start"), more)
+    rows = marked if within else marked.where("again")
+    return rows.select("doc", "tie", F.explode(places).alias("start"), "n")
 
-SPAN = "h long, doc long, tie int, start int, n int, span binary"
 
+def questions(marked: DataFrame, within: bool) -> DataFrame:
+    more = F.lit(None).cast("array<int>") if within else F.col("more")
+    return marked.where("varied AND NOT again").select("h", "doc", "tie", "start", "n", more.alias("more"))
 
-def spans(questions: DataFrame, known: Corpus, kind: Tokens) -> DataFrame:
+
+SPAN = "h long, doc long, tie int, start int, n int, more array<int>, span binary"
+
+
+def spans(asked: DataFrame, known: Corpus, kind: Tokens) -> DataFrame:
     """The text of each question: the stretch that its windows cover."""
     asked = (
-        questions.repartition(known.buckets, "doc", "tie")
+        asked.repartition(known.buckets, "doc", "tie")
         .groupBy("doc", "tie")
-        .agg(F.collect_list(F.struct("h", "start", "n")).alias("asked"))
+        .agg(F.collect_list(F.struct("h", "start", "n", "more")).alias("asked"))
     )
     joined = known.texts.join(asked, ["doc", "tie"]).select(
-        "doc", "tie", "text", *[F.col(f"asked.{c}").alias(c) for c in ("h", "start", "n")]
+        "doc", "tie", "text", *[F.col(f"asked.{c}").alias(c) for c in ("h", "start", "n", "more")]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,15 +271,14 @@ def spans(questions: DataFrame, known: Corpus, kind: Tokens) -> DataFrame:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 rows = []
                 for doc, tie, text, *lists in zip(*[c.to_pylist() for c in batch.slice(at, SLICE_ROWS).columns]):
-                    tokens = kind.hashes(text)[0]
+                    tokens = kind.tokens(text)
                     rows += [
-                        (h, doc, tie, start, n, kind.cut(tokens, start, start + n + kind.length - 1))
-                        for h, start, n in zip(*lists)
+                        (h, doc, tie, start, n, more, kind.cut(tokens, start, start + n + kind.length - 1))
+                        for h, start, n, more in zip(*lists)
                     ]
-                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["h", "doc", "tie", "start", "n", "span"]
-                )
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.binary())
+                names = ["h", "doc", "tie", "start", "n", "more", "span"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     return joined.mapInArrow(run, SPAN)
 
@@ -223,12 +291,21 @@ Search = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray],
 
 def searched(asked: DataFrame, search: Search) -> DataFrame:
     """Runs ``search`` over blocks of spans, the spans of one minimizer always in one block."""
-    names = ["h", "doc", "tie", "start", "n", "span"]
-
     def block(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         whole = pa.Table.from_batches(rows)
-        doc, tie, start, n = (whole[c].to_numpy() for c in names[1:5])
+        doc, tie, start, n = (whole[c].to_numpy() for c in ("doc", "tie", "start", "n"))
         span, first, count = search(whole["span"].to_pylist(), doc, tie, start, n)
+        # What holds for a stretch holds in all its places.
+        more = whole["more"].combine_chunks()
+        times = np.nan_to_num(pc.list_value_length(more).to_numpy(zero_copy_only=False)).astype(np.int64)
+        if times.any():
+            flat, ends = more.flatten().to_numpy(), np.cumsum(times)
+            again = np.repeat(np.arange(len(span)), times[span])
+            turn = np.arange(len(again)) - np.repeat(np.cumsum(times[span]) - times[span], times[span])
+            places = flat[(ends - times)[span[again]] + turn]
+            shift = np.concatenate((np.zeros(len(span), np.int64), places - start[span[again]]))
+            span, first, count = (np.concatenate((x, x[again])) for x in (span, first, count))
+            first = first + shift
         return pa.RecordBatch.from_arrays(
             [pa.array(doc[span]), pa.array(tie[span]), pa.array((start[span] + first).astype(np.int32)), pa.array(count.astype(np.int32))],
             names=["doc", "tie", "start", "n"],
@@ -247,7 +324,7 @@ def searched(asked: DataFrame, search: Search) -> DataFrame:
                     yield block([*held, batch.slice(0, stop)])
                     held, size, batch = [], 0, batch.slice(stop)
             held.append(batch)
-            size += batch.column(5).nbytes
+            size += batch.column(6).nbytes
         if held:
             yield block(held)
 
@@ -257,8 +334,8 @@ def searched(asked: DataFrame, search: Search) -> DataFrame:
 def repeated_windows(known: Corpus, kind: Tokens, search: Search, within: bool) -> DataFrame:
     """Per text (doc, tie) the lists ``start`` and ``n`` of windows that occur before."""
     marked = written(repeats_and_questions(anchor_rows(known.texts, kind), within), "window-anchors")
-    found = searched(spans(marked.where("NOT again"), known, kind), search)
-    every = marked.where("again").select("doc", "tie", "start", "n").union(found)
+    found = searched(spans(questions(marked, within), known, kind), search)
+    every = repeats(marked, within).union(found)
     return (
         every.repartition(known.buckets, "doc", "tie")
         .groupBy("doc", "tie")
@@ -280,7 +357,7 @@ def covered(size: int, length: int, starts, counts) -> np.ndarray:
 RESULT = "digest string, first long, n_tokens long, n_removed long, n_spans long, kept binary, spans array<struct<begin:long,end:long>>"
 
 
-def cut_texts(known: Corpus, repeats: DataFrame, kind: Tokens, keep: Callable[[object, np.ndarray], bytes]) -> DataFrame:
+def cut_texts(known: Corpus, repeats: DataFrame, kind: Tokens, keep: Callable[[Sequence, np.ndarray], bytes]) -> DataFrame:
     """Per text what is left of it: counts, removed spans (in tokens) and the kept bytes."""
     joined = known.texts.join(repeats, ["doc", "tie"], "left").select("digest", "doc", "text", "start", "n")
 
@@ -289,8 +366,8 @@ def cut_texts(known: Corpus, repeats: DataFrame, kind: Tokens, keep: Callable[[o
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 rows = []
                 for digest, doc, text, start, n in zip(*[c.to_pylist() for c in batch.slice(at, SLICE_ROWS).columns]):
-                    tokens, hashes = kind.hashes(text)
-                    gone = covered(len(hashes), kind.length, start, n)
+                    tokens = kind.tokens(text)
+                    gone = covered(len(tokens), kind.length, start, n)
                     edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0)).tolist()
                     runs = [{"begin": a, "end": b} for a, b in zip(edges[::2], edges[1::2])]
                     rows.append((digest, doc, len(gone), int(gone.sum()), len(runs), keep(tokens, gone), runs))
