@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import n_bytes, without
 
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: Beyond this many buckets they get larger, so that the broadcast table of their offsets stays small.
 MAX_BUCKETS = 1 << 19
 ROW_BYTES = 16
@@ -50,7 +50,7 @@ def shuffle_into_shards(
         F.sum("_n").over(everything).alias("_rows"),
     )
     shuffled = (
-        dealt.repartition(buckets, "_bucket")
+        dealt.repartitionById(buckets, F.col("_bucket"))
         .groupBy("_bucket")
         .agg(F.sort_array(F.collect_list("_row")).alias("_list"))
         .join(F.broadcast(offsets), "_bucket")
