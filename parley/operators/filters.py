@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +15,24 @@ from parley.sources.readers import PARTITION_COLUMNS
 # Fixed value: the choice that stands for every unit or channel.
 ANY = "All"
 
+_DATE = re.compile(r"\s*(\d{4})(?:-(\d{1,2})(?:-(\d{1,2})(?:[T ](.*\S))?)?)?\s*", re.ASCII)
+
+
+def parse_bound(text: str) -> dt.datetime:
+    """The moment that a date text names: ``2024``, ``2024-1``, ``2024-01-05`` or with a time of day.
+
+    A missing month or day is the first. Anything else is refused, as is a time zone.
+    """
+    found = _DATE.fullmatch(text)
+    if not found:
+        raise ValueError(f"not a date: {text!r}")
+    year, month, day, clock = found.groups()
+    date = dt.date(int(year), int(month or 1), int(day or 1))
+    time = dt.time.fromisoformat(clock) if clock else dt.time()
+    if time.tzinfo is not None:
+        raise ValueError(f"a date bound has no time zone: {text!r}")
+    return dt.datetime.combine(date, time)
+
 
 @dataclass(frozen=True)
 class Selection:
@@ -20,7 +40,8 @@ class Selection:
 
     ``exact`` compares unit and channel byte for byte instead of ignoring case, and takes ``"All"``
     as no restriction.
-    ``end_mode`` is ``"day"`` (the whole end day counts) or ``"midnight"`` (it stops at 00:00).
+    ``end_mode`` is ``"day"`` (the whole end day counts) or ``"midnight"`` (it stops at 00:00, or at
+    the time of day given). Dates are parsed once, here, so their spelling does not matter.
     """
 
     business_unit: str | None = None
@@ -33,6 +54,15 @@ class Selection:
     def __post_init__(self) -> None:
         if self.end_mode not in ("day", "midnight"):
             raise ValueError(f"end_mode must be 'day' or 'midnight', not {self.end_mode!r}")
+        _ = self.start, self.end
+
+    @property
+    def start(self) -> dt.datetime | None:
+        return parse_bound(self.start_date) if self.start_date else None
+
+    @property
+    def end(self) -> dt.datetime | None:
+        return parse_bound(self.end_date) if self.end_date else None
 
     def echo(self) -> dict[str, str]:
         """The restriction as shown in a report."""
@@ -58,13 +88,14 @@ def by_dimensions(df: DataFrame, selection: Selection) -> DataFrame:
 
 def by_time(df: DataFrame, ts: Column, selection: Selection) -> DataFrame:
     """Keep rows whose time lies in the range; unknown times fail any bound."""
-    if selection.start_date:
-        df = df.filter(ts >= F.lit(selection.start_date).cast("timestamp_ntz"))
-    if selection.end_date:
+    start, end = selection.start, selection.end
+    if start:
+        df = df.filter(ts >= F.lit(start.isoformat()).cast("timestamp_ntz"))
+    if end:
         if selection.end_mode == "midnight":
-            df = df.filter(ts <= F.lit(selection.end_date).cast("timestamp_ntz"))
+            df = df.filter(ts <= F.lit(end.isoformat()).cast("timestamp_ntz"))
         else:
-            after = F.date_add(F.lit(selection.end_date).cast("date"), 1).cast("timestamp_ntz")
+            after = F.date_add(F.lit(end.date().isoformat()).cast("date"), 1).cast("timestamp_ntz")
             df = df.filter(ts < after)
     if set(PARTITION_COLUMNS) <= set(df.columns):
         df = _prune_days(df, selection)
@@ -72,12 +103,15 @@ def by_time(df: DataFrame, ts: Column, selection: Selection) -> DataFrame:
 
 
 def _prune_days(df: DataFrame, selection: Selection) -> DataFrame:
-    """Repeat the range on the partition columns, so that other days are never listed or read."""
+    """Repeat the range on the partition columns, so that other days are never listed or read.
+
+    The days compared are those of the parsed bounds, in the padded spelling of the partitions.
+    """
     day = F.concat_ws("-", *PARTITION_COLUMNS)
-    if selection.start_date:
-        df = df.filter(day >= selection.start_date[:10])
-    if selection.end_date:
-        df = df.filter(day <= selection.end_date[:10])
+    if selection.start:
+        df = df.filter(day >= selection.start.date().isoformat())
+    if selection.end:
+        df = df.filter(day <= selection.end.date().isoformat())
     return df
 
 

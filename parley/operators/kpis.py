@@ -7,6 +7,8 @@ append the two sets of sums and add them up, which needs no join between the tab
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -194,9 +196,12 @@ def daily_cells(
 def report_from_cells(cells: DataFrame, selection: Selection | None = None) -> DataFrame:
     """The KPI report of a selection from kept cells, without reading turns or sessions again.
 
-    Cells hold whole days, so a range that ends at midnight has to be answered by ``kpi_report``.
+    Cells hold whole days, so a range that starts or ends inside a day, or ends at midnight, has to
+    be answered by ``kpi_report``.
     """
-    if selection and selection.end_date and selection.end_mode != "day":
+    if selection and selection.end and selection.end_mode != "day":
+        raise ValueError("daily cells cannot cut a day")
+    if selection and selection.start and selection.start.time() != dt.time():
         raise ValueError("daily cells cannot cut a day")
     return _report(select_rows(cells, selection, F.col("day").cast("timestamp_ntz")), selection)
 
