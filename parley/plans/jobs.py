@@ -12,7 +12,7 @@ from parley.operators.quality import all_sources_report, enforce
 from parley.operators.unify import unify
 from parley.sources.readers import load_sources, read_unified, sample_rows
 from parley.sources.schemas import SOURCES
-from parley.sources.writers import write_json_lines, write_unified
+from parley.sources.writers import merge_unified, write_json_lines, write_unified
 
 
 def quality_job(spark: SparkSession, base: str, report_path: str) -> DataFrame:
@@ -27,12 +27,16 @@ def quality_job(spark: SparkSession, base: str, report_path: str) -> DataFrame:
 
 
 def unify_job(
-    spark: SparkSession, base: str, out: str, run_ts: str
+    spark: SparkSession, base: str, out: str, run_ts: str, mode: str = "full"
 ) -> tuple[DataFrame, dict[str, int]]:
     """Write the unified table; return it as read back, and the rows loaded and written.
 
-    The counts are observed while the table is written, so they take no pass of their own.
+    ``mode="full"`` writes the whole table from the whole input. ``mode="merge"`` adds the input to the
+    stored table as a batch, see ``merge_unified``. The counts are observed while rows are written, so
+    they take no pass of their own.
     """
+    if mode not in ("full", "merge"):
+        raise ValueError(f"mode must be 'full' or 'merge', not {mode!r}")
     counts = {name: Observation(name) for name in [*SOURCES, "unified_interactions"]}
 
     def counted(df: DataFrame, name: str) -> DataFrame:
@@ -42,7 +46,8 @@ def unify_job(
         counted(df, name) for name, df in zip(SOURCES, load_sources(spark, base), strict=True)
     ]
     unified = unify(*sources, run_ts=run_ts)
-    write_unified(counted(unified, "unified_interactions"), out)
+    write = write_unified if mode == "full" else merge_unified
+    write(counted(unified, "unified_interactions"), out)
     rows = {name: seen.get["rows"] for name, seen in counts.items()}
     return read_unified(spark, out, unified.schema), rows
 
@@ -87,13 +92,15 @@ def daily_job(
     out: str,
     run_ts: str,
     scorer_factory: ScorerFactory | None = None,
+    mode: str = "full",
     **annotation,
 ) -> dict[str, int]:
     """Check, unify and annotate in this order; a failed check stops the rest.
 
-    Returns the rows loaded and written. ``annotation`` goes to ``annotate_job``.
+    Returns the rows loaded and written. ``mode`` goes to ``unify_job``, ``annotation`` to
+    ``annotate_job``.
     """
     quality_job(spark, base, f"{out}/quality")
-    _, rows = unify_job(spark, base, f"{out}/unified", run_ts)
+    _, rows = unify_job(spark, base, f"{out}/unified", run_ts, mode)
     annotate_job(spark, f"{out}/unified", f"{out}/annotated", scorer_factory, **annotation)
     return rows

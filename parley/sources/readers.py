@@ -14,22 +14,31 @@ from parley.sources.schemas import SOURCES, TIME_COLUMN
 CSV_OPTIONS = {"header": True, "nullValue": "", "escape": '"'}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
     """CSV with a header, matched to ``schema`` by column name.
 
     Spark would bind an explicit CSV schema by position, so the file is read as text (only the
     header line is looked at up front, no inference pass) and cast afterwards. Blank cells and
     text that does not parse become null; columns the schema does not name stay as text.
+
+    All files of a folder need the same header: one whose columns differ or stand in another order
+    is refused when it is read. ``multi_line`` lets quoted cells hold line breaks; each file is then
+    read by a single task, so large files should have been cut before.
     """
-    raw = spark.read.options(**CSV_OPTIONS).csv(path)
+    raw = spark.read.options(**CSV_OPTIONS, enforceSchema=False, multiLine=multi_line).csv(path)
     return cast_columns(raw, schema)
 
 
-def load_sources(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def load_sources(
+    spark: SparkSession, base: str, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Chatbot turns, clickstream events and session metadata found as CSV under ``base``."""
     root = base.rstrip("/")
     turns, clicks, meta = (
-        read_csv(spark, f"{root}/{name}.csv", schema) for name, schema in SOURCES.items()
+        read_csv(spark, f"{root}/{name}.csv", schema, multi_line)
+        for name, schema in SOURCES.items()
     )
     return turns, clicks, meta
 
@@ -39,12 +48,14 @@ def with_event_time(df: DataFrame, source: str, to: str = "event_time") -> DataF
     return df.withColumn(to, as_timestamp(F.col(TIME_COLUMN[source])))
 
 
-def load_timed(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+def load_timed(
+    spark: SparkSession, base: str, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Chatbot turns and session metadata from CSV, each with its parsed ``event_time``.
 
     Reports that run several times over one load should ``persist()`` what they filter out of it.
     """
-    turns, _, meta = load_sources(spark, base)
+    turns, _, meta = load_sources(spark, base, multi_line)
     return (
         with_event_time(turns, "chatbot_interactions"),
         with_event_time(meta, "conversation_metadata"),
@@ -54,10 +65,13 @@ def load_timed(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
 def sample_rows(df: DataFrame, limit: int, order_by: list[str] | None = None) -> DataFrame:
     """The first ``limit`` rows by ``order_by`` (all columns by default); 0 keeps every row.
 
-    Ordering by all columns makes the sample repeatable. Spark plans this as a per-task top-n.
+    Ordering by all columns makes the sample repeatable. Spark plans this as a per-task top-n. An
+    empty list takes any ``limit`` rows and reads no more of the table than it needs for them.
     """
     if not limit:
         return df
+    if order_by is not None and not order_by:
+        return df.limit(limit)
     return df.orderBy(*(order_by or df.columns)).limit(limit)
 
 
@@ -73,8 +87,9 @@ def read_csv_sample(
     schema: T.StructType,
     limit: int = 0,
     order_by: list[str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    return sample_rows(read_csv(spark, path, schema), limit, order_by)
+    return sample_rows(read_csv(spark, path, schema, multi_line), limit, order_by)
 
 
 # The partition columns of the unified table are zero-padded text.

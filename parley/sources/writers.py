@@ -4,25 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from parley.sources.readers import CSV_OPTIONS, PARTITION_COLUMNS
+from parley.operators.joins import spread_join
+from parley.session import scratch_folder
+from parley.sources.readers import CSV_OPTIONS, PARTITION_COLUMNS, read_unified
 
+# What tells the rows of the unified table apart when a batch is merged into it.
+TURN_KEYS = ["contact_id", "session_id", "created_at"]
 
-def write_unified(df: DataFrame, path: str) -> None:
-    """Date-partitioned snappy Parquet; only the days present in ``df`` are replaced.
+
+def write_unified(df: DataFrame, path: str, mode: str = "full") -> None:
+    """Date-partitioned snappy Parquet.
+
+    ``mode="full"`` makes ``df`` the whole table. ``mode="days"`` replaces the days present in ``df``
+    and leaves the others; it is right only if ``df`` holds all rows of those days. For a batch of
+    further rows there is ``merge_unified``.
 
     The rebalance hint gathers each day's rows like a repartition by day would, but lets adaptive
     execution cut a large day into several tasks and files instead of one.
     """
+    if mode not in ("full", "days"):
+        raise ValueError(f"mode must be 'full' or 'days', not {mode!r}")
     (
         df.hint("rebalance", *PARTITION_COLUMNS)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if mode == "full" else "dynamic")
         .option("compression", "snappy")
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(path)
     )
 
 
+def merge_unified(batch: DataFrame, path: str, keys: list[str] | None = None) -> None:
+    """Add a batch of rows to the stored table.
+
+    Rows of the batch take the place of stored rows with the same ``keys`` (null equal to null); all
+    other stored rows stay, those without a readable time included. So a late turn joins its day, and
+    a batch merged twice leaves no duplicates. A key whose rows move to another day is not looked for
+    there. Only the days that the batch touches are read and written. The merged days are stored in
+    the shared scratch folder before any is replaced.
+    """
+    keys = keys or TURN_KEYS
+    spark = batch.sparkSession
+    staged = scratch_folder(spark, "unified-batch")
+    batch.write.parquet(staged)
+    fresh = spark.read.schema(batch.schema).parquet(staged)
+    stored = read_unified(spark, path, batch.schema)
+    days = fresh.select(*PARTITION_COLUMNS).distinct()
+    touched = spread_join(stored, days, PARTITION_COLUMNS, "left_semi")
+    kept = spread_join(touched, fresh.select(*keys).distinct(), keys, "left_anti")
+    merged = scratch_folder(spark, "unified-days")
+    kept.unionByName(fresh).write.parquet(merged)
+    write_unified(spark.read.schema(batch.schema).parquet(merged), path, mode="days")
+
+
 def write_json_lines(df: DataFrame, path: str) -> None:
     """One JSON object per row, null fields kept."""
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
