@@ -52,10 +52,12 @@ def dashboard_job(
     if keep:
         turns.persist(StorageLevel.MEMORY_AND_DISK)
         meta.persist(StorageLevel.MEMORY_AND_DISK)
-    tables = {**reports(turns, meta, ts), "filter_options": filter_options(all_turns, ts)}
-    for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{out}/{name}")
-    if keep:
-        turns.unpersist()
-        meta.unpersist()
+    try:
+        tables = {**reports(turns, meta, ts), "filter_options": filter_options(all_turns, ts)}
+        for name, table in tables.items():
+            table.write.mode("overwrite").parquet(f"{out}/{name}")
+    finally:
+        if keep:
+            turns.unpersist()
+            meta.unpersist()
     return list(tables)

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
+_made: dict[int, list[str]] = {}
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -22,16 +28,36 @@ def build_session(name: str = "parley", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder() -> str:
+    """A temporary folder of this process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="parley-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder for a written intermediate table.
 
-    It lies under ``spark.checkpoint.dir``, which a cluster points at shared storage. Only a local
-    session without that setting, as in tests, gets a temporary folder of this machine.
+    It lies under ``spark.checkpoint.dir``, which a cluster points at shared storage; what is written
+    there stays until the cluster's own clean-up or ``clear_scratch``. Only a session whose executors
+    are threads of this process (``local[...]``), as in tests, may do without that setting: it gets a
+    temporary folder that goes when the process ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="parley-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = _own_folder()
+    folder = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(id(spark), []).append(folder)
+    return folder
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the scratch folders this session has asked for; no result may depend on them any more."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in _made.pop(id(spark), []):
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
