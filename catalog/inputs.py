@@ -3,7 +3,7 @@
 The statements are plain SQL that Spark and DuckDB both accept, so a registered query and its SQL
 counterpart start from the same rows. They hold nulls, duplicates, padding, out-of-range values and
 unreadable dates on purpose. Every event is a chatbot turn; some turns have no click event and some
-sessions no metadata, so that the joins meet rows without a partner.
+sessions no metadata, so that the joins meet rows without a partner. Nothing happens on 17 January.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parley.sources.schemas import BUSINESS_UNITS, CHANNELS, TOPICS
 
+# Those the given tables are described with, see FIXTURES.md.
 RESPONSE_TYPES = ["FAQ", "Guided Flow", "Free Text", "Escalation", "Handoff", "Self-Service"]
 PAGES = [
     "/home", "/account", "/billing", "/support", "/products",
@@ -29,7 +30,8 @@ def _pick(values: list[str], index: str) -> str:
 _ESCALATED = "CASE WHEN event_type = 'error' AND k % 2 = 0 THEN 1 ELSE 0 END"
 
 BASE = """
-SELECT event_id, ts, user_id, event_type, value,
+SELECT event_id, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-17' THEN ts - INTERVAL 1 DAY ELSE ts END AS ts,
+       user_id, event_type, value,
        CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k,
        concat('CONT-', CAST(user_id AS VARCHAR(20))) AS contact_id,
        concat('SESS-', CAST(user_id AS VARCHAR(20)), '-',
@@ -41,7 +43,7 @@ _TURN_COLUMNS = f"""
   CASE WHEN event_id % 97 = 3 THEN NULL ELSE contact_id END AS contact_id,
   session_id,
   {_pick(TOPICS, 'k % 10')} AS topic_name,
-  CASE WHEN k % 37 = 5 THEN NULL WHEN k = 99 THEN CAST(1.5 AS DOUBLE)
+  CASE WHEN k % 37 = 5 THEN NULL WHEN k % 10 = 8 THEN NULL WHEN k = 99 THEN CAST(1.5 AS DOUBLE)
        ELSE CAST(k AS DOUBLE) / 100 END AS confidence_score,
   {_pick(RESPONSE_TYPES, 'event_id % 6')} AS response_type,
   CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS thumbs_up,
@@ -52,7 +54,9 @@ _TURN_COLUMNS = f"""
   CASE WHEN event_id % 61 = 7 THEN 'Fax'
        ELSE {_pick(CHANNELS, '(k + user_id) % 5')} END AS application_channel,
   CASE WHEN event_id % 211 = 9 THEN -1 ELSE CAST(floor(value) AS INT) END AS handle_seconds_dur,
-  CAST((k * 7 + event_id) % 101 AS DOUBLE) / 100 AS derived_resolution_score,
+  CASE WHEN event_id % 331 = 17 THEN CAST(0.14999 AS DOUBLE)
+       WHEN event_id % 331 = 18 THEN CAST(0.15001 AS DOUBLE)
+       ELSE CAST((k * 7 + event_id) % 101 AS DOUBLE) / 100 END AS derived_resolution_score,
   CASE WHEN event_id % 173 = 4 THEN 'not-a-date'
        ELSE replace(CAST(date_trunc('second', ts) AS VARCHAR(30)), ' ', 'T') END AS created_at
 """
@@ -100,8 +104,8 @@ SELECT
 FROM base WHERE user_id % 4 <> 3 GROUP BY contact_id, session_id
 """
 
-# A metadata table in which every third user's sessions were reported twice, the later report with
-# other values: input for the key-duplicate rules.
+# A metadata table in which some users' sessions were reported twice, the later report with other
+# values, or with a time that cannot be read: input for the key-duplicate rules.
 REPEATED_METADATA = """
 SELECT * FROM conversation_metadata
 UNION ALL
@@ -110,6 +114,11 @@ SELECT contact_id, session_id, topic_name, business_unit, application_channel, l
        session_duration_seconds + 60, confidence_score, derived_resolution_score,
        concat(substr(session_start, 1, 10), 'T23:59:59')
 FROM conversation_metadata WHERE language IN ('en', 'fr')
+UNION ALL
+SELECT contact_id, session_id, topic_name, business_unit, application_channel, language,
+       num_turns + 2, contained, escalated_to_agent, csat_score, queue_name,
+       session_duration_seconds, confidence_score, derived_resolution_score, 'not-a-date'
+FROM conversation_metadata WHERE language IN ('en', 'de')
 """
 
 # Model names as they occur in call records; the last one has no price.
@@ -145,7 +154,8 @@ SELECT event_id,
                        ', "frustration_signal": true, "urgency_signal": false, "churn_risk": "HIGH"}')
     WHEN 1 THEN 'not json'
     WHEN 2 THEN '{"overall_sentiment": "NEUTRAL", "sentiment_score": 0}'
-    WHEN 3 THEN '{"churn_risk": "LOW", "frustration_signal": false}'
+    WHEN 3 THEN CASE WHEN event_id % 2 = 0 THEN '{"churn_risk": "LOW", "frustration_signal": false}'
+                     ELSE '{"frustration_signal": "true", "sentiment_score": "-0.25"}' END
     WHEN 4 THEN '{"overall_sentiment": "MIXED"} trailing'
     WHEN 5 THEN ''
   END AS sentiment_reply,
@@ -153,7 +163,9 @@ SELECT event_id,
     WHEN 0 THEN '{"topic": "Billing Inquiry", "confidence": 0.91, "reasoning": "bill"}'
     WHEN 1 THEN '{"topic": "Space Travel", "confidence": 0.2}'
     WHEN 2 THEN '[1, 2]'
-    WHEN 3 THEN '{"topic": "Returns & Refunds"}'
+    WHEN 3 THEN CASE event_id % 3 WHEN 0 THEN '{"topic": "Returns & Refunds"}'
+                     WHEN 1 THEN '{"topic": "Returns & Refunds", "confidence": "0.75"}'
+                     ELSE '{"topic": "Order Status", "confidence": "none"}' END
     WHEN 4 THEN '{"topic": '
     WHEN 5 THEN ''
   END AS topic_reply

@@ -9,7 +9,7 @@ import re
 
 from catalog.inputs import with_clause
 from catalog.queries import RUN_TS
-from parley.functions.prompts import get_template
+from parley.functions.prompts import TEMPLATES, get_template
 from parley.functions.replies import INVALID_REPLY
 from parley.functions.text import MASKS
 from parley.operators import annotate, quality
@@ -81,7 +81,7 @@ FROM {table} WHERE {HAS_KEYS}"""
 LATEST_META = """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY contact_id, session_id
-                               ORDER BY session_start DESC) AS rn
+                               ORDER BY TRY_CAST(session_start AS TIMESTAMP) DESC NULLS LAST) AS rn
   FROM repeated_metadata) WHERE rn = 1"""
 
 UNIFIED = f"""
@@ -265,16 +265,18 @@ def _trending(n: int, order: str, where: str = "TRUE") -> str:
 
 
 def _topics_json() -> str:
-    """Top three topics by escalation rate, with quality and trend."""
-    entry = """json_object('topic', topic_name, 'volume', volume,
+    """All ten topics by escalation rate, with quality and trend; one has no confidence score."""
+    figures = """json_object('topic', topic_name, 'volume', volume,
       'escalation_rate_pct', escalation_rate_pct, 'thumbs_up_rate_pct', thumbs_up_rate_pct,
       'thumbs_down_rate_pct', thumbs_down_rate_pct, 'avg_confidence_score', avg_confidence_score,
-      'avg_resolution_score', avg_resolution_score, 'avg_handle_seconds', avg_handle_seconds,
-      'resolution_quality_breakdown', json_object('resolution_quality', resolution_quality,
-        'avg_resolution', avg_resolution, 'session_count', session_count),
-      'wow_trend', wow_trend)"""
+      'avg_resolution_score', avg_resolution_score, 'avg_handle_seconds', avg_handle_seconds"""
+    quality = """'resolution_quality_breakdown', json_object('resolution_quality', resolution_quality,
+        'avg_resolution', avg_resolution, 'session_count', session_count)"""
+    trend = "'wow_trend', coalesce(wow_trend, 'UNKNOWN'))"
+    entry = f"""CASE WHEN resolution_quality IS NULL THEN {figures}, {trend}
+      ELSE {figures}, {quality}, {trend} END"""
     order = "ORDER BY escalation_rate_pct DESC, topic_name"
-    return f"""{_trending(3, 'escalation_rate_pct')}SELECT CAST(json_object(
+    return f"""{_trending(10, 'escalation_rate_pct')}SELECT CAST(json_object(
       'summary', json_object(
         'top_topic_by_volume', first(topic_name {order}),
         'total_records_in_result', CAST(sum(volume) AS BIGINT),
@@ -550,28 +552,37 @@ TOPICS_SQL = ", ".join(_lit(t) for t in TOPICS)
 LOG_FIELDS = '"timestamp", level, logger, service, step, block, elapsed_seconds, error'
 
 
+TEMPLATE_VALUES = {
+    "transcript": "text",
+    "conversation": "text",
+    "max_words": "'40'",
+    "topic_list": _lit(annotate.TOPIC_LIST),
+    "handle_seconds": "CAST(turn AS VARCHAR)",
+    "business_unit": "role",
+    "time_period": "'January'",
+    "metrics_json": "text",
+}
+
+
 def oracles() -> dict[str, str]:
     rules = quality.CHATBOT_RULES
     sql = {
         # scans and sinks
         "a1_csv_scan": _from(CHAT, "*"),
         "a2_load_sources": f"""{_with(CHAT, CLICKS, META)}
-            SELECT '{CHAT}' AS source, count(contact_id) AS "rows" FROM {CHAT}
-            UNION ALL SELECT '{CLICKS}', count(*) FROM {CLICKS}
-            UNION ALL SELECT '{META}', count(csat_score) FROM {META}""",
-        "a3_partitioned_parquet": f"""{WITH_UNIFIED}SELECT "year", "month", "day", count(*) AS "rows",
-            count(num_turns) AS with_metadata FROM unified GROUP BY ALL""",
+            SELECT '{CHAT}' AS source, * FROM {CHAT}
+            UNION ALL BY NAME SELECT '{CLICKS}' AS source, * FROM {CLICKS}
+            UNION ALL BY NAME SELECT '{META}' AS source, * FROM {META}""",
+        "a3_partitioned_parquet": f"{WITH_UNIFIED}SELECT * FROM unified",
+        "a3_merged_batch": f"{WITH_UNIFIED}SELECT * FROM unified",
         "a4_parquet_sample": _from(CLICKS, "*", "ORDER BY ALL LIMIT 500"),
         "a5_csv_sample": _from(META, "*", "ORDER BY contact_id, session_id LIMIT 100"),
         "a6_json_lines": _from(
-            META,
-            """count(*) AS lines, count(*) FILTER (csat_score IS NULL) AS null_csat_kept,
-               count(*) FILTER (queue_name IS NULL) AS null_queue_kept,
-               CAST(sum(num_turns) AS BIGINT) AS num_turns, count(csat_score) AS with_csat""",
+            META, "*, csat_score IS NULL AS null_csat_kept, queue_name IS NULL AS null_queue_kept"
         ),
         "a7_parsed_timestamps": f"""{_with(CHAT, META)}
-            SELECT 'turn' AS kind, CAST(CAST({TURN_TS} AS DATE) AS VARCHAR) AS "day", count(*) AS "rows" FROM {CHAT} GROUP BY ALL
-            UNION ALL SELECT 'session', CAST(CAST({SESSION_TS} AS DATE) AS VARCHAR), count(*) FROM {META} GROUP BY ALL""",
+            SELECT 'turn' AS kind, *, {TURN_TS} AS event_time FROM {CHAT}
+            UNION ALL BY NAME SELECT 'session' AS kind, *, {SESSION_TS} AS event_time FROM {META}""",
         "a8_metrics_document": f"""SELECT {_metrics_json(RETAIL_WEB_ECHO)} AS document
             FROM ({_kpi_report(RETAIL_WEB_WHERE, RETAIL_WEB_ECHO)})""",
         "a8_topics_document": _topics_json(),
@@ -628,6 +639,8 @@ def oracles() -> dict[str, str]:
         "d3_whole_day_range_on_unified": f"""{_with(CHAT, clean_chat=CLEAN_CHAT)}
             SELECT application_channel, {TURN_KPIS} FROM clean_chat
             WHERE {DASHBOARD_WHERE.format(ts=TURN_TS)} GROUP BY application_channel""",
+        "d3_unpadded_range_on_unified": f"""{WITH_UNIFIED}SELECT * FROM unified
+            WHERE created_at_ts >= TIMESTAMP '2024-01-05' AND created_at_ts < TIMESTAMP '2024-01-10'""",
         "d4_filter_options": f"""{_with(CHAT)}
             SELECT DISTINCT 'business_unit' AS option, business_unit AS value FROM {CHAT}
             UNION ALL SELECT DISTINCT 'application_channel', application_channel FROM {CHAT}
@@ -698,10 +711,7 @@ def oracles() -> dict[str, str]:
                display(sum(escalated_to_agent) / count(*) * 100, 4) AS escalation_rate""",
             f"WHERE {BY_TOPIC} ORDER BY sum(escalated_to_agent) / count(*) DESC, topic_name LIMIT 8",
         ),
-        "f12_daily_volume": _daily(
-            "lower(business_unit) = 'travel' AND lower(application_channel) = 'fax'",
-            "count(session_id)", "0", "interactions",
-        ),
+        "f12_daily_volume": _daily("TRUE", "count(session_id)", "0", "interactions"),
         "f13_volume_by_channel": _from(
             CHAT, "application_channel, count(*) AS volume",
             "WHERE application_channel IS NOT NULL GROUP BY ALL",
@@ -709,7 +719,7 @@ def oracles() -> dict[str, str]:
         "f14_resolution_histogram": f"""{_with(CHAT)}
             SELECT CAST(bin AS INTEGER) AS bin, bin / 20 AS lower, (bin + 1) / 20 AS upper,
                    count(*) AS turns
-            FROM (SELECT least(19, CAST(floor(round(derived_resolution_score * 10000) / 500) AS INTEGER)) AS bin
+            FROM (SELECT len(list_filter(range(1, 20), lambda i: CAST(i AS DOUBLE) / 20 <= derived_resolution_score)) AS bin
                   FROM {CHAT} WHERE derived_resolution_score IS NOT NULL) GROUP BY bin""",
         "f15_headline_kpis": f"""{_with(CHAT, META)}SELECT * FROM
             (SELECT display(avg(escalated_to_agent) * 100, 4) AS escalation_rate,
@@ -725,15 +735,14 @@ def oracles() -> dict[str, str]:
             UNION ALL SELECT 'Thumbs Down', display(sum(thumbs_down) / count(*) * 100, 4)
             FROM {CHAT} WHERE {RATED}""",
         "f17_daily_escalation": _daily(
-            "lower(application_channel) = 'fax'", "display(avg(escalated_to_agent) * 100, 4)", "NULL",
-            "escalation_rate",
+            "TRUE", "display(avg(escalated_to_agent) * 100, 4)", "NULL", "escalation_rate"
         ),
         "f18_volume_by_unit": _from(
             CHAT, "business_unit, count(*) AS volume",
             "WHERE business_unit IS NOT NULL GROUP BY ALL",
         ),
         # rankings, trend, set operations
-        "g2_trending_topics": f"""{_trending(5, 'volume', FULL_WEEKS_WHERE)}
+        "g2_trending_topics": f"""{_trending(5, 'volume')}
             SELECT lead_topics.*, resolution_quality, avg_resolution, session_count, wow_trend
             FROM lead_topics LEFT JOIN sq USING (topic_name) LEFT JOIN trend USING (topic_name)""",
         "g3_weekly_trend": f"{_with(CHAT, **_trend())}SELECT * FROM trend",
@@ -827,6 +836,11 @@ def oracles() -> dict[str, str]:
             {_fill(get_template('summarization', 1).user, transcript='text', max_words="'40'")} AS user_v1,
             {_fill(get_template('summarization', 2).user, transcript='text', max_words="'60'")} AS user_v2
             FROM conversations""",
+        "l2_all_templates": " UNION ALL ".join(
+            f"""SELECT conv_id, turn, '{t.key}' AS task, CAST({t.version} AS INTEGER) AS version,
+                {_lit(t.system)} AS "system", {_fill(t.user, **TEMPLATE_VALUES)} AS "user" FROM conversations"""
+            for t in TEMPLATES
+        ),
         "l4_summary_replies": f"""{_with('replies')}SELECT event_id,
             json_extract_string(o, '$.summary') AS llm_summary,
             json_extract_string(o, '$.core_issue') AS llm_core_issue,
@@ -836,13 +850,13 @@ def oracles() -> dict[str, str]:
             FROM (SELECT event_id, summary_reply, {_json_object('summary_reply')} AS o FROM replies)""",
         "l5_sentiment_replies": f"""{_with('replies')}SELECT event_id,
             json_extract_string(o, '$.overall_sentiment') AS llm_sentiment,
-            CAST(json_extract_string(o, '$.sentiment_score') AS DOUBLE) AS llm_sentiment_score,
-            CAST(json_extract_string(o, '$.frustration_signal') AS BOOLEAN) AS llm_frustration,
+            TRY_CAST(json_extract_string(o, '$.sentiment_score') AS DOUBLE) AS llm_sentiment_score,
+            TRY_CAST(json_extract_string(o, '$.frustration_signal') AS BOOLEAN) AS llm_frustration,
             json_extract_string(o, '$.churn_risk') AS llm_churn_risk
             FROM (SELECT event_id, {_json_object('sentiment_reply')} AS o FROM replies)""",
         "l6_topic_replies": f"""{_with('replies')}SELECT event_id,
             json_extract_string(o, '$.topic') AS llm_topic,
-            CAST(json_extract_string(o, '$.confidence') AS DOUBLE) AS llm_topic_confidence,
+            TRY_CAST(json_extract_string(o, '$.confidence') AS DOUBLE) AS llm_topic_confidence,
             json_extract_string(o, '$.topic') IN ({TOPICS_SQL}) AS topic_in_list
             FROM (SELECT event_id, {_json_object('topic_reply')} AS o FROM replies)""",
         "l7_annotate": f"""{WITH_UNIFIED}SELECT contact_id, session_id, created_at,
@@ -872,8 +886,8 @@ def oracles() -> dict[str, str]:
         # logs
         "n1_masked_log_lines": f"""{_with('log_records')}SELECT event_id, {LOG_FIELDS},
             {_mask('message')} AS message FROM log_records""",
-        "n1_read_log_files": f"""{_with('log_records')}SELECT level, {_mask('message')} AS message,
-            count(*) AS "rows" FROM log_records GROUP BY ALL""",
+        "n1_read_log_files": f"""{_with('log_records')}SELECT {LOG_FIELDS},
+            {_mask('message')} AS message FROM log_records""",
         "n2_step_run_times": _run_times("step"),
         "n3_block_run_times": _run_times("block"),
     }

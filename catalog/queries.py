@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from catalog.inputs import derived_table, given_table, interactions
 from parley.functions import scores, text
 from parley.functions.casts import as_timestamp
-from parley.functions.prompts import get_template
+from parley.functions.prompts import TEMPLATES, get_template
 from parley.functions.rounding import display
 from parley.operators import (
     annotate,
@@ -91,6 +92,12 @@ def _day_as_text(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("string"))
 
 
+def _together(label: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """All rows of several tables, each with the name of its table."""
+    named = [df.withColumn(label, F.lit(name)) for name, df in tables.items()]
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), named)
+
+
 def _csv_base(spark: SparkSession, sf: str) -> str:
     base = scratch_folder(spark, "raw-csv")
     for name in schemas.SOURCES:
@@ -110,22 +117,26 @@ def a1_csv_scan(spark, sf):
 
 @_query
 def a2_load_sources(spark, sf):
-    turns, clicks, meta = readers.load_sources(spark, _csv_base(spark, sf))
-    return quality.row_counts(
-        chatbot_interactions=turns.dropna(subset=["contact_id"]),
-        clickstream_events=clicks,
-        conversation_metadata=meta.dropna(subset=["csat_score"]),
-    )
+    loaded = readers.load_sources(spark, _csv_base(spark, sf))
+    return _together("source", dict(zip(schemas.SOURCES, loaded, strict=True)))
 
 
 @_query
 def a3_partitioned_parquet(spark, sf):
     path = scratch_folder(spark, "unified")
     writers.write_unified(_unified(spark, sf), path)
-    days = readers.read_unified(spark, path)
-    return days.groupBy("year", "month", "day").agg(
-        F.count("*").alias("rows"), F.count("num_turns").alias("with_metadata")
-    )
+    return _rounded(readers.read_unified(spark, path), "avg_scroll_depth_pct")
+
+
+@_query
+def a3_merged_batch(spark, sf):
+    """All rows but some late ones are stored; then a batch with them, and others, is merged twice."""
+    path, rows = scratch_folder(spark, "unified"), _unified(spark, sf)
+    number = F.pmod(F.xxhash64(*writers.TURN_KEYS), F.lit(10))
+    writers.write_unified(rows.filter(number > 1), path)
+    for _ in range(2):
+        writers.merge_unified(rows.filter(number < 4), path)
+    return _rounded(readers.read_unified(spark, path), "avg_scroll_depth_pct")
 
 
 @_query
@@ -146,31 +157,18 @@ def a5_csv_sample(spark, sf):
 def a6_json_lines(spark, sf):
     path = scratch_folder(spark, "meta-json")
     writers.write_json_lines(_meta(spark, sf), path)
-    lines = spark.read.text(path)
-    back = spark.read.schema(schemas.METADATA).json(path)
-    kept = lines.agg(
-        F.count("*").alias("lines"),
-        F.count_if(F.col("value").contains('"csat_score":null')).alias("null_csat_kept"),
-        F.count_if(F.col("value").contains('"queue_name":null')).alias("null_queue_kept"),
-    )
-    totals = back.agg(
-        F.sum("num_turns").alias("num_turns"), F.count("csat_score").alias("with_csat")
-    )
-    return kept.unionByName(totals, allowMissingColumns=True).agg(
-        *[F.max(c).alias(c) for c in kept.columns + totals.columns]
+    lines = spark.read.text(path).withColumn("row", F.from_json("value", schemas.METADATA))
+    return lines.select(
+        "row.*",
+        F.col("value").contains('"csat_score":null').alias("null_csat_kept"),
+        F.col("value").contains('"queue_name":null').alias("null_queue_kept"),
     )
 
 
 @_query
 def a7_parsed_timestamps(spark, sf):
     turns, meta = readers.load_timed(spark, _csv_base(spark, sf))
-    day = F.col("event_time").cast("date").cast("string")
-    return (
-        turns.select(F.lit("turn").alias("kind"), day.alias("day"))
-        .unionAll(meta.select(F.lit("session").alias("kind"), day.alias("day")))
-        .groupBy("kind", "day")
-        .agg(F.count("*").alias("rows"))
-    )
+    return _together("kind", {"turn": turns, "session": meta})
 
 
 @_query
@@ -181,7 +179,7 @@ def a8_metrics_document(spark, sf):
 @_query
 def a8_topics_document(spark, sf):
     return reports.topics_document(
-        _turns(spark, sf), _meta(spark, sf), n=3, sort_by="escalation_rate", include_trend=True
+        _turns(spark, sf), _meta(spark, sf), n=10, sort_by="escalation_rate", include_trend=True
     )
 
 
@@ -293,6 +291,15 @@ def d3_whole_day_range_on_unified(spark, sf):
     return kpis.turn_kpis(chosen, "application_channel")
 
 
+@_query
+def d3_unpadded_range_on_unified(spark, sf):
+    path = scratch_folder(spark, "unified")
+    writers.write_unified(_unified(spark, sf), path)
+    chosen = Selection(start_date="2024-1-5", end_date="2024-1-9T08:00:00")
+    days = filters.select_rows(readers.read_unified(spark, path), chosen, F.col("created_at_ts"))
+    return _rounded(days, "avg_scroll_depth_pct")
+
+
 @_query
 def d4_filter_options(spark, sf):
     return filters.filter_options(_turns(spark, sf), _turn_time())
@@ -405,9 +412,7 @@ def f7_kpi_cube(spark, sf):
 
 @_query
 def f7_report_from_daily_cells(spark, sf):
-    path = scratch_folder(spark, "cells")
-    kpis.daily_cells(_turns(spark, sf), _meta(spark, sf)).write.parquet(path)
-    return kpis.report_from_cells(spark.read.parquet(path), DASHBOARD)
+    return kpis.report_from_cells(kpis.daily_cells(_turns(spark, sf), _meta(spark, sf)), DASHBOARD)
 
 
 @_query
@@ -437,10 +442,7 @@ def f11_escalation_by_topic(spark, sf):
 
 @_query
 def f12_daily_volume(spark, sf):
-    chosen = filters.by_dimensions(
-        _turns(spark, sf), Selection(business_unit="Travel", application_channel="Fax")
-    )
-    return _day_as_text(series.daily_volume(chosen), "date")
+    return _day_as_text(series.daily_volume(_turns(spark, sf)), "date")
 
 
 @_query
@@ -469,8 +471,8 @@ def f16_thumbs_split(spark, sf):
 
 @_query
 def f17_daily_escalation(spark, sf):
-    chosen = filters.by_dimensions(_turns(spark, sf), Selection(application_channel="fax"))
-    return _day_as_text(_rounded(series.daily_escalation(chosen), "escalation_rate"), "date")
+    daily = series.daily_escalation(_turns(spark, sf))
+    return _day_as_text(_rounded(daily, "escalation_rate"), "date")
 
 
 @_query
@@ -495,10 +497,7 @@ for _name in topics.SORT_COLUMNS:
 @_query
 def g2_trending_topics(spark, sf):
     return topics.trending_topics(
-        filters.select_rows(_turns(spark, sf), FULL_WEEKS, _turn_time()),
-        filters.select_rows(_meta(spark, sf), FULL_WEEKS, _session_time()),
-        n=5,
-        include_trend=True,
+        _turns(spark, sf), _meta(spark, sf), n=5, include_trend=True
     )
 
 
@@ -730,6 +729,34 @@ def l2_summary_prompts(spark, sf):
     )
 
 
+@_query
+def l2_all_templates(spark, sf):
+    chats = given_table(spark, sf, "conversations")
+    values = {
+        "transcript": F.col("text"),
+        "conversation": F.col("text"),
+        "max_words": 40,
+        "topic_list": annotate.TOPIC_LIST,
+        "handle_seconds": F.col("turn"),
+        "business_unit": F.col("role"),
+        "time_period": "January",
+        "metrics_json": F.col("text"),
+    }
+
+    def filled(template):
+        texts = template.render(**{name: values[name] for name in template.variables()})
+        return chats.select(
+            "conv_id",
+            "turn",
+            F.lit(template.key).alias("task"),
+            F.lit(template.version).alias("version"),
+            texts["system"].alias("system"),
+            texts["user"].alias("user"),
+        )
+
+    return reduce(DataFrame.union, map(filled, TEMPLATES))
+
+
 @_query
 def l3_messages(spark, sf):
     rows = annotate.with_messages(
@@ -841,7 +868,7 @@ def n1_masked_log_lines(spark, sf):
 def n1_read_log_files(spark, sf):
     path = scratch_folder(spark, "logs")
     writers.write_json_lines(derived_table(spark, sf, "log_records").drop("event_id"), path)
-    return logs.read_logs(spark, path).groupBy("level", "message").agg(F.count("*").alias("rows"))
+    return logs.read_logs(spark, path)
 
 
 @_query

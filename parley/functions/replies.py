@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from parley.functions.casts import as_double
 from parley.sources.schemas import TOPICS
 
 INVALID_REPLY = "reply is not a JSON object"
@@ -12,11 +13,12 @@ INVALID_REPLY = "reply is not a JSON object"
 
 # The fields read from the reply to each task.
 SUMMARY = "summary string, core_issue string, outcome string"
+# Numbers and truth values are read as text first, because models also write them in quotes.
 SENTIMENT = (
-    "overall_sentiment string, sentiment_score double, frustration_signal boolean, "
+    "overall_sentiment string, sentiment_score string, frustration_signal string, "
     "churn_risk string"
 )
-TOPIC = "topic string, confidence double"
+TOPIC = "topic string, confidence string"
 
 
 def as_object(reply: Column, fields: str) -> Column:
@@ -46,11 +48,14 @@ def summary_fields(reply: Column, parsed: Column) -> dict[str, Column]:
 
 
 def sentiment_fields(parsed: Column) -> dict[str, Column]:
-    """Sentiment, score, frustration and churn risk; null when the reply cannot be read."""
+    """Sentiment, score, frustration and churn risk; null when the reply cannot be read.
+
+    Numbers and truth values may be quoted. What is neither, and a score that is no number, is null.
+    """
     return {
         "llm_sentiment": parsed["overall_sentiment"],
-        "llm_sentiment_score": parsed["sentiment_score"],
-        "llm_frustration": parsed["frustration_signal"],
+        "llm_sentiment_score": as_double(parsed["sentiment_score"]),
+        "llm_frustration": parsed["frustration_signal"].try_cast("boolean"),
         "llm_churn_risk": parsed["churn_risk"],
     }
 
@@ -59,6 +64,6 @@ def topic_fields(parsed: Column) -> dict[str, Column]:
     """Topic, confidence, and whether the topic is one of the offered ones."""
     return {
         "llm_topic": parsed["topic"],
-        "llm_topic_confidence": parsed["confidence"],
+        "llm_topic_confidence": as_double(parsed["confidence"]),
         "topic_in_list": parsed["topic"].isin(TOPICS),
     }

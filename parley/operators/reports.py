@@ -47,7 +47,8 @@ def topics_document(
 ) -> DataFrame:
     """Leading topics as one JSON object: a summary and the list in ranking order.
 
-    At most ``n`` rows are gathered for the list. ``top_topic_by_volume`` is the first topic of the
+    Every listed topic has all its fields, null where there is no figure; only the quality breakdown
+    is absent where no session has the topic. At most ``n`` rows are gathered for the list. ``top_topic_by_volume`` is the first topic of the
     chosen ranking, and the record total covers the listed topics only.
     """
     chosen = selection or Selection()
@@ -69,27 +70,30 @@ def topics_document(
         "avg_resolution_score",
         "avg_handle_seconds",
     ]
+    trend = [F.coalesce("wow_trend", F.lit("UNKNOWN")).alias("wow_trend")] if include_trend else []
+    keep_nulls = {"ignoreNullFields": "false"}
+    entry = F.to_json(F.struct(*fields, *trend), keep_nulls)
     if include_quality:
         quality = F.struct("resolution_quality", "avg_resolution", "session_count")
-        known = F.when(F.col("resolution_quality").isNotNull(), quality)
-        fields.append(known.alias("resolution_quality_breakdown"))
-    if include_trend:
-        fields.append(F.col("wow_trend"))
+        known = quality.alias("resolution_quality_breakdown")
+        with_quality = F.to_json(F.struct(*fields, known, *trend), keep_nulls)
+        entry = F.when(F.col("resolution_quality").isNotNull(), with_quality).otherwise(entry)
 
     ranking = topics.SORT_COLUMNS.get(sort_by, "volume")
     last = F.lit(float("inf"))
     place = F.coalesce(-F.col(ranking).cast("double"), last)
     ranked = F.array_sort(
         F.collect_list(
-            F.struct(place.alias("place"), "topic_name", F.struct(*fields).alias("entry"))
+            F.struct(place.alias("place"), "topic_name", entry.alias("entry"))
         )
     )
     gathered = leading.agg(
         F.transform(ranked, lambda item: item["entry"]).alias("topics"),
+        F.get(ranked, F.lit(0))["topic_name"].alias("first"),
         F.sum("volume").alias("total"),
     )
     summary = F.struct(
-        F.get("topics", F.lit(0))["topic"].alias("top_topic_by_volume"),
+        F.col("first").alias("top_topic_by_volume"),
         F.col("total").alias("total_records_in_result"),
         F.lit(sort_by).alias("sort_by"),
         F.struct(
@@ -99,7 +103,10 @@ def topics_document(
             ]
         ).alias("filters"),
     )
-    document = F.to_json(F.struct(summary.alias("summary"), "topics"))
+    document = F.concat(
+        F.lit('{"summary":'), F.to_json(summary, keep_nulls),
+        F.lit(',"topics":['), F.array_join("topics", ","), F.lit("]}"),
+    )
     return gathered.select(
         F.when(F.size("topics") == 0, _error_document()).otherwise(document).alias("document")
     )

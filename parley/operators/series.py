@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from parley.functions.casts import as_timestamp
 
 
+# The longest stretch without turns that is filled in, ten years.
+MAX_GAP_DAYS = 3660
+
+
 def _by_day(turns: DataFrame, ts: Column | None, *measures: Column) -> DataFrame:
     ts = as_timestamp(F.col("created_at")) if ts is None else ts
     daily = turns.groupBy(ts.cast("date").alias("date")).agg(*measures)
@@ -18,11 +22,13 @@ def _by_day(turns: DataFrame, ts: Column | None, *measures: Column) -> DataFrame
 def _fill_days(daily: DataFrame, **missing: Column) -> DataFrame:
     """Add the days between the first and last that have no row.
 
-    Each day is stretched to the day before the next one present. The window sees one row per
-    calendar day, however many turns there are.
+    Each day is stretched to the day before the next one present, but not over a gap of more than
+    ``MAX_GAP_DAYS``: a turn with a stray date, centuries away, does not make a row for every day
+    until then. The window sees one row per calendar day, however many turns there are.
     """
     following = F.lead("date").over(W.orderBy("date"))
-    last = F.coalesce(F.date_sub(following, 1), F.col("date"))
+    near = F.datediff(following, F.col("date")) <= MAX_GAP_DAYS
+    last = F.when(near, F.date_sub(following, 1)).otherwise(F.col("date"))
     stretched = daily.withColumn("last", last).withColumn(
         "day", F.explode(F.sequence("date", "last"))
     )
@@ -68,13 +74,14 @@ def volume_by_unit(turns: DataFrame) -> DataFrame:
 def resolution_histogram(turns: DataFrame, bins: int = 20) -> DataFrame:
     """Turns per equal-width score bin of [0, 1]; the last bin includes 1.
 
-    Edges are compared in ten-thousandths, because 0.15 / 0.05 is just below 3 as a double. Scores
-    below 0 are counted in bin -1 and scores above 1 in the bin after the last, without edges.
+    Scores are compared with the edges themselves, the doubles nearest to 0.05, 0.1 and so on, as
+    0.15 / 0.05 is just below 3. Scores below 0 are counted in bin -1 and scores above 1 in the bin
+    after the last, without edges.
     """
     score = F.col("derived_resolution_score")
-    place = F.floor(F.round(score * 10000) * bins / 10000).cast("int")
-    held = F.least(F.lit(bins - 1), place)
-    number = F.when(score < 0, -1).when(score > 1, bins).otherwise(held)
+    edges = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    place = F.size(F.filter(edges, lambda edge: edge <= score))
+    number = F.when(score < 0, -1).when(score > 1, bins).otherwise(place)
     inside = F.col("bin").between(0, bins - 1)
     return (
         turns.filter(score.isNotNull())

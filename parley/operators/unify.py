@@ -33,11 +33,12 @@ def click_sessions(clicks: DataFrame, approximate_distinct: bool = False) -> Dat
 def latest_metadata(meta: DataFrame, order_by: str = "session_start") -> DataFrame:
     """One metadata row per session: the latest, ties decided by the remaining columns.
 
-    A maximum over the row as a struct is combined map-side, unlike a row_number window, which
-    would sort all copies of a key in one task.
+    A row whose time cannot be read is older than any other. A maximum over the row as a struct is
+    combined map-side, unlike a row_number window, which would sort all copies of a key in one task.
     """
     rest = [c for c in meta.columns if c not in KEYS and c != order_by]
-    packed = F.max(F.struct(order_by, *rest)).alias("row")
+    time = as_timestamp(F.col(order_by).cast("string")).alias("__time")
+    packed = F.max(F.struct(time, order_by, *rest)).alias("row")
     kept = [c if c in KEYS else f"row.{c}" for c in meta.columns]
     return meta.groupBy(*KEYS).agg(packed).select(*kept)
 

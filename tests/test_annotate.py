@@ -37,6 +37,21 @@ def test_short_sessions_have_no_extra_exchange(spark):
     assert "[... 0 additional" in rows.select(annotate.transcript(rows)).first()[0]
 
 
+def test_quoted_and_odd_reply_values(spark):
+    replies_ = spark.createDataFrame(
+        [
+            (1, "{}", '{"sentiment_score": "-0.5", "frustration_signal": "true"}', '{"confidence": "0.9"}'),
+            (2, "{}", '{"sentiment_score": "high", "frustration_signal": 3.5}', '{"confidence": NaN}'),
+            (3, "{}", '{"sentiment_score": 1, "frustration_signal": false}', '{"confidence": null}'),
+        ],
+        "id int, s string, e string, t string",
+    )
+    got = annotate.parse_replies(replies_, "s", "e", "t").orderBy("id").collect()
+    assert [(r.llm_sentiment_score, r.llm_frustration, r.llm_topic_confidence) for r in got] == [
+        (-0.5, True, 0.9), (None, None, None), (1.0, False, None),
+    ]
+
+
 def test_latest_version():
     assert get_template("summarization").version == 2
     assert get_template("summarization", 1).output_format == "text"

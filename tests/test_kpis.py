@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parley.functions.casts import as_timestamp
-from parley.operators import kpis
+from parley.operators import kpis, series
 from parley.operators.filters import Selection, by_dimensions, by_time, filter_options, select_rows
 from parley.operators.reports import metrics_document
 from tests.helpers import sessions, turns
@@ -131,6 +131,21 @@ def test_cells_cannot_cut_a_day(spark):
     cells = kpis.daily_cells(turns(spark, {}), sessions(spark, {}))
     with pytest.raises(ValueError):
         kpis.report_from_cells(cells, Selection(end_date="2024-01-10", end_mode="midnight"))
+    with pytest.raises(ValueError):
+        kpis.report_from_cells(cells, Selection(start_date="2024-01-10T09:00:00"))
+
+
+def test_histogram_edges(spark):
+    scores = [0.0, 0.04999, 0.05, 0.14999, 0.15, 0.1500001, 0.3, 0.349999999, 0.35, 0.95, 1.0, 1.00001, -0.1]
+    rows = turns(spark, *[{"derived_resolution_score": s} for s in scores])
+    got = {r.bin: r.turns for r in series.resolution_histogram(rows).collect()}
+    assert got == {-1: 1, 0: 2, 1: 1, 2: 1, 3: 2, 6: 2, 7: 1, 19: 2, 20: 1}
+
+
+def test_stray_date_does_not_fill_centuries(spark):
+    days = ["2024-01-01T00:00:00", "2024-01-04T00:00:00", "9999-12-31T00:00:00"]
+    got = [(str(r.date), r.interactions) for r in series.daily_volume(turns(spark, *[{"created_at": d} for d in days])).collect()]
+    assert got == [("2024-01-01", 1), ("2024-01-02", 0), ("2024-01-03", 0), ("2024-01-04", 1), ("9999-12-31", 1)]
 
 
 def test_selection_applies_to_both_tables(spark):

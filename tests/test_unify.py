@@ -117,12 +117,121 @@ def test_partition_values_stay_text_and_other_days_survive(spark, tmp_path):
     path = str(tmp_path / "unified")
     writers.write_unified(_three_days(spark), path)
     again = turns(spark, {"created_at": "2024-01-06T05:00:00"}, {"created_at": "2024-01-06T06:00:00"})
-    writers.write_unified(unify.unify(again, clicks(spark, {}), sessions(spark, {}), RUN), path)
+    fresh = unify.unify(again, clicks(spark, {}), sessions(spark, {}), RUN)
+    writers.write_unified(fresh, path, mode="days")
     back = readers.read_unified(spark, path)
     days = {(r.year, r.month, r.day): r["count"] for r in back.groupBy("year", "month", "day").count().collect()}
     assert days == {("2024", "01", "05"): 1, ("2024", "01", "06"): 2, ("2024", "11", "07"): 1}
 
 
+def _unified(spark, *rows):
+    return unify.unify(turns(spark, *rows), clicks(spark, {}), sessions(spark, {}), RUN)
+
+
+def test_full_write_is_the_whole_table(spark, tmp_path):
+    path = str(tmp_path / "unified")
+    writers.write_unified(_three_days(spark), path)
+    writers.write_unified(_unified(spark, {"created_at": "2024-01-06T05:00:00"}), path)
+    assert [r.created_at for r in readers.read_unified(spark, path).collect()] == ["2024-01-06T05:00:00"]
+    with pytest.raises(ValueError):
+        writers.write_unified(_three_days(spark), path, mode="some")
+
+
+def test_merge_keeps_stored_rows(spark, tmp_path):
+    path = str(tmp_path / "unified")
+    stored = [
+        {"created_at": "2024-01-05T01:00:00"},
+        {"created_at": "2024-01-06T01:00:00", "thumbs_up": 0},
+        {"created_at": "bad date", "contact_id": "c2"},
+    ]
+    writers.write_unified(_unified(spark, *stored), path)
+    batch = _unified(
+        spark,
+        {"created_at": "2024-01-06T09:00:00"},  # a late turn
+        {"created_at": "2024-01-06T01:00:00", "thumbs_up": 1},  # a turn sent again, with a new value
+        {"created_at": "other bad date", "contact_id": "c3"},
+        {"created_at": "2024-01-09T01:00:00"},
+    )
+    expected = [
+        ("2024-01-05T01:00:00", "c1", 0), ("2024-01-06T01:00:00", "c1", 1), ("2024-01-06T09:00:00", "c1", 0),
+        ("2024-01-09T01:00:00", "c1", 0), ("bad date", "c2", 0), ("other bad date", "c3", 0),
+    ]
+    for _ in range(2):  # a batch merged twice leaves no duplicates
+        writers.merge_unified(batch, path)
+        back = readers.read_unified(spark, path)
+        assert sorted((r.created_at, r.contact_id, r.thumbs_up) for r in back.collect()) == expected
+
+
+def test_headers_in_another_order_are_refused(spark, tmp_path):
+    from parley.sources.schemas import CHATBOT
+
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.csv").write_text("contact_id,session_id\nc1,s1\n" + "c1,s1\n" * 50)
+    (tmp_path / "t" / "b.csv").write_text("session_id,contact_id\ns2,c2\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        readers.read_csv(spark, str(tmp_path / "t"), CHATBOT).collect()
+
+
+def test_line_breaks_in_quoted_cells(spark, tmp_path):
+    from parley.sources.schemas import CHATBOT
+
+    path = tmp_path / "t.csv"
+    path.write_text('contact_id,session_id,topic_name\nc1,s1,"two\nlines"\nc2,s2,one\n')
+    assert readers.read_csv(spark, str(path), CHATBOT).count() == 3
+    rows = readers.read_csv(spark, str(path), CHATBOT, multi_line=True).collect()
+    assert [(r.contact_id, r.topic_name) for r in rows] == [("c1", "two\nlines"), ("c2", "one")]
+    back = readers.read_csv_sample(spark, str(path), CHATBOT, 1, ["contact_id"], multi_line=True)
+    assert back.first().topic_name == "two\nlines"
+
+
+def test_any_rows_read_no_more_than_needed(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    some = readers.read_parquet_sample(spark, str(tmp_path / "t"), 5, [])
+    assert some.count() == 5
+    assert "TakeOrdered" not in plan_of(some)
+
+
+def test_unreadable_session_start_is_no_latest(spark):
+    meta = sessions(spark, {"session_start": "not-a-date", "num_turns": 9}, {"session_start": "2024-01-10T09:00:00", "num_turns": 2})
+    assert unify.latest_metadata(meta).first().num_turns == 2
+    only = sessions(spark, {"session_start": "not-a-date", "num_turns": 9})
+    assert unify.latest_metadata(only).collect() == only.collect()
+
+
+SPELLINGS = [
+    ({"start_date": "2024-1-6"}, 2),
+    ({"start_date": "2024-1-6", "end_date": "2024-1-31"}, 1),
+    ({"end_date": "2024-01"}, 0),
+    ({"end_date": "2024"}, 0),
+    ({"start_date": "2024-11"}, 1),
+    ({"start_date": "2024"}, 3),
+    ({"start_date": " 2024-01-06T00:30:00 "}, 2),
+    ({"start_date": "2024-01-06 01:00:01"}, 1),
+    ({"end_date": "2024-1-6T01:00:00", "end_mode": "midnight"}, 2),
+    ({"end_date": "2024-1-6", "end_mode": "midnight"}, 1),
+]
+
+
+@pytest.mark.parametrize("fields, rows", SPELLINGS)
+def test_spelling_of_dates_does_not_matter(spark, tmp_path, fields, rows):
+    path = str(tmp_path / "unified")
+    writers.write_unified(_three_days(spark), path)
+    chosen, stored = Selection(**fields), readers.read_unified(spark, path)
+    raw = by_time(_three_days(spark).drop("year"), F.col("created_at_ts"), chosen)
+    kept = by_time(stored, F.col("created_at_ts"), chosen)
+    assert (raw.count(), kept.count()) == (rows, rows)
+    scan = [line for line in plan_of(kept).split("\n") if "FileScan" in line][0]
+    assert "concat_ws" in scan.split("PartitionFilters")[1]
+
+
+@pytest.mark.parametrize("text", ["soon", "2024-13-01", "2024-02-30", "01/02/2024", "2024-01-01T25:00", "2024-01-01T10:00Z", "20240101"])
+def test_unreadable_dates_are_refused(text):
+    with pytest.raises(ValueError):
+        Selection(start_date=text)
+    with pytest.raises(ValueError):
+        Selection(end_date=text)
+
+
 def test_date_filter_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "unified")
     writers.write_unified(_three_days(spark), path)
