@@ -102,12 +102,27 @@ def _folded(c: Column) -> Column:
     return F.lower(F.upper(c))
 
 
+_COMMENT = r"/\*.*?\*/"
+
+
+def _has_comment(c: Column) -> Column:
+    """Whether the comment pattern occurs.
+
+    If nothing closes the first opening mark, nothing closes a later one, so two searches do. The
+    pattern would run to the end of the text from every opening mark.
+    """
+    opened = F.position(F.lit("/*"), c)
+    return (opened > 0) & (F.position(F.lit("*/"), c, opened + 2) > 0)
+
+
 def _occurs(c: Column, pattern: str, needed: list[str]) -> Column:
     """Whether a pattern occurs, with case ignored and a dot matching newlines.
 
     It runs only on text that holds what it needs; looking for plain bytes is several times cheaper
     than a regular expression.
     """
+    if pattern == _COMMENT:
+        return _has_comment(c)
     found = c.rlike("(?isU)" + java_pattern(pattern))
     present = [_folded(c).contains(part) for part in needed]
     return reduce(lambda a, b: a | b, present) & found if present else found
@@ -265,12 +280,38 @@ def escape_html(c: Column) -> Column:
 def mask_sensitive(c: Column) -> Column:
     """Replace keys, social security numbers and e-mail addresses, in that order.
 
-    Every pattern needs one of a few marks in the text, so text without any is passed through.
+    Every pattern runs only on text with the mark it needs; other text is passed through.
     """
-    marked = (
-        c.contains("@") | c.contains("sk-") | c.contains("AKIA") | c.rlike(r"\p{Nd}-\p{Nd}{2}-")
-    )
     masked = c
     for pattern, replacement in MASKS:
-        masked = F.regexp_replace(masked, java_pattern(pattern), replacement)
-    return F.when(marked, masked).otherwise(c)
+        marked = _MARKS[pattern](masked)
+        if pattern == _MAIL:
+            found = F.regexp_replace(masked, _linear_mail_pattern(), f"$1{replacement}")
+        else:
+            found = F.regexp_replace(masked, java_pattern(pattern), replacement)
+        masked = F.when(marked, found).otherwise(masked)
+    return masked
+
+
+_KEY, _AWS_KEY, _SSN, _MAIL = (pattern for pattern, _ in MASKS)
+_MARKS = {
+    _KEY: lambda c: c.contains("sk-"),
+    _AWS_KEY: lambda c: c.contains("AKIA"),
+    _SSN: lambda c: c.rlike(r"\p{Nd}-\p{Nd}{2}-"),
+    _MAIL: lambda c: c.contains("@"),
+}
+
+
+def _linear_mail_pattern() -> str:
+    """The mail pattern, begun once per run of name characters and without going back.
+
+    As written, it would be tried from every word edge of a run that no ``@`` follows, and read to the
+    end of the run each time. All tries in a run lead to the same ``@``, so the first place with a word
+    edge decides: the first word character, with the dots and signs before it kept as group 1, or the
+    place right behind a previous match.
+    """
+    name, domain = _MAIL.removeprefix(r"\b").split("@")
+    run = java_pattern(name).removesuffix("+")
+    signs = run.replace(_WORD, "")
+    start = rf"(?:\G(?<=[{_WORD}])|(?<!{run})({signs}*+)(?=[{_WORD}]))"
+    return f"{start}{run}++@{java_pattern(domain)}"

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 import sys
+import time
 import unicodedata
 
 import pytest
@@ -183,3 +184,36 @@ def test_every_character_that_composition_changes_is_sent(spark):
     assert texts(spark, *changing).filter(~sent).count() == 0
     plain = ["curly \u201cquotes\u201d", "\u4e2d\u6587", "\u043f\u0440", "\uac01", "\U0001f600 \u2013"]
     assert texts(spark, *plain).filter(sent).count() == 0
+
+
+def test_mail_masking_equals_python_on_random_text(spark):
+    rnd = random.Random(3)
+    parts = [*"ab.+-@_ 1é", "a@b.cc", ".c", "cc", "sk-", "日", "\n", ".d@e.ff", "x@y.zz9"]
+    values = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 25))) for _ in range(4000)]
+    values += ["a." * 3000 + "@b.cc", "." * 500 + "a@b.cc.d@e.ff", "é.日@x-y.org" * 200]
+    rows = texts(spark, *values).select("id", "text", text.mask_sensitive(F.col("text")).alias("masked"))
+    for row in rows.collect():
+        expected = row.text
+        for pattern, mask in text.MASKS:
+            expected = re.sub(pattern, mask, expected)
+        assert row.masked == expected
+
+
+def test_comments_equal_python_on_random_text(spark):
+    rnd = random.Random(4)
+    values = ["".join(rnd.choice(["/*", "*/", "/", "*", " ", "é"]) for _ in range(rnd.randint(0, 8))) for _ in range(1500)]
+    rows = texts(spark, *values).select("text", text.matches_family(F.col("text"), "sql").alias("hit"))
+    for row in rows.collect():
+        assert row.hit == any(re.search(p, row.text, re.I | re.S) for p in text.SQL_PATTERNS)
+
+
+@pytest.mark.parametrize(
+    ("part", "check"),
+    [("a.", text.mask_sensitive), ("a.@", text.mask_sensitive), (" /*", text.contains_injection), ("a@b.c1", text.mask_sensitive)],
+)
+def test_time_grows_with_the_text_not_its_square(spark, part, check):
+    value = "sk- " + part * (1_000_000 // len(part))
+    rows = texts(spark, value)
+    start = time.time()
+    rows.select(check(F.col("text"))).collect()
+    assert time.time() - start < 10  # the square of a megabyte takes hours
