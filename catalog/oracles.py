@@ -540,6 +540,25 @@ def _usage(*groups: str) -> str:
     FROM model_calls GROUP BY ROLLUP ({', '.join(groups)})"""
 
 
+def _annotation_usage() -> str:
+    """Tokens of the offline scorer: a quarter of the prompt's characters, and a constant per task."""
+    told = "(" + TRANSCRIPT.replace("{turns}", "num_turns") + ")"
+    tasks = [
+        (get_template("summarization", 2), {"transcript": told, "max_words": f"'{annotate.MAX_SUMMARY_WORDS}'"}),
+        (get_template("sentiment", 1), {"conversation": told}),
+        (get_template("topic_classification", 1), {"conversation": told, "topic_list": _lit(annotate.TOPIC_LIST)}),
+    ]
+    calls = " UNION ALL ".join(
+        f"""SELECT application_channel, 'gpt-4o-mini' AS model,
+            (length({_lit(t.system)}) + length({_fill(t.user, **values)})) // 4 AS prompt_tokens,
+            {t.max_tokens * 3 // 4} AS completion_tokens FROM unified"""
+        for t, values in tasks
+    )
+    return _usage("application_channel", "model").replace(
+        with_clause("model_calls"), f"{WITH_UNIFIED.rstrip()},\nmodel_calls AS ({calls})"
+    )
+
+
 def _run_times(kind: str) -> str:
     label = kind.capitalize()
     return f"""{_with('log_records')}SELECT {kind}, count(*) AS runs,
@@ -871,13 +890,21 @@ def oracles() -> dict[str, str]:
             CASE WHEN escalated_to_agent = 1 AND thumbs_up = 0 AND thumbs_down = 1 THEN 'HIGH'
                  ELSE 'LOW' END AS llm_churn_risk,
             'Account Management' AS llm_topic, CAST(0.5 AS DOUBLE) AS llm_topic_confidence,
-            TRUE AS topic_in_list FROM unified""",
+            TRUE AS topic_in_list, CAST(NULL AS VARCHAR) AS llm_summary_call_error,
+            CAST(NULL AS VARCHAR) AS llm_sentiment_call_error,
+            CAST(NULL AS VARCHAR) AS llm_topic_call_error FROM unified""",
+        "l7_resume_retries_failures": f"""{WITH_UNIFIED}SELECT contact_id, session_id, created_at,
+              resolution_tier, thumbs_up
+            FROM unified u WHERE NOT EXISTS (SELECT 1 FROM unified d WHERE d.resolution_tier = 'HIGH'
+              AND d.thumbs_up <> 1 AND d.contact_id = u.contact_id AND d.session_id = u.session_id
+              AND d.created_at = u.created_at)""",
         "l7_resume": f"""{WITH_UNIFIED}SELECT contact_id, session_id, created_at, resolution_tier
             FROM unified u WHERE NOT EXISTS (SELECT 1 FROM unified d WHERE d.resolution_tier = 'HIGH'
               AND d.contact_id = u.contact_id AND d.session_id = u.session_id
               AND d.created_at = u.created_at)""",
         "l8_call_cost": _from("model_calls", f"call_id, model, display({COST}, 6) AS cost_usd"),
         "l9_usage_by_model": _usage("model"),
+        "l9_usage_of_annotation": _annotation_usage(),
         "l9_usage_by_session": _usage("session_id", "model"),
         "l10_insight_prompt": f"""SELECT document, {_lit(get_template('insight').system)} AS "system",
             {_fill(get_template('insight').user, time_period="'January 2024'", metrics_json='document')}

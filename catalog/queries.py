@@ -801,7 +801,7 @@ def l6_topic_replies(spark, sf):
 
 
 def _annotations(rows: DataFrame) -> DataFrame:
-    names = [c for c in rows.columns if c.startswith("llm_")]
+    names = [c for c in rows.columns if c.startswith("llm_") and c != "llm_usage"]
     return rows.select(*schemas.KEYS, "created_at", "topic_in_list", *names)
 
 
@@ -812,7 +812,9 @@ def l7_annotate(spark, sf):
 
 @_query
 def l7_annotate_shared_replies(spark, sf):
-    return _annotations(annotate.annotate(_unified(spark, sf), share_replies=True))
+    path = scratch_folder(spark, "unified")
+    writers.write_unified(_unified(spark, sf), path)
+    return _annotations(annotate.annotate(readers.read_unified(spark, path), share_replies=True))
 
 
 @_query
@@ -823,6 +825,16 @@ def l7_resume(spark, sf):
     return annotate.not_yet_annotated(rows, done, keys).select(*keys, "resolution_tier")
 
 
+@_query
+def l7_resume_retries_failures(spark, sf):
+    """Of the rows done before, those with a failed call come back."""
+    keys = [*schemas.KEYS, "created_at"]
+    rows = _unified(spark, sf)
+    failed = F.when(F.col("thumbs_up") == 1, "timeout").alias("llm_sentiment_call_error")
+    done = rows.filter(F.col("resolution_tier") == "HIGH").select(*keys, failed)
+    return annotate.not_yet_annotated(rows, done, keys).select(*keys, "resolution_tier", "thumbs_up")
+
+
 @_query
 def l8_call_cost(spark, sf):
     priced = cost.price_calls(derived_table(spark, sf, "model_calls"))
@@ -834,6 +846,13 @@ def l9_usage_by_model(spark, sf):
     return cost.usage_summary(derived_table(spark, sf, "model_calls"))
 
 
+@_query
+def l9_usage_of_annotation(spark, sf):
+    annotated = annotate.annotate(_unified(spark, sf))
+    calls = annotate.usage_calls(annotated, "gpt-4o-mini", "application_channel")
+    return cost.usage_summary(calls, "application_channel")
+
+
 @_query
 def l9_usage_by_session(spark, sf):
     return cost.usage_summary(derived_table(spark, sf, "model_calls"), "session_id")

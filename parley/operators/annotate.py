@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,9 +18,10 @@ from parley.functions.prompts import PromptTemplate, fill_template, get_template
 from parley.operators.joins import spread_join
 from parley.sources.schemas import TOPICS
 
-# A scorer answers (task, messages, max_tokens, temperature) with the reply text, or with None when
-# there is no reply. A factory makes one scorer per task process, so that a client is opened once.
-Scorer = Callable[[str, "list[dict[str, str]]", int, float], "str | None"]
+# A scorer answers (task, messages, max_tokens, temperature) with the reply text, with None when there
+# is no reply, or with a tuple of the text and the tokens of prompt and reply. A factory makes one
+# scorer per task process, so that a client is opened once.
+Scorer = Callable[[str, "list[dict[str, str]]", int, float], "str | tuple[str, int, int] | None"]
 ScorerFactory = Callable[[], Scorer]
 
 # Stand-ins for missing fields of a row.
@@ -116,46 +119,67 @@ def with_messages(df: DataFrame, templates: Templates | None = None) -> DataFram
     )
 
 
+TASKS = ["summary", "sentiment", "topic"]
 _REPLY_SCHEMA = T.StructType(
-    [T.StructField(name, T.StringType()) for name in ("summary", "sentiment", "topic", "error")]
+    [
+        T.StructField(f"{task}{part}", kind)
+        for task in TASKS
+        for part, kind in (
+            ("", T.StringType()),
+            ("_error", T.StringType()),
+            ("_prompt_tokens", T.LongType()),
+            ("_completion_tokens", T.LongType()),
+        )
+    ]
 )
+# Columns of an annotated row that tell which calls failed; a row without any is finished.
+CALL_ERRORS = [f"llm_{task}_call_error" for task in TASKS]
 
 
 def ask_model(
-    scorer_factory: ScorerFactory, templates: Templates | None = None
+    scorer_factory: ScorerFactory, templates: Templates | None = None, in_flight: int = 10
 ) -> Callable[[Column], Column]:
-    """Column function from transcript to the raw reply of every task.
+    """Column function from transcript to the raw reply of every task, its error and its tokens.
 
-    Only the transcript travels to Python; the fixed prompt text is filled in there. A call that
-    raises leaves a null reply, and for the summary an error text, on a row that is kept. The
-    function is marked non-deterministic, so that the optimizer never calls the model twice for one
-    row; a retried task does, so a scorer must be safe to repeat.
+    Only the transcript travels to Python; the fixed prompt text is filled in there. A task process
+    keeps up to ``in_flight`` calls under way in threads, so a scorer has to be safe to call from
+    several at once. A call that raises leaves a null reply and an error text, on a row that is kept.
+    The function is marked non-deterministic, so that the optimizer never calls the model twice for
+    one row; a retried task does, so a scorer must be safe to repeat.
     """
     prepared = [
-        (task, template.key, template.max_tokens, template.temperature,
+        (template.key, template.max_tokens, template.temperature,
          template.render_text(**constants, **{slot: "${transcript}"}))
-        for task, (template, constants, slot) in _requests(templates).items()
+        for template, constants, slot in _requests(templates).values()
     ]
+    names = _REPLY_SCHEMA.names
 
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = scorer_factory()
-        for transcripts in batches:
-            answers = {name: [] for name in ("summary", "sentiment", "topic", "error")}
-            for text in transcripts:
-                error = None
-                for task, key, max_tokens, temperature, prompt in prepared:
-                    messages = [
-                        {"role": role, "content": prompt[role].replace("${transcript}", text)}
-                        for role in ("system", "user")
-                    ]
-                    try:
-                        reply = scorer(key, messages, max_tokens, temperature)
-                    except Exception as problem:  # noqa: BLE001 - any client failure is data here
-                        reply = None
-                        error = str(problem) if task == "summary" else error
-                    answers[task].append(reply)
-                answers["error"].append(error)
-            yield pd.DataFrame(answers)
+
+        def call(text: str, request: tuple) -> tuple:
+            key, max_tokens, temperature, prompt = request
+            messages = [
+                {"role": role, "content": prompt[role].replace("${transcript}", text)}
+                for role in ("system", "user")
+            ]
+            try:
+                reply = scorer(key, messages, max_tokens, temperature)
+            except Exception as problem:  # noqa: BLE001 - any client failure is data here
+                return None, str(problem) or type(problem).__name__, None, None
+            if isinstance(reply, tuple):
+                return reply[0], None, reply[1], reply[2]
+            return reply, None, None, None
+
+        with ThreadPoolExecutor(max(1, in_flight)) as pool:
+            for transcripts in batches:
+                pairs = [(text, request) for text in transcripts for request in prepared]
+                answers = list(pool.map(lambda pair: call(*pair), pairs))
+                rows = [
+                    [cell for answer in answers[at : at + len(prepared)] for cell in answer]
+                    for at in range(0, len(answers), len(prepared))
+                ]
+                yield pd.DataFrame(rows, columns=names, dtype=object)
 
     # annotations are resolved by name in this module, which workers may not have
     ask.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
@@ -193,46 +217,79 @@ def parse_replies(
 def annotate(
     df: DataFrame,
     scorer_factory: ScorerFactory | None = None,
-    concurrency: int = 0,
+    concurrency: int = 10,
     share_replies: bool = False,
     templates: Templates | None = None,
 ) -> DataFrame:
     """Every input row with its ``llm_*`` columns.
 
-    ``concurrency`` spreads the requests evenly over that many scorers, to set the call rate; 0
-    leaves them where they are. ``share_replies`` asks once per distinct transcript and gives rows
-    with the same transcript the same reply. Transcripts name a channel, a response type, a score
-    of two decimals, a number of turns and two outcomes, so there are far fewer of them than rows.
-    ``templates`` replaces the prompts of the summary, sentiment or topic task.
+    ``concurrency`` is the number of calls each task keeps under way; rows stay in the partitions they
+    are in. ``share_replies`` asks once per distinct transcript and gives rows with the same transcript
+    the same reply. Transcripts name a channel, a response type, a score of two decimals, a number of
+    turns and two outcomes, so there are far fewer of them than rows; ``df`` is then read twice and
+    should be a stored table. ``templates`` replaces the prompts of the summary, sentiment or topic
+    task.
+
+    ``llm_summary_call_error`` and its like say why a call failed, and ``llm_usage`` lists the tokens
+    of the calls whose scorer reports them. Under ``share_replies`` the tokens stand on every row that
+    shares a reply, though they were used once.
     """
     told = df.withColumn("__transcript", transcript(df))
     requests = told.select("__transcript").distinct() if share_replies else told
-    if concurrency:
-        requests = requests.repartition(concurrency)
-    ask = ask_model(scorer_factory or offline_scorer(), templates)
+    ask = ask_model(scorer_factory or offline_scorer(), templates, concurrency)
     asked = requests.withColumn("__reply", ask(F.col("__transcript")))
     if share_replies:
         asked = spread_join(told, asked, ["__transcript"], "left")
     flat = asked.withColumns(
         {f"__{name}": F.col(f"__reply.{name}") for name in _REPLY_SCHEMA.names}
     )
-    parsed = parse_replies(flat, "__summary", "__sentiment", "__topic", "__error")
-    return parsed.drop("__transcript", "__reply", *[f"__{name}" for name in _REPLY_SCHEMA.names])
+    parsed = parse_replies(flat, "__summary", "__sentiment", "__topic", "__summary_error")
+    usage = F.array(
+        *[
+            F.struct(
+                F.lit(task).alias("task"),
+                F.col(f"__{task}_prompt_tokens").alias("prompt_tokens"),
+                F.col(f"__{task}_completion_tokens").alias("completion_tokens"),
+            )
+            for task in TASKS
+        ]
+    )
+    known = F.filter(usage, lambda call: call["prompt_tokens"].isNotNull())
+    errors = {f"llm_{task}_call_error": F.col(f"__{task}_error") for task in TASKS}
+    return parsed.withColumns({**errors, "llm_usage": known}).drop(
+        "__transcript", "__reply", *[f"__{name}" for name in _REPLY_SCHEMA.names]
+    )
+
+
+def usage_calls(annotated: DataFrame, model: str, *keep: str) -> DataFrame:
+    """One row per call whose tokens are known, as the cost operators take them: ``keep``, task, model
+    and tokens."""
+    return annotated.select(*keep, F.explode("llm_usage").alias("__call")).select(
+        *keep, "__call.task", F.lit(model).alias("model"), "__call.prompt_tokens", "__call.completion_tokens"
+    )
 
 
 def not_yet_annotated(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key is not among the finished ones, to resume an interrupted run."""
-    return spread_join(df, done.select(*keys).distinct(), keys, "left_anti")
+    """Rows whose key is not among the finished ones, to resume an interrupted run.
+
+    A row of ``done`` is finished if none of its calls failed, as far as it tells.
+    """
+    told = [F.col(c).isNull() for c in CALL_ERRORS if c in done.columns]
+    finished = done.filter(reduce(lambda a, b: a & b, told)) if told else done
+    return spread_join(df, finished.select(*keys).distinct(), keys, "left_anti")
 
 
 def offline_scorer() -> ScorerFactory:
-    """A scorer without a network: fixed rules over the transcript, for dry runs and tests."""
+    """A scorer without a network: fixed rules over the transcript, for dry runs and tests.
+
+    It reports a token for every four characters of the prompt, and three quarters of the tokens a
+    reply may have at most.
+    """
 
     def make() -> Scorer:
-        def score(key: str, messages: list[dict], max_tokens: int, temperature: float) -> str:
+        def answer(key: str, messages: list[dict], max_tokens: int, temperature: float) -> str:
             user = messages[-1]["content"]
-            escalated = "escalated to a human agent" in user
-            unhappy = "thumbs down" in user
+            escalated, unhappy = ESCALATED in user, THUMBS_DOWN in user
             if key == "summarization":
                 return json.dumps(
                     {
@@ -254,6 +311,10 @@ def offline_scorer() -> ScorerFactory:
                 )
             return json.dumps({"topic": "Account Management", "confidence": 0.5})
 
+        def score(key: str, messages: list[dict], max_tokens: int, temperature: float) -> tuple:
+            size = sum(len(message["content"]) for message in messages)
+            return answer(key, messages, max_tokens, temperature), size // 4, max_tokens * 3 // 4
+
         return score
 
     return make

@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.operators.annotate import ScorerFactory, Templates, annotate, not_yet_annotated
+from parley.operators.annotate import (
+    CALL_ERRORS,
+    ScorerFactory,
+    Templates,
+    annotate,
+    not_yet_annotated,
+)
 from parley.operators.joins import spread_join
 from parley.operators.quality import all_sources_report, enforce
 from parley.operators.unify import unify
@@ -60,25 +66,26 @@ def annotate_job(
     limit: int = 0,
     done_paths: list[str] | None = None,
     keys: list[str] | None = None,
-    concurrency: int = 0,
+    concurrency: int = 10,
     share_replies: bool = False,
     templates: Templates | None = None,
 ) -> None:
     """Annotate rows of the unified table and write them as JSON lines.
 
-    ``done_paths`` are the outputs of earlier runs, whose rows are skipped by ``keys``; ``out`` has to
-    be another folder. ``limit`` counts keys: rows that share one are annotated together, so that a
+    ``done_paths`` are the outputs of earlier runs, whose rows are skipped by ``keys`` unless one of
+    their calls failed; ``out`` has to be another folder. ``limit`` counts keys: rows that share one are annotated together, so that a
     later run misses none.
-    ``concurrency`` sets how many scorers run at a time; 0 leaves that to the input's partitions.
+    ``concurrency`` sets how many calls each task keeps under way.
     """
     keys = keys or ["contact_id", "session_id", "created_at"]
     rows = read_unified(spark, unified_path)
     if done_paths:
         if out in done_paths:
             raise ValueError(f"{out} holds finished rows and would be overwritten")
-        # naming the key fields spares a pass over the finished rows to infer all of theirs
-        key_fields = T.StructType([rows.schema[key] for key in keys])
-        rows = not_yet_annotated(rows, spark.read.schema(key_fields).json(done_paths), keys)
+        # naming the fields spares a pass over the finished rows to infer all of theirs
+        errors = [T.StructField(name, T.StringType()) for name in CALL_ERRORS]
+        fields = T.StructType([*[rows.schema[key] for key in keys], *errors])
+        rows = not_yet_annotated(rows, spark.read.schema(fields).json(done_paths), keys)
     if limit:
         chosen = sample_rows(rows.select(*keys).distinct(), limit, keys)
         rows = spread_join(rows, chosen, keys, "left_semi")

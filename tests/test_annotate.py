@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,11 +145,64 @@ def test_one_scorer_per_task_and_one_call_per_request(spark):
         return score
 
     rows = turns(spark, *[{"session_id": str(i)} for i in range(20)]).repartition(2)
-    out = annotate.annotate(rows, factory)
+    out = annotate.annotate(rows, factory, concurrency=1)
     out.filter(F.col("llm_topic").isNull()).collect()
     assert calls.value == 60 and made.value == 2
 
 
+def test_calls_run_side_by_side_in_order(spark):
+    def factory():
+        def score(key, messages, max_tokens, temperature):
+            time.sleep(0.05)
+            return f'{{"summary": "{messages[-1]["content"].count("Kiosk")}", "topic": "x"}}'
+
+        return score
+
+    rows = turns(spark, *[{"session_id": str(i), "application_channel": "Kiosk" if i % 3 else "Web"} for i in range(80)])
+    stored = rows.repartition(4).cache()
+    stored.count()
+    annotate.annotate(stored.limit(1), factory).collect()
+    start = time.time()
+    out = annotate.annotate(stored, factory, concurrency=4).collect()
+    assert time.time() - start < 4  # one after the other the calls of a task take 3 s, of all 12 s
+    assert len(out) == 80
+    assert all(r.llm_summary == ("1" if int(r.session_id) % 3 else "0") for r in out)
+
+
+def test_failed_calls_are_retried_on_resume(spark):
+    def failing(only):
+        def factory():
+            def score(key, messages, max_tokens, temperature):
+                if key in only:
+                    raise RuntimeError(f"no {key}")
+                return "{}"
+
+            return score
+
+        return factory
+
+    rows = turns(spark, {"session_id": "a"}, {"session_id": "b"})
+    keys = ["contact_id", "session_id", "created_at"]
+    for only, left in ((["summarization", "sentiment", "topic_classification"], 2), (["sentiment"], 2), ([], 0)):
+        done = annotate.annotate(rows, failing(only)).cache()
+        assert annotate.not_yet_annotated(rows, done, keys).count() == left
+    row = annotate.annotate(rows, failing(["sentiment"])).first()
+    assert (row.llm_summary_call_error, row.llm_sentiment_call_error, row.llm_topic_call_error) == (None, "no sentiment", None)
+    assert row.llm_usage == []
+
+
+def test_reported_tokens_can_be_priced(spark):
+    def factory():
+        return lambda key, messages, max_tokens, temperature: ("{}", 1000, 500 if key == "sentiment" else 0)
+
+    calls = annotate.usage_calls(annotate.annotate(turns(spark, {}), factory), "gpt-4o", "session_id")
+    assert sorted((r.task, r.prompt_tokens, r.completion_tokens) for r in calls.collect()) == [
+        ("sentiment", 1000, 500), ("summary", 1000, 0), ("topic", 1000, 0),
+    ]
+    total = cost.usage_summary(calls).filter("model = 'ALL'").first()
+    assert (total.calls, total.total_tokens, total.cost_usd) == (3, 3500, 0.0225)
+
+
 def test_own_template(spark):
     def factory():
         return lambda key, messages, max_tokens, temperature: '{"summary": "%s %d"}' % (
@@ -170,7 +225,7 @@ def test_shared_replies_ask_once_per_transcript(spark):
         return score
 
     rows = turns(spark, *[{"session_id": str(i), "thumbs_up": i % 2} for i in range(20)])
-    out = annotate.annotate(rows, factory, share_replies=True).collect()
+    out = annotate.annotate(rows, factory, concurrency=1, share_replies=True).collect()
     assert calls.value == 6
     assert {(int(r.session_id) % 2, r.llm_summary) for r in out} == {(0, None), (1, "up")}
     assert len(out) == 20 and set(out[0].asDict()) >= set(rows.columns)
