@@ -1,7 +1,7 @@
 """Data-quality checks: a declarative rule set per source, evaluated into one table of results.
 
 Per source there are two aggregations: one pass that computes every row-level measure together, and
-one grouping for duplicates. The checks never launch jobs of their own.
+one grouping for duplicates. Only the check for duplicates runs a job when it is set up.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from parley.functions.casts import as_double, as_timestamp
 from parley.functions.rounding import display
+from parley.operators.joins import spread_join
 from parley.sources.schemas import (
     BUSINESS_UNITS,
     CHANNELS,
@@ -227,26 +228,61 @@ def _category_result(measures: _Measures, column: str, allowed: list[str]) -> Co
     )
 
 
+# Up to this many repeated digests are broadcast to find their rows; 16 bytes each.
+MANY_REPEATED = 1 << 20
+
+
+def _digest(columns: list[str]) -> dict[str, Column]:
+    """128 bits of a row; which columns are null counts as well."""
+    cells = [part for c in columns for part in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return {f"__d{seed}": F.xxhash64(F.lit(seed), *cells) for seed in (1, 2)}
+
+
+def _distinct_among(df: DataFrame, groups: DataFrame) -> DataFrame | None:
+    """The number of distinct rows among those that share a digest, or None if none do.
+
+    Equal digests are no proof, so these rows, and no others, are grouped by all their columns. A job
+    counts the repeated digests first: few are broadcast, and the table is only read; beyond
+    ``MANY_REPEATED`` it has to be shuffled.
+    """
+    repeated = groups.filter("__copies > 1").select("__d1", "__d2").distinct()
+    found = repeated.limit(MANY_REPEATED + 1).count()
+    if not found:
+        return None
+    rows = df.withColumns(_digest(df.columns))
+    if found <= MANY_REPEATED:
+        rows = rows.join(F.broadcast(repeated), ["__d1", "__d2"], "left_semi")
+    else:
+        rows = spread_join(rows, repeated, ["__d1", "__d2"], "left_semi")
+    return rows.groupBy(*df.columns).agg(F.lit(1).alias("__one")).agg(F.count("*").alias("distinct"))
+
+
 def duplicate_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
     """Surplus copies of whole rows, and number of keys held by more than one row.
 
-    Rows are first grouped by all their columns, where copies collapse map-side, and the grouped
-    rows then by key. Both answers come from that chain, with one read of the table; a key or a row
-    that makes up much of the table is reduced before it is shuffled. Null keys form a group.
+    Rows are grouped by key and a digest of the whole row, where copies collapse map-side, and these
+    groups by key; so only keys and digests are shuffled, and a key or a row that makes up much of the
+    table is reduced before. The answer is exact, see ``_distinct_among``. Null keys form a group. A
+    job runs when the check is set up, to see whether any row may be repeated.
     """
     keys = [c for c in rules.keys if c in df.columns]
-    distinct_rows = df.groupBy(*df.columns).agg(F.count("*").alias("__copies"))
-    if keys:
-        distinct_rows = distinct_rows.groupBy(*keys).agg(
-            F.sum("__copies").alias("__copies"), F.count("*").alias("__distinct")
-        )
-    else:
-        distinct_rows = distinct_rows.withColumn("__distinct", F.lit(1))
-    totals = distinct_rows.agg(
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum("__copies") - F.sum("__distinct"), F.lit(0)).alias("surplus"),
-        F.count_if(F.col("__copies") > 1).alias("repeated"),
+    narrow = df.select(*keys, *[c.alias(name) for name, c in _digest(df.columns).items()])
+    groups = narrow.groupBy(*keys, "__d1", "__d2").agg(F.count("*").alias("__copies"))
+    single = F.count_if(F.col("__copies") == 1).alias("__single")
+    # Without keys each group of equal digests stands for itself.
+    by_key = groups.groupBy(*(keys or ["__d1", "__d2"])).agg(
+        F.sum("__copies").alias("__rows"), single
+    )
+    totals = by_key.agg(
+        F.coalesce(F.sum("__rows"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum("__single"), F.lit(0)).alias("distinct"),
+        F.count_if(F.col("__rows") > 1).alias("repeated"),
     )
+    if (others := _distinct_among(df, groups)) is not None:
+        totals = totals.unionByName(others, allowMissingColumns=True).agg(
+            *[F.sum(c).alias(c) for c in ("total", "distinct", "repeated")]
+        )
+    totals = totals.select("total", (F.col("total") - F.col("distinct")).alias("surplus"), "repeated")
     surplus, repeated = F.col("surplus"), F.col("repeated")
     share = F.coalesce(F.try_divide(surplus, F.col("total")), F.lit(0.0))
     results = [

@@ -8,7 +8,7 @@ from parley.operators.filters import Selection
 from parley.plans.dashboard import dashboard_job
 from parley.plans.jobs import annotate_job, daily_job, quality_job, unify_job
 from parley.sources import writers
-from tests.helpers import clicks, sessions, turns
+from tests.helpers import clicks, plan_of, sessions, turns
 
 
 def _results(report):
@@ -162,3 +162,33 @@ def test_dashboard_job(spark, tmp_path, keep):
     assert [r.volume for r in tables["topic_table"]] == [2]
     assert tables["headline"][0].avg_confidence == 0.8
     assert {r.value for r in tables["filter_options"] if r.option == "business_unit"} == {"Retail", "Travel"}
+
+
+@pytest.mark.parametrize("forced", [False, True])
+@pytest.mark.parametrize("many", [1 << 20, 0])
+def test_duplicates_are_exact_whatever_the_digest(spark, monkeypatch, forced, many):
+    """Also if every row has the same digest, and if too many repeat to be broadcast."""
+    if forced:
+        monkeypatch.setattr(quality, "_digest", lambda columns: {"__d1": F.lit(1).cast("long"), "__d2": F.lit(2).cast("long")})
+    monkeypatch.setattr(quality, "MANY_REPEATED", many)
+    rows = [{"session_id": str(i % 7), "topic_name": None if i % 3 else "x", "thumbs_up": i % 2} for i in range(60)]
+    rows += [{"contact_id": None, "session_id": None}] * 3 + [{"topic_name": None, "business_unit": "Web"}, {"topic_name": "Web", "business_unit": None}]
+    df = turns(spark, *rows)
+    found = _results(quality.duplicate_checks(df, quality.CHATBOT_RULES))
+    assert found["duplicate_rows", None].observed == df.count() - df.distinct().count()
+    keys = df.groupBy("contact_id", "session_id").count().filter("count > 1").count()
+    assert found["duplicate_keys", "contact_id, session_id"].observed == keys
+
+
+def test_no_exchange_carries_whole_rows(spark):
+    alone = plan_of(quality.duplicate_checks(turns(spark, {}, {"session_id": "s2"}), quality.CHATBOT_RULES))
+    assert "handle_seconds_dur" not in "".join(x for x in alone.split("\n") if "Exchange" in x)
+    some = plan_of(quality.duplicate_checks(turns(spark, {}, {}, {"session_id": "s2"}), quality.CHATBOT_RULES))
+    assert "BroadcastHashJoin [__d1" in some and "LeftSemi" in some  # whole rows move only behind this
+
+
+def test_duplicates_without_keys_or_rows(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "x int")
+    found = _results(quality.duplicate_checks(df, quality.CHATBOT_RULES))
+    assert found["duplicate_rows", None].observed == 1
+    assert _results(quality.duplicate_checks(df.limit(0), quality.CHATBOT_RULES))["duplicate_rows", None].observed == 0
