@@ -47,7 +47,10 @@ def windowed_kpis(
 def write_windows(results: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Write closed windows until the input is drained.
 
-    Each micro-batch has a folder of its own, which a repeated batch replaces.
+    Each micro-batch has a folder of its own, which a repeated batch replaces. A window closes when a
+    later turn moves the watermark past its end, so the last windows of the input are not written by
+    this run: they stay in the checkpoint and come out of a later run, once there are newer turns. For
+    a complete answer over what has arrived, run the same measures as a batch.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
