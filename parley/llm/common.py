@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,9 +24,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_folder(spark, label)
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished jobs, which it does when the driver collects
+    garbage; a driver with little to do may not for hours, while executor disks fill up."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; an empty array for null, empty or blank text."""
     bare = F.btrim(text, F.lit(SPACES))

@@ -20,7 +20,7 @@ KIND = windows.Tokens(
     LENGTH,
     GRAM,
     tokens=windows.split_words,
-    hashes=windows.word_hashes,
+    hashes=lambda text: windows.word_hashes(text.encode()),
     cut=lambda found, a, b: b" ".join(found[a:b]),
 )
 
@@ -103,7 +103,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     known = windows.corpus(docs, doc_id, text)
     repeats = windows.repeated_windows(known, KIND, factors, within=False)
-    return windows.per_document(known, windows.cut_texts(known, repeats, KIND, _keep), LENGTH)
+    return windows.per_document(known, windows.cut_texts(known, repeats, KIND, _keep), KIND, _keep)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

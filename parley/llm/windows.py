@@ -28,16 +28,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import written
+from parley.llm.common import release, written
 from parley.session import scratch_folder
 
-LAST_ID = 2**63 - 1
+#: Rows without an id get one of these places, from ``NO_ID`` on.
+NO_ID, NO_ID_PLACES = 1 << 62, 1 << 20
 BUCKET_BYTES, MAX_BUCKETS = 16 << 20, 1 << 17
 #: Windows taken at a time; a place in them and the hash of a gram share 64 bits.
 CHUNK, PLACE_BITS = 1 << 16, 18
-BLOCK_TOKENS = 4 << 20
+BLOCK_BYTES = 1 << 20
 SLICE_ROWS = 64
-CACHED_WORDS = 500_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _PLACES = np.uint64((1 << PLACE_BITS) - 1)
@@ -50,51 +50,65 @@ class Tokens:
     length: int
     gram: int
     tokens: Callable[[str], Sequence]
-    hashes: Callable[[Sequence], np.ndarray]
+    hashes: Callable[[str], np.ndarray]
     cut: Callable[[Sequence, int, int], bytes]
 
 
-class _WordHashes(dict):
-    """A worker's cache of the 64-bit hashes of words."""
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * _M1
+    x = (x ^ (x >> np.uint64(29))) * _M2
+    return x ^ (x >> np.uint64(32))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        self[word] = value
-        return value
 
+class _Powers:
+    """Powers of an odd number and of its inverse, modulo 2^64, as many as were asked for so far."""
 
-_HASHES = _WordHashes()
+    base = 0x2545F4914F6CDD1D
 
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
 
-def split_words(text: str) -> list[bytes]:
-    """The words, parted by ASCII white space: the only kind that bytes are split at."""
-    return text.encode().split()
+    def upto(self, count: int) -> tuple[np.ndarray, np.ndarray]:
+        if count > len(self.up):
+            size = 1 << (count - 1).bit_length()
+            self.up, self.down = (self._row(f, size) for f in (self.base, pow(self.base, -1, 1 << 64)))
+        return self.up[:count], self.down[:count]
 
+    @staticmethod
+    def _row(factor: int, size: int) -> np.ndarray:
+        row = np.full(size, np.uint64(factor))
+        row[0] = 1
+        return np.multiply.accumulate(row)
 
-def word_hashes(found: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
 
+_POWERS = _Powers()
+_OF_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * _M1)
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+LONG_WORD = 512
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * _M1
-    x = (x ^ (x >> np.uint64(29))) * _M2
-    return x ^ (x >> np.uint64(32))
 
+def split_words(text: str) -> list[bytes]:
+    """The words, parted by ASCII white space: the only kind that bytes are split at."""
+    return text.encode().split()
 
-def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
-    base = 0x2545F4914F6CDD1D
-    inverse = pow(base, -1, 1 << 64)
-    out = []
-    for factor in (base, inverse):
-        p = np.full(count, np.uint64(factor))
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
 
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash for each word of a text in UTF-8.
 
-_POWERS, _INVERSES = _powers(CHUNK + 4096)
+    All words are hashed at once, as sums over their bytes of powers of an odd number. Words of more
+    than ``LONG_WORD`` bytes, where such sums could be made to agree, get a hash of another kind.
+    """
+    bytes_ = np.frombuffer(data, np.uint8)
+    edges = np.diff(np.concatenate(([True], _IS_SPACE[bytes_], [True])).astype(np.int8))
+    start, end = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+    up, down = _POWERS.upto(len(bytes_) + 1)
+    sums = np.zeros(len(bytes_) + 1, np.uint64)
+    np.cumsum(_OF_BYTE[bytes_] * up[:-1], out=sums[1:])
+    out = mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _M2)
+    for i in np.flatnonzero(end - start > LONG_WORD).tolist():
+        out[i] = int.from_bytes(blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+    return out
 
 
 def gram_hashes(tokens: np.ndarray, gram: int) -> np.ndarray:
@@ -125,15 +139,17 @@ def anchors(tokens: np.ndarray, length: int, gram: int, grams: np.ndarray | None
         places = (_sliding_least(keyed, length - gram + 1) & _PLACES).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
         count = np.diff(np.append(first, len(places)))
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(part + _M1) * _POWERS[: len(part)])))
+        up, down = _POWERS.upto(CHUNK + length)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(part + _M1) * up[: len(part)])))
         ends = first + count + length - 1
-        stretch = mixed((sums[ends] - sums[first]) * _INVERSES[first] + count.astype(np.uint64))
+        stretch = mixed((sums[ends] - sums[first]) * down[first] + count.astype(np.uint64))
         found.append((g[places[first]], stretch, first + at, count))
     return tuple(np.concatenate(c) for c in zip(*found)) if found else None
 
 
 class Corpus(NamedTuple):
-    """``rows``: a narrow row per document; ``texts``: the first document of each text, in buckets."""
+    """``rows``: a narrow row per document; ``texts``: the first document of each text, in buckets by
+    ``doc`` (its id), with the number of its rows. ``tie`` tells apart the texts of one id."""
 
     rows: DataFrame
     texts: DataFrame
@@ -141,34 +157,47 @@ class Corpus(NamedTuple):
 
 
 def corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Corpus:
-    """Brings equal texts together. A null id comes last; ``tie`` tells apart rows of one id."""
+    """Brings equal texts together.
+
+    Rows without an id come after all others, in the order of a hash. Ids from 2^62 on are not
+    supported.
+    """
     given = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    id_ = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LAST_ID))
-    digest = F.sha2(given, 256)
-    keyed = docs.select(
-        id_.alias("doc"), F.conv(F.substring(digest, 1, 7), 16, 10).cast("int").alias("tie"), digest.alias("digest"), given.alias("text")
-    )
-    rows = written(
-        docs.select(
-            F.col(f"`{doc_id}`").alias("doc_id"), id_.alias("doc"), digest.alias("digest"), F.octet_length(given).cast("long").alias("bytes")
-        ),
-        "window-rows",
-    )
+    own = F.col(f"`{doc_id}`").cast("long")
+    doc = F.coalesce(own, F.lit(NO_ID) + F.pmod(F.xxhash64(given), F.lit(NO_ID_PLACES))).alias("doc")
+    digest = F.sha2(given, 256).alias("digest")
+    size = F.octet_length(given).cast("long").alias("bytes")
+    rows = written(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), doc, digest, size), "window-rows")
     total = rows.agg(F.sum("bytes")).first()[0] or 0
     buckets = min(MAX_BUCKETS, max(1, -(-total // BUCKET_BYTES)))
-    firsts = rows.groupBy("digest").agg(F.min("doc").alias("doc"))
-    # Two digests may start alike under one id; they stay apart by their text in all later steps.
-    chosen = keyed.join(firsts, ["doc", "digest"]).dropDuplicates(["doc", "digest"])
-    name = f"window_texts_{uuid.uuid4().hex}"
+
+    same = rows.groupBy("digest", "doc").agg(F.count("*").alias("times"))
+    firsts = same.groupBy("digest").agg(F.min(F.struct("doc", "times")).alias("f")).select("digest", "f.*")
+    tie = F.row_number().over(Window.partitionBy("doc").orderBy("digest")) - 1
+    of_id = (
+        firsts.withColumn("tie", tie)
+        .groupBy("doc")
+        .agg(F.collect_list(F.struct("digest", "tie", "times")).alias("chosen"))
+    )
+    # The text is shuffled once, into the buckets of the table it is written to.
+    found = (
+        docs.select(doc, digest, given.alias("text"))
+        .repartition(buckets, "doc")
+        .join(of_id.repartition(buckets, "doc"), "doc")
+        .withColumn("chosen", F.get(F.filter("chosen", lambda x: x["digest"] == F.col("digest")), F.lit(0)))
+        .where("chosen IS NOT NULL")
+        .select("doc", "chosen.tie", "digest", "chosen.times", "text")
+        .dropDuplicates(["doc", "digest"])
+    )
+    spark, name = docs.sparkSession, f"window_texts_{uuid.uuid4().hex}"
     (
-        chosen.select("doc", "tie", "digest", "text")
-        .repartition(buckets, "doc", "tie")
-        .write.option("path", scratch_folder(docs.sparkSession, "window-texts"))
-        .bucketBy(buckets, "doc", "tie")
+        found.write.option("path", scratch_folder(spark, "window-texts"))
+        .bucketBy(buckets, "doc")
         .sortBy("doc", "tie")
         .saveAsTable(name)
     )
-    return Corpus(rows, docs.sparkSession.table(name), buckets)
+    release(spark)
+    return Corpus(rows, spark.table(name), buckets)
 
 
 ANCHOR = "h long, s long, doc long, tie int, start int, n int, more array<int>"
@@ -199,7 +228,7 @@ def anchor_rows(texts: DataFrame, kind: Tokens) -> DataFrame:
                 part = batch.slice(at, SLICE_ROWS)
                 docs, ties, found = part.column(0).to_numpy(), part.column(1).to_numpy(), []
                 for i, text in enumerate(part.column(2).to_pylist()):
-                    rows = anchors(kind.hashes(kind.tokens(text)), kind.length, kind.gram)
+                    rows = anchors(kind.hashes(text), kind.length, kind.gram)
                     if rows is not None:
                         h, s, start, n, count, more = first_in_text(*rows)
                         found.append((h, s, np.full(len(h), docs[i]), np.full(len(h), ties[i]), start, n, count, more))
@@ -219,7 +248,8 @@ def anchor_rows(texts: DataFrame, kind: Tokens) -> DataFrame:
 
 
 def repeats_and_questions(rows: DataFrame, within: bool) -> DataFrame:
-    """Anchor rows that matter: repeats (``again``) of an earlier equal stretch, and questions.
+    """Anchor rows that matter: repeats (``again``) of an earlier equal stretch, and questions, the rows
+    with a minimizer ``h``.
 
     ``within`` tells whether a repeat inside one document counts; then the places in ``more`` are
     repeats in any case.
@@ -233,8 +263,9 @@ def repeats_and_questions(rows: DataFrame, within: bool) -> DataFrame:
         .withColumn("varied", F.min("s").over(by_gram) != F.max("s").over(by_gram))
     )
     inner = F.col("more").isNotNull() if within else F.lit(False)
+    asked = F.when(F.col("varied") & ~F.col("again"), F.col("h"))
     return marked.where(F.col("again") | F.col("varied") | inner).select(
-        "h", "doc", "tie", "start", "n", "more", "again", "varied"
+        asked.alias("h"), "doc", "tie", "start", "n", "more", "again"
     )
 
 
@@ -249,7 +280,18 @@ def repeats(marked: DataFrame, within: bool) -> DataFrame:
 
 def questions(marked: DataFrame, within: bool) -> DataFrame:
     more = F.lit(None).cast("array<int>") if within else F.col("more")
-    return marked.where("varied AND NOT again").select("h", "doc", "tie", "start", "n", more.alias("more"))
+    return marked.where("h IS NOT NULL").select("h", "doc", "tie", "start", "n", more.alias("more"))
+
+
+def _lists(rows: DataFrame, known: Corpus, *names: str) -> DataFrame:
+    """The rows of each ``doc`` as lists, dealt like the buckets of texts."""
+    gathered = F.collect_list(F.struct("tie", *names))
+    return (
+        rows.repartition(known.buckets, "doc")
+        .groupBy("doc")
+        .agg(gathered.alias("_rows"))
+        .select("doc", F.col("_rows.tie").alias("ties"), *[F.col(f"_rows.{n}").alias(n) for n in names])
+    )
 
 
 SPAN = "h long, doc long, tie int, start int, n int, more array<int>, span binary"
@@ -257,14 +299,8 @@ SPAN = "h long, doc long, tie int, start int, n int, more array<int>, span binar
 
 def spans(asked: DataFrame, known: Corpus, kind: Tokens) -> DataFrame:
     """The text of each question: the stretch that its windows cover."""
-    asked = (
-        asked.repartition(known.buckets, "doc", "tie")
-        .groupBy("doc", "tie")
-        .agg(F.collect_list(F.struct("h", "start", "n", "more")).alias("asked"))
-    )
-    joined = known.texts.join(asked, ["doc", "tie"]).select(
-        "doc", "tie", "text", *[F.col(f"asked.{c}").alias(c) for c in ("h", "start", "n", "more")]
-    )
+    names = ["h", "start", "n", "more"]
+    joined = known.texts.join(_lists(asked, known, *names), "doc").select("doc", "tie", "text", "ties", *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,11 +310,13 @@ def spans(asked: DataFrame, known: Corpus, kind: Tokens) -> DataFrame:
                     tokens = kind.tokens(text)
                     rows += [
                         (h, doc, tie, start, n, more, kind.cut(tokens, start, start + n + kind.length - 1))
-                        for h, start, n, more in zip(*lists)
+                        for own, h, start, n, more in zip(*lists)
+                        if own == tie
                     ]
-                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.binary())
-                names = ["h", "doc", "tie", "start", "n", "more", "span"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+                if rows:
+                    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.binary())
+                    names = ["h", "doc", "tie", "start", "n", "more", "span"]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     return joined.mapInArrow(run, SPAN)
 
@@ -316,7 +354,7 @@ def searched(asked: DataFrame, search: Search) -> DataFrame:
         size = 0
         for batch in batches:
             grams = batch.column(0).to_numpy()
-            if held and size >= BLOCK_TOKENS:
+            if held and size >= BLOCK_BYTES:
                 # The block ends where a minimizer's spans end.
                 last = held[-1].column(0)[-1].as_py()
                 stop = int(np.searchsorted(grams, last, side="right")) if grams[0] == last else 0
@@ -332,16 +370,10 @@ def searched(asked: DataFrame, search: Search) -> DataFrame:
 
 
 def repeated_windows(known: Corpus, kind: Tokens, search: Search, within: bool) -> DataFrame:
-    """Per text (doc, tie) the lists ``start`` and ``n`` of windows that occur before."""
+    """Per ``doc`` the lists ``ties``, ``start`` and ``n`` of windows that occur before."""
     marked = written(repeats_and_questions(anchor_rows(known.texts, kind), within), "window-anchors")
     found = searched(spans(questions(marked, within), known, kind), search)
-    every = repeats(marked, within).union(found)
-    return (
-        every.repartition(known.buckets, "doc", "tie")
-        .groupBy("doc", "tie")
-        .agg(F.collect_list(F.struct("start", "n")).alias("_found"))
-        .select("doc", "tie", F.col("_found.start").alias("start"), F.col("_found.n").alias("n"))
-    )
+    return _lists(repeats(marked, within).union(found), known, "start", "n")
 
 
 def covered(size: int, length: int, starts, counts) -> np.ndarray:
@@ -354,46 +386,78 @@ def covered(size: int, length: int, starts, counts) -> np.ndarray:
     return np.cumsum(edges)[:-1] > 0
 
 
-RESULT = "digest string, first long, n_tokens long, n_removed long, n_spans long, kept binary, spans array<struct<begin:long,end:long>>"
+RESULT = "first long, digest string, times long, bytes long, n_tokens long, n_removed long, n_spans long, kept binary, spans array<struct<begin:long,end:long>>"
+_RUNS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
 
 def cut_texts(known: Corpus, repeats: DataFrame, kind: Tokens, keep: Callable[[Sequence, np.ndarray], bytes]) -> DataFrame:
     """Per text what is left of it: counts, removed spans (in tokens) and the kept bytes."""
-    joined = known.texts.join(repeats, ["doc", "tie"], "left").select("digest", "doc", "text", "start", "n")
+    columns = ["doc", "digest", "times", "tie", "text", "ties", "start", "n"]
+    joined = known.texts.join(repeats, "doc", "left").select(*columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 rows = []
-                for digest, doc, text, start, n in zip(*[c.to_pylist() for c in batch.slice(at, SLICE_ROWS).columns]):
+                for doc, digest, times, tie, text, ties, start, n in zip(*[c.to_pylist() for c in batch.slice(at, SLICE_ROWS).columns]):
                     tokens = kind.tokens(text)
+                    if ties is not None:
+                        own = np.flatnonzero(np.array(ties) == tie)
+                        start, n = np.array(start)[own], np.array(n)[own]
                     gone = covered(len(tokens), kind.length, start, n)
                     edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0)).tolist()
                     runs = [{"begin": a, "end": b} for a, b in zip(edges[::2], edges[1::2])]
-                    rows.append((digest, doc, len(gone), int(gone.sum()), len(runs), keep(tokens, gone), runs))
-                run_type = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-                types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), run_type)
-                names = ["digest", "first", "n_tokens", "n_removed", "n_spans", "kept", "spans"]
+                    size = len(text.encode())
+                    rows.append((doc, digest, times, size, len(gone), int(gone.sum()), len(runs), keep(tokens, gone), runs))
+                types = (pa.int64(), pa.string(), *[pa.int64()] * 5, pa.binary(), _RUNS)
+                names = ["first", "digest", "times", "bytes", "n_tokens", "n_removed", "n_spans", "kept", "spans"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     return joined.mapInArrow(run, RESULT)
 
 
-def per_document(known: Corpus, cut: DataFrame, length: int) -> DataFrame:
-    """Spreads the results of texts over their documents: copies after the first lose all windows.
+def sizes(known: Corpus, kind: Tokens, keep: Callable[[Sequence, np.ndarray], bytes]) -> DataFrame:
+    """Per text its number of tokens, and what is kept of it if it is shorter than a window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part, rows = batch.slice(at, SLICE_ROWS), []
+                for text in part.column(2).to_pylist():
+                    tokens = kind.tokens(text)
+                    n = len(tokens)
+                    rows.append((n, keep(tokens, np.zeros(n, bool)) if n < kind.length else None))
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], *columns], names=["digest", "first", "n_tokens", "short"])
+
+    texts = known.texts.select("digest", "doc", "text")
+    return texts.mapInArrow(run, "digest string, first long, n_tokens long, short binary")
+
+
+def per_document(known: Corpus, cut: DataFrame, kind: Tokens, keep: Callable[[Sequence, np.ndarray], bytes]) -> DataFrame:
+    """The results of all rows: copies of a text after the first document lose all windows.
 
     doc_id, digest, bytes, n_tokens, n_removed, n_spans, kept and spans, one row for each document row.
+    Only narrow rows are shuffled for copies, and none for the others.
     """
-    copy = (F.col("doc") > F.col("first")) & (F.col("n_tokens") >= length)
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    names = ["doc_id", "digest", "bytes", "n_tokens", "n_removed", "n_spans", "kept", "spans"]
+    id_ = F.when(F.col("first") < NO_ID, F.col("first")).alias("doc_id")
+    firsts = cut.withColumn("_", F.explode(F.sequence(one, F.col("times")))).select(id_, *names[1:])
+    whole = F.col("short").isNull()
     all_of_it = F.array(F.struct(zero.alias("begin"), F.col("n_tokens").alias("end")))
-    return known.rows.join(cut, "digest").select(
-        "doc_id",
-        "digest",
-        "bytes",
-        "n_tokens",
-        F.when(copy, F.col("n_tokens")).otherwise(F.col("n_removed")).alias("n_removed"),
-        F.when(copy, one).otherwise(F.col("n_spans")).alias("n_spans"),
-        F.when(copy, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
-        F.when(copy, all_of_it).otherwise(F.col("spans")).alias("spans"),
+    copies = (
+        known.rows.join(sizes(known, kind, keep), "digest")
+        .where("doc > first")
+        .select(
+            "doc_id",
+            "digest",
+            "bytes",
+            "n_tokens",
+            F.when(whole, F.col("n_tokens")).otherwise(zero).alias("n_removed"),
+            F.when(whole, one).otherwise(zero).alias("n_spans"),
+            F.coalesce("short", F.lit(b"")).alias("kept"),
+            F.when(whole, all_of_it).otherwise(F.array().cast(cut.schema["spans"].dataType)).alias("spans"),
+        )
     )
+    return firsts.union(copies)

@@ -109,15 +109,42 @@ def test_empty_table(frame, spark):
 
 def test_bounds_equal_common_prefixes():
     rnd = random.Random(0)
-    for _ in range(100):
-        codes = np.array([rnd.randint(1, 3) for _ in range(rnd.randint(1, 50))] + [0], np.int64)
-        length, text = rnd.randint(1, 6), codes.tolist()
+    for _ in range(200):
+        spans = [[rnd.randint(1, 3) for _ in range(rnd.randint(0, 30))] for _ in range(rnd.randint(1, 5))]
+        codes = np.array([c for span in spans for c in [*span, 0]], np.int64)
+        # What each suffix is compared as: its characters up to the 0, which is its span's own.
+        ends = np.flatnonzero(codes == 0).tolist()
+        text = []
+        for i in range(len(codes)):
+            end = next(e for e in ends if e >= i)
+            text.append([*codes[i:end].tolist(), -1000 + end])
+        length = rnd.randint(1, 6)
         order = suffix_dedup.suffix_array(codes)
-        assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+        assert order.tolist() == sorted(range(len(codes)), key=lambda i: text[i])
         parted = suffix_dedup.common_prefix_bounds(codes, order, length)
-        for i in range(1, len(text)):
-            a, b = text[order[i - 1] :][:length], text[order[i] :][:length]
-            assert parted[i] == (a != b)
+        for i in range(1, len(codes)):
+            a, b = text[order[i - 1]], text[order[i]]
+            shared = next(k for k in range(len(a)) if a[k] != b[k])
+            assert parted[i] == (shared < length)
+
+
+def test_searches_equal_plain_ones():
+    rnd = random.Random(1)
+    for _ in range(200):
+        length, m = rnd.randint(2, 5), rnd.randint(1, 8)
+        spans = [bytes(rnd.choice(b"ab") for _ in range(length + rnd.randint(0, 6))) for _ in range(m)]
+        doc, tie, start = np.array([rnd.randint(0, 3) for _ in spans]), np.zeros(m, int), np.arange(m) * 100
+        n = np.array([len(s) - length + 1 for s in spans])
+        wins = [(spans[i][j : j + length], (doc[i], start[i] + j), (i, j)) for i in range(m) for j in range(n[i])]
+        first = {w: min(o for v, o, _ in wins if v == w) for w, _, _ in wins}
+
+        def found(search, texts):
+            runs = zip(*[x.tolist() for x in search(texts, doc, tie, start, n, length)])
+            return {(a, b + j) for a, b, k in runs for j in range(k)}
+
+        assert found(suffix_dedup.repeated, spans) == {r for w, o, r in wins if o > first[w]}
+        as_words = [b" ".join(bytes([c]) for c in s) for s in spans]
+        assert found(lz_dedup.factors, as_words) == {r for w, o, r in wins if o[0] > first[w][0]}
 
 
 def test_every_window_has_one_anchor():
@@ -125,3 +152,19 @@ def test_every_window_has_one_anchor():
     _, _, start, n = windows.anchors(tokens, 100, 24)
     assert n.sum() == len(tokens) - 99
     assert (np.cumsum(n) - n == start).all()
+
+
+def test_word_hashes():
+    rnd = random.Random(8)
+    vocabulary = ["".join(rnd.choice("abé0\xa0.") for _ in range(rnd.randint(1, 9))) for _ in range(3000)]
+    vocabulary += ["x" * 600, "x" * 601, "y" * 600, "a" * 512, "a" * 513]
+    hashes = {}
+    for _ in range(300):
+        words = [rnd.choice(vocabulary) for _ in range(rnd.randint(0, 60))]
+        text = rnd.choice(["", " ", "\n\t"]) + "".join(w + rnd.choice([" ", "\n", " \x0b\x0c\r "]) for w in words)
+        found = windows.word_hashes(text.encode())
+        assert windows.split_words(text) == [w.encode() for w in words]
+        assert len(found) == len(words)
+        for w, h in zip(words, found.tolist()):
+            assert hashes.setdefault(w, h) == h
+    assert len(set(hashes.values())) == len(hashes)
