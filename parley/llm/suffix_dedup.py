@@ -18,67 +18,112 @@ LENGTH, GRAM = 100, 24
 
 
 def suffix_array(codes: np.ndarray) -> np.ndarray:
-    """Places of the sorted suffixes of ``codes`` (integers from 0 to 257), by prefix doubling."""
+    """Places of the sorted suffixes of ``codes``, by prefix doubling.
+
+    Each 0 parts two spans. A suffix ends there: of two that agree so far, that of the earlier span
+    comes first. So no comparison is longer than a span, and only suffixes that still agree with
+    another are sorted again.
+    """
     n, width = len(codes), 7
-    padded = np.concatenate((codes, np.zeros(width, np.int64)))
-    key = np.zeros(n, np.int64)
+    parts = np.flatnonzero(codes == 0)
+    following = np.searchsorted(parts, np.arange(n))  # the number of the next 0, at it or behind
+    left = parts[following] - np.arange(n)
+    key, padded = np.zeros(n, np.int64), np.concatenate((codes, np.zeros(width, codes.dtype)))
     for i in range(width):
-        key = key * 258 + padded[i : n + i]
+        key = key * 257 + np.where(i <= left, padded[i : n + i], 0)
+    order = np.argsort(key)
+    starts = _group_starts(key[order], np.arange(n))
+    rank = np.empty(n, np.int64)
+    rank[order] = starts
+    among = (left < width)[order]  # first, those that end within the characters compared
     while True:
-        order = np.argsort(key)
-        steps = np.concatenate(([0], np.cumsum(np.diff(key[order]) != 0)))
-        if steps[-1] == n - 1:
+        shared = np.zeros(n, bool)
+        shared[1:] = starts[1:] == starts[:-1]
+        shared[:-1] |= shared[1:]
+        at = np.flatnonzero(shared if among is None else shared & among)
+        again = order[at]
+        if among is not None:
+            key = rank[again] * (n + 1) + following[again]
+        elif len(at):
+            key = rank[again] * (n + 1) + rank[again + width]
+            width *= 2
+        else:
             return order
-        rank = np.empty(n, np.int64)
-        rank[order] = steps
-        key = rank * (n + 1)
-        key[: n - width] += rank[width:] + 1
-        width *= 2
+        by_key = np.argsort(key)
+        order[at] = again[by_key]
+        starts[at] = _group_starts(key[by_key], at)
+        rank[order[at]] = starts[at]
+        among = None
+
+
+def _group_starts(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """For sorted keys the place of the first equal one."""
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return places[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))]
 
 
 def common_prefix_bounds(codes: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
-    """True at i if the sorted suffixes i - 1 and i share fewer than ``length`` characters."""
-    n = len(codes)
-    before = codes[order - 1]  # the transform; the first suffix is preceded by the last character
-    last_first = np.empty(n, np.int64)
-    last_first[np.argsort(before, kind="stable")] = np.arange(n)
+    """True at i if the sorted suffixes i - 1 and i share fewer than ``length`` characters.
+
+    Each 0 counts as a character of its own. Strings with one in them are not extended further.
+    """
+    n, parts = len(codes), int((codes == 0).sum())
+    first, before = codes[order].astype(np.uint16), codes[order - 1].astype(np.uint16)
+    last_first = np.empty(n, np.int32)
+    last_first[np.argsort(before, kind="stable")] = np.arange(n, dtype=np.int32)
     known = np.zeros(n + 1, bool)
-    known[[0, n]] = True
-    low, high = np.array([0]), np.array([n])
-    owner = np.full(n, -1, np.int64)
-    for _ in range(length):  # in round i the intervals are those of strings of length i
+    known[: parts + 1] = known[n] = True
+    new = np.ones(n - parts, bool)
+    new[1:] = first[parts + 1 :] != first[parts:-1]
+    # One interval for each character: bounds between them are common prefixes of length 0.
+    low = np.concatenate((np.arange(parts), parts + np.flatnonzero(new)))
+    known[low] = True
+    high = np.append(low[1:], n)
+    low, high = low[high < n], high[high < n]
+    owner = np.zeros(n, np.int32)
+    for _ in range(length - 1):  # in round i, from 1, the intervals are those of strings of length i
         size = high - low
-        number = np.repeat(np.arange(len(low)), size)
-        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
-        target = last_first[place]
-        owner[target] = number
-        target = np.sort(target)
-        mine, char = owner[target], codes[order[target]]
-        same = (target[1:] == target[:-1] + 1) & (mine[1:] == mine[:-1]) & (char[1:] == char[:-1])
-        starts = np.flatnonzero(np.concatenate(([True], ~same)))
-        low_next, high_next = target[starts], target[np.append(starts[1:], len(target)) - 1] + 1
-        fresh = ~known[high_next]
-        known[high_next] = True
-        if not fresh.any():
+        total = int(size.sum())
+        number = np.repeat(np.arange(len(low), dtype=np.int32), size)
+        place = np.arange(total) + np.repeat(low - (np.cumsum(size) - size), size)
+        real = before[place] > 0
+        target = last_first[place[real]]
+        owner[target] = number[real]
+        target.sort()
+        mine, char = owner[target], first[target]
+        new = np.ones(len(target), bool)
+        new[1:] = (mine[1:] != mine[:-1]) | (char[1:] != char[:-1])
+        starts = np.flatnonzero(new)
+        if not len(starts):
+            break
+        ends = target[np.append(starts[1:], len(target)) - 1].astype(np.int64) + 1
+        fresh = ~known[ends]
+        known[ends] = True
+        low, high = target[starts][fresh].astype(np.int64), ends[fresh]
+        if not len(low):
             break
-        low, high = low_next[fresh], high_next[fresh]
     return known[:n]
 
 
 def repeated(span: list[bytes], doc: np.ndarray, tie: np.ndarray, start: np.ndarray, n: np.ndarray, length: int = LENGTH) -> windows.Found:
     """Windows of the spans that occur earlier in the block, earlier by (doc, tie, start)."""
-    # 0 ends the text, 1 parts spans, so that no window that begins in a span leaves it.
-    joined = [np.append(np.frombuffer(s, np.uint8).astype(np.int64) + 2, 1) for s in span]
-    codes = np.append(np.concatenate(joined), 0)
-    sizes = np.array([len(j) for j in joined])
+    sizes = np.fromiter(map(len, span), np.int64, len(span)) + 1
+    # Bytes become 1 to 256; a 0 behind each span parts it from the next.
+    ends = np.cumsum(sizes)
+    codes = np.frombuffer(b"\0".join(span) + b"\0", np.uint8).astype(np.int64) + 1
+    codes[ends - 1] = 0
     order = suffix_array(codes)
     group = np.cumsum(common_prefix_bounds(codes, order, length))
-    begin = np.cumsum(sizes) - sizes
-    number = np.append(np.repeat(np.arange(len(span)), sizes), 0)
-    mine = number[order]
-    place = order - begin[mine]
-    window = np.flatnonzero((place < n[mine]) & (order < len(codes) - 1))
+    mine = np.repeat(np.arange(len(span)), sizes)[order]
+    place = order - (ends - sizes)[mine]
+    window = np.flatnonzero(place < n[mine])
     group, mine, place = group[window], mine[window], place[window]
+    # Only windows that others equal are looked at further.
+    shared = np.zeros(len(group), bool)
+    shared[1:] = group[1:] == group[:-1]
+    shared[:-1] |= shared[1:]
+    group, mine, place = group[shared], mine[shared], place[shared]
     by_age = np.lexsort((start[mine] + place, tie[mine], doc[mine], group))
     later = by_age[1:][group[by_age][1:] == group[by_age][:-1]]
     return as_runs(mine[later], place[later])
@@ -98,7 +143,7 @@ KIND = windows.Tokens(
     LENGTH,
     GRAM,
     tokens=str.encode,
-    hashes=lambda data: np.frombuffer(data, np.uint8).astype(np.uint64),
+    hashes=lambda text: np.frombuffer(text.encode(), np.uint8).astype(np.uint64),
     cut=lambda data, a, b: data[a:b],
 )
 
@@ -119,4 +164,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     known = windows.corpus(docs, doc_id, text)
     repeats = windows.repeated_windows(known, KIND, repeated, within=True)
-    return windows.per_document(known, windows.cut_texts(known, repeats, KIND, _keep), LENGTH)
+    return windows.per_document(known, windows.cut_texts(known, repeats, KIND, _keep), KIND, _keep)
