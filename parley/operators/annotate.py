@@ -264,8 +264,11 @@ def annotate(
 def usage_calls(annotated: DataFrame, model: str, *keep: str) -> DataFrame:
     """One row per call whose tokens are known, as the cost operators take them: ``keep``, task, model
     and tokens."""
-    return annotated.select(*keep, F.explode("llm_usage").alias("__call")).select(
-        *keep, "__call.task", F.lit(model).alias("model"), "__call.prompt_tokens", "__call.completion_tokens"
+    calls = annotated.select(*keep, F.explode("llm_usage").alias("__call"))
+    # not a constant, which would make the lookup of its price a join without a key
+    named = F.when(F.col("__call.prompt_tokens").isNotNull(), model).alias("model")
+    return calls.select(
+        *keep, "__call.task", named, "__call.prompt_tokens", "__call.completion_tokens"
     )
 
 
