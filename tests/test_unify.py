@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -336,3 +338,15 @@ def test_shared_contacts_and_coverage(spark):
     assert [r.contact_id for r in unify.shared_contacts(t, clicks(spark, {}, {"contact_id": "c9"})).collect()] == ["c1"]
     row = unify.metadata_coverage(t, sessions(spark, {}, {"contact_id": "c9"})).first()
     assert (row.chatbot_sessions, row.with_metadata, row.without_metadata, row.coverage) == (2, 1, 1, 0.5)
+
+
+def test_scratch_folders_leave_the_session_alone_and_can_be_cleared(spark):
+    from parley.session import clear_scratch, scratch_folder
+
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    folder = scratch_folder(spark, "x")
+    spark.range(3).write.parquet(folder)
+    assert spark.conf.get("spark.checkpoint.dir", None) == before
+    assert folder != scratch_folder(spark, "x")
+    clear_scratch(spark)
+    assert not pathlib.Path(folder).exists()
