@@ -14,7 +14,6 @@ So every link between two parts is found, and the components are those of all li
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.llm import windows
-from parley.llm.common import written
+from parley.llm.common import slices, to_batch, written
 from parley.llm.components import components
 
 SIZE = 5
@@ -32,6 +31,8 @@ PERCENT = 80
 #: each stretch of 2,048 texts hands on the shingles it meets four times. Only speed depends on them.
 OFTEN, MOST_OFTEN, STRETCH, IN_STRETCH = 64, 1 << 17, 2048, 4
 TILE = 1024
+PAIRS_IN_PLACE = 256
+ROWS_AT_ONCE, PAIRS_AT_ONCE = 1 << 14, 1 << 17
 SLICE_ROWS = 64
 
 
@@ -40,11 +41,11 @@ def shingle_set(text: str) -> np.ndarray:
 
     A text of fewer words is one shingle, one without words has none.
     """
-    found = text.encode().lower().split()  # of bytes, both know ASCII only
-    if not found:
-        return np.zeros(0, np.uint64)
-    size = min(SIZE, len(found))
-    grams = windows.gram_hashes(windows.word_hashes(found), size)
+    words = windows.word_hashes(text.encode().lower())  # of bytes, it knows ASCII only
+    if not len(words):
+        return words
+    size = min(SIZE, len(words))
+    grams = windows.gram_hashes(words, size)
     return np.unique(grams + np.uint64(SIZE - size))
 
 
@@ -60,46 +61,46 @@ def needed(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.slice(at, SLICE_ROWS)
+SIGNATURE = (
+    "doc long, tie int, digest string, n int, bits binary, often array<long>, times array<int>"
+)
+_SIGNATURE_FIELDS = {
+    "doc": pa.int64(),
+    "tie": pa.int32(),
+    "digest": pa.string(),
+    "n": pa.int32(),
+    "bits": pa.binary(),
+    "often": pa.list_(pa.int64()),
+    "times": pa.list_(pa.int32()),
+}
 
 
-SIGNATURE = "doc long, tie int, digest string, n int, bits binary, often array<long>, times array<int>"
+def signatures(texts: DataFrame) -> DataFrame:
+    """Set size and bitmap of each text; on some rows also the shingles a stretch of texts often meets.
 
+    The last stretch of a task has a row of its own for them, without a text.
+    """
 
-def signatures(texts: DataFrame) -> DataFrame:
-    """Set size and bitmap of each text; on some rows also the shingles a stretch of texts often meets."""
+    def counted(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        values, counts = np.unique(np.concatenate(held), return_counts=True)
+        many = counts >= IN_STRETCH
+        return values[many].view(np.int64), counts[many].astype(np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        for part in _slices(batches):
+        for part in slices(batches, SLICE_ROWS):
             sets = [shingle_set(t) for t in part.column(3).to_pylist()]
             held += sets
             often, times = [[] for _ in sets], [[] for _ in sets]
             if len(held) >= STRETCH:
-                values, counts = np.unique(np.concatenate(held), return_counts=True)
-                many = counts >= IN_STRETCH
-                often[0], times[0] = values[many].view(np.int64), counts[many].astype(np.int32)
+                often[0], times[0] = counted(held)
                 held = []
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *part.columns[:3],
-                    pa.array([len(s) for s in sets], pa.int32()),
-                    pa.array([bitmap(s) for s in sets], pa.binary()),
-                    pa.array(often, pa.list_(pa.int64())),
-                    pa.array(times, pa.list_(pa.int32())),
-                ],
-                names=["doc", "tie", "digest", "n", "bits", "often", "times"],
-            )
+            own = [c.to_pylist() for c in part.columns[:3]]
+            measures = [len(s) for s in sets], [bitmap(s) for s in sets]
+            yield to_batch(_SIGNATURE_FIELDS, (*own, *measures, often, times))
         if held:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            many = counts >= IN_STRETCH
-            if many.any():
-                nothing = [pa.array([None], t) for t in (pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.binary())]
-                lists = [pa.array([values[many].view(np.int64)], pa.list_(pa.int64())), pa.array([counts[many].astype(np.int32)], pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays([*nothing, *lists], names=["doc", "tie", "digest", "n", "bits", "often", "times"])
+            often, times = counted(held)
+            yield to_batch(_SIGNATURE_FIELDS, (*[[None]] * 5, [often], [times]))
 
     return texts.select("doc", "tie", "digest", "text").mapInArrow(run, SIGNATURE)
 
@@ -137,26 +138,37 @@ def prefix_rows(texts: DataFrame, last: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sorted_last, rank = shared.value
-        for part in _slices(batches):
+        for part in slices(batches, SLICE_ROWS):
             docs, ties = part.column(0).to_numpy(), part.column(1).to_numpy()
             sets = [shingle_set(t) for t in part.column(2).to_pylist()]
             heads = [prefix(s, sorted_last, rank) if len(s) else s for s in sets]
             size = [len(h) for h in heads]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(heads).view(np.int64)),
-                    pa.array(np.repeat(docs, size)),
-                    pa.array(np.repeat(ties, size)),
-                    pa.array(np.repeat(np.array([len(s) for s in sets], np.int32), size)),
-                ],
-                names=["h", "doc", "tie", "n"],
+            columns = (
+                np.concatenate(heads).view(np.int64),
+                np.repeat(docs, size),
+                np.repeat(ties, size),
+                np.repeat(np.array([len(s) for s in sets], np.int32), size),
+                np.concatenate([np.arange(k, dtype=np.int32) for k in size]),
             )
+            names = ["h", "doc", "tie", "n", "pos"]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=names)
+
+    schema = "h long, doc long, tie int, n int, pos int"
+    return texts.select("doc", "tie", "text").mapInArrow(run, schema)
+
 
-    return texts.select("doc", "tie", "text").mapInArrow(run, "h long, doc long, tie int, n int")
+_PAIR = "u_doc long, u_tie int, doc long, tie int"
+_PAIR_FIELDS = {"u_doc": pa.int64(), "u_tie": pa.int32(), "doc": pa.int64(), "tie": pa.int32()}
+
+
+def _as_nodes(found: DataFrame) -> DataFrame:
+    u = F.struct(F.col("u_doc").alias("doc"), F.col("u_tie").alias("tie"))
+    return found.select(u.alias("u"), F.struct("doc", "tie").alias("v"))
 
 
 def tiles(rows: DataFrame) -> DataFrame:
-    """Rows of tiles with two texts or more: h, node, n, and ``head``, the first text of the size band."""
+    """Rows of tiles with two texts or more: h, node, its size n and the shingle's place pos in its
+    order, and ``head``, the first text of the size band."""
     node = F.struct("doc", "tie")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)))
     by_tile = Window.partitionBy("h").orderBy("band", "doc", "tie")
@@ -166,15 +178,19 @@ def tiles(rows: DataFrame) -> DataFrame:
         .repartition("h")
         .withColumn("_number", F.row_number().over(by_tile))
         .withColumn("_next", F.lead("n").over(by_tile))
-        .withColumn("head", F.first(node).over(by_band))
+        .withColumn("head", F.first(F.struct(node.alias("node"), "n", "pos")).over(by_band))
         .where("_number > 1 OR _next IS NOT NULL")
-        .select("h", node.alias("node"), "n", "head")
+        .select("h", node.alias("node"), "n", "pos", "head")
     )
 
 
 def nearest_heads(tiled: DataFrame) -> DataFrame:
     """For each text the earlier one it shares most tiles with, as a pair (u, v)."""
-    shared = tiled.where(F.col("node") != F.col("head")).groupBy("node", "head").agg(F.count("*").alias("k"))
+    # If this shingle is the first they share, the overlap is no more than what comes from here on.
+    left = F.least(F.col("n") - F.col("pos"), F.col("head.n") - F.col("head.pos"))
+    enough = (100 + PERCENT) * left >= PERCENT * (F.col("n") + F.col("head.n"))
+    pairs = tiled.where((F.col("node") != F.col("head.node")) & enough)
+    shared = pairs.groupBy("node", F.col("head.node").alias("head")).agg(F.count("*").alias("k"))
     best = F.max(F.struct(F.col("k"), F.col("head")))
     return shared.groupBy("node").agg(best.getField("head").alias("u")).select("u", F.col("node").alias("v"))
 
@@ -182,31 +198,37 @@ def nearest_heads(tiled: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, known: windows.Corpus) -> DataFrame:
     """The pairs (u, v) that are links, by exact intersection of their sorted shingles.
 
-    The text of v is sent to u, so the pairs of one u never have to be in memory together.
+    The text of v is sent to u. A u with many pairs is met in several places, each with a part of
+    them, so its pairs are not in one task, nor in memory together.
     """
+    many = F.floor((F.count("*") - 1) / PAIRS_IN_PLACE) + 1
+    parts = pairs.groupBy("u").agg(many.cast("int").alias("parts"))
     asked = (
-        pairs.select("u", F.col("v").alias("own"))
-        .union(pairs.select("u", F.col("u").alias("own")).distinct())
-        .select("u", F.col("own.doc").alias("doc"), F.col("own.tie").alias("tie"))
-        .repartition(known.buckets, "doc", "tie")
-        .groupBy("doc", "tie")
-        .agg(F.collect_list("u").alias("asked"))
+        pairs.join(parts, "u")
+        .select("u", "parts", F.col("v").alias("own"))
+        .union(parts.select("u", "parts", F.col("u").alias("own")))
+        .select("u", "parts", F.col("own.doc").alias("doc"), F.col("own.tie").alias("tie"))
+        .repartition(known.buckets, "doc")
+        .groupBy("doc")
+        .agg(F.collect_list(F.struct("tie", "u", "parts")).alias("asked"))
     )
-    parts = F.pmod(F.xxhash64("doc", "tie"), F.lit(16))
+    part = F.pmod(F.xxhash64("doc", "tie"), F.col("parts")).cast("int")
+    all_parts = F.sequence(F.lit(0), F.col("parts") - 1)
     sent = (
-        known.texts.join(asked, ["doc", "tie"])
-        .select("doc", "tie", "text", F.explode("asked").alias("u"))
+        known.texts.join(asked, "doc")
+        .select("doc", "tie", "text", F.explode("asked").alias("asked"))
+        .where("asked.tie = tie")
+        .select("doc", "tie", "text", "asked.u", "asked.parts")
         .withColumn("own", (F.col("u.doc") == F.col("doc")) & (F.col("u.tie") == F.col("tie")))
-        # A text with many pairs is met in 16 places, each with a part of them.
-        .withColumn("part", F.explode(F.when(F.col("own"), F.sequence(F.lit(0), F.lit(15))).otherwise(F.array(parts.cast("int")))))
-        .select(F.col("u.doc").alias("u_doc"), F.col("u.tie").alias("u_tie"), "part", "own", "doc", "tie", "text")
+        .withColumn("part", F.explode(F.when(F.col("own"), all_parts).otherwise(F.array(part))))
+        .select(*[F.col(f"u.{c}").alias(f"u_{c}") for c in ("doc", "tie")], "part", "own", "doc", "tie", "text")
         .repartition("u_doc", "u_tie", "part")
         .sortWithinPartitions("u_doc", "u_tie", "part", F.desc("own"))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, mine = None, np.zeros(0, np.uint64)
-        for part in _slices(batches):
+        for part in slices(batches, SLICE_ROWS):
             links = []
             columns = [part.column(i).to_pylist() for i in range(6)]
             for i, (u_doc, u_tie, piece, own, doc, tie) in enumerate(zip(*columns)):
@@ -221,14 +243,9 @@ def verified(pairs: DataFrame, known: windows.Corpus) -> DataFrame:
                 both = len(np.intersect1d(mine, theirs, assume_unique=True))
                 if 100 * both >= PERCENT * (len(mine) + len(theirs) - both):
                     links.append((u_doc, u_tie, doc, tie))
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int32())
-            columns = zip(*links) if links else ([], [], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["u_doc", "u_tie", "doc", "tie"])
+            yield to_batch(_PAIR_FIELDS, zip(*links))
 
-    return sent.mapInArrow(run, "u_doc long, u_tie int, doc long, tie int").select(
-        F.struct(F.col("u_doc").alias("doc"), F.col("u_tie").alias("tie")).alias("u"),
-        F.struct("doc", "tie").alias("v"),
-    )
+    return _as_nodes(sent.mapInArrow(run, _PAIR))
 
 
 def _folded(words: np.ndarray, width: int) -> np.ndarray:
@@ -238,22 +255,41 @@ def _folded(words: np.ndarray, width: int) -> np.ndarray:
     return words
 
 
-def possible_pairs(n_a, words_a: np.ndarray, n_b, words_b: np.ndarray) -> np.ndarray:
-    """Which pairs of two groups with bitmaps of one length each may be linked (a matrix)."""
+def may_be_linked(n_a, words_a: np.ndarray, n_b, words_b: np.ndarray) -> np.ndarray:
+    """Which pairs of sets, given by sizes and bitmaps row by row, may be linked.
+
+    The bits in which two bitmaps differ bound the shingles only one set has from below, hence the
+    overlap from above.
+    """
     width = min(words_a.shape[1], words_b.shape[1])
-    a, b = _folded(words_a, width), _folded(words_b, width)
-    differ = np.zeros((len(a), len(b)), np.int64)
-    for k in range(width):
-        differ += np.bitwise_count(a[:, k][:, None] ^ b[:, k][None, :])
-    total = n_a[:, None] + n_b[None, :]
-    return 100 * ((total - differ) // 2) >= PERCENT * (total - (total - differ) // 2)
+    differ = np.bitwise_count(_folded(words_a, width) ^ _folded(words_b, width)).sum(axis=1, dtype=np.int64)
+    overlap = (n_a + n_b - differ) // 2
+    return (100 + PERCENT) * overlap >= PERCENT * (n_a + n_b)
+
+
+def tile_pairs(tile: np.ndarray, n: np.ndarray, pos: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows (a before b) of one tile that sizes and places allow to be linked.
+
+    ``tile`` numbers the tiles of the rows, which are sorted by it and by size. Row k is paired with
+    row k + 1, then k + 2 and so on, for all tiles at once.
+    """
+    a, step = np.arange(len(tile)), 1
+    while len(a):
+        a = a[a + step < len(tile)]
+        b = a + step
+        near = (tile[a] == tile[b]) & (100 * n[a] >= PERCENT * n[b])
+        a, b = a[near], b[near]
+        left = np.minimum(n[a] - pos[a], n[b] - pos[b])
+        enough = (100 + PERCENT) * left >= PERCENT * (n[a] + n[b])
+        yield a[enough], b[enough]
+        step += 1
 
 
 def open_pairs(tiled: DataFrame, roots: DataFrame, signed: DataFrame) -> DataFrame:
     """Pairs of one tile that no link connects yet and whose bitmaps allow one."""
     by_tile = Window.partitionBy("h")
     open_ = (
-        tiled.select("h", "node", "n")
+        tiled.select("h", "node", "n", "pos")
         .join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
         .withColumn("root", F.coalesce("root", "node"))
         .drop("_node")
@@ -261,9 +297,10 @@ def open_pairs(tiled: DataFrame, roots: DataFrame, signed: DataFrame) -> DataFra
         .withColumn("_open", F.min("root").over(by_tile) != F.max("root").over(by_tile))
         .where("_open")
     )
-    placed = open_.withColumn(
-        "block", F.floor((F.row_number().over(Window.partitionBy("h").orderBy("n", "node")) - 1) / TILE).cast("int")
-    ).withColumn("blocks", F.max("block").over(by_tile) + 1)
+    number = F.row_number().over(Window.partitionBy("h").orderBy("n", "node")) - 1
+    placed = open_.withColumn("block", F.floor(number / TILE).cast("int")).withColumn(
+        "blocks", F.max("block").over(by_tile) + 1
+    )
     bits = signed.where("doc IS NOT NULL").select(F.struct("doc", "tie").alias("node"), "bits")
     # Each block of a tile meets itself and every other: (h, i, j) with i <= j.
     met = (
@@ -277,6 +314,7 @@ def open_pairs(tiled: DataFrame, roots: DataFrame, signed: DataFrame) -> DataFra
             F.col("node.doc").alias("doc"),
             F.col("node.tie").alias("tie"),
             "n",
+            "pos",
             F.col("root.doc").alias("root_doc"),
             F.col("root.tie").alias("root_tie"),
             "bits",
@@ -285,60 +323,73 @@ def open_pairs(tiled: DataFrame, roots: DataFrame, signed: DataFrame) -> DataFra
         .sortWithinPartitions("h", "i", "j", "n")
     )
 
-    def tile(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        doc, tie, n, block = (t[c].to_numpy() for c in ("doc", "tie", "n", "block"))
+    def compare(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(rows).combine_chunks()
+        keys = np.stack([t[c].to_numpy() for c in ("h", "i", "j")], axis=1)
+        tile = np.concatenate(([0], np.cumsum((keys[1:] != keys[:-1]).any(axis=1))))
+        block, doc, tie = (t[c].to_numpy() for c in ("block", "doc", "tie"))
+        n, pos = (t[c].to_numpy().astype(np.int64) for c in ("n", "pos"))
         root = np.stack([t["root_doc"].to_numpy(), t["root_tie"].to_numpy()], axis=1)
+        crossing = keys[:, 1] != keys[:, 2]
         bits = t["bits"].to_pylist()
-        n = n.astype(np.int64)
         length = np.array([len(b) for b in bits])
-        left = block == t["i"][0].as_py()
-        right = block == t["j"][0].as_py()
-        same = t["i"][0].as_py() == t["j"][0].as_py()
-        for a_len in np.unique(length):
-            for b_len in (a_len, 2 * a_len):  # sets of like size have bitmaps of like length
-                a = np.flatnonzero((left | right) & (length == a_len))
-                b = np.flatnonzero((left | right) & (length == b_len))
-                if not len(a) or not len(b):
-                    continue
-                words_a = np.frombuffer(b"".join([bits[x] for x in a]), np.uint64).reshape(len(a), -1)
-                words_b = np.frombuffer(b"".join([bits[x] for x in b]), np.uint64).reshape(len(b), -1)
-                for at in range(0, len(a), 256):
-                    part = a[at : at + 256]
-                    x, y = np.nonzero(possible_pairs(n[part], words_a[at : at + 256], n[b], words_b))
-                    x, y = part[x], b[y]
-                    keep = (root[x] != root[y]).any(axis=1)
-                    if a_len == b_len:
-                        keep &= x < y
-                    if not same:
-                        keep &= block[x] != block[y]
-                    x, y = x[keep], y[keep]
-                    swap = (doc[x] > doc[y]) | ((doc[x] == doc[y]) & (tie[x] > tie[y]))
-                    u, v = np.where(swap, y, x), np.where(swap, x, y)
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[u], tie[u], doc[v], tie[v])], names=["u_doc", "u_tie", "doc", "tie"])
+        node = np.unique(np.stack([doc, tie], axis=1), axis=0, return_inverse=True)[1].reshape(-1)
+        # The bitmaps of each length as a matrix, and the place of each row in its own.
+        place, words = np.zeros(len(bits), np.int64), {}
+        for size in np.unique(length).tolist():
+            at = np.flatnonzero(length == size)
+            place[at] = np.arange(len(at))
+            words[size] = np.frombuffer(b"".join([bits[i] for i in at]), np.uint64).reshape(len(at), -1)
+
+        def passed(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            low, high = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
+            once = np.unique(low * (node.max() + 1) + high, return_index=True)[1]
+            a, b = a[once], b[once]
+            good = np.zeros(len(a), bool)
+            kinds = length[a] * (1 << 32) + length[b]
+            for kind in np.unique(kinds).tolist():
+                at = np.flatnonzero(kinds == kind)
+                words_a, words_b = words[kind >> 32], words[kind & ((1 << 32) - 1)]
+                x, y = a[at], b[at]
+                good[at] = may_be_linked(n[x], words_a[place[x]], n[y], words_b[place[y]])
+            a, b = a[good], b[good]
+            swap = (doc[a] > doc[b]) | ((doc[a] == doc[b]) & (tie[a] > tie[b]))
+            u, v = np.where(swap, b, a), np.where(swap, a, b)
+            return to_batch(_PAIR_FIELDS, (doc[u], tie[u], doc[v], tie[v]))
+
+        waiting, size = [], 0
+        for a, b in tile_pairs(tile, n, pos):
+            keep = (root[a] != root[b]).any(axis=1) & (~crossing[a] | (block[a] != block[b]))
+            waiting.append((a[keep], b[keep]))
+            size += int(keep.sum())
+            if size >= PAIRS_AT_ONCE:
+                yield passed(*map(np.concatenate, zip(*waiting)))
+                waiting, size = [], 0
+        if size:
+            yield passed(*map(np.concatenate, zip(*waiting)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
-            keys = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            if held:
-                last = held[-1]
-                if any(last.column(k)[-1].as_py() != batch.column(k)[0].as_py() for k in range(3)):
-                    yield from tile(pa.Table.from_batches(held))
-                    held = []
-            at = 0
-            for cut in chain(cuts.tolist()):
-                held.append(batch.slice(at, cut - at))
-                yield from tile(pa.Table.from_batches(held))
-                held, at = [], cut
-            held.append(batch.slice(at))
+            if held and size >= ROWS_AT_ONCE:
+                # Rows go on to the end of the tile that the last batch broke off in.
+                last = [held[-1].column(k)[-1].as_py() for k in range(3)]
+                keys = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
+                same = (keys == last).all(axis=1)
+                stop = len(same) if same.all() else int(np.argmin(same))
+                held.append(batch.slice(0, stop))
+                if stop < batch.num_rows:
+                    yield from compare(held)
+                    held, size, batch = [], 0, batch.slice(stop)
+                else:
+                    continue
+            held.append(batch)
+            size += batch.num_rows
         if held:
-            yield from tile(pa.Table.from_batches(held))
+            yield from compare(held)
 
-    found = met.mapInArrow(run, "u_doc long, u_tie int, doc long, tie int").distinct()
-    return found.select(
-        F.struct(F.col("u_doc").alias("doc"), F.col("u_tie").alias("tie")).alias("u"), F.struct("doc", "tie").alias("v")
-    )
+    return _as_nodes(met.mapInArrow(run, _PAIR).distinct())
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -371,7 +422,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "digest",
         "n_shingles",
         F.when(alone, F.col("doc_id"))
-        .otherwise(F.when(F.col("_root") != windows.LAST_ID, F.col("_root")))
+        .otherwise(F.when(F.col("_root") < windows.NO_ID, F.col("_root")))
         .alias("component_id"),
         (alone | (F.col("_heads") & (F.col("doc") == F.col("_first")))).alias("is_first"),
     )
@@ -384,15 +435,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     doc_id and text. Which of rows that differ in other columns alone stays is not defined.
     """
     found = near_duplicates(docs).where("is_first")
-    chosen = found.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("n_shingles").alias("_n")).distinct()
+    names = {"doc_id": "_id", "digest": "_digest", "n_shingles": "_n"}
+    chosen = found.select(*[F.col(c).alias(name) for c, name in names.items()]).distinct()
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select(
-        "_row", F.col("doc_id").alias("_own"), F.sha2(text, 256).alias("_digest")
-    )
-    rows = keyed.join(chosen, (F.col("_own").eqNullSafe(F.col("_id"))) & (keyed["_digest"] == chosen["_digest"])).select(
-        "_row", "_own", keyed["_digest"], "_n"
-    )
-    copies = Window.partitionBy("_own", "_digest").orderBy(F.lit(1))
-    return (
-        rows.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1 OR _n = 0").select("_row.*")
+        "_row", F.col("doc_id").alias("_own"), F.sha2(text, 256).alias("_sha")
     )
+    same = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest"))
+    copies = Window.partitionBy("_own", "_sha").orderBy(F.lit(1))
+    rows = keyed.join(chosen, same).withColumn("_copy", F.row_number().over(copies))
+    return rows.where("_copy = 1 OR _n = 0").select("_row.*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from parley.llm import jaccard
 from parley.llm.components import components
@@ -60,6 +61,9 @@ def test_one_large_group(frame):
 
 def test_small_tiles_meet_across_blocks(frame, monkeypatch):
     monkeypatch.setattr(jaccard, "TILE", 3)
+    monkeypatch.setattr(jaccard, "ROWS_AT_ONCE", 5)
+    monkeypatch.setattr(jaccard, "PAIRS_AT_ONCE", 3)
+    monkeypatch.setattr(jaccard, "PAIRS_IN_PLACE", 2)
     monkeypatch.setattr(jaccard, "OFTEN", 4)
     monkeypatch.setattr(jaccard, "IN_STRETCH", 2)
     docs = edited(9)
@@ -85,10 +89,17 @@ def test_bitmaps_bound_the_overlap():
         sizes = [np.array([len(x)]) for x in (a, b)]
         both = len(np.intersect1d(a, b))
         if 100 * both >= 80 * (len(a) + len(b) - both):
-            assert jaccard.possible_pairs(sizes[0], words[0], sizes[1], words[1]).all()
+            assert jaccard.may_be_linked(sizes[0], words[0], sizes[1], words[1]).all()
 
 
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 500), (7, 900)], "u long, v long")
     roots = {r.node: r.root for r in components(edges).collect()}
     assert roots == {**{i: 0 for i in range(201)}, 500: 500, 900: 0}
+
+
+def test_pairs_without_round_one(frame, monkeypatch):
+    """All links found by tiles and bitmaps alone."""
+    monkeypatch.setattr(jaccard, "nearest_heads", lambda tiled: tiled.select(F.col("node").alias("u"), F.col("node").alias("v")).where("false"))
+    docs = edited(4)
+    assert labels(frame(*docs)) == brute.components(docs)
