@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from parley.llm.common import without
+from parley.llm.common import slices, with_columns, without
 
 LEAF_BYTES = 32
 SLICE_ROWS = 256
@@ -41,7 +41,8 @@ LEAF_IDS = 4096
 def ranks_of(path: str) -> dict[bytes, int]:
     """The rank file: a base64 token and its rank on each line."""
     with open(path, "rb") as lines:
-        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
+        pairs = (line.split() for line in lines if line.strip())
+        return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
 class Pieces:
@@ -140,7 +141,11 @@ class Encoder(dict):
         """The same in n log n steps: pairs wait in a heap by rank and place."""
         n, get = len(parts), self.ranks.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := get(parts[i] + parts[i + 1])) is not None]
+        heap = [
+            (r, i, parts[i], parts[i + 1])
+            for i in range(n - 1)
+            if (r := get(parts[i] + parts[i + 1])) is not None
+        ]
         heapify(heap)
         while heap:
             _, i, a, b = heappop(heap)
@@ -160,7 +165,8 @@ class Encoder(dict):
         """The bytes of packed ids: leaves are looked up, neighbours concatenated up the tree."""
         ids = memoryview(packed).cast("I")
         level = [
-            b"".join(map(self.tokens.__getitem__, ids[i : i + LEAF_IDS])) for i in range(0, len(ids), LEAF_IDS)
+            b"".join(map(self.tokens.__getitem__, ids[i : i + LEAF_IDS]))
+            for i in range(0, len(ids), LEAF_IDS)
         ]
         while len(level) > 1:
             level = [b"".join(level[i : i + 2]) for i in range(0, len(level), 2)]
@@ -172,17 +178,6 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.slice(at, SLICE_ROWS)
-
-
-def _with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
-    arrays = [*batch.columns, *columns.values()]
-    return pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *columns])
-
-
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens`` and ``token_ids`` (packed little-endian 32-bit ids).
 
@@ -191,14 +186,15 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     results are replaced. ``path`` names a rank file that every worker can read.
     """
     docs = without(docs, "n_tokens", "token_ids")
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType())])
+    added = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType())]
+    schema = T.StructType([*docs.schema.fields, *added])
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
-        for batch in _slices(batches):
+        for batch in slices(batches, SLICE_ROWS):
             packed = [own.encode(t) if t else b"" for t in batch.column(place).to_pylist()]
-            yield _with_columns(
+            yield with_columns(
                 batch,
                 n_tokens=pa.array([len(p) // 4 for p in packed], pa.int64()),
                 token_ids=pa.array(packed, pa.binary()),
@@ -215,8 +211,8 @@ def decode(docs: DataFrame, path: str, pattern: str, ids: str = "token_ids") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
-        for batch in _slices(batches):
+        for batch in slices(batches, SLICE_ROWS):
             plain = [own.decode(p) if p else b"" for p in batch.column(place).to_pylist()]
-            yield _with_columns(batch, decoded=pa.array(plain, pa.binary()))
+            yield with_columns(batch, decoded=pa.array(plain, pa.binary()))
 
     return docs.mapInArrow(run, schema)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,25 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in smaller ones, so that few long texts are in memory at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
+    arrays = [*batch.columns, *columns.values()]
+    return pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *columns])
+
+
+def to_batch(fields: dict[str, pa.DataType], columns: Iterable) -> pa.RecordBatch:
+    """Columns of values as a batch; no columns at all make an empty one."""
+    given = list(columns) or [[] for _ in fields]
+    arrays = [pa.array(column, kind) for column, kind in zip(given, fields.values(), strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=list(fields))
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; an empty array for null, empty or blank text."""
     bare = F.btrim(text, F.lit(SPACES))

@@ -39,12 +39,20 @@ def _window_numbers(words: np.ndarray, length: int) -> np.ndarray:
         left >>= 1
         if left:
             n = len(powers) - have
-            powers = np.unique(powers[:n] * (len(words) + 1) + powers[have : have + n], return_inverse=True)[1].astype(np.int64)
+            pairs = powers[:n] * (len(words) + 1) + powers[have : have + n]
+            powers = np.unique(pairs, return_inverse=True)[1].astype(np.int64)
             have *= 2
     return numbers
 
 
-def factors(span: list[bytes], doc: np.ndarray, tie: np.ndarray, start: np.ndarray, n: np.ndarray, length: int = LENGTH) -> windows.Found:
+def factors(
+    span: list[bytes],
+    doc: np.ndarray,
+    tie: np.ndarray,
+    start: np.ndarray,
+    n: np.ndarray,
+    length: int = LENGTH,
+) -> windows.Found:
     """Factors of ``length`` words or more, as runs of windows, against earlier documents in the block."""
     numbers: dict[bytes, int] = {}
     words: list[int] = []
@@ -126,7 +134,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("_own"),
         F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("_sha"),
     )
-    joined = keyed.join(cut, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest")), "left")
+    same = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest"))
+    joined = keyed.join(cut, same, "left")
     text = F.coalesce("_kept", F.col("_row.text"))
     fresh = {"text": text}
     if "n_chars" in docs.columns:

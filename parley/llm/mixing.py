@@ -50,7 +50,8 @@ def source_table(slim: DataFrame, repeats: int = REPEATS) -> DataFrame:
         .withColumn("_cap", F.col("source_size") * repeats)
     )
     # The level: all sources above their cap stay there, the rest share what is left by weight.
-    full_first = Window.orderBy(F.col("_cap") / F.col("weight"), "source_no")
+    room = (F.col("_cap") / F.col("weight")).alias("_room")
+    full_first = Window.orderBy(room, "source_no")
     earlier = full_first.rowsBetween(Window.unboundedPreceding, -1)
     rest = full_first.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     every = Window.partitionBy()
@@ -60,9 +61,7 @@ def source_table(slim: DataFrame, repeats: int = REPEATS) -> DataFrame:
         .withColumn("_open", F.col("_level") * F.col("weight") <= F.col("_cap"))
         .withColumn(
             "_level",
-            F.min(F.when(F.col("_open"), F.struct(F.col("_cap") / F.col("weight"), "source_no", "_level")))
-            .over(every)
-            .getField("_level"),
+            F.min(F.when(F.col("_open"), F.struct(room, "source_no", "_level"))).over(every)["_level"],
         )
         .withColumn(
             "target",
@@ -81,13 +80,17 @@ def with_blocks(sources: DataFrame, block_words: int) -> DataFrame:
     cut = (
         sources.withColumn(
             "blocks",
-            F.greatest(F.expr(f"(source_size + {block_words - 1}) div {block_words}"), F.least(size, F.lit(LEAST_BLOCKS))),
+            F.greatest(
+                F.expr(f"(source_size + {block_words - 1}) div {block_words}"),
+                F.least(size, F.lit(LEAST_BLOCKS)),
+            ),
         )
         .withColumn("_due", F.when(size > 0, due).otherwise(F.lit(0.0)))
         .withColumn("quota", F.least(F.floor(F.col("_due") + 0.5), F.col("blocks") * REPEATS))
         .withColumn("_slots", F.sum(F.col("quota") + 1).over(Window.partitionBy()))
         .withColumn("_unit", F.lit(float(1 << 30)) / F.col("_slots"))
-        .withColumn("_length", F.when(F.col("quota") > 0, F.greatest(F.lit(1), F.floor(F.col("_due") * F.col("_unit")))).otherwise(zero))
+        .withColumn("_length", F.greatest(F.lit(1), F.floor(F.col("_due") * F.col("_unit"))))
+        .withColumn("_length", F.when(F.col("quota") > 0, F.col("_length")).otherwise(zero))
     )
     return (
         cut.withColumn("_hi", F.sum("_length").over(by_no))
@@ -191,11 +194,14 @@ def mix(
     else:
         known = named.join(facts, match)
     stored = written(known.drop("_name"), "mix-known")
-    placed = running_total(stored, ["source_no"], "_bucket", ["_key", "doc_id", "_tie"], "size", "start")
+    order = ["_key", "doc_id", "_tie"]
+    placed = running_total(stored, ["source_no"], "_bucket", order, "size", "start")
     placed = written(placed, "mix-placed")
     parts = schedule(sources).join(pieces(placed), ["source_no", "block"])
     return Mix(
-        placed.select("doc_id", "source", "source_no", "size", "source_size", "target", "start", "_tie"),
+        placed.select(
+            "doc_id", "source", "source_no", "size", "source_size", "target", "start", "_tie"
+        ),
         parts.select(
             "slot", "pass", "source", "source_no", "doc_id", "start", "word_start", "word_end"
         ),
@@ -244,7 +250,8 @@ def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
         & (F.col("l._tie") == F.col("r._tie"))
         & (F.col("l._copy") == F.col("r._copy"))
     )
-    cut = F.array_join(F.slice(words(F.col("l.text")), F.col("_from") + 1, F.col("_to") - F.col("_from")), " ")
+    taken = F.slice(words(F.col("l.text")), F.col("_from") + 1, F.col("_to") - F.col("_from"))
+    cut = F.array_join(taken, " ")
     whole = (F.col("_from") == 0) & (F.col("_to") == F.col("r.size"))
     fresh = {"text": F.when(whole, F.col("l.text")).otherwise(cut)}
     if "n_chars" in docs.columns:

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parley.llm.common import to_batch
+
 CANDIDATES_PER_TILE, QUERIES_PER_TILE = 8192, 512
 #: Sums of int8 products stay exact in single precision up to this many dimensions.
 EXACT_IN_SINGLE = (1 << 24) // (127 * 127)
@@ -111,9 +113,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                     (np.full(len(at), query_ids[row]), ids[at], scores)
                     for row, at, scores in nearest_in_tile(ids, x, query_ids, q, k)
                 ]
-        parts = [np.concatenate(c) if found else np.empty(0) for c in (zip(*found) if found else ([], [], []))]
-        kinds = (pa.int64(), pa.int64(), pa.float64())
-        return pa.table([pa.array(p).cast(t) for p, t in zip(parts, kinds)], names=["query_id", "vec_id", "score"])
+        fields = {"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()}
+        return pa.Table.from_batches([to_batch(fields, map(np.concatenate, zip(*found)))])
 
     tiles = (
         dealt(vectors, "col", columns, "row", rows)
@@ -136,12 +137,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
             for query, heap in heaps.items()
             for rank, (score, vec) in enumerate(sorted(heap, reverse=True), 1)
         ]
+        fields = {"query_id": pa.int64(), "rank": pa.int32(), "vec_id": pa.int64(), "score": pa.float64()}
         for at in range(0, len(rows), 4096):
-            columns = zip(*rows[at : at + 4096])
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds)], names=["query_id", "rank", "vec_id", "score"]
-            )
+            yield to_batch(fields, zip(*rows[at : at + 4096]))
 
     return tiles.repartition("query_id").mapInArrow(
         merged, "query_id long, rank int, vec_id long, score double"

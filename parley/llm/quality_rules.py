@@ -9,6 +9,8 @@ and rules share the error level evenly (Bonferroni). A rule without a certified
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,8 +133,8 @@ def _parts(rule: str) -> tuple[Column, Column]:
 
 def _binomial_tail(x: Column, n: Column, rate: float) -> Column:
     """P(X <= x) for X binomial (n, rate), summed from the logarithms of its terms."""
-    first = n * F.lit(_log(1 - rate))
-    odds = F.lit(_log(rate / (1 - rate)))
+    first = n * F.lit(math.log(1 - rate))
+    odds = F.lit(math.log(rate / (1 - rate)))
     terms = F.aggregate(
         F.sequence(F.lit(0).cast("long"), x),
         F.struct(first.alias("log"), F.lit(0.0).alias("sum")),
@@ -153,12 +155,6 @@ def _binomial_tail(x: Column, n: Column, rate: float) -> Column:
     return terms["sum"]
 
 
-def _log(x: float) -> float:
-    import math
-
-    return math.log(x)
-
-
 def cutoffs(
     counts: DataFrame,
     labels: DataFrame,
@@ -183,7 +179,10 @@ def cutoffs(
     scored = (
         counts.where(~base_failed())
         .join(good, "doc_id", "left_semi")
-        .select(F.col(f"`{stratum}`").cast("string").alias("stratum"), *[s.alias(n) for n, s in scores().items()])
+        .select(
+            F.col(f"`{stratum}`").cast("string").alias("stratum"),
+            *[score.alias(name) for name, score in scores().items()],
+        )
     )
     rejected = [
         F.count(F.when(F.col(name) > cut, 1)).alias(f"{name}_{k}")
@@ -200,7 +199,10 @@ def cutoffs(
             F.coalesce(
                 (F.col(f"{name}_{k}") <= F.col("n") * rate)
                 & (
-                    _binomial_tail(F.least(F.col(f"{name}_{k}"), F.ceil(F.col("n") * rate)), F.col("n"), rate)
+                    # no longer sum than can pass
+                    _binomial_tail(
+                        F.least(F.col(f"{name}_{k}"), F.ceil(F.col("n") * rate)), F.col("n"), rate
+                    )
                     <= F.lit(error) / F.col("tests")
                 ),
                 F.lit(False),
@@ -225,7 +227,9 @@ def judged(counts: DataFrame, limits: DataFrame, stratum: str = "lang") -> DataF
     A row is not kept if it fails the base rules or a score lies above the cutoff of its stratum.
     Strata without labelled documents have no cutoffs. Columns of these two names are replaced.
     """
-    named = limits.select(F.col("stratum").alias("_stratum"), *[F.col(n).alias(f"_cut_{n}") for n in RULES])
+    named = limits.select(
+        F.col("stratum").alias("_stratum"), *[F.col(n).alias(f"_cut_{n}") for n in RULES]
+    )
     if limits.count() <= FEW_STRATA:
         named = F.broadcast(named)
     rows = without(counts, "base_failed", "kept")
@@ -255,5 +259,6 @@ def accepted(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataF
     """The documents that are kept, with all columns of ``docs``; null texts fail the base rules."""
     labelled = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
     limits = written(cutoffs(counted(labelled), labels, stratum), "quality-cutoffs")
-    verdict = judged(counted(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))), limits, stratum)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    verdict = judged(counted(docs.withColumn("_row", row)), limits, stratum)
     return verdict.where("kept").select("_row.*")

@@ -106,7 +106,14 @@ def common_prefix_bounds(codes: np.ndarray, order: np.ndarray, length: int) -> n
     return known[:n]
 
 
-def repeated(span: list[bytes], doc: np.ndarray, tie: np.ndarray, start: np.ndarray, n: np.ndarray, length: int = LENGTH) -> windows.Found:
+def repeated(
+    span: list[bytes],
+    doc: np.ndarray,
+    tie: np.ndarray,
+    start: np.ndarray,
+    n: np.ndarray,
+    length: int = LENGTH,
+) -> windows.Found:
     """Windows of the spans that occur earlier in the block, earlier by (doc, tie, start)."""
     sizes = np.fromiter(map(len, span), np.int64, len(span)) + 1
     # Bytes become 1 to 256; a 0 behind each span parts it from the next.

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.bpe import Pieces, _slices, _with_columns
-from parley.llm.common import without
+from parley.llm.bpe import SLICE_ROWS, Pieces
+from parley.llm.common import slices, to_batch, with_columns, without
 
 #: How the vocabulary's file splits text, and its special strings.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
@@ -51,7 +51,8 @@ class Lengths:
         if "<|" not in text:
             return self.splitter.split(self.normal(text)), 0
         parts = SPECIAL.split(text)
-        return [p for part in parts if part for p in self.splitter.split(self.normal(part))], len(parts) - 1
+        pieces = [p for part in parts if part for p in self.splitter.split(self.normal(part))]
+        return pieces, len(parts) - 1
 
     def normal(self, text: str) -> str:
         """As the file's normaliser, which runs itself where Python's rules could differ."""
@@ -77,11 +78,11 @@ def frequent_lengths(docs: DataFrame, path: str, text: str = "text") -> dict[str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(path)
-        for batch in _slices(batches):
-            seen = Counter(p for t in batch.column(0).to_pylist() if t for p in own.pieces(t)[0] if len(p) <= ENTRY_CHARS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["piece", "n"]
-            )
+        for batch in slices(batches, SLICE_ROWS):
+            texts = [t for t in batch.column(0).to_pylist() if t]
+            seen = Counter(p for t in texts for p in own.pieces(t)[0] if len(p) <= ENTRY_CHARS)
+            fields = {"piece": pa.string(), "n": pa.int64()}
+            yield to_batch(fields, (list(seen), list(seen.values())))
 
     top = (
         sample.mapInArrow(run, "piece string, n long")
@@ -111,14 +112,14 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, frequent = counter(path), table.value
-        for batch in _slices(batches):
+        for batch in slices(batches, SLICE_ROWS):
             texts = [own.pieces(t) if t else ([], 0) for t in batch.column(place).to_pylist()]
             met = set().union(*[pieces for pieces, _ in texts])
             if len(own.cache) > CACHED_PIECES:
                 own.cache.clear()
             own.learn([p for p in met if p not in frequent and p not in own.cache])
             here = {p: frequent.get(p) or own.cache[p] for p in met}
-            yield _with_columns(
+            yield with_columns(
                 batch,
                 n_tokens=pa.array([sum(map(here.__getitem__, p)) + k for p, k in texts], pa.int64()),
             )

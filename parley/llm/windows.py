@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import release, written
+from parley.llm.common import release, slices, to_batch, written
 from parley.session import scratch_folder
 
 #: Rows without an id get one of these places, from ``NO_ID`` on.
@@ -167,12 +167,14 @@ def corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Corpu
     doc = F.coalesce(own, F.lit(NO_ID) + F.pmod(F.xxhash64(given), F.lit(NO_ID_PLACES))).alias("doc")
     digest = F.sha2(given, 256).alias("digest")
     size = F.octet_length(given).cast("long").alias("bytes")
-    rows = written(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), doc, digest, size), "window-rows")
+    id_ = F.col(f"`{doc_id}`").alias("doc_id")
+    rows = written(docs.select(id_, doc, digest, size), "window-rows")
     total = rows.agg(F.sum("bytes")).first()[0] or 0
     buckets = min(MAX_BUCKETS, max(1, -(-total // BUCKET_BYTES)))
 
     same = rows.groupBy("digest", "doc").agg(F.count("*").alias("times"))
-    firsts = same.groupBy("digest").agg(F.min(F.struct("doc", "times")).alias("f")).select("digest", "f.*")
+    least = F.min(F.struct("doc", "times")).alias("least")
+    firsts = same.groupBy("digest").agg(least).select("digest", "least.*")
     tie = F.row_number().over(Window.partitionBy("doc").orderBy("digest")) - 1
     of_id = (
         firsts.withColumn("tie", tie)
@@ -184,7 +186,8 @@ def corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Corpu
         docs.select(doc, digest, given.alias("text"))
         .repartition(buckets, "doc")
         .join(of_id.repartition(buckets, "doc"), "doc")
-        .withColumn("chosen", F.get(F.filter("chosen", lambda x: x["digest"] == F.col("digest")), F.lit(0)))
+        .withColumn("chosen", F.filter("chosen", lambda x: x["digest"] == F.col("digest")))
+        .withColumn("chosen", F.get("chosen", F.lit(0)))
         .where("chosen IS NOT NULL")
         .select("doc", "chosen.tie", "digest", "chosen.times", "text")
         .dropDuplicates(["doc", "digest"])
@@ -223,26 +226,27 @@ def anchor_rows(texts: DataFrame, kind: Tokens) -> DataFrame:
     """The anchors of each text; of equal stretches in a text, the first with the places of the rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
-                docs, ties, found = part.column(0).to_numpy(), part.column(1).to_numpy(), []
-                for i, text in enumerate(part.column(2).to_pylist()):
-                    rows = anchors(kind.hashes(text), kind.length, kind.gram)
-                    if rows is not None:
-                        h, s, start, n, count, more = first_in_text(*rows)
-                        found.append((h, s, np.full(len(h), docs[i]), np.full(len(h), ties[i]), start, n, count, more))
-                if found:
-                    h, s, doc, tie, start, n, count, more = (np.concatenate(c) for c in zip(*found))
-                    lists = pa.ListArray.from_arrays(
-                        pa.array(np.append(0, np.cumsum(count)).astype(np.int32)),
-                        pa.array(more.astype(np.int32)),
-                        mask=pa.array(count == 0),
-                    )
-                    columns = (h.view(np.int64), s.view(np.int64), doc, tie, start.astype(np.int32), n.astype(np.int32))
-                    yield pa.RecordBatch.from_arrays(
-                        [*map(pa.array, columns), lists], names=["h", "s", "doc", "tie", "start", "n", "more"]
-                    )
+        for part in slices(batches, SLICE_ROWS):
+            docs, ties, found = part.column(0).to_numpy(), part.column(1).to_numpy(), []
+            for i, text in enumerate(part.column(2).to_pylist()):
+                rows = anchors(kind.hashes(text), kind.length, kind.gram)
+                if rows is not None:
+                    h, s, start, n, count, more = first_in_text(*rows)
+                    own = np.full(len(h), docs[i]), np.full(len(h), ties[i])
+                    found.append((h, s, *own, start, n, count, more))
+            if found:
+                h, s, doc, tie, start, n, count, more = (np.concatenate(c) for c in zip(*found))
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum(count)).astype(np.int32)),
+                    pa.array(more.astype(np.int32)),
+                    mask=pa.array(count == 0),
+                )
+                hashes = (h.view(np.int64), s.view(np.int64))
+                places = (start.astype(np.int32), n.astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, (*hashes, doc, tie, *places)), lists],
+                    names=["h", "s", "doc", "tie", "start", "n", "more"],
+                )
 
     return texts.select("doc", "tie", "text").mapInArrow(run, ANCHOR)
 
@@ -256,7 +260,10 @@ def repeats_and_questions(rows: DataFrame, within: bool) -> DataFrame:
     """
     by_stretch = Window.partitionBy("h", "s").orderBy("doc", "tie", "start")
     by_gram = Window.partitionBy("h")
-    again = F.row_number().over(by_stretch) > 1 if within else F.col("doc") > F.first("doc").over(by_stretch)
+    if within:
+        again = F.row_number().over(by_stretch) > 1
+    else:
+        again = F.col("doc") > F.first("doc").over(by_stretch)
     marked = (
         rows.repartition("h")
         .withColumn("again", again)
@@ -295,28 +302,36 @@ def _lists(rows: DataFrame, known: Corpus, *names: str) -> DataFrame:
 
 
 SPAN = "h long, doc long, tie int, start int, n int, more array<int>, span binary"
+_SPAN_FIELDS = {
+    "h": pa.int64(),
+    "doc": pa.int64(),
+    "tie": pa.int32(),
+    "start": pa.int32(),
+    "n": pa.int32(),
+    "more": pa.list_(pa.int32()),
+    "span": pa.binary(),
+}
 
 
 def spans(asked: DataFrame, known: Corpus, kind: Tokens) -> DataFrame:
     """The text of each question: the stretch that its windows cover."""
     names = ["h", "start", "n", "more"]
-    joined = known.texts.join(_lists(asked, known, *names), "doc").select("doc", "tie", "text", "ties", *names)
+    joined = known.texts.join(_lists(asked, known, *names), "doc")
+    joined = joined.select("doc", "tie", "text", "ties", *names)
+    beyond = kind.length - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                rows = []
-                for doc, tie, text, *lists in zip(*[c.to_pylist() for c in batch.slice(at, SLICE_ROWS).columns]):
-                    tokens = kind.tokens(text)
-                    rows += [
-                        (h, doc, tie, start, n, more, kind.cut(tokens, start, start + n + kind.length - 1))
-                        for own, h, start, n, more in zip(*lists)
-                        if own == tie
-                    ]
-                if rows:
-                    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.binary())
-                    names = ["h", "doc", "tie", "start", "n", "more", "span"]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        for part in slices(batches, SLICE_ROWS):
+            rows = []
+            for doc, tie, text, *lists in zip(*[c.to_pylist() for c in part.columns]):
+                tokens = kind.tokens(text)
+                rows += [
+                    (h, doc, tie, start, n, more, kind.cut(tokens, start, start + n + beyond))
+                    for own, h, start, n, more in zip(*lists)
+                    if own == tie
+                ]
+            if rows:
+                yield to_batch(_SPAN_FIELDS, zip(*rows))
 
     return joined.mapInArrow(run, SPAN)
 
@@ -344,10 +359,9 @@ def searched(asked: DataFrame, search: Search) -> DataFrame:
             shift = np.concatenate((np.zeros(len(span), np.int64), places - start[span[again]]))
             span, first, count = (np.concatenate((x, x[again])) for x in (span, first, count))
             first = first + shift
-        return pa.RecordBatch.from_arrays(
-            [pa.array(doc[span]), pa.array(tie[span]), pa.array((start[span] + first).astype(np.int32)), pa.array(count.astype(np.int32))],
-            names=["doc", "tie", "start", "n"],
-        )
+        at = (start[span] + first).astype(np.int32)
+        columns = (doc[span], tie[span], at, count.astype(np.int32))
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["doc", "tie", "start", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -366,7 +380,8 @@ def searched(asked: DataFrame, search: Search) -> DataFrame:
         if held:
             yield block(held)
 
-    return asked.repartition("h").sortWithinPartitions("h").mapInArrow(run, "doc long, tie int, start int, n int")
+    placed = asked.repartition("h").sortWithinPartitions("h")
+    return placed.mapInArrow(run, "doc long, tie int, start int, n int")
 
 
 def repeated_windows(known: Corpus, kind: Tokens, search: Search, within: bool) -> DataFrame:
@@ -386,55 +401,64 @@ def covered(size: int, length: int, starts, counts) -> np.ndarray:
     return np.cumsum(edges)[:-1] > 0
 
 
-RESULT = "first long, digest string, times long, bytes long, n_tokens long, n_removed long, n_spans long, kept binary, spans array<struct<begin:long,end:long>>"
-_RUNS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+RESULT = (
+    "first long, digest string, times long, bytes long, n_tokens long, n_removed long, n_spans long, "
+    "kept binary, spans array<struct<begin:long,end:long>>"
+)
+_RESULT_FIELDS = {
+    "first": pa.int64(),
+    "digest": pa.string(),
+    **dict.fromkeys(["times", "bytes", "n_tokens", "n_removed", "n_spans"], pa.int64()),
+    "kept": pa.binary(),
+    "spans": pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])),
+}
+#: Takes the tokens of a text and which of them go, and gives the bytes left.
+Keep = Callable[[Sequence, np.ndarray], bytes]
 
 
-def cut_texts(known: Corpus, repeats: DataFrame, kind: Tokens, keep: Callable[[Sequence, np.ndarray], bytes]) -> DataFrame:
+def cut_texts(known: Corpus, repeats: DataFrame, kind: Tokens, keep: Keep) -> DataFrame:
     """Per text what is left of it: counts, removed spans (in tokens) and the kept bytes."""
     columns = ["doc", "digest", "times", "tie", "text", "ties", "start", "n"]
     joined = known.texts.join(repeats, "doc", "left").select(*columns)
 
+    def result(doc, digest, times, tie, text, ties, start, n) -> tuple:
+        tokens = kind.tokens(text)
+        if ties is not None:
+            own = np.flatnonzero(np.array(ties) == tie)
+            start, n = np.array(start)[own], np.array(n)[own]
+        gone = covered(len(tokens), kind.length, start, n)
+        edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0)).tolist()
+        runs = [{"begin": a, "end": b} for a, b in zip(edges[::2], edges[1::2])]
+        counts = (len(text.encode()), len(gone), int(gone.sum()), len(runs))
+        return doc, digest, times, *counts, keep(tokens, gone), runs
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                rows = []
-                for doc, digest, times, tie, text, ties, start, n in zip(*[c.to_pylist() for c in batch.slice(at, SLICE_ROWS).columns]):
-                    tokens = kind.tokens(text)
-                    if ties is not None:
-                        own = np.flatnonzero(np.array(ties) == tie)
-                        start, n = np.array(start)[own], np.array(n)[own]
-                    gone = covered(len(tokens), kind.length, start, n)
-                    edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0)).tolist()
-                    runs = [{"begin": a, "end": b} for a, b in zip(edges[::2], edges[1::2])]
-                    size = len(text.encode())
-                    rows.append((doc, digest, times, size, len(gone), int(gone.sum()), len(runs), keep(tokens, gone), runs))
-                types = (pa.int64(), pa.string(), *[pa.int64()] * 5, pa.binary(), _RUNS)
-                names = ["first", "digest", "times", "bytes", "n_tokens", "n_removed", "n_spans", "kept", "spans"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        for part in slices(batches, SLICE_ROWS):
+            rows = [result(*row) for row in zip(*[c.to_pylist() for c in part.columns])]
+            yield to_batch(_RESULT_FIELDS, zip(*rows))
 
     return joined.mapInArrow(run, RESULT)
 
 
-def sizes(known: Corpus, kind: Tokens, keep: Callable[[Sequence, np.ndarray], bytes]) -> DataFrame:
+def sizes(known: Corpus, kind: Tokens, keep: Keep) -> DataFrame:
     """Per text its number of tokens, and what is kept of it if it is shorter than a window."""
+    fields = {"digest": pa.string(), "first": pa.int64(), "n_tokens": pa.int64(), "short": pa.binary()}
+
+    def result(digest: str, doc: int, text: str) -> tuple:
+        tokens = kind.tokens(text)
+        n = len(tokens)
+        return digest, doc, n, keep(tokens, np.zeros(n, bool)) if n < kind.length else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part, rows = batch.slice(at, SLICE_ROWS), []
-                for text in part.column(2).to_pylist():
-                    tokens = kind.tokens(text)
-                    n = len(tokens)
-                    rows.append((n, keep(tokens, np.zeros(n, bool)) if n < kind.length else None))
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], *columns], names=["digest", "first", "n_tokens", "short"])
+        for part in slices(batches, SLICE_ROWS):
+            rows = [result(*row) for row in zip(*[c.to_pylist() for c in part.columns])]
+            yield to_batch(fields, zip(*rows))
 
     texts = known.texts.select("digest", "doc", "text")
     return texts.mapInArrow(run, "digest string, first long, n_tokens long, short binary")
 
 
-def per_document(known: Corpus, cut: DataFrame, kind: Tokens, keep: Callable[[Sequence, np.ndarray], bytes]) -> DataFrame:
+def per_document(known: Corpus, cut: DataFrame, kind: Tokens, keep: Keep) -> DataFrame:
     """The results of all rows: copies of a text after the first document lose all windows.
 
     doc_id, digest, bytes, n_tokens, n_removed, n_spans, kept and spans, one row for each document row.
@@ -457,7 +481,7 @@ def per_document(known: Corpus, cut: DataFrame, kind: Tokens, keep: Callable[[Se
             F.when(whole, F.col("n_tokens")).otherwise(zero).alias("n_removed"),
             F.when(whole, one).otherwise(zero).alias("n_spans"),
             F.coalesce("short", F.lit(b"")).alias("kept"),
-            F.when(whole, all_of_it).otherwise(F.array().cast(cut.schema["spans"].dataType)).alias("spans"),
+            F.when(whole, all_of_it).otherwise(F.array().cast(cut.schema["spans"].dataType)),
         )
     )
     return firsts.union(copies)
