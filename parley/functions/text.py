@@ -280,26 +280,16 @@ def escape_html(c: Column) -> Column:
 def mask_sensitive(c: Column) -> Column:
     """Replace keys, social security numbers and e-mail addresses, in that order.
 
-    Every pattern runs only on text with the mark it needs; other text is passed through.
+    Every pattern needs one of a few marks in the text, which no replacement brings in, so text
+    without any is passed through, and mails are looked for only where there is an ``@``.
     """
+    mail = c.contains("@")
+    marked = mail | c.contains("sk-") | c.contains("AKIA") | c.rlike(r"\p{Nd}-\p{Nd}{2}-")
     masked = c
-    for pattern, replacement in MASKS:
-        marked = _MARKS[pattern](masked)
-        if pattern == _MAIL:
-            found = F.regexp_replace(masked, _linear_mail_pattern(), f"$1{replacement}")
-        else:
-            found = F.regexp_replace(masked, java_pattern(pattern), replacement)
-        masked = F.when(marked, found).otherwise(masked)
-    return masked
-
-
-_KEY, _AWS_KEY, _SSN, _MAIL = (pattern for pattern, _ in MASKS)
-_MARKS = {
-    _KEY: lambda c: c.contains("sk-"),
-    _AWS_KEY: lambda c: c.contains("AKIA"),
-    _SSN: lambda c: c.rlike(r"\p{Nd}-\p{Nd}{2}-"),
-    _MAIL: lambda c: c.contains("@"),
-}
+    for pattern, replacement in MASKS[:-1]:
+        masked = F.regexp_replace(masked, java_pattern(pattern), replacement)
+    without_mails = F.regexp_replace(masked, _linear_mail_pattern(), f"$1{MASKS[-1][1]}")
+    return F.when(marked, F.when(mail, without_mails).otherwise(masked)).otherwise(c)
 
 
 def _linear_mail_pattern() -> str:
@@ -310,7 +300,7 @@ def _linear_mail_pattern() -> str:
     edge decides: the first word character, with the dots and signs before it kept as group 1, or the
     place right behind a previous match.
     """
-    name, domain = _MAIL.removeprefix(r"\b").split("@")
+    name, domain = MASKS[-1][0].removeprefix(r"\b").split("@")
     run = java_pattern(name).removesuffix("+")
     signs = run.replace(_WORD, "")
     start = rf"(?:\G(?<=[{_WORD}])|(?<!{run})({signs}*+)(?=[{_WORD}]))"
