@@ -54,10 +54,16 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return folder
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Remove the scratch folders this session has asked for; no result may depend on them any more."""
+def scratch_folders(spark: SparkSession) -> list[str]:
+    """The scratch folders this session has asked for and not cleared, oldest first."""
+    return list(_made.get(id(spark), []))
+
+
+def clear_scratch(spark: SparkSession, folders: list[str] | None = None) -> None:
+    """Remove scratch folders of this session, all by default; no result may depend on them any more."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in _made.pop(id(spark), []):
+    for folder in scratch_folders(spark) if folders is None else folders:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
+        _made[id(spark)].remove(folder)
