@@ -174,12 +174,13 @@ def ask_model(
         with ThreadPoolExecutor(max(1, in_flight)) as pool:
             for transcripts in batches:
                 pairs = [(text, request) for text in transcripts for request in prepared]
-                answers = list(pool.map(lambda pair: call(*pair), pairs))
-                rows = [
-                    [cell for answer in answers[at : at + len(prepared)] for cell in answer]
-                    for at in range(0, len(answers), len(prepared))
-                ]
-                yield pd.DataFrame(rows, columns=names, dtype=object)
+                # a thread takes a run of calls at a time, eight runs or so for each
+                step = max(1, len(pairs) // (8 * max(1, in_flight)))
+                runs = [pairs[at : at + step] for at in range(0, len(pairs), step)]
+                done = pool.map(lambda run: [call(*pair) for pair in run], runs)
+                cells = [cell for answers in done for answer in answers for cell in answer]
+                columns = {name: cells[k :: len(names)] for k, name in enumerate(names)}
+                yield pd.DataFrame(columns, dtype=object)
 
     # annotations are resolved by name in this module, which workers may not have
     ask.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}

@@ -6,6 +6,7 @@ one grouping for duplicates. Only the check for duplicates runs a job when it is
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -245,8 +246,8 @@ def _distinct_among(df: DataFrame, groups: DataFrame) -> DataFrame | None:
     counts the repeated digests first: few are broadcast, and the table is only read; beyond
     ``MANY_REPEATED`` it has to be shuffled.
     """
-    repeated = groups.filter("__copies > 1").select("__d1", "__d2").distinct()
-    found = repeated.limit(MANY_REPEATED + 1).count()
+    repeated = groups.filter("__copies > 1").select("__d1", "__d2")
+    found = repeated.count()
     if not found:
         return None
     rows = df.withColumns(_digest(df.columns))
@@ -309,11 +310,11 @@ def quality_report(df: DataFrame, rules: RuleSet) -> DataFrame:
 
 
 def all_sources_report(turns: DataFrame, clicks: DataFrame, meta: DataFrame) -> DataFrame:
-    return (
-        quality_report(turns, CHATBOT_RULES)
-        .unionByName(quality_report(clicks, CLICKSTREAM_RULES))
-        .unionByName(quality_report(meta, METADATA_RULES))
-    )
+    """Every check of the three sources; the jobs that set the checks up run side by side."""
+    sources = [(turns, CHATBOT_RULES), (clicks, CLICKSTREAM_RULES), (meta, METADATA_RULES)]
+    with ThreadPoolExecutor(len(sources)) as pool:
+        found = list(pool.map(lambda source: quality_report(*source), sources))
+    return reduce(DataFrame.unionByName, found)
 
 
 def gate_summary(report: DataFrame) -> DataFrame:
