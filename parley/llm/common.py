@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parley.session import scratch_folder
+from parley.session import clear_scratch, scratch_folder, scratch_folders
 
 #: The bytes that part words, as the contracts state them.
 SPACE = r"\x20\x09-\x0D"
@@ -30,6 +30,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``build`` gives, stored; the tables that it stored on the way are removed."""
+    before = set(scratch_folders(spark))
+    result = written(build(), label)
+    made = [folder for folder in scratch_folders(spark) if folder not in before]
+    clear_scratch(spark, made[:-1])
+    return result
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files of finished jobs, which it does when the driver collects
     garbage; a driver with little to do may not for hours, while executor disks fill up."""

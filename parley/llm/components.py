@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.common import written
+from parley.operators.joins import spread_join
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
     """Edges (u, v) in both directions, with the least node next to u, u itself included."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("m"))
-    return both.join(least, "u")
+    return spread_join(both, least, ["u"], "inner")  # a hub's edges may be dealt to several tasks
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -23,7 +24,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where(F.col("v") != F.col("m"))
+    moved = spread_join(down, least, ["u"], "inner").where(F.col("v") != F.col("m"))
     return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
         least.select("u", F.col("m").alias("v"))
     )

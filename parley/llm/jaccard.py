@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.llm import windows
-from parley.llm.common import slices, to_batch, written
+from parley.llm.common import settled, slices, to_batch, written
 from parley.llm.components import components
 
 SIZE = 5
@@ -401,6 +401,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     links; equal texts with shingles are linked. A null id comes after all others and is its
     component's only if no other is in it. Repeated rows stay. Other columns are not read.
     """
+    return settled(docs.sparkSession, lambda: _near_duplicates(docs, doc_id, text), "near-duplicates")
+
+
+def _near_duplicates(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     known = windows.corpus(docs, doc_id, text)
     signed = written(signatures(known.texts), "shingle-signatures")
     tiled = written(tiles(prefix_rows(known.texts, often_met(signed))), "shingle-tiles")

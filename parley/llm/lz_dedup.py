@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm import windows
+from parley.llm.common import settled
 
 LENGTH, GRAM = 13, 5
 KIND = windows.Tokens(
@@ -121,14 +122,18 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     is such a column, is its new length; other texts stay as they are. ``docs`` needs the columns doc_id
     and text.
     """
-    left = remove_repeats(docs).where("n_removed > 0").select(
-        F.col("doc_id").alias("_id"),
-        F.col("digest").alias("_digest"),
-        F.col("n_tokens").alias("_n"),
-        F.col("n_removed").alias("_gone"),
-        F.decode("kept", "UTF-8").alias("_kept"),
-    )
-    cut = left.dropDuplicates(["_id", "_digest"])
+
+    def changed() -> DataFrame:
+        left = remove_repeats(docs).where("n_removed > 0").select(
+            F.col("doc_id").alias("_id"),
+            F.col("digest").alias("_digest"),
+            F.col("n_tokens").alias("_n"),
+            F.col("n_removed").alias("_gone"),
+            F.decode("kept", "UTF-8").alias("_kept"),
+        )
+        return left.dropDuplicates(["_id", "_digest"])
+
+    cut = settled(docs.sparkSession, changed, "changed-texts")
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
         F.col("doc_id").alias("_own"),

@@ -256,9 +256,13 @@ def quality_report(docs: DataFrame, labels: DataFrame, stratum: str = "lang") ->
 
 
 def accepted(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """The documents that are kept, with all columns of ``docs``; null texts fail the base rules."""
-    labelled = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    limits = written(cutoffs(counted(labelled), labels, stratum), "quality-cutoffs")
+    """The documents that are kept, with all columns of ``docs``; null texts fail the base rules.
+
+    Documents are stored once with their counts, so that texts are neither read twice nor shuffled.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    verdict = judged(counted(docs.withColumn("_row", row)), limits, stratum)
-    return verdict.where("kept").select("_row.*")
+    counts = counted(docs.withColumn("_row", row))
+    names = ["doc_id", stratum, *COUNTED]
+    stored = written(counts.select("_row", *[F.col(f"`{c}`") for c in names]), "quality-documents")
+    limits = written(cutoffs(stored, labels, stratum), "quality-cutoffs")
+    return judged(stored, limits, stratum).where("kept").select("_row.*")

@@ -1,14 +1,16 @@
 """Which fixed-length windows of a corpus occur in it before: the frame of both substring removers.
 
 A text is a row of tokens (bytes or words) and a window is ``length`` consecutive ones. Every window is
-stood for by its minimizer: of the short grams inside it the one with the least hash, leftmost first. Equal
-windows have equal minimizers at equal places, so only windows that share one need comparing. The
+stood for by its minimizer: of the short grams inside it the one with the least hash, leftmost first.
+Equal windows have equal minimizers at equal places, so only windows that share one need comparing. The
 windows of one minimizer are consecutive; they and the stretch of text they cover are an *anchor* row.
 
 1. Equal texts are brought together by digest; only the first of each goes on.
-2. Anchors are shuffled by minimizer. Where whole stretches are equal, all but the first are repeats.
+2. Anchors are shuffled by minimizer. Where whole stretches are equal, all but the first are repeats;
+   those within one task are marked before the shuffle.
 3. The first of each stretch is a *question* if its minimizer heads different stretches. Their text is
-   fetched and a searcher (by suffix sorting, or by factoring) compares them, block by block.
+   fetched and a searcher (by suffix sorting, or by factoring) compares them, block by block. Windows
+   of minimizers with very many questions are dealt out one by one.
 4. Repeats and found windows are gathered per text.
 
 Gram and stretch hashes have 64 bits each, and two stretches count as equal only if both agree.
@@ -37,7 +39,9 @@ BUCKET_BYTES, MAX_BUCKETS = 16 << 20, 1 << 17
 #: Windows taken at a time; a place in them and the hash of a gram share 64 bits.
 CHUNK, PLACE_BITS = 1 << 16, 18
 BLOCK_BYTES = 1 << 20
-SLICE_ROWS = 64
+SLICE_ROWS, ROWS_AT_ONCE = 64, 1 << 17
+#: Questions that share a minimizer with more than so many others are looked up window by window.
+CROWD, WINDOWS_AT_ONCE = 1024, 1 << 14
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _PLACES = np.uint64((1 << PLACE_BITS) - 1)
@@ -203,7 +207,9 @@ def corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Corpu
     return Corpus(rows, spark.table(name), buckets)
 
 
-ANCHOR = "h long, s long, doc long, tie int, start int, n int, more array<int>"
+ANCHOR = (
+    "h long, s long, doc long, tie int, start int, n int, more array<int>, again boolean"
+)
 
 
 def first_in_text(h: np.ndarray, s: np.ndarray, start: np.ndarray, n: np.ndarray):
@@ -222,38 +228,70 @@ def first_in_text(h: np.ndarray, s: np.ndarray, start: np.ndarray, n: np.ndarray
     return h[first], s[first], start[first], n[first], count, start[order[~new]]
 
 
-def anchor_rows(texts: DataFrame, kind: Tokens) -> DataFrame:
-    """The anchors of each text; of equal stretches in a text, the first with the places of the rest."""
+def settled_early(h, s, doc, tie, start, within: bool) -> np.ndarray:
+    """Which of some anchor rows repeat an earlier equal stretch among these very rows."""
+    again = np.zeros(len(h), bool)
+    key = mixed(h + s * _M2)
+    order = np.argsort(key)
+    twice = np.zeros(len(h), bool)
+    twice[1:] = key[order][1:] == key[order][:-1]
+    twice[:-1] |= twice[1:]
+    rows = order[twice]
+    rows = rows[np.lexsort((start[rows], tie[rows], doc[rows], s[rows], h[rows]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = (h[rows][1:] != h[rows][:-1]) | (s[rows][1:] != s[rows][:-1])
+    first = np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))
+    again[rows] = ~new if within else doc[rows] > doc[rows[first]]
+    return again
+
+
+def anchor_rows(texts: DataFrame, kind: Tokens, within: bool) -> DataFrame:
+    """The anchors of each text; of equal stretches in a text, the first with the places of the rest.
+
+    A task settles what it can before rows are shuffled: a stretch that an earlier text of the same
+    batch has is a repeat (``again``) whatever else there is, and goes on under a minimizer of its
+    own. So a passage that very many texts share is a few rows of each task under its minimizers.
+    """
+    names = ["h", "s", "doc", "tie", "start", "n", "more", "again"]
+
+    def settled(found: list[tuple]) -> pa.RecordBatch:
+        h, s, doc, tie, start, n, count, more = (np.concatenate(c) for c in zip(*found))
+        again = settled_early(h, s, doc, tie, start, within)
+        spread = mixed(doc.astype(np.uint64) * _M1 + start.astype(np.uint64) + s)
+        h = np.where(again, spread, h)
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.append(0, np.cumsum(count)).astype(np.int32)),
+            pa.array(more.astype(np.int32)),
+            mask=pa.array(count == 0),
+        )
+        hashes = (h.view(np.int64), s.view(np.int64))
+        places = (start.astype(np.int32), n.astype(np.int32))
+        columns = [*map(pa.array, (*hashes, doc, tie, *places)), lists, pa.array(again)]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
         for part in slices(batches, SLICE_ROWS):
-            docs, ties, found = part.column(0).to_numpy(), part.column(1).to_numpy(), []
+            docs, ties = part.column(0).to_numpy(), part.column(1).to_numpy()
             for i, text in enumerate(part.column(2).to_pylist()):
                 rows = anchors(kind.hashes(text), kind.length, kind.gram)
                 if rows is not None:
                     h, s, start, n, count, more = first_in_text(*rows)
                     own = np.full(len(h), docs[i]), np.full(len(h), ties[i])
                     found.append((h, s, *own, start, n, count, more))
-            if found:
-                h, s, doc, tie, start, n, count, more = (np.concatenate(c) for c in zip(*found))
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.append(0, np.cumsum(count)).astype(np.int32)),
-                    pa.array(more.astype(np.int32)),
-                    mask=pa.array(count == 0),
-                )
-                hashes = (h.view(np.int64), s.view(np.int64))
-                places = (start.astype(np.int32), n.astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, (*hashes, doc, tie, *places)), lists],
-                    names=["h", "s", "doc", "tie", "start", "n", "more"],
-                )
+                    size += len(h)
+            if size >= ROWS_AT_ONCE:
+                yield settled(found)
+                found, size = [], 0
+        if found:
+            yield settled(found)
 
     return texts.select("doc", "tie", "text").mapInArrow(run, ANCHOR)
 
 
 def repeats_and_questions(rows: DataFrame, within: bool) -> DataFrame:
     """Anchor rows that matter: repeats (``again``) of an earlier equal stretch, and questions, the rows
-    with a minimizer ``h``.
+    with a minimizer ``h``; ``crowded`` ones share it with more than ``CROWD`` others.
 
     ``within`` tells whether a repeat inside one document counts; then the places in ``more`` are
     repeats in any case.
@@ -266,13 +304,14 @@ def repeats_and_questions(rows: DataFrame, within: bool) -> DataFrame:
         again = F.col("doc") > F.first("doc").over(by_stretch)
     marked = (
         rows.repartition("h")
-        .withColumn("again", again)
+        .withColumn("again", F.col("again") | again)
         .withColumn("varied", F.min("s").over(by_gram) != F.max("s").over(by_gram))
+        .withColumn("crowded", F.count("*").over(by_gram) > CROWD)
     )
     inner = F.col("more").isNotNull() if within else F.lit(False)
     asked = F.when(F.col("varied") & ~F.col("again"), F.col("h"))
     return marked.where(F.col("again") | F.col("varied") | inner).select(
-        asked.alias("h"), "doc", "tie", "start", "n", "more", "again"
+        asked.alias("h"), "doc", "tie", "start", "n", "more", "again", "crowded"
     )
 
 
@@ -287,7 +326,8 @@ def repeats(marked: DataFrame, within: bool) -> DataFrame:
 
 def questions(marked: DataFrame, within: bool) -> DataFrame:
     more = F.lit(None).cast("array<int>") if within else F.col("more")
-    return marked.where("h IS NOT NULL").select("h", "doc", "tie", "start", "n", more.alias("more"))
+    columns = ["h", "doc", "tie", "start", "n", "crowded"]
+    return marked.where("h IS NOT NULL").select(*columns, more.alias("more"))
 
 
 def _lists(rows: DataFrame, known: Corpus, *names: str) -> DataFrame:
@@ -313,25 +353,60 @@ _SPAN_FIELDS = {
 }
 
 
-def spans(asked: DataFrame, known: Corpus, kind: Tokens) -> DataFrame:
-    """The text of each question: the stretch that its windows cover."""
-    names = ["h", "start", "n", "more"]
+def _window_rows(held: list[tuple], within: bool) -> list[tuple]:
+    """Rows (doc, tie, start, more, window) as spans of one window each, under a hash of the window.
+
+    Of equal windows only the earliest goes on; later ones are settled, which a span of null says, and
+    get a hash of their own. So neither stretches nor windows that very many texts share meet in one
+    place.
+    """
+    first: dict[bytes, tuple] = {}
+    for doc, tie, start, _, window in held:
+        first[window] = min(first.get(window, (doc, tie, start)), (doc, tie, start))
+    out = []
+    for doc, tie, start, more, window in held:
+        place = (doc, tie, start)
+        later = place > first[window] if within else doc > first[window][0]
+        named = repr(place).encode() if later else window
+        h = int.from_bytes(blake2b(named, digest_size=8).digest(), "little", signed=True)
+        out.append((h, doc, tie, start, 1, more, None if later else window))
+    return out
+
+
+def spans(asked: DataFrame, known: Corpus, kind: Tokens, within: bool) -> DataFrame:
+    """The text of each question: the stretch that its windows cover.
+
+    The windows of a crowded question go on one by one, each under its own hash.
+    """
+    names = ["h", "start", "n", "more", "crowded"]
     joined = known.texts.join(_lists(asked, known, *names), "doc")
     joined = joined.select("doc", "tie", "text", "ties", *names)
     beyond = kind.length - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        single: list[tuple] = []
         for part in slices(batches, SLICE_ROWS):
             rows = []
             for doc, tie, text, *lists in zip(*[c.to_pylist() for c in part.columns]):
                 tokens = kind.tokens(text)
-                rows += [
-                    (h, doc, tie, start, n, more, kind.cut(tokens, start, start + n + beyond))
-                    for own, h, start, n, more in zip(*lists)
-                    if own == tie
-                ]
+                for own, h, start, n, more, crowded in zip(*lists):
+                    if own != tie:
+                        continue
+                    if not crowded:
+                        span = kind.cut(tokens, start, start + n + beyond)
+                        rows.append((h, doc, tie, start, n, more, span))
+                        continue
+                    for at in range(n):
+                        places = [m + at for m in more] if more else None
+                        window = kind.cut(tokens, start + at, start + at + beyond + 1)
+                        single.append((doc, tie, start + at, places, window))
             if rows:
                 yield to_batch(_SPAN_FIELDS, zip(*rows))
+            if len(single) >= WINDOWS_AT_ONCE:
+                yield to_batch(_SPAN_FIELDS, zip(*_window_rows(single, within)))
+                single = []
+        if single:
+            yield to_batch(_SPAN_FIELDS, zip(*_window_rows(single, within)))
 
     return joined.mapInArrow(run, SPAN)
 
@@ -347,7 +422,14 @@ def searched(asked: DataFrame, search: Search) -> DataFrame:
     def block(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         whole = pa.Table.from_batches(rows)
         doc, tie, start, n = (whole[c].to_numpy() for c in ("doc", "tie", "start", "n"))
-        span, first, count = search(whole["span"].to_pylist(), doc, tie, start, n)
+        texts = whole["span"].to_pylist()
+        settled = np.flatnonzero([t is None for t in texts])
+        open_ = np.flatnonzero([t is not None for t in texts])
+        span, first, count = settled, np.zeros(len(settled), np.int64), n[settled].astype(np.int64)
+        if len(open_):
+            found = search([texts[i] for i in open_], *(c[open_] for c in (doc, tie, start, n)))
+            span = np.concatenate((span, open_[found[0]]))
+            first, count = np.concatenate((first, found[1])), np.concatenate((count, found[2]))
         # What holds for a stretch holds in all its places.
         more = whole["more"].combine_chunks()
         times = np.nan_to_num(pc.list_value_length(more).to_numpy(zero_copy_only=False)).astype(np.int64)
@@ -386,8 +468,8 @@ def searched(asked: DataFrame, search: Search) -> DataFrame:
 
 def repeated_windows(known: Corpus, kind: Tokens, search: Search, within: bool) -> DataFrame:
     """Per ``doc`` the lists ``ties``, ``start`` and ``n`` of windows that occur before."""
-    marked = written(repeats_and_questions(anchor_rows(known.texts, kind), within), "window-anchors")
-    found = searched(spans(questions(marked, within), known, kind), search)
+    marked = written(repeats_and_questions(anchor_rows(known.texts, kind, within), within), "window-anchors")
+    found = searched(spans(questions(marked, within), known, kind, within), search)
     return _lists(repeats(marked, within).union(found), known, "start", "n")
 
 

@@ -58,9 +58,20 @@ def passages(seed):
     return docs
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_cut_passages(frame, seed):
-    docs = passages(seed)
+@pytest.mark.parametrize("rows_at_once", [1, 40, 1 << 17])
+def test_cut_passages(frame, monkeypatch, rows_at_once):
+    """Whatever a task settles before the shuffle, and whatever is left to it."""
+    monkeypatch.setattr(windows, "ROWS_AT_ONCE", rows_at_once)
+    docs = passages(rows_at_once)
+    assert bytes_left(frame(*docs)) == brute.byte_repeats(docs)
+    assert words_left(frame(*docs)) == brute.word_repeats(docs)
+
+
+@pytest.mark.parametrize(("crowd", "at_once"), [(0, 1), (0, 30), (3, 1 << 14)])
+def test_crowded_minimizers(frame, monkeypatch, crowd, at_once):
+    monkeypatch.setattr(windows, "CROWD", crowd)
+    monkeypatch.setattr(windows, "WINDOWS_AT_ONCE", at_once)
+    docs = passages(5)
     assert bytes_left(frame(*docs)) == brute.byte_repeats(docs)
     assert words_left(frame(*docs)) == brute.word_repeats(docs)
 
