@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from parley.llm import windows
 from parley.llm.common import settled
 
-LENGTH, GRAM = 13, 5
+LENGTH, GRAM, CROWD = 13, 5, 1 << 10
 KIND = windows.Tokens(
     LENGTH,
     GRAM,
+    CROWD,
     tokens=windows.split_words,
     hashes=lambda text: windows.word_hashes(text.encode()),
     cut=lambda found, a, b: b" ".join(found[a:b]),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from parley.llm import windows
 
-LENGTH, GRAM = 100, 24
+LENGTH, GRAM, CROWD = 100, 24, 1 << 14
 
 
 def suffix_array(codes: np.ndarray) -> np.ndarray:
@@ -149,6 +149,7 @@ def as_runs(span: np.ndarray, place: np.ndarray) -> windows.Found:
 KIND = windows.Tokens(
     LENGTH,
     GRAM,
+    CROWD,
     tokens=str.encode,
     hashes=lambda text: np.frombuffer(text.encode(), np.uint8).astype(np.uint64),
     cut=lambda data, a, b: data[a:b],

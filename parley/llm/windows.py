@@ -40,8 +40,7 @@ BUCKET_BYTES, MAX_BUCKETS = 16 << 20, 1 << 17
 CHUNK, PLACE_BITS = 1 << 16, 18
 BLOCK_BYTES = 1 << 20
 SLICE_ROWS, ROWS_AT_ONCE = 64, 1 << 17
-#: Questions that share a minimizer with more than so many others are looked up window by window.
-CROWD, WINDOWS_AT_ONCE = 1024, 1 << 14
+WINDOWS_AT_ONCE = 1 << 14
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _PLACES = np.uint64((1 << PLACE_BITS) - 1)
@@ -49,10 +48,15 @@ _PLACES = np.uint64((1 << PLACE_BITS) - 1)
 
 @dataclass(frozen=True)
 class Tokens:
-    """How a text is cut into tokens, a 64-bit hash of each, and the tokens of a stretch as bytes."""
+    """How a text is cut into tokens, a 64-bit hash of each, and the tokens of a stretch as bytes.
+
+    Questions that share a minimizer with more than ``crowd`` others are looked up window by window.
+    That takes as many rows as a stretch has windows, so ``crowd`` is larger for longer windows.
+    """
 
     length: int
     gram: int
+    crowd: int
     tokens: Callable[[str], Sequence]
     hashes: Callable[[str], np.ndarray]
     cut: Callable[[Sequence, int, int], bytes]
@@ -289,9 +293,9 @@ def anchor_rows(texts: DataFrame, kind: Tokens, within: bool) -> DataFrame:
     return texts.select("doc", "tie", "text").mapInArrow(run, ANCHOR)
 
 
-def repeats_and_questions(rows: DataFrame, within: bool) -> DataFrame:
+def repeats_and_questions(rows: DataFrame, within: bool, crowd: int) -> DataFrame:
     """Anchor rows that matter: repeats (``again``) of an earlier equal stretch, and questions, the rows
-    with a minimizer ``h``; ``crowded`` ones share it with more than ``CROWD`` others.
+    with a minimizer ``h``; ``crowded`` ones share it with more than ``crowd`` others.
 
     ``within`` tells whether a repeat inside one document counts; then the places in ``more`` are
     repeats in any case.
@@ -306,7 +310,7 @@ def repeats_and_questions(rows: DataFrame, within: bool) -> DataFrame:
         rows.repartition("h")
         .withColumn("again", F.col("again") | again)
         .withColumn("varied", F.min("s").over(by_gram) != F.max("s").over(by_gram))
-        .withColumn("crowded", F.count("*").over(by_gram) > CROWD)
+        .withColumn("crowded", F.count("*").over(by_gram) > crowd)
     )
     inner = F.col("more").isNotNull() if within else F.lit(False)
     asked = F.when(F.col("varied") & ~F.col("again"), F.col("h"))
@@ -468,7 +472,8 @@ def searched(asked: DataFrame, search: Search) -> DataFrame:
 
 def repeated_windows(known: Corpus, kind: Tokens, search: Search, within: bool) -> DataFrame:
     """Per ``doc`` the lists ``ties``, ``start`` and ``n`` of windows that occur before."""
-    marked = written(repeats_and_questions(anchor_rows(known.texts, kind, within), within), "window-anchors")
+    rows = anchor_rows(known.texts, kind, within)
+    marked = written(repeats_and_questions(rows, within, kind.crowd), "window-anchors")
     found = searched(spans(questions(marked, within), known, kind, within), search)
     return _lists(repeats(marked, within).union(found), known, "start", "n")
 

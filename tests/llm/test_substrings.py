@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -69,7 +70,8 @@ def test_cut_passages(frame, monkeypatch, rows_at_once):
 
 @pytest.mark.parametrize(("crowd", "at_once"), [(0, 1), (0, 30), (3, 1 << 14)])
 def test_crowded_minimizers(frame, monkeypatch, crowd, at_once):
-    monkeypatch.setattr(windows, "CROWD", crowd)
+    for module in (lz_dedup, suffix_dedup):
+        monkeypatch.setattr(module, "KIND", replace(module.KIND, crowd=crowd))
     monkeypatch.setattr(windows, "WINDOWS_AT_ONCE", at_once)
     docs = passages(5)
     assert bytes_left(frame(*docs)) == brute.byte_repeats(docs)
