@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from parley.llm import windows
 from parley.llm.common import settled, slices, to_batch, written
 from parley.llm.components import components
+from parley.operators.joins import spread_join
 
 SIZE = 5
 #: Linked if 100 * intersection >= 80 * union, that is 9 * intersection >= 4 * (sum of sizes).
@@ -204,7 +205,7 @@ def verified(pairs: DataFrame, known: windows.Corpus) -> DataFrame:
     many = F.floor((F.count("*") - 1) / PAIRS_IN_PLACE) + 1
     parts = pairs.groupBy("u").agg(many.cast("int").alias("parts"))
     asked = (
-        pairs.join(parts, "u")
+        spread_join(pairs, parts, ["u"], "inner")
         .select("u", "parts", F.col("v").alias("own"))
         .union(parts.select("u", "parts", F.col("u").alias("own")))
         .select("u", "parts", F.col("own.doc").alias("doc"), F.col("own.tie").alias("tie"))
