@@ -1,10 +1,14 @@
 """Quality rules whose cutoffs are chosen under control of the risk of rejecting good documents.
 
-Each rule is a score that junk has high. Labelled documents are the holdout: in every stratum a cutoff
-is certified when the exact binomial (Clopper-Pearson) upper bound on the share of good documents it
-rejects stays below the rule's part of the allowed rate. Cutoffs of a rule are tried from lenient to
-strict and the first that fails ends the search, so one rule costs one test (fixed sequence); strata
-and rules share the error level evenly (Bonferroni). A rule without a certified cutoff rejects nothing.
+Each rule is a score that junk has high. Labelled documents are the holdout: in every stratum a set of
+cutoffs is certified when the exact binomial (Clopper-Pearson) upper bound on the share of good documents
+that all rules together reject stays below the allowed rate. Strata share the error level evenly. The
+search makes one cutoff of one rule stricter at a time: the first cutoffs of all rules, then the second,
+and so on (fixed sequence). A cutoff that fails freezes its rule where it is, and the search goes on
+with the others. What is tried up to the next failure depends on nothing but the cutoffs that have
+failed, so each set of failed cutoffs is a fixed sequence of its own. Half of the error is for the
+sequence before any failure, a quarter for all those after one, and so on. A rule without a certified
+cutoff rejects nothing.
 """
 
 from __future__ import annotations
@@ -155,6 +159,17 @@ def _binomial_tail(x: Column, n: Column, rate: float) -> Column:
     return terms["sum"]
 
 
+def error_shares() -> list[float]:
+    """The part of a stratum's error for one test, by how many rules are frozen.
+
+    With m rules frozen, 1 / 2^(m + 1) is shared evenly by all sets of m failed cutoffs of different rules.
+    """
+    sets = [1] + [0] * len(RULES)
+    for _, cuts in RULES.values():
+        sets = [1] + [sets[m] + sets[m - 1] * len(cuts) for m in range(1, len(sets))]
+    return [1 / (2 ** (m + 1) * n) for m, n in enumerate(sets)]
+
+
 def cutoffs(
     counts: DataFrame,
     labels: DataFrame,
@@ -168,7 +183,8 @@ def cutoffs(
     good). A document labelled good anywhere is good. With probability 1 - ``error`` over the choice of
     labelled documents, no stratum loses more than ``false_rejection`` of its good documents to the
     rules together. Documents that fail the base rules are no part of the holdout. A null stratum is
-    one of its own. Each rule's cutoffs are counted in one pass, per stratum and never per document.
+    one of its own. Documents are counted by how many cutoffs of each rule they pass, in one pass; the
+    search sees only these counts, of which a stratum has no more than there are sets of cutoffs.
     """
     good = (
         labels.groupBy("doc_id")
@@ -176,49 +192,75 @@ def cutoffs(
         .where("_quality = 1")
         .select("doc_id")
     )
-    scored = (
+    passed = [
+        sum((F.when(score > cut, 0).otherwise(1) for cut in RULES[name][1]), F.lit(0)).alias(name)
+        for name, score in scores().items()
+    ]
+    held = (
         counts.where(~base_failed())
         .join(good, "doc_id", "left_semi")
-        .select(
-            F.col(f"`{stratum}`").cast("string").alias("stratum"),
-            *[score.alias(name) for name, score in scores().items()],
-        )
+        .select(F.col(f"`{stratum}`").cast("string").alias("stratum"), *passed)
     )
-    rejected = [
-        F.count(F.when(F.col(name) > cut, 1)).alias(f"{name}_{k}")
-        for name, (_, cuts) in RULES.items()
-        for k, cut in enumerate(cuts)
-    ]
-    sums = scored.groupBy("stratum").agg(F.count("*").alias("n"), *rejected)
-    sums = sums.withColumn("tests", F.count("*").over(Window.partitionBy()) * len(RULES))
-    rate = false_rejection / len(RULES)
-    chosen = {}
-    for name, (_, cuts) in RULES.items():
-        best, fine = F.lit(None).cast("double"), F.lit(True)
-        passed = [
-            F.coalesce(
-                (F.col(f"{name}_{k}") <= F.col("n") * rate)
-                & (
-                    # no longer sum than can pass
-                    _binomial_tail(
-                        F.least(F.col(f"{name}_{k}"), F.ceil(F.col("n") * rate)), F.col("n"), rate
-                    )
-                    <= F.lit(error) / F.col("tests")
-                ),
-                F.lit(False),
+    cells = held.groupBy("stratum", *RULES).agg(F.count("*").alias("docs"))
+    cell = F.struct(F.array(*RULES).alias("passed"), F.col("docs"))
+    sums = cells.groupBy("stratum").agg(F.sum("docs").alias("n"), F.collect_list(cell).alias("cells"))
+    errors = F.array(
+        *[F.lit(error * share) / F.count("*").over(Window.partitionBy()) for share in error_shares()]
+    )
+    sums = sums.withColumn("errors", errors)
+
+    def together(levels: Column) -> Column:
+        """How many good documents the rules reject, each with that number of its cutoffs in force."""
+
+        def rejects(c: Column) -> Column:
+            return F.exists(F.zip_with(c["passed"], levels, lambda p, k: p < k), lambda x: x)
+
+        return F.aggregate(
+            F.col("cells"), F.lit(0).cast("long"), lambda a, c: a + F.when(rejects(c), c["docs"]).otherwise(0)
+        )
+
+    def fits(x: Column, level: Column) -> Column:
+        n = F.col("n")
+        # no longer sum than can pass
+        tail = _binomial_tail(F.least(x, F.ceil(n * false_rejection)), n, false_rejection)
+        return (x <= n * false_rejection) & (tail <= level)
+
+    def step(state: Column, tried: Column) -> Column:
+        def with_level(levels: Column) -> Column:
+            ok = bound(together(levels), lambda x: fits(x, F.get(F.col("errors"), F.size(state["frozen"]))))
+            return F.when(ok, F.struct(levels.alias("levels"), state["frozen"].alias("frozen"))).otherwise(
+                F.struct(
+                    state["levels"].alias("levels"),
+                    F.array_append(state["frozen"], tried["rule"]).alias("frozen"),
+                )
             )
-            for k in range(len(cuts))
-        ]
-        tried = F.array(*[F.struct(p.alias("ok"), F.lit(c).alias("cut")) for p, c in zip(passed, cuts)])
-        chosen[name] = F.aggregate(
-            tried,
-            F.struct(fine.alias("ok"), best.alias("cut")),
-            lambda a, x: F.struct(
-                (a["ok"] & x["ok"]).alias("ok"),
-                F.when(a["ok"] & x["ok"], x["cut"]).otherwise(a["cut"]).alias("cut"),
-            ),
-        )["cut"]
-    return sums.select("stratum", "n", *[c.alias(name) for name, c in chosen.items()])
+
+        stricter = F.transform(
+            state["levels"], lambda k, i: F.when(i == tried["rule"], tried["level"]).otherwise(k)
+        )
+        return F.when(F.array_contains(state["frozen"], tried["rule"]), state).otherwise(
+            bound(stricter, with_level)
+        )
+
+    lengths = [len(cuts) for _, cuts in RULES.values()]
+    steps = [
+        F.struct(F.lit(rule).alias("rule"), F.lit(level).alias("level"))
+        for level in range(1, max(lengths) + 1)
+        for rule, length in enumerate(lengths)
+        if level <= length
+    ]
+    start = F.struct(
+        F.array(*[F.lit(0) for _ in RULES]).alias("levels"), F.array().cast("array<int>").alias("frozen")
+    )
+    found = sums.select("stratum", "n", F.aggregate(F.array(*steps), start, step)["levels"].alias("levels"))
+    return found.select(
+        "stratum",
+        "n",
+        *[
+            F.get(F.array(*map(F.lit, cuts)), F.col("levels")[rule] - 1).alias(name)
+            for rule, (name, (_, cuts)) in enumerate(RULES.items())
+        ],
+    )
 
 
 def judged(counts: DataFrame, limits: DataFrame, stratum: str = "lang") -> DataFrame:
