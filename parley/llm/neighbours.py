@@ -26,18 +26,17 @@ NEAREST = "query_id long, vec_id long, score double"
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """One vector per id; those that are null, empty or zero or hold null or non-finite parts are left out.
+    """Ids with their vectors; those that are null, empty or zero or hold null or non-finite parts are left out.
 
-    Rows without an id are left out too. Repeated rows count once; of different vectors of one id the
-    smallest, compared part by part, counts.
+    Rows without an id are left out too. Repeated rows count once; different vectors of one id are rows of
+    their own.
     """
     v = F.col("v")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return (
         vectors.select(F.col(f"`{vec_id}`").cast("long").alias("id"), F.col(f"`{embedding}`").alias("v"))
         .where(F.col("id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0))
-        .groupBy("id")
-        .agg(F.min("v").alias("v"))
+        .distinct()
     )
 
 
@@ -91,14 +90,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     Returns query_id, rank from 1, vec_id and score, the Euclidean distance in double precision; ties go
     to the smaller id. A query's own id is no candidate, nor are vectors of another length. With fewer
-    candidates all are returned; a query without any has no rows. Both inputs are read twice, so they
+    candidates all are returned; a query without any has no rows. Where an id stands on several vectors,
+    each is a candidate, and a query id has the ``k`` nearest to any of its vectors. Both inputs are read twice, so they
     should be stored tables. A tile holds some thousand vectors, however large or skewed the inputs.
     """
     n, m = vectors.count(), queries.count()
     columns, rows = max(1, -(-n // CANDIDATES_PER_TILE)), max(1, -(-m // QUERIES_PER_TILE))
 
     def dealt(df: DataFrame, own: str, parts: int, other: str, copies: int) -> DataFrame:
-        place = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
+        place = F.pmod(F.xxhash64("id", "v"), F.lit(parts)).cast("int")
         return df.select("id", "v", place.alias(own)).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
         )

@@ -52,3 +52,12 @@ def test_nulls_zeros_repeats_and_few(spark):
 def test_one_vector_many_times(spark):
     rows = [(i, [1.0, 2.0]) for i in range(300)]
     assert found(spark, rows)[0] == [(i, 0.0) for i in range(1, 11)]
+
+
+def test_different_vectors_of_one_id_compete(spark):
+    """Rows stand on their own, as in the query's SQL; only exact repeats count once."""
+    rows = [(0, [1.0, 0.0]), (7, [9.0, 0.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0]), (8, [3.0, 0.0]), (100, [5.0, 0.0]), (100, [8.0, 0.0])]
+    got = found(spark, rows)
+    assert got[0] == [(7, 1.0), (8, 2.0), (100, 4.0), (100, 7.0), (7, 8.0)]
+    assert got[100][:3] == [(7, 1.0), (8, 2.0), (0, 4.0)]
+    assert len(got[100]) == 8
