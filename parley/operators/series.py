@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from parley.functions.casts import as_timestamp
 
 
-# The longest stretch without turns that is filled in, ten years.
+# The longest stretch without turns that is filled in unless the caller says otherwise, ten years.
 MAX_GAP_DAYS = 3660
 
 
@@ -19,15 +19,18 @@ def _by_day(turns: DataFrame, ts: Column | None, *measures: Column) -> DataFrame
     return daily.filter(F.col("date").isNotNull())
 
 
-def _fill_days(daily: DataFrame, **missing: Column) -> DataFrame:
+def _fill_days(daily: DataFrame, max_gap_days: int | None, **missing: Column) -> DataFrame:
     """Add the days between the first and last that have no row.
 
-    Each day is stretched to the day before the next one present, but not over a gap of more than
-    ``MAX_GAP_DAYS``: a turn with a stray date, centuries away, does not make a row for every day
-    until then. The window sees one row per calendar day, however many turns there are.
+    Each day is stretched to the day before the next one present, but not if that is more than
+    ``max_gap_days`` later: a turn with a stray date, centuries away, does not make a row for every day
+    until then. None fills every gap. The window sees one row per calendar day, however many turns
+    there are.
     """
     following = F.lead("date").over(W.orderBy("date"))
-    near = F.datediff(following, F.col("date")) <= MAX_GAP_DAYS
+    near = following.isNotNull()
+    if max_gap_days is not None:
+        near = F.datediff(following, F.col("date")) <= max_gap_days
     last = F.when(near, F.date_sub(following, 1)).otherwise(F.col("date"))
     stretched = daily.withColumn("last", last).withColumn(
         "day", F.explode(F.sequence("date", "last"))
@@ -41,16 +44,27 @@ def _fill_days(daily: DataFrame, **missing: Column) -> DataFrame:
     )
 
 
-def daily_volume(turns: DataFrame, ts: Column | None = None) -> DataFrame:
-    """Turns with a session per calendar day; a day without any counts 0."""
+def daily_volume(
+    turns: DataFrame, ts: Column | None = None, max_gap_days: int | None = MAX_GAP_DAYS
+) -> DataFrame:
+    """Turns with a session per calendar day; a day without any counts 0.
+
+    Days are filled in where the next one present is at most ``max_gap_days`` later; None fills all.
+    """
     daily = _by_day(turns, ts, F.count("session_id").alias("interactions"))
-    return _fill_days(daily, interactions=F.lit(0)).orderBy("date")
+    return _fill_days(daily, max_gap_days, interactions=F.lit(0)).orderBy("date")
 
 
-def daily_escalation(turns: DataFrame, ts: Column | None = None) -> DataFrame:
-    """Escalation share per calendar day in percent (unrounded); a day without turns is null."""
+def daily_escalation(
+    turns: DataFrame, ts: Column | None = None, max_gap_days: int | None = MAX_GAP_DAYS
+) -> DataFrame:
+    """Escalation share per calendar day in percent (unrounded); a day without turns is null.
+
+    Days are filled in where the next one present is at most ``max_gap_days`` later; None fills all.
+    """
     rate = (F.avg("escalated_to_agent") * 100).alias("escalation_rate")
-    return _fill_days(_by_day(turns, ts, rate), escalation_rate=F.lit(None)).orderBy("date")
+    daily = _by_day(turns, ts, rate)
+    return _fill_days(daily, max_gap_days, escalation_rate=F.lit(None)).orderBy("date")
 
 
 def volume_by(turns: DataFrame, column: str) -> DataFrame:
