@@ -8,7 +8,8 @@ is bounded from above. What passes is decided exactly, by intersecting sorted ar
 
 Tiles of many copies are not compared pair by pair. Each text is first checked against the one it
 shares most tiles with, and only texts not yet connected by these links are compared in their tiles.
-So every link between two parts is found, and the components are those of all links.
+So every link between two parts is found, and the components are those of all links. The links within a
+component are not all looked for: this gives components, not the full set of links nor their number.
 """
 
 from __future__ import annotations
