@@ -15,12 +15,13 @@ from parley.llm import (
     lz_dedup,
     mixing,
     neighbours,
+    periodic,
     quality_rules,
     shards,
     suffix_dedup,
     token_counts,
 )
-from parley.llm.common import n_bytes, table, written
+from parley.llm.common import n_bytes, n_words, table, words, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,3 +136,45 @@ def op10_lz_dedup(spark, sf):
 def op6_jaccard_components(spark, sf):
     found = jaccard.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+def with_planted_loops(docs: DataFrame) -> DataFrame:
+    """doc_id and text; of the documents whose id's checksum ends in 0 the text goes round in circles.
+
+    From a word on that the checksum chooses, such a text repeats its next words. A null id counts as
+    an empty one.
+    """
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    n, g = n_words(F.col("text")), F.floor(h / 10)
+    at = F.when(n > 0, g % n)
+    period = 1 + F.floor((n - at) / (3 + g % 8))
+    turns = F.ceil((n - at) / period)
+    found = docs.select("doc_id", "text", h.alias("h"), n.alias("n"), *[
+        x.cast("int").alias(name) for name, x in (("at", at), ("period", period), ("turns", turns))
+    ])
+    own = words(F.col("text"))
+    loop = F.flatten(F.array_repeat(F.slice(own, F.col("at") + 1, F.col("period")), F.col("turns")))
+    rest = F.slice(loop, F.lit(1), F.col("n").cast("int") - F.col("at"))
+    looped = F.array_join(F.concat(F.slice(own, F.lit(1), F.col("at")), rest), " ")
+    return found.select("doc_id", F.when(F.expr("h % 10 = 0 AND n > 0"), looped).otherwise(F.col("text")).alias("text"))
+
+
+@_query
+def op11_periodic_runs(spark, sf):
+    docs = with_planted_loops(table(spark, sf, "documents"))
+    found = periodic.collapse_runs(docs).drop("text")
+    # the greatest length, then the smallest start and period
+    best = F.array_max(
+        F.transform("runs", lambda r: F.struct(r.length, -r.start, -r.period))
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.col2")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.col3")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -105,3 +106,42 @@ def targets(sizes):
         if not above:
             return fixed | out
         fixed |= {s: 3 * sizes[s] for s in above}
+
+
+def word_runs(w):
+    """All runs of a list of words as (start, length, period), by start, then period."""
+    found = []
+    for q in range(1, len(w) // 4 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(6, 4 * q):
+                found.append((i, j + q - i, q))
+            i = j + 1
+    inside = lambda a, b: b[2] < a[2] and b[0] <= a[0] and a[0] + a[1] <= b[0] + b[1]
+    return sorted((r for r in found if not any(inside(r, s) for s in found)), key=lambda r: (r[0], r[2]))
+
+
+def loops(doc, text):
+    """The words of a document after planting, as the query plants them."""
+    w = words(text)
+    h = zlib.crc32(str("" if doc is None else doc).encode())
+    g, n = h // 10, len(w)
+    if h % 10 or not n:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def run_row(doc, text):
+    w = loops(doc, text)
+    runs = word_runs(w)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    left = " ".join(x for i, x in enumerate(w) if i not in gone)
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None, None, None)
+    milli = 1000 * best[1] // best[2] if runs else None
+    lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    return (len(runs), *best, milli, sha(lines.encode()), sha(left.encode()))
