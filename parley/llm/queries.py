@@ -12,6 +12,7 @@ from parley.llm import (
     bpe,
     chat,
     jaccard,
+    langid,
     lz_dedup,
     mixing,
     neighbours,
@@ -178,3 +179,12 @@ def op11_periodic_runs(spark, sf):
         F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@_query
+def op13_language_id(spark, sf):
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    docs = table(spark, sf, "documents").withColumn("held_out", held_out)
+    model = langid.learn(docs.where(~F.col("held_out")))
+    found = langid.predict(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
