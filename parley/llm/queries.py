@@ -17,12 +17,14 @@ from parley.llm import (
     mixing,
     neighbours,
     periodic,
+    prefix_trie,
     quality_rules,
     shards,
     suffix_dedup,
     token_counts,
 )
 from parley.llm.common import n_bytes, n_words, table, words, written
+from parley.operators.joins import spread_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -188,3 +190,33 @@ def op13_language_id(spark, sf):
     model = langid.learn(docs.where(~F.col("held_out")))
     found = langid.predict(docs.select("doc_id", "held_out", "text"), model)
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def rebuilt_turns(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every conv_id, and its rebuilt turns: a checksum says how many it takes of conversation conv_id - conv_id % 5."""
+    most = 8
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % (most + 1)
+    convs = numbered.groupBy("conv_id").agg(h.alias("h"))
+    turn = F.struct("pos", "turn_id", "n_bytes")
+    firsts = (
+        numbered.where(f"pos <= {most} AND conv_id % 5 = 0")
+        .groupBy(F.col("conv_id").alias("base"))
+        .agg(F.sort_array(F.collect_list(turn)).alias("firsts"))
+    )
+    taken = F.slice(F.coalesce("firsts", F.array().cast("array<struct<pos:long,turn_id:string,n_bytes:long>>")), F.lit(1), F.col("h").cast("int"))
+    plans = (
+        convs.withColumn("base", F.col("conv_id") - F.col("conv_id") % 5)
+        .join(firsts, "base", "left")
+        .select("conv_id", "h", taken.alias("taken"))
+    )
+    begun = plans.select("conv_id", F.inline("taken"))
+    shift = plans.select("conv_id", "h", (F.size("taken") - F.col("h")).alias("shift"))
+    own = spread_join(numbered, shift, ["conv_id"], "left").where("pos > h")
+    rest = own.select("conv_id", (F.col("pos") + F.col("shift")).alias("pos"), "turn_id", "n_bytes")
+    return convs.select("conv_id"), begun.unionByName(rest)
+
+
+@_query
+def op12_prefix_trie(spark, sf):
+    numbered = written(prefix_trie.number_turns(table(spark, sf, "conversations")), "turns-numbered")
+    return prefix_trie.trie_nodes(*rebuilt_turns(numbered))

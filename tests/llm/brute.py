@@ -145,3 +145,42 @@ def run_row(doc, text):
     milli = 1000 * best[1] // best[2] if runs else None
     lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
     return (len(runs), *best, milli, sha(lines.encode()), sha(left.encode()))
+
+
+def rebuilt(rows):
+    """rows: (conv_id, turn, role, text). conv_id -> its rebuilt (role, text) turns."""
+    convs = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            convs[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [(r, t) for *_, r, t in sorted(turns)] for c, turns in convs.items()}
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - (abs(c) % 5) * (1 if c >= 0 else -1)
+        out[c] = own.get(base, [])[:h] + turns[h:]
+    return out
+
+
+def trie(seqs):
+    """conv_id -> turns. The trie's rows, as sorted tuples in the order of the query's columns."""
+    members = defaultdict(list)
+    for c, s in seqs.items():
+        for d in range(len(s) + 1):
+            members[tuple(s[:d])].append(c)
+    kids = defaultdict(list)
+    for p in members:
+        if p:
+            kids[p[:-1]].append(p)
+    leaves, saved, out = {}, {}, []
+    for p in sorted(members, key=len, reverse=True):
+        own = (len(members[p]) - 1) * len(p[-1][1].encode()) if p else 0
+        saved[p] = own + sum(saved[k] for k in kids[p])
+        leaves[p] = sum(leaves[k] for k in kids[p]) or 1
+        ends = sorted(c for c in members[p] if len(seqs[c]) == len(p))
+        parent = min(members[p[:-1]]) if p else None
+        out.append((
+            min(members[p]), len(p), parent, len(members[p]), len(kids[p]), leaves[p], saved[p],
+            sha(",".join(map(str, ends)).encode()),
+        ))
+    return sorted(out, key=lambda r: r[:2])
