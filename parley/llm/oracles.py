@@ -1,6 +1,7 @@
 """DuckDB SQL of the queries in this package that SQL can express over whole tables.
 
-Left out are the shards (their order comes from a seeded generator) and the tokenizers.
+Left out are the shards (their order comes from a seeded generator), the tokenizers, the runs (all lags of all texts
+are too many rows) and the language model.
 """
 
 from __future__ import annotations
@@ -223,6 +224,50 @@ FROM counts c JOIN failed f USING (doc_id) LEFT JOIN above a USING (doc_id)
 """
 
 
+#: The checksum of a decimal number, byte by byte and bit by bit; 3988292384 is its fixed polynomial.
+TRIE = r"""
+WITH ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+sums AS (
+  SELECT conv_id, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
+      lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END))) % 9 AS h
+  FROM ids),
+own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+parts AS (
+  SELECT s.conv_id, 0 AS part, o.pos, o.role, o.text FROM sums s JOIN own o ON o.conv_id = s.conv_id - s.conv_id % 5 AND o.pos <= h
+  UNION ALL SELECT s.conv_id, 1, o.pos, o.role, o.text FROM sums s JOIN own o ON o.conv_id = s.conv_id AND o.pos > h),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS d,
+    md5(length(role) || ':' || role || text) AS t, strlen(text) AS bytes FROM parts),
+seqs AS (
+  SELECT ids.conv_id, coalesce(list(t ORDER BY d) FILTER (t IS NOT NULL), []) AS s,
+    coalesce(list(bytes ORDER BY d) FILTER (t IS NOT NULL), []) AS sizes
+  FROM ids LEFT JOIN turns USING (conv_id) GROUP BY ids.conv_id),
+prefixes AS (
+  SELECT conv_id, d, len(s) AS n, md5(array_to_string(list_slice(s, 1, d), ',')) || d AS node,
+    CASE WHEN d > 0 THEN md5(array_to_string(list_slice(s, 1, d - 1), ',')) || (d - 1) END AS parent,
+    CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS bytes
+  FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM seqs)),
+nodes AS (
+  SELECT node, min(conv_id) AS conv_id, any_value(d) AS depth, any_value(parent) AS parent, count(*) AS n_convs,
+    (count(*) - 1) * any_value(bytes) AS saved,
+    sha256(coalesce(string_agg(CASE WHEN n = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends
+  FROM prefixes GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+above AS (
+  SELECT p.node, sum(n.saved) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+  FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.d <= n.depth LEFT JOIN kids k ON k.node = n.node
+  GROUP BY p.node)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children,
+  a.leaves AS n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM nodes n JOIN above a ON a.node = n.node LEFT JOIN nodes up ON up.node = n.parent LEFT JOIN kids ON kids.node = n.node
+"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op1_chat_perspectives": CHAT,
@@ -232,4 +277,5 @@ def oracles() -> dict[str, str]:
         "op7_nearest_vectors": NEAREST,
         "op9_quality_rules": _quality(),
         "op10_lz_dedup": WORD_REPEATS,
+        "op12_prefix_trie": TRIE,
     }
