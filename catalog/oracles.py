@@ -674,6 +674,7 @@ def oracles() -> dict[str, str]:
             "total_time_on_page_seconds", "unique_pages_visited", "unique_event_types",
         ),
         "e3_unified_interactions": f"{WITH_UNIFIED}SELECT * FROM unified",
+        "e3_unified_by_increments": f"{WITH_UNIFIED}SELECT * FROM unified",
         "e4_shared_contacts": f"""{_with(CHAT, CLICKS)}
             SELECT contact_id FROM {CHAT} WHERE contact_id IS NOT NULL
             INTERSECT SELECT contact_id FROM {CLICKS}""",

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 from parley.functions.casts import as_timestamp
 
 
-# The longest stretch without turns that is filled in unless the caller says otherwise, ten years.
-MAX_GAP_DAYS = 3660
-
-
 def _by_day(turns: DataFrame, ts: Column | None, *measures: Column) -> DataFrame:
     ts = as_timestamp(F.col("created_at")) if ts is None else ts
     daily = turns.groupBy(ts.cast("date").alias("date")).agg(*measures)
@@ -22,10 +18,9 @@ def _by_day(turns: DataFrame, ts: Column | None, *measures: Column) -> DataFrame
 def _fill_days(daily: DataFrame, max_gap_days: int | None, **missing: Column) -> DataFrame:
     """Add the days between the first and last that have no row.
 
-    Each day is stretched to the day before the next one present, but not if that is more than
-    ``max_gap_days`` later: a turn with a stray date, centuries away, does not make a row for every day
-    until then. None fills every gap. The window sees one row per calendar day, however many turns
-    there are.
+    Each day is stretched to the day before the next one present. A caller whose data may hold stray
+    dates, centuries away, can set ``max_gap_days``: longer gaps then stay as they are. The window
+    sees one row per calendar day, however many turns there are.
     """
     following = F.lead("date").over(W.orderBy("date"))
     near = following.isNotNull()
@@ -45,22 +40,22 @@ def _fill_days(daily: DataFrame, max_gap_days: int | None, **missing: Column) ->
 
 
 def daily_volume(
-    turns: DataFrame, ts: Column | None = None, max_gap_days: int | None = MAX_GAP_DAYS
+    turns: DataFrame, ts: Column | None = None, max_gap_days: int | None = None
 ) -> DataFrame:
     """Turns with a session per calendar day; a day without any counts 0.
 
-    Days are filled in where the next one present is at most ``max_gap_days`` later; None fills all.
+    Every gap is filled, or those where the next day present is at most ``max_gap_days`` later.
     """
     daily = _by_day(turns, ts, F.count("session_id").alias("interactions"))
     return _fill_days(daily, max_gap_days, interactions=F.lit(0)).orderBy("date")
 
 
 def daily_escalation(
-    turns: DataFrame, ts: Column | None = None, max_gap_days: int | None = MAX_GAP_DAYS
+    turns: DataFrame, ts: Column | None = None, max_gap_days: int | None = None
 ) -> DataFrame:
     """Escalation share per calendar day in percent (unrounded); a day without turns is null.
 
-    Days are filled in where the next one present is at most ``max_gap_days`` later; None fills all.
+    Every gap is filled, or those where the next day present is at most ``max_gap_days`` later.
     """
     rate = (F.avg("escalated_to_agent") * 100).alias("escalation_rate")
     daily = _by_day(turns, ts, rate)

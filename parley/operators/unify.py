@@ -82,6 +82,13 @@ def join_sources(
     return turns.join(sessions, KEYS, "left").select(*names)
 
 
+#: What ``enrich`` adds, besides the partition columns.
+DERIVED = [
+    "effective_confidence_score", "resolution_tier", "is_self_served", "session_quality_score",
+    "created_at_ts", "pipeline_run_at",
+]
+
+
 def enrich(df: DataFrame, run_ts: str) -> DataFrame:
     """Derived scores, date partitions and the audit stamp ``run_ts``."""
     staged = df.withColumns(

@@ -21,12 +21,14 @@ _SESSION_COLUMNS = [
 ]
 
 
-def reports(turns: DataFrame, meta: DataFrame, ts: Column) -> dict[str, DataFrame]:
-    """Every report over rows that are already selected."""
+def reports(
+    turns: DataFrame, meta: DataFrame, ts: Column, max_gap_days: int | None = None
+) -> dict[str, DataFrame]:
+    """Every report over rows that are already selected; ``max_gap_days`` goes to the daily series."""
     return {
         "headline": kpis.headline_kpis(turns, meta),
-        "daily_volume": series.daily_volume(turns, ts),
-        "daily_escalation": series.daily_escalation(turns, ts),
+        "daily_volume": series.daily_volume(turns, ts, max_gap_days),
+        "daily_escalation": series.daily_escalation(turns, ts, max_gap_days),
         "escalation_by_topic": topics.escalation_by_topic(turns),
         "thumbs_split": kpis.thumbs_split(turns),
         "resolution_histogram": series.resolution_histogram(turns),
@@ -37,7 +39,12 @@ def reports(turns: DataFrame, meta: DataFrame, ts: Column) -> dict[str, DataFram
 
 
 def dashboard_job(
-    spark: SparkSession, base: str, out: str, selection: Selection, keep: bool = True
+    spark: SparkSession,
+    base: str,
+    out: str,
+    selection: Selection,
+    keep: bool = True,
+    max_gap_days: int | None = None,
 ) -> list[str]:
     """Write each report under ``out`` and return their names.
 
@@ -53,7 +60,7 @@ def dashboard_job(
         turns.persist(StorageLevel.MEMORY_AND_DISK)
         meta.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        tables = {**reports(turns, meta, ts), "filter_options": filter_options(all_turns, ts)}
+        tables = {**reports(turns, meta, ts, max_gap_days), "filter_options": filter_options(all_turns, ts)}
         for name, table in tables.items():
             table.write.mode("overwrite").parquet(f"{out}/{name}")
     finally:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +17,11 @@ from parley.operators.annotate import (
 from parley.operators.joins import spread_join
 from parley.operators.quality import all_sources_report, enforce
 from parley.operators.unify import unify
+from parley.plans.increments import merge_batch, store_whole
+from parley.sources.published import current
 from parley.sources.readers import load_sources, read_unified, sample_rows
 from parley.sources.schemas import SOURCES
-from parley.sources.writers import merge_unified, write_json_lines, write_unified
+from parley.sources.writers import write_json_lines
 
 
 def quality_job(spark: SparkSession, base: str, report_path: str) -> DataFrame:
@@ -32,30 +35,53 @@ def quality_job(spark: SparkSession, base: str, report_path: str) -> DataFrame:
     return report
 
 
+def _observed(seen: Observation, df: DataFrame) -> int:
+    """Rows of ``df`` as observed. The optimizer takes an observation out where no row of the branch can
+    matter, for example since another table is empty; asking for its figures fails, and the rows are
+    counted instead."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:
+        return df.count()
+
+
 def unify_job(
-    spark: SparkSession, base: str, out: str, run_ts: str, mode: str = "full"
+    spark: SparkSession,
+    base: str,
+    out: str,
+    run_ts: str,
+    mode: str = "full",
+    batch: str | None = None,
+    multi_line: bool = False,
 ) -> tuple[DataFrame, dict[str, int]]:
     """Write the unified table; return it as read back, and the rows loaded and written.
 
-    ``mode="full"`` writes the whole table from the whole input. ``mode="merge"`` adds the input to the
-    stored table as a batch, see ``merge_unified``. The counts are observed while rows are written, so
-    they take no pass of their own.
+    ``mode="full"`` makes the input the whole table. ``mode="merge"`` adds the input to the stored table
+    as a batch, which may have a name, see ``increments.merge_batch``; one that has been merged is not
+    loaded again. Either is published at once. Rows loaded are observed
+    on the way (rows that a lost executor had counted may be counted again); rows written are those of
+    the whole table, from its files' footers.
     """
     if mode not in ("full", "merge"):
         raise ValueError(f"mode must be 'full' or 'merge', not {mode!r}")
-    counts = {name: Observation(name) for name in [*SOURCES, "unified_interactions"]}
-
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.observe(counts[name], F.count(F.lit(1)).alias("rows"))
-
-    sources = [
-        counted(df, name) for name, df in zip(SOURCES, load_sources(spark, base), strict=True)
-    ]
-    unified = unify(*sources, run_ts=run_ts)
-    write = write_unified if mode == "full" else merge_unified
-    write(counted(unified, "unified_interactions"), out)
-    rows = {name: seen.get["rows"] for name, seen in counts.items()}
-    return read_unified(spark, out, unified.schema), rows
+    stored = current(spark, out)
+    if mode == "merge" and stored and batch is not None and batch in stored.batches:
+        unified = read_unified(spark, out)
+        return unified, {**dict.fromkeys(SOURCES, 0), "unified_interactions": unified.count()}
+    counts = {name: Observation(name) for name in SOURCES}
+    raw = load_sources(spark, base, multi_line)
+    turns, clicks, meta = (
+        df.observe(counts[name], F.count(F.lit(1)).alias("rows")) for name, df in zip(SOURCES, raw, strict=True)
+    )
+    if mode == "full":
+        store_whole(spark, out, *raw, unify(turns, clicks, meta, run_ts), batch)
+    else:
+        merge_batch(spark, out, turns, clicks, meta, run_ts, batch)
+    unified = read_unified(spark, out)
+    rows = {
+        name: _observed(seen, df) for (name, seen), df in zip(counts.items(), raw, strict=True)
+    }
+    return unified, {**rows, "unified_interactions": unified.count()}
 
 
 def annotate_job(
@@ -100,14 +126,15 @@ def daily_job(
     run_ts: str,
     scorer_factory: ScorerFactory | None = None,
     mode: str = "full",
+    batch: str | None = None,
     **annotation,
 ) -> dict[str, int]:
     """Check, unify and annotate in this order; a failed check stops the rest.
 
-    Returns the rows loaded and written. ``mode`` goes to ``unify_job``, ``annotation`` to
+    Returns the rows loaded and written. ``mode`` and ``batch`` go to ``unify_job``, ``annotation`` to
     ``annotate_job``.
     """
     quality_job(spark, base, f"{out}/quality")
-    _, rows = unify_job(spark, base, f"{out}/unified", run_ts, mode)
+    _, rows = unify_job(spark, base, f"{out}/unified", run_ts, mode, batch)
     annotate_job(spark, f"{out}/unified", f"{out}/annotated", scorer_factory, **annotation)
     return rows

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions.casts import as_timestamp, cast_columns
+from parley.sources.published import PARTITION_COLUMNS, current, read_days
 from parley.sources.schemas import SOURCES, TIME_COLUMN
 
 
@@ -92,16 +93,15 @@ def read_csv_sample(
     return sample_rows(read_csv(spark, path, schema, multi_line), limit, order_by)
 
 
-# The partition columns of the unified table are zero-padded text.
-PARTITION_COLUMNS = ["year", "month", "day"]
-
-
 def read_unified(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Unified table with its partition columns kept as text ('05', not 5).
 
-    Spark infers partition values as integers unless a schema names their type, so without one the
-    file schema is taken from the Parquet footer and the partition columns are added as strings.
+    Of a published table the current version is read, whole, see ``sources.published``. A plain folder is
+    read as it is: Spark infers partition values as integers unless a schema names their type, so without
+    one the file schema is taken from the Parquet footer and the partition columns are added as strings.
     """
+    if pointer := current(spark, path):
+        return read_days(spark, path, pointer, schema)
     if schema is None:
         inferred = spark.read.parquet(path).schema
         schema = T.StructType(

@@ -144,18 +144,18 @@ def test_histogram_edges(spark):
 
 def test_stray_date_does_not_fill_centuries(spark):
     days = ["2024-01-01T00:00:00", "2024-01-04T00:00:00", "9999-12-31T00:00:00"]
-    got = [(str(r.date), r.interactions) for r in series.daily_volume(turns(spark, *[{"created_at": d} for d in days])).collect()]
+    got = [(str(r.date), r.interactions) for r in series.daily_volume(turns(spark, *[{"created_at": d} for d in days]), max_gap_days=3660).collect()]
     assert got == [("2024-01-01", 1), ("2024-01-02", 0), ("2024-01-03", 0), ("2024-01-04", 1), ("9999-12-31", 1)]
 
 
 def test_caller_sets_the_largest_gap(spark):
     rows = turns(spark, *[{"created_at": d} for d in ["2000-01-01T00:00:00", "2024-01-01T00:00:00", "2024-01-04T00:00:00"]])
-    volume = [r.interactions for r in series.daily_volume(rows, max_gap_days=None).collect()]
+    volume = [r.interactions for r in series.daily_volume(rows).collect()]
     assert (len(volume), sum(volume)) == (8770, 3)
-    rates = [r.escalation_rate for r in series.daily_escalation(rows, max_gap_days=None).collect()]
+    rates = [r.escalation_rate for r in series.daily_escalation(rows).collect()]
     assert (len(rates), sum(r is not None for r in rates)) == (8770, 3)
     assert series.daily_volume(rows, max_gap_days=2).count() == 3
-    assert series.daily_volume(rows).count() == 5
+    assert series.daily_volume(rows, max_gap_days=3660).count() == 5
 
 
 def test_selection_applies_to_both_tables(spark):

@@ -295,7 +295,7 @@ def test_hot_day_is_written_by_several_tasks(spark, skew_conf, tmp_path):
         "*", F.lit("2024").alias("year"), F.lit("01").alias("month"), day.alias("day")
     )
     writers.write_unified(rows, str(tmp_path / "out"))
-    files = list((tmp_path / "out").glob("year=2024/month=01/day=05/*.parquet"))
+    files = list((tmp_path / "out").glob("version=*/year=2024/month=01/day=05/*.parquet"))
     assert len(files) > 1
     back = readers.read_unified(spark, str(tmp_path / "out"))
     assert back.filter("day = '05'").count() == 20000 and back.count() == 60000
