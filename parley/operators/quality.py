@@ -1,7 +1,9 @@
 """Data-quality checks: a declarative rule set per source, evaluated into one table of results.
 
-Per source there are two aggregations: one pass that computes every row-level measure together, and
-one grouping for duplicates. Only the check for duplicates runs a job when it is set up.
+A report reads its source once. Rows are grouped by key, a digest of the whole row and, packed into
+numbers, what the rules say about the row; these groups are stored, and everything else follows from
+them: the row-level measures, as sums over groups, and the duplicates. So a report with duplicates runs
+a job when it is set up; the row-level checks alone do not.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from parley.functions.casts import as_double, as_timestamp
 from parley.functions.rounding import display
 from parley.operators.joins import spread_join
+from parley.session import scratch_folder
 from parley.sources.schemas import (
     BUSINESS_UNITS,
     CHANNELS,
@@ -135,33 +138,79 @@ def _rows(one_row: DataFrame, source: str, results: list[Column]) -> DataFrame:
 
 
 class _Measures:
-    """Aggregate expressions gathered from all rules, so that one pass computes them."""
+    """What the rules ask of each row, gathered so that one pass answers all of it.
 
-    def __init__(self) -> None:
-        self.columns: list[Column] = []
-
-    def add(self, aggregate: Column) -> Column:
-        name = f"m{len(self.columns)}"
-        self.columns.append(aggregate.alias(name))
-        return F.col(name)
+    A measure is the number of rows that meet a condition, or the mean of a value. Either is made of sums,
+    so it can be had from rows, from groups of equal rows, or from sums of parts of the table.
+    """
 
+    BITS = 62
 
-def row_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
-    """Schema, null share, confidence, category and range checks in one aggregation."""
-    present = set(df.columns)
+    def __init__(self) -> None:
+        self.conditions: list[Column] = []
+        self.values: list[Column] = []
+        self.total = F.col("total")
+
+    def count(self, condition: Column) -> Column:
+        self.conditions.append(F.coalesce(condition, F.lit(False)))
+        return F.col(f"c{len(self.conditions) - 1}")
+
+    def mean(self, value: Column) -> Column:
+        self.values.append(value)
+        return F.try_divide(f"s{len(self.values) - 1}", f"n{len(self.values) - 1}")
+
+    def sums(self) -> list[str]:
+        """Names of all sums, besides the total."""
+        means = [f"{kind}{k}" for k in range(len(self.values)) for kind in "sn"]
+        return [f"c{k}" for k in range(len(self.conditions))] + means
+
+    def over_rows(self) -> list[Column]:
+        return [
+            F.count("*").alias("total"),
+            *[F.count_if(c).alias(f"c{k}") for k, c in enumerate(self.conditions)],
+            *[F.sum(v).alias(f"s{k}") for k, v in enumerate(self.values)],
+            *[F.count(v).alias(f"n{k}") for k, v in enumerate(self.values)],
+        ]
+
+    def packed(self) -> dict[str, Column]:
+        """The conditions of a row as bits of few numbers, and its values."""
+        bits = [F.when(c, 1 << k % self.BITS).otherwise(0) for k, c in enumerate(self.conditions)]
+        packs = [bits[at : at + self.BITS] for at in range(0, len(bits), self.BITS)]
+        masks = {f"__b{k}": reduce(lambda a, b: a + b, p).cast("long") for k, p in enumerate(packs)}
+        return masks | {f"__v{k}": v for k, v in enumerate(self.values)}
+
+    def over_groups(self) -> list[Column]:
+        """From groups of rows packed like that, with the number of rows in each."""
+        rows = F.col("__copies")
+        met = [
+            F.col(f"__b{k // self.BITS}").bitwiseAND(1 << k % self.BITS) != 0
+            for k in range(len(self.conditions))
+        ]
+        values = [F.col(f"__v{k}") for k in range(len(self.values))]
+        zero = F.lit(0).cast("long")
+        return [
+            F.coalesce(F.sum(rows), zero).alias("total"),
+            *[F.coalesce(F.sum(F.when(c, rows)), zero).alias(f"c{k}") for k, c in enumerate(met)],
+            *[F.sum(v * rows).alias(f"s{k}") for k, v in enumerate(values)],
+            *[F.coalesce(F.sum(F.when(v.isNotNull(), rows)), zero).alias(f"n{k}") for k, v in enumerate(values)],
+        ]
+
+
+def _row_results(rules: RuleSet, present: set[str]) -> tuple[_Measures, list[Column]]:
+    """The measures of the row-level checks, and their results in terms of the sums."""
     measures = _Measures()
-    total = measures.add(F.count("*"))
+    total = measures.total
     results = [_schema_result(rules, present), _empty_result(total)]
 
     for column in rules.critical:
         if column in present:
-            share = measures.add(F.avg(F.col(column).isNull().cast("int")))
+            share = F.try_divide(measures.count(F.col(column).isNull()), total)
             results.append(_null_result(column, share, rules.null_limit, total))
 
     if rules.check_confidence and "confidence_score" in present:
         score = as_double(F.col("confidence_score"))
         results.append(_range_result(measures, Range("confidence_score", 0.0, 1.0), score))
-        results.append(_mean_result(measures.add(F.avg(score))))
+        results.append(_mean_result(measures.mean(score)))
 
     for column, allowed in rules.allowed.items():
         if column in present:
@@ -172,7 +221,13 @@ def row_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
             value = as_double(F.col(limits.column))
             results.append(_range_result(measures, limits, value))
 
-    return _rows(df.agg(*measures.columns), rules.source, results)
+    return measures, results
+
+
+def row_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
+    """Schema, null share, confidence, category and range checks in one aggregation."""
+    measures, results = _row_results(rules, set(df.columns))
+    return _rows(df.agg(*measures.over_rows()), rules.source, results)
 
 
 def _schema_result(rules: RuleSet, present: set[str]) -> Column:
@@ -204,7 +259,7 @@ def _null_result(column: str, share: Column, limit: float, total: Column) -> Col
 
 
 def _range_result(measures: _Measures, limits: Range, value: Column) -> Column:
-    outside = measures.add(F.count_if(limits.broken(value)))
+    outside = measures.count(limits.broken(value))
     return _result(
         "range", limits.column, _status(outside > 0, "FAIL"), outside, str(limits),
         F.concat(outside.cast("string"), F.lit(f" values outside {limits}")),
@@ -221,7 +276,7 @@ def _mean_result(mean: Column) -> Column:
 
 
 def _category_result(measures: _Measures, column: str, allowed: list[str]) -> Column:
-    unexpected = measures.add(F.count_if(~F.col(column).isin(allowed)))
+    unexpected = measures.count(~F.col(column).isin(allowed))
     return _result(
         "category", column, _status(unexpected > 0, "WARN"), unexpected,
         ", ".join(sorted(allowed)),
@@ -229,63 +284,51 @@ def _category_result(measures: _Measures, column: str, allowed: list[str]) -> Co
     )
 
 
-# Up to this many repeated digests are broadcast to find their rows; 16 bytes each.
-MANY_REPEATED = 1 << 20
-
-
 def _digest(columns: list[str]) -> dict[str, Column]:
     """128 bits of a row; which columns are null counts as well."""
     cells = [part for c in columns for part in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
     return {f"__d{seed}": F.xxhash64(F.lit(seed), *cells) for seed in (1, 2)}
 
 
-def _distinct_among(df: DataFrame, groups: DataFrame) -> DataFrame | None:
-    """The number of distinct rows among those that share a digest, or None if none do.
+def _second_digest(columns: list[str]) -> Column:
+    """64 bits of a row by another kind of hash."""
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in columns]
+    return F.xxhash64(F.md5(F.concat_ws("\x1f", *cells).cast("binary")))
+
+
+def _grouped(df: DataFrame, keys: list[str], measures: _Measures, **more: Column) -> DataFrame:
+    """Rows grouped by key, digest, what the rules say of them, and more that follows from the row.
 
-    Equal digests are no proof, so these rows, and no others, are grouped by all their columns. A job
-    counts the repeated digests first: few are broadcast, and the table is only read; beyond
-    ``MANY_REPEATED`` it has to be shuffled.
+    Copies collapse map-side, so a key or a row that makes up much of the table is reduced before the
+    shuffle, and whole rows are never shuffled. Null keys form a group.
     """
-    repeated = groups.filter("__copies > 1").select("__d1", "__d2")
-    found = repeated.count()
-    if not found:
+    found = {**_digest(df.columns), **measures.packed(), **more}
+    narrow = df.select(*keys, _second_digest(df.columns).alias("__check"), *[c.alias(n) for n, c in found.items()])
+    return narrow.groupBy(*keys, *found).agg(
+        F.count("*").alias("__copies"), F.min("__check").alias("__low"), F.max("__check").alias("__high")
+    )
+
+
+def _stored(groups: DataFrame) -> DataFrame:
+    folder = scratch_folder(groups.sparkSession, "row-groups")
+    groups.write.parquet(folder)
+    return groups.sparkSession.read.schema(groups.schema).parquet(folder)
+
+
+def _distinct_among(df: DataFrame, groups: DataFrame) -> DataFrame | None:
+    """The number of distinct rows among those whose digests are equal but whose second digests are not,
+    or None if there are none. These rows, and no others, are grouped by all their columns."""
+    collided = groups.filter("__low <> __high").select("__d1", "__d2").distinct()
+    if collided.isEmpty():
         return None
     rows = df.withColumns(_digest(df.columns))
-    if found <= MANY_REPEATED:
-        rows = rows.join(F.broadcast(repeated), ["__d1", "__d2"], "left_semi")
-    else:
-        rows = spread_join(rows, repeated, ["__d1", "__d2"], "left_semi")
+    rows = spread_join(rows, collided, ["__d1", "__d2"], "left_semi")
     return rows.groupBy(*df.columns).agg(F.lit(1).alias("__one")).agg(F.count("*").alias("distinct"))
 
 
-def duplicate_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
-    """Surplus copies of whole rows, and number of keys held by more than one row.
-
-    Rows are grouped by key and a digest of the whole row, where copies collapse map-side, and these
-    groups by key; so only keys and digests are shuffled, and a key or a row that makes up much of the
-    table is reduced before. The answer is exact, see ``_distinct_among``. Null keys form a group. A
-    job runs when the check is set up, to see whether any row may be repeated.
-    """
-    keys = [c for c in rules.keys if c in df.columns]
-    narrow = df.select(*keys, *[c.alias(name) for name, c in _digest(df.columns).items()])
-    groups = narrow.groupBy(*keys, "__d1", "__d2").agg(F.count("*").alias("__copies"))
-    single = F.count_if(F.col("__copies") == 1).alias("__single")
-    # Without keys each group of equal digests stands for itself.
-    by_key = groups.groupBy(*(keys or ["__d1", "__d2"])).agg(
-        F.sum("__copies").alias("__rows"), single
-    )
-    totals = by_key.agg(
-        F.coalesce(F.sum("__rows"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum("__single"), F.lit(0)).alias("distinct"),
-        F.count_if(F.col("__rows") > 1).alias("repeated"),
-    )
-    if (others := _distinct_among(df, groups)) is not None:
-        totals = totals.unionByName(others, allowMissingColumns=True).agg(
-            *[F.sum(c).alias(c) for c in ("total", "distinct", "repeated")]
-        )
-    totals = totals.select("total", (F.col("total") - F.col("distinct")).alias("surplus"), "repeated")
-    surplus, repeated = F.col("surplus"), F.col("repeated")
-    share = F.coalesce(F.try_divide(surplus, F.col("total")), F.lit(0.0))
+def _duplicate_results(keys: list[str]) -> list[Column]:
+    total, surplus, repeated = F.col("total"), F.col("surplus"), F.col("repeated")
+    share = F.coalesce(F.try_divide(surplus, total), F.lit(0.0))
     results = [
         _result(
             "duplicate_rows", None, _status(surplus > 0, "WARN"), surplus, "0 copies",
@@ -301,12 +344,59 @@ def duplicate_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
                 "0 keys", F.concat(repeated.cast("string"), F.lit(" keys held by several rows")),
             )
         )
-    return _rows(totals, rules.source, results)
+    return results
+
+
+def _duplicates(df: DataFrame, groups: DataFrame, rules: RuleSet, keys: list[str]) -> DataFrame:
+    """Surplus copies and repeated keys from stored groups.
+
+    A group whose rows agree in both digests is one row and its copies; the others are compared whole.
+    """
+    others = _distinct_among(df, groups)
+    alike = F.col("__low") == F.col("__high")
+    if others is not None:  # rows that collide with different ones are counted among these, copies or not
+        mixed = groups.filter(~alike).select("__d1", "__d2").distinct().withColumn("__mixed", F.lit(True))
+        groups = spread_join(groups, mixed, ["__d1", "__d2"], "left")
+        alike = F.col("__mixed").isNull()
+    # without keys each group of equal digests stands for itself
+    by_key = groups.groupBy(*(keys or ["__d1", "__d2"])).agg(
+        F.sum("__copies").alias("__rows"), F.count_if(alike).alias("__single")
+    )
+    totals = by_key.agg(
+        F.coalesce(F.sum("__rows"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum("__single"), F.lit(0)).alias("distinct"),
+        F.count_if(F.col("__rows") > 1).alias("repeated"),
+    )
+    if others is not None:
+        totals = totals.unionByName(others, allowMissingColumns=True).agg(
+            *[F.sum(c).alias(c) for c in ("total", "distinct", "repeated")]
+        )
+    surplus = (F.col("total") - F.col("distinct")).alias("surplus")
+    return _rows(totals.select("total", surplus, "repeated"), rules.source, _duplicate_results(keys))
+
+
+def _keys(df: DataFrame, rules: RuleSet) -> list[str]:
+    return [c for c in rules.keys if c in df.columns]
+
+
+def duplicate_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
+    """Surplus copies of whole rows, and number of keys held by more than one row.
+
+    Only keys and digests are shuffled, and stored. Rows with equal digests count as copies if a second digest of
+    another kind agrees; if not, they are compared whole, so the answer is exact. A job runs when
+    the check is set up.
+    """
+    keys = _keys(df, rules)
+    return _duplicates(df, _stored(_grouped(df, keys, _Measures())), rules, keys)
 
 
 def quality_report(df: DataFrame, rules: RuleSet) -> DataFrame:
-    """Every check of a source, one row each."""
-    return row_checks(df, rules).unionByName(duplicate_checks(df, rules))
+    """Every check of a source, one row each; the source is read once, by a job at set-up."""
+    keys = _keys(df, rules)
+    measures, results = _row_results(rules, set(df.columns))
+    groups = _stored(_grouped(df, keys, measures))
+    row_level = _rows(groups.agg(*measures.over_groups()), rules.source, results)
+    return row_level.unionByName(_duplicates(df, groups, rules, keys))
 
 
 def all_sources_report(turns: DataFrame, clicks: DataFrame, meta: DataFrame) -> DataFrame:

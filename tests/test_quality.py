@@ -164,27 +164,43 @@ def test_dashboard_job(spark, tmp_path, keep):
     assert {r.value for r in tables["filter_options"] if r.option == "business_unit"} == {"Retail", "Travel"}
 
 
-@pytest.mark.parametrize("forced", [False, True])
-@pytest.mark.parametrize("many", [1 << 20, 0])
-def test_duplicates_are_exact_whatever_the_digest(spark, monkeypatch, forced, many):
-    """Also if every row has the same digest, and if too many repeat to be broadcast."""
-    if forced:
-        monkeypatch.setattr(quality, "_digest", lambda columns: {"__d1": F.lit(1).cast("long"), "__d2": F.lit(2).cast("long")})
-    monkeypatch.setattr(quality, "MANY_REPEATED", many)
+@pytest.mark.parametrize("digest", ["own", "two values", "one value"])
+def test_duplicates_are_exact_whatever_the_digest(spark, monkeypatch, digest):
+    """Also if the digests of different rows are equal; the second digest tells, and whole rows are compared."""
+    forced = {
+        "two values": lambda columns: {"__d1": F.col("thumbs_up").cast("long"), "__d2": F.lit(2).cast("long")},
+        "one value": lambda columns: {"__d1": F.lit(1).cast("long"), "__d2": F.lit(2).cast("long")},
+    }
+    if digest in forced:
+        monkeypatch.setattr(quality, "_digest", forced[digest])
     rows = [{"session_id": str(i % 7), "topic_name": None if i % 3 else "x", "thumbs_up": i % 2} for i in range(60)]
     rows += [{"contact_id": None, "session_id": None}] * 3 + [{"topic_name": None, "business_unit": "Web"}, {"topic_name": "Web", "business_unit": None}]
     df = turns(spark, *rows)
-    found = _results(quality.duplicate_checks(df, quality.CHATBOT_RULES))
-    assert found["duplicate_rows", None].observed == df.count() - df.distinct().count()
-    keys = df.groupBy("contact_id", "session_id").count().filter("count > 1").count()
-    assert found["duplicate_keys", "contact_id, session_id"].observed == keys
-
-
-def test_no_exchange_carries_whole_rows(spark):
-    alone = plan_of(quality.duplicate_checks(turns(spark, {}, {"session_id": "s2"}), quality.CHATBOT_RULES))
-    assert "handle_seconds_dur" not in "".join(x for x in alone.split("\n") if "Exchange" in x)
-    some = plan_of(quality.duplicate_checks(turns(spark, {}, {}, {"session_id": "s2"}), quality.CHATBOT_RULES))
-    assert "BroadcastHashJoin [__d1" in some and "LeftSemi" in some  # whole rows move only behind this
+    for check in (quality.duplicate_checks, quality.quality_report):
+        found = _results(check(df, quality.CHATBOT_RULES))
+        assert found["duplicate_rows", None].observed == df.count() - df.distinct().count()
+        keys = df.groupBy("contact_id", "session_id").count().filter("count > 1").count()
+        assert found["duplicate_keys", "contact_id, session_id"].observed == keys
+
+
+def test_a_source_is_read_once_and_whole_rows_are_not_shuffled(spark, monkeypatch, tmp_path):
+    turns(spark, {}, {}, {"session_id": "s2"}).write.parquet(str(tmp_path / "turns"))
+    df = spark.read.parquet(str(tmp_path / "turns"))
+    set_up, stored = [], quality._stored
+    monkeypatch.setattr(quality, "_stored", lambda groups: set_up.append(plan_of(groups)) or stored(groups))
+    report = quality.quality_report(df, quality.CHATBOT_RULES)
+    assert len(set_up) == 1 and set_up[0].count("FileScan") == 1
+    exchanges = "".join(x for x in set_up[0].split("\n") if "Exchange" in x)
+    assert exchanges and "handle_seconds_dur" not in exchanges
+    assert str(tmp_path) not in plan_of(report)
+    assert _results(report)["duplicate_rows", None].observed == 1
+
+
+def test_more_conditions_than_bits(spark, monkeypatch):
+    monkeypatch.setattr(quality._Measures, "BITS", 3)
+    rows = turns(spark, {"contact_id": None, "handle_seconds_dur": -1}, {"application_channel": "Fax"}, {"application_channel": "Fax"})
+    got, want = quality.quality_report(rows, quality.CHATBOT_RULES), quality.row_checks(rows, quality.CHATBOT_RULES)
+    assert set(want.collect()) <= set(got.collect())
 
 
 def test_duplicates_without_keys_or_rows(spark):
