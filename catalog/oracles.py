@@ -794,6 +794,7 @@ def oracles() -> dict[str, str]:
             f"{CHAT_REPORT} UNION ALL {CLICK_REPORT}", "\"check\" = 'range'", CHAT, CLICKS
         ),
         "j9_quality_report": _report(ALL_REPORT, "TRUE", CHAT, CLICKS, META),
+        "j9_quality_report_from_days": _report(ALL_REPORT, "TRUE", CHAT, CLICKS, META),
         "j10_quality_gate": f"""{_with(CHAT, CLICKS, META, report=ALL_REPORT)}
             SELECT source, count(*) FILTER (status = 'FAIL') = 0 AS passed,
               count(*) FILTER (status = 'FAIL') AS errors,

@@ -128,7 +128,7 @@ def _percent(share: Column, places: int) -> Column:
     return F.concat(F.call_function("format_number", share * 100, pattern), F.lit("%"))
 
 
-def _rows(one_row: DataFrame, source: str, results: list[Column]) -> DataFrame:
+def result_rows(one_row: DataFrame, source: str, results: list[Column]) -> DataFrame:
     return (
         one_row.select(F.inline(F.array(*results)))
         .filter("applies")
@@ -137,7 +137,7 @@ def _rows(one_row: DataFrame, source: str, results: list[Column]) -> DataFrame:
     )
 
 
-class _Measures:
+class Measures:
     """What the rules ask of each row, gathered so that one pass answers all of it.
 
     A measure is the number of rows that meet a condition, or the mean of a value. Either is made of sums,
@@ -196,11 +196,14 @@ class _Measures:
         ]
 
 
-def _row_results(rules: RuleSet, present: set[str]) -> tuple[_Measures, list[Column]]:
+def row_results(
+    rules: RuleSet, present: set[str], missing: Column | None = None
+) -> tuple[Measures, list[Column]]:
     """The measures of the row-level checks, and their results in terms of the sums."""
-    measures = _Measures()
+    measures = Measures()
     total = measures.total
-    results = [_schema_result(rules, present), _empty_result(total)]
+    missing = missing_columns(rules, present) if missing is None else missing
+    results = [_schema_result(rules, missing), _empty_result(total)]
 
     for column in rules.critical:
         if column in present:
@@ -226,23 +229,25 @@ def _row_results(rules: RuleSet, present: set[str]) -> tuple[_Measures, list[Col
 
 def row_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
     """Schema, null share, confidence, category and range checks in one aggregation."""
-    measures, results = _row_results(rules, set(df.columns))
-    return _rows(df.agg(*measures.over_rows()), rules.source, results)
+    measures, results = row_results(rules, set(df.columns))
+    return result_rows(df.agg(*measures.over_rows()), rules.source, results)
 
 
-def _schema_result(rules: RuleSet, present: set[str]) -> Column:
-    missing = sorted(set(rules.required) - present)
-    text = f"missing columns: {', '.join(missing)}" if missing else "all required columns present"
+def _schema_result(rules: RuleSet, missing: Column) -> Column:
+    """``missing`` is the sorted array of required columns that are not there."""
+    text = F.concat(F.lit("missing columns: "), F.array_join(missing, ", "))
+    some = F.size(missing) > 0
     return _result(
-        "schema",
-        None,
-        F.lit("FAIL" if missing else "OK"),
-        F.lit(len(missing)),
-        f"{len(rules.required)} columns",
-        F.lit(text),
+        "schema", None, _status(some, "FAIL"), F.size(missing), f"{len(rules.required)} columns",
+        F.when(some, text).otherwise("all required columns present"),
     )
 
 
+def missing_columns(rules: RuleSet, present: set[str]) -> Column:
+    names = sorted(set(rules.required) - present)
+    return F.array(*map(F.lit, names)).cast("array<string>")
+
+
 def _empty_result(total: Column) -> Column:
     return _result(
         "not_empty", None, _status(total == 0, "FAIL"), total, "> 0 rows",
@@ -258,7 +263,7 @@ def _null_result(column: str, share: Column, limit: float, total: Column) -> Col
     )
 
 
-def _range_result(measures: _Measures, limits: Range, value: Column) -> Column:
+def _range_result(measures: Measures, limits: Range, value: Column) -> Column:
     outside = measures.count(limits.broken(value))
     return _result(
         "range", limits.column, _status(outside > 0, "FAIL"), outside, str(limits),
@@ -275,7 +280,7 @@ def _mean_result(mean: Column) -> Column:
     )
 
 
-def _category_result(measures: _Measures, column: str, allowed: list[str]) -> Column:
+def _category_result(measures: Measures, column: str, allowed: list[str]) -> Column:
     unexpected = measures.count(~F.col(column).isin(allowed))
     return _result(
         "category", column, _status(unexpected > 0, "WARN"), unexpected,
@@ -284,26 +289,26 @@ def _category_result(measures: _Measures, column: str, allowed: list[str]) -> Co
     )
 
 
-def _digest(columns: list[str]) -> dict[str, Column]:
+def digest(columns: list[str]) -> dict[str, Column]:
     """128 bits of a row; which columns are null counts as well."""
     cells = [part for c in columns for part in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
     return {f"__d{seed}": F.xxhash64(F.lit(seed), *cells) for seed in (1, 2)}
 
 
-def _second_digest(columns: list[str]) -> Column:
+def second_digest(columns: list[str]) -> Column:
     """64 bits of a row by another kind of hash."""
     cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in columns]
     return F.xxhash64(F.md5(F.concat_ws("\x1f", *cells).cast("binary")))
 
 
-def _grouped(df: DataFrame, keys: list[str], measures: _Measures, **more: Column) -> DataFrame:
+def _grouped(df: DataFrame, keys: list[str], measures: Measures, **more: Column) -> DataFrame:
     """Rows grouped by key, digest, what the rules say of them, and more that follows from the row.
 
     Copies collapse map-side, so a key or a row that makes up much of the table is reduced before the
     shuffle, and whole rows are never shuffled. Null keys form a group.
     """
-    found = {**_digest(df.columns), **measures.packed(), **more}
-    narrow = df.select(*keys, _second_digest(df.columns).alias("__check"), *[c.alias(n) for n, c in found.items()])
+    found = {**digest(df.columns), **measures.packed(), **more}
+    narrow = df.select(*keys, second_digest(df.columns).alias("__check"), *[c.alias(n) for n, c in found.items()])
     return narrow.groupBy(*keys, *found).agg(
         F.count("*").alias("__copies"), F.min("__check").alias("__low"), F.max("__check").alias("__high")
     )
@@ -321,12 +326,12 @@ def _distinct_among(df: DataFrame, groups: DataFrame) -> DataFrame | None:
     collided = groups.filter("__low <> __high").select("__d1", "__d2").distinct()
     if collided.isEmpty():
         return None
-    rows = df.withColumns(_digest(df.columns))
+    rows = df.withColumns(digest(df.columns))
     rows = spread_join(rows, collided, ["__d1", "__d2"], "left_semi")
     return rows.groupBy(*df.columns).agg(F.lit(1).alias("__one")).agg(F.count("*").alias("distinct"))
 
 
-def _duplicate_results(keys: list[str]) -> list[Column]:
+def duplicate_results(keys: list[str]) -> list[Column]:
     total, surplus, repeated = F.col("total"), F.col("surplus"), F.col("repeated")
     share = F.coalesce(F.try_divide(surplus, total), F.lit(0.0))
     results = [
@@ -372,7 +377,7 @@ def _duplicates(df: DataFrame, groups: DataFrame, rules: RuleSet, keys: list[str
             *[F.sum(c).alias(c) for c in ("total", "distinct", "repeated")]
         )
     surplus = (F.col("total") - F.col("distinct")).alias("surplus")
-    return _rows(totals.select("total", surplus, "repeated"), rules.source, _duplicate_results(keys))
+    return result_rows(totals.select("total", surplus, "repeated"), rules.source, duplicate_results(keys))
 
 
 def _keys(df: DataFrame, rules: RuleSet) -> list[str]:
@@ -387,15 +392,15 @@ def duplicate_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
     the check is set up.
     """
     keys = _keys(df, rules)
-    return _duplicates(df, _stored(_grouped(df, keys, _Measures())), rules, keys)
+    return _duplicates(df, _stored(_grouped(df, keys, Measures())), rules, keys)
 
 
 def quality_report(df: DataFrame, rules: RuleSet) -> DataFrame:
     """Every check of a source, one row each; the source is read once, by a job at set-up."""
     keys = _keys(df, rules)
-    measures, results = _row_results(rules, set(df.columns))
+    measures, results = row_results(rules, set(df.columns))
     groups = _stored(_grouped(df, keys, measures))
-    row_level = _rows(groups.agg(*measures.over_groups()), rules.source, results)
+    row_level = result_rows(groups.agg(*measures.over_groups()), rules.source, results)
     return row_level.unionByName(_duplicates(df, groups, rules, keys))
 
 
@@ -432,6 +437,11 @@ def enforce(report: DataFrame) -> None:
 def recency_check(df: DataFrame, source: str, as_of: str, max_age_hours: float = 24.0) -> DataFrame:
     """WARN when the newest event is older than the limit, seen from ``as_of``."""
     newest = df.agg(F.max(as_timestamp(F.col(TIME_COLUMN[source]))).alias("newest"))
+    return recency_result(newest, source, as_of, max_age_hours)
+
+
+def recency_result(newest: DataFrame, source: str, as_of: str, max_age_hours: float) -> DataFrame:
+    """The check for a table of one row, the time ``newest``."""
     seconds = F.timestamp_diff("SECOND", F.col("newest"), F.lit(as_of).cast("timestamp_ntz"))
     age = F.round(seconds / 3600, 2)
     stale = F.coalesce(age > max_age_hours, F.lit(True))
@@ -439,7 +449,7 @@ def recency_check(df: DataFrame, source: str, as_of: str, max_age_hours: float =
         F.concat(F.lit("newest event at "), F.col("newest").cast("string")),
         F.lit("no event has a readable time"),
     )
-    return _rows(
+    return result_rows(
         newest, source,
         [_result("recency", TIME_COLUMN[source], _status(stale, "WARN"), age,
                  f"<= {max_age_hours:g} h", message)],

@@ -84,17 +84,21 @@ def new_version() -> str:
     return uuid.uuid4().hex[:16]
 
 
-def write_days(df: DataFrame, path: str, version: str) -> dict[str, str]:
+def write_days(
+    df: DataFrame, path: str, version: str, further: tuple[str, ...] = ()
+) -> dict[str, str]:
     """Write ``df`` as a version, which nobody reads yet; the days it holds, each with the version.
 
+    ``further`` names columns by which each day is split up into folders.
+
     The rebalance hint gathers each day's rows like a repartition by day would, but lets adaptive
     execution cut a large day into several tasks and files instead of one.
     """
     folder = f"{_root(path)}/{VERSION}={version}"
     (
-        df.hint("rebalance", *PARTITION_COLUMNS)
+        df.hint("rebalance", *PARTITION_COLUMNS, *further)
         .write.option("compression", "snappy")
-        .partitionBy(*PARTITION_COLUMNS)
+        .partitionBy(*PARTITION_COLUMNS, *further)
         .parquet(folder)
     )
     fs, place = _fs(df.sparkSession, f"{folder}/{'/'.join(f'{c}=*' for c in PARTITION_COLUMNS)}")

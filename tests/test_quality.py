@@ -172,7 +172,7 @@ def test_duplicates_are_exact_whatever_the_digest(spark, monkeypatch, digest):
         "one value": lambda columns: {"__d1": F.lit(1).cast("long"), "__d2": F.lit(2).cast("long")},
     }
     if digest in forced:
-        monkeypatch.setattr(quality, "_digest", forced[digest])
+        monkeypatch.setattr(quality, "digest", forced[digest])
     rows = [{"session_id": str(i % 7), "topic_name": None if i % 3 else "x", "thumbs_up": i % 2} for i in range(60)]
     rows += [{"contact_id": None, "session_id": None}] * 3 + [{"topic_name": None, "business_unit": "Web"}, {"topic_name": "Web", "business_unit": None}]
     df = turns(spark, *rows)
@@ -197,7 +197,7 @@ def test_a_source_is_read_once_and_whole_rows_are_not_shuffled(spark, monkeypatc
 
 
 def test_more_conditions_than_bits(spark, monkeypatch):
-    monkeypatch.setattr(quality._Measures, "BITS", 3)
+    monkeypatch.setattr(quality.Measures, "BITS", 3)
     rows = turns(spark, {"contact_id": None, "handle_seconds_dur": -1}, {"application_channel": "Fax"}, {"application_channel": "Fax"})
     got, want = quality.quality_report(rows, quality.CHATBOT_RULES), quality.row_checks(rows, quality.CHATBOT_RULES)
     assert set(want.collect()) <= set(got.collect())
