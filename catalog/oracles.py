@@ -921,6 +921,21 @@ def oracles() -> dict[str, str]:
         "n3_block_run_times": _run_times("block"),
     }
     sql["l7_annotate_shared_replies"] = sql["l7_annotate"]
+    sql["e4_shared_contacts_by_sketch"] = (
+        f"SELECT count(*) AS shared_contacts, TRUE AS sketch_is_near FROM ({sql['e4_shared_contacts']})"
+    )
+    sql["e5_metadata_coverage_by_sketch"] = (
+        f"SELECT with_metadata, TRUE AS sketch_is_near FROM ({sql['e5_metadata_coverage']})"
+    )
+    for name, rows in (
+        ("f8_topic_measures", "f8_topic_measures_by_unit_and_channel"),
+        ("f9_topic_session_quality", "f9_topic_session_quality"),
+        ("f10_topic_table", "f10_topic_table"),
+        ("f11_escalation", "f11_escalation_by_topic"),
+        ("g2_trending_topics", "g2_trending_topics"),
+        ("g3_weekly_trend_full_weeks", "g3_weekly_trend_full_weeks"),
+    ):
+        sql[f"{name}_from_cells"] = sql[rows]
     heading = ", ".join(f'{c} AS "{title}"' for c, title in TOPIC_TABLE_HEADINGS.items())
     sql["b5_topic_table_headings"] = f"SELECT {heading} FROM ({sql['f10_topic_table']})"
     for name, column in (

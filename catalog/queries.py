@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.inputs import derived_table, given_table, interactions
@@ -24,6 +24,8 @@ from parley.operators import (
     quality,
     reports,
     series,
+    set_sketches,
+    topic_cells,
     topics,
     unify,
 )
@@ -381,6 +383,37 @@ def e4_shared_contacts(spark, sf):
     return unify.shared_contacts(turns, clicks)
 
 
+def _share_of_ids(spark: SparkSession, sf: str) -> DataFrame:
+    turns, clicks, meta = interactions(spark, sf)
+    return set_sketches.daily_sketches(
+        chatbot_interactions=turns, clickstream_events=clicks, conversation_metadata=meta
+    )
+
+
+def _near(estimate: str, exact: str) -> Column:
+    """Whether an estimate is within four standard errors, which are 0 where sketches hold all ids."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= 4 * F.col("standard_error") * F.col(exact)
+
+
+@_query
+def e4_shared_contacts_by_sketch(spark, sf):
+    """The exact number of shared contacts, and whether the one from daily sketches is as near as stated."""
+    turns, clicks, _ = interactions(spark, sf)
+    shared = unify.shared_contacts(turns, clicks).agg(F.count("*").alias("shared_contacts"))
+    found = set_sketches.overlap(_share_of_ids(spark, sf), "chatbot_interactions", "clickstream_events")
+    rows = found.withColumn("shared_contacts", shared.scalar())
+    return rows.select("shared_contacts", _near("both", "shared_contacts").alias("sketch_is_near"))
+
+
+@_query
+def e5_metadata_coverage_by_sketch(spark, sf):
+    turns, _, meta = interactions(spark, sf)
+    exact = unify.metadata_coverage(turns, meta).select("with_metadata")
+    found = set_sketches.coverage(_share_of_ids(spark, sf))
+    rows = found.withColumn("with_metadata", exact.scalar())
+    return rows.select("with_metadata", _near("known", "with_metadata").alias("sketch_is_near"))
+
+
 @_query
 def e5_metadata_coverage(spark, sf):
     return unify.metadata_coverage(_turns(spark, sf), _meta(spark, sf))
@@ -460,6 +493,40 @@ def f11_escalation_by_topic(spark, sf):
     return _rounded(topics.escalation_by_topic(_turns(spark, sf)), "escalation_rate")
 
 
+def _topic_cells(spark: SparkSession, sf: str) -> DataFrame:
+    return topic_cells.topic_cells(_turns(spark, sf), _meta(spark, sf))
+
+
+@_query
+def f8_topic_measures_from_cells(spark, sf):
+    return topic_cells.topic_measures(_topic_cells(spark, sf), "business_unit", "application_channel")
+
+
+@_query
+def f9_topic_session_quality_from_cells(spark, sf):
+    return topic_cells.topic_session_quality(_topic_cells(spark, sf))
+
+
+@_query
+def f10_topic_table_from_cells(spark, sf):
+    return topic_cells.topic_table(_topic_cells(spark, sf))
+
+
+@_query
+def f11_escalation_from_cells(spark, sf):
+    return _rounded(topic_cells.escalation_by_topic(_topic_cells(spark, sf)), "escalation_rate")
+
+
+@_query
+def g2_trending_topics_from_cells(spark, sf):
+    return topic_cells.trending_topics(_topic_cells(spark, sf), n=5, include_trend=True)
+
+
+@_query
+def g3_weekly_trend_full_weeks_from_cells(spark, sf):
+    return topic_cells.weekly_trend(_topic_cells(spark, sf), FULL_WEEKS)
+
+
 @_query
 def f12_daily_volume(spark, sf):
     return _day_as_text(series.daily_volume(_turns(spark, sf)), "date")

@@ -121,6 +121,16 @@ def select_rows(df: DataFrame, selection: Selection | None, ts: Column) -> DataF
     return by_time(by_dimensions(df, selection), ts, selection)
 
 
+def select_days(cells: DataFrame, selection: Selection | None, day: str = "day") -> DataFrame:
+    """Cells of whole days in a selection. One that starts or ends inside a day, or ends at midnight, cuts
+    a day, which cells cannot: it is refused, and has to be answered from rows."""
+    if selection and selection.end and selection.end_mode != "day":
+        raise ValueError("daily cells cannot cut a day")
+    if selection and selection.start and selection.start.time() != dt.time():
+        raise ValueError("daily cells cannot cut a day")
+    return select_rows(cells, selection, F.col(day).cast("timestamp_ntz"))
+
+
 def filter_options(turns: DataFrame, ts: Column) -> DataFrame:
     """Values a report can be restricted to, as (option, value) rows.
 

@@ -7,15 +7,13 @@ append the two sets of sums and add them up, which needs no join between the tab
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.casts import as_timestamp
 from parley.functions.rounding import display
 from parley.operators.clean import rated_turns
-from parley.operators.filters import Selection, select_rows
+from parley.operators.filters import Selection, select_days, select_rows
 
 DIMENSIONS = ["business_unit", "application_channel"]
 
@@ -199,11 +197,7 @@ def report_from_cells(cells: DataFrame, selection: Selection | None = None) -> D
     Cells hold whole days, so a range that starts or ends inside a day, or ends at midnight, has to
     be answered by ``kpi_report``.
     """
-    if selection and selection.end and selection.end_mode != "day":
-        raise ValueError("daily cells cannot cut a day")
-    if selection and selection.start and selection.start.time() != dt.time():
-        raise ValueError("daily cells cannot cut a day")
-    return _report(select_rows(cells, selection, F.col("day").cast("timestamp_ntz")), selection)
+    return _report(select_days(cells, selection), selection)
 
 
 def kpi_cube(turns: DataFrame, meta: DataFrame) -> DataFrame:

@@ -21,27 +21,59 @@ SORT_COLUMNS = {
 }
 
 
-def _topic_sums(turns: DataFrame, *by: str) -> DataFrame:
-    return (
-        turns.filter(F.col("topic_name").isNotNull())
-        .groupBy("topic_name", *by)
-        .agg(
-            F.count("*").alias("volume"),
-            *[
-                F.coalesce(F.sum(source), F.lit(0)).alias(name)
-                for name, source in (
-                    ("escalation_count", "escalated_to_agent"),
-                    ("thumbs_up_count", "thumbs_up"),
-                    ("thumbs_down_count", "thumbs_down"),
-                )
-            ],
-            F.avg("confidence_score").alias("avg_confidence"),
-            F.avg("derived_resolution_score").alias("avg_resolution"),
-            F.avg("handle_seconds_dur").alias("avg_handle"),
-        )
+# What is added up of a topic's turns, and of its sessions.
+_TOTALS = {
+    "escalation_count": "escalated_to_agent",
+    "thumbs_up_count": "thumbs_up",
+    "thumbs_down_count": "thumbs_down",
+}
+_MEANS = {
+    "confidence": "confidence_score",
+    "resolution": "derived_resolution_score",
+    "handle": "handle_seconds_dur",
+}
+TURN_SUMS = ["volume", *_TOTALS, *[f"{m}_{part}" for m in _MEANS for part in ("sum", "n")]]
+SESSION_SUMS = ["session_count", "session_resolution_sum", "session_resolution_n"]
+
+
+def turn_sums(turns: DataFrame, *by: str | Column, also: tuple[Column, ...] = ()) -> DataFrame:
+    """Volume, totals, sums and counts per group, which add up over groups, and further aggregates."""
+    return turns.groupBy(*by).agg(
+        *also,
+        F.count("*").alias("volume"),
+        *[F.sum(c).cast("long").alias(name) for name, c in _TOTALS.items()],
+        *[
+            x
+            for name, c in _MEANS.items()
+            for x in (F.sum(F.col(c).cast("double")).alias(f"{name}_sum"), F.count(c).alias(f"{name}_n"))
+        ],
+    )
+
+
+def session_sums(meta: DataFrame, *by: str | Column) -> DataFrame:
+    score = F.col("derived_resolution_score")
+    return meta.groupBy(*by).agg(
+        F.count("*").alias("session_count"),
+        F.sum(score).alias("session_resolution_sum"),
+        F.count(score).alias("session_resolution_n"),
     )
 
 
+def derived(sums: DataFrame) -> DataFrame:
+    """Means and totals from sums; groups without turns or topic are left out."""
+    return sums.filter(F.col("topic_name").isNotNull() & (F.col("volume") > 0)).withColumns(
+        {
+            **{name: F.coalesce(name, F.lit(0)) for name in _TOTALS},
+            **{f"avg_{m}": F.try_divide(f"{m}_sum", f"{m}_n") for m in _MEANS},
+        }
+    )
+
+
+def _topic_sums(turns: DataFrame, *by: str) -> DataFrame:
+    named = turns.filter(F.col("topic_name").isNotNull())
+    return derived(turn_sums(named, "topic_name", *by))
+
+
 def _rate(count: str) -> Column:
     return F.col(count) / F.col("volume") * 100
 
@@ -51,7 +83,12 @@ def topic_measures(turns: DataFrame, *by: str) -> DataFrame:
 
     Further columns break each topic down, for example by unit or channel.
     """
-    return _topic_sums(turns, *by).select(
+    return measures_of(_topic_sums(turns, *by), *by)
+
+
+def measures_of(sums: DataFrame, *by: str) -> DataFrame:
+    """``topic_measures`` from sums that are derived already."""
+    return sums.select(
         "topic_name",
         *by,
         "volume",
@@ -69,16 +106,19 @@ def topic_measures(turns: DataFrame, *by: str) -> DataFrame:
 
 def topic_session_quality(meta: DataFrame) -> DataFrame:
     """Mean session resolution per topic, its tier (from the unrounded mean) and session count."""
-    return (
-        meta.filter(F.col("topic_name").isNotNull())
-        .groupBy("topic_name")
-        .agg(F.avg("derived_resolution_score").alias("mean"), F.count("*").alias("session_count"))
-        .select(
-            "topic_name",
-            topic_quality(F.col("mean")).alias("resolution_quality"),
-            display(F.col("mean"), 4).alias("avg_resolution"),
-            "session_count",
-        )
+    named = meta.filter(F.col("topic_name").isNotNull())
+    return session_quality_of(session_sums(named, "topic_name"))
+
+
+def session_quality_of(sums: DataFrame) -> DataFrame:
+    """``topic_session_quality`` from sums per topic."""
+    mean = F.try_divide("session_resolution_sum", "session_resolution_n")
+    known = sums.filter(F.col("topic_name").isNotNull() & (F.col("session_count") > 0))
+    return known.select(
+        "topic_name",
+        topic_quality(mean).alias("resolution_quality"),
+        display(mean, 4).alias("avg_resolution"),
+        "session_count",
     )
 
 
@@ -90,9 +130,13 @@ def top_topics(measures: DataFrame, n: int = 5, sort_by: str = "volume") -> Data
     return measures.orderBy(F.desc(column), "topic_name").limit(n)
 
 
-def weekly_trend(turns: DataFrame, ts: Column | None = None) -> DataFrame:
+def weekly_trend(
+    turns: DataFrame, ts: Column | None = None, volume: Column | None = None
+) -> DataFrame:
     """Direction of each topic's volume from the last but one to the last week that has turns.
 
+    A row counts as one turn, or as many as ``volume`` says.
+
     Weeks are ISO weeks together with their ISO year. A topic absent from the earlier week is NEW;
     with fewer than two weeks every topic is UNKNOWN.
 
@@ -102,7 +146,8 @@ def weekly_trend(turns: DataFrame, ts: Column | None = None) -> DataFrame:
     """
     ts = as_timestamp(F.col("created_at")) if ts is None else ts
     week = F.extract(F.lit("YEAROFWEEK"), ts) * 100 + F.weekofyear(ts)
-    counts = turns.groupBy("topic_name", week.alias("week")).agg(F.count("*").alias("turns"))
+    many = F.count("*") if volume is None else F.sum(volume)
+    counts = turns.groupBy("topic_name", week.alias("week")).agg(many.alias("turns"))
     weekly = counts.groupBy("week").agg(F.sum("turns").alias("turns"))
     last_two = weekly.filter(F.col("turns") > 0).orderBy(F.desc_nulls_last("week")).limit(2)
     bounds = last_two.agg(
@@ -154,22 +199,34 @@ def trending_topics(
     ts: Column | None = None,
 ) -> DataFrame:
     """Leading topics with, on request, their session quality and weekly trend."""
-    out = top_topics(topic_measures(turns), n, sort_by)
-    if include_quality:
-        out = out.join(topic_session_quality(meta), "topic_name", "left")
-    if include_trend:
-        trend = weekly_trend(turns, ts).select("topic_name", "wow_trend")
-        out = out.join(trend, "topic_name", "left").withColumn(
+    return put_together(
+        top_topics(topic_measures(turns), n, sort_by),
+        topic_session_quality(meta) if include_quality else None,
+        weekly_trend(turns, ts) if include_trend else None,
+    )
+
+
+def put_together(
+    top: DataFrame, quality: DataFrame | None = None, trend: DataFrame | None = None
+) -> DataFrame:
+    if quality is not None:
+        top = top.join(quality, "topic_name", "left")
+    if trend is not None:
+        top = top.join(trend.select("topic_name", "wow_trend"), "topic_name", "left").withColumn(
             "wow_trend", F.coalesce("wow_trend", F.lit("UNKNOWN"))
         )
-    return out
+    return top
 
 
 def topic_table(turns: DataFrame) -> DataFrame:
     """Topics by descending volume with display rounding."""
+    return table_of(_topic_sums(turns))
+
+
+def table_of(sums: DataFrame) -> DataFrame:
+    """``topic_table`` from sums that are derived already."""
     return (
-        _topic_sums(turns)
-        .select(
+        sums.select(
             "topic_name",
             F.col("volume"),
             display(_rate("escalation_count"), 1).alias("escalation_rate_pct"),
@@ -203,9 +260,13 @@ def with_headings(table: DataFrame) -> DataFrame:
 
 def escalation_by_topic(turns: DataFrame, n: int = 8) -> DataFrame:
     """The topics that escalate most, with their unrounded rate."""
+    return escalation_of(_topic_sums(turns), n)
+
+
+def escalation_of(sums: DataFrame, n: int = 8) -> DataFrame:
+    """``escalation_by_topic`` from sums that are derived already."""
     return (
-        _topic_sums(turns)
-        .select(
+        sums.select(
             "topic_name",
             "volume",
             F.col("escalation_count").alias("escalations"),
