@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import pandas as pd
@@ -15,15 +14,10 @@ from pyspark.sql import types as T
 from parley.functions import replies
 from parley.functions.casts import as_double
 from parley.functions.prompts import PromptTemplate, fill_template, get_template
+from parley.operators.calls import Caller, Retry, Scorer, ScorerFactory
 from parley.operators.joins import spread_join
 from parley.sources.schemas import TOPICS
 
-# A scorer answers (task, messages, max_tokens, temperature) with the reply text, with None when there
-# is no reply, or with a tuple of the text and the tokens of prompt and reply. A factory makes one
-# scorer per task process, so that a client is opened once.
-Scorer = Callable[[str, "list[dict[str, str]]", int, float], "str | tuple[str, int, int] | None"]
-ScorerFactory = Callable[[], Scorer]
-
 # Stand-ins for missing fields of a row.
 DEFAULTS = {
     "application_channel": "Web",
@@ -120,7 +114,7 @@ def with_messages(df: DataFrame, templates: Templates | None = None) -> DataFram
 
 
 TASKS = ["summary", "sentiment", "topic"]
-_REPLY_SCHEMA = T.StructType(
+REPLY_SCHEMA = T.StructType(
     [
         T.StructField(f"{task}{part}", kind)
         for task in TASKS
@@ -136,55 +130,58 @@ _REPLY_SCHEMA = T.StructType(
 CALL_ERRORS = [f"llm_{task}_call_error" for task in TASKS]
 
 
+def prepared(templates: Templates | None = None) -> dict[str, tuple]:
+    """Per task, what its calls have in common: template key, prompt text by role with the transcript left
+    open, most tokens and temperature."""
+    return {
+        task: (
+            template.key,
+            template.render_text(**constants, **{slot: "${transcript}"}),
+            template.max_tokens,
+            template.temperature,
+        )
+        for task, (template, constants, slot) in _requests(templates).items()
+    }
+
+
+def call_of(request: tuple, text: str) -> tuple:
+    """The arguments of a scorer for a prepared request and a transcript."""
+    key, prompt, max_tokens, temperature = request
+    messages = [
+        {"role": role, "content": prompt[role].replace("${transcript}", text)}
+        for role in ("system", "user")
+    ]
+    return key, messages, max_tokens, temperature
+
+
 def ask_model(
-    scorer_factory: ScorerFactory, templates: Templates | None = None, in_flight: int = 10
+    scorer_factory: ScorerFactory,
+    templates: Templates | None = None,
+    in_flight: int = 10,
+    retry: Retry | None = None,
 ) -> Callable[[Column], Column]:
     """Column function from transcript to the raw reply of every task, its error and its tokens.
 
     Only the transcript travels to Python; the fixed prompt text is filled in there. A task process
     keeps up to ``in_flight`` calls under way in threads, so a scorer has to be safe to call from
-    several at once. A call that raises leaves a null reply and an error text, on a row that is kept.
-    The function is marked non-deterministic, so that the optimizer never calls the model twice for
-    one row; a retried task does, so a scorer must be safe to repeat.
+    several at once. A call that fails for a passing reason is made again, see ``calls.Retry``; one that
+    fails for good leaves a null reply and an error text, on a row that is kept. The function is marked
+    non-deterministic, so that the optimizer never calls the model twice for one row; a retried task
+    does, so a scorer must be safe to repeat.
     """
-    prepared = [
-        (template.key, template.max_tokens, template.temperature,
-         template.render_text(**constants, **{slot: "${transcript}"}))
-        for template, constants, slot in _requests(templates).values()
-    ]
-    names = _REPLY_SCHEMA.names
+    requests, names = list(prepared(templates).values()), REPLY_SCHEMA.names
+    retry = retry or Retry()
 
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = scorer_factory()
-
-        def call(text: str, request: tuple) -> tuple:
-            key, max_tokens, temperature, prompt = request
-            messages = [
-                {"role": role, "content": prompt[role].replace("${transcript}", text)}
-                for role in ("system", "user")
-            ]
-            try:
-                reply = scorer(key, messages, max_tokens, temperature)
-            except Exception as problem:  # noqa: BLE001 - any client failure is data here
-                return None, str(problem) or type(problem).__name__, None, None
-            if isinstance(reply, tuple):
-                return reply[0], None, reply[1], reply[2]
-            return reply, None, None, None
-
-        with ThreadPoolExecutor(max(1, in_flight)) as pool:
-            for transcripts in batches:
-                pairs = [(text, request) for text in transcripts for request in prepared]
-                # a thread takes a run of calls at a time, eight runs or so for each
-                step = max(1, len(pairs) // (8 * max(1, in_flight)))
-                runs = [pairs[at : at + step] for at in range(0, len(pairs), step)]
-                done = pool.map(lambda run: [call(*pair) for pair in run], runs)
-                cells = [cell for answers in done for answer in answers for cell in answer]
-                columns = {name: cells[k :: len(names)] for k, name in enumerate(names)}
-                yield pd.DataFrame(columns, dtype=object)
+        caller = Caller(scorer_factory(), in_flight, retry)
+        calls = ([call_of(r, text) for text in texts for r in requests] for texts in batches)
+        for answers in caller.batches(calls):
+            cells = [cell for answer in answers for cell in answer]
+            yield pd.DataFrame({name: cells[k :: len(names)] for k, name in enumerate(names)}, dtype=object)
 
     # annotations are resolved by name in this module, which workers may not have
     ask.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(ask, _REPLY_SCHEMA).asNondeterministic()
+    return F.pandas_udf(ask, REPLY_SCHEMA).asNondeterministic()
 
 
 def parse_replies(
@@ -221,6 +218,7 @@ def annotate(
     concurrency: int = 10,
     share_replies: bool = False,
     templates: Templates | None = None,
+    retry: Retry | None = None,
 ) -> DataFrame:
     """Every input row with its ``llm_*`` columns.
 
@@ -233,16 +231,22 @@ def annotate(
 
     ``llm_summary_call_error`` and its like say why a call failed, and ``llm_usage`` lists the tokens
     of the calls whose scorer reports them. Under ``share_replies`` the tokens stand on every row that
-    shares a reply, though they were used once.
+    shares a reply, though they were used once. ``retry`` says when a call is made again. Replies are kept
+    from run to run by ``reply_store.annotate_from_store``.
     """
     told = df.withColumn("__transcript", transcript(df))
     requests = told.select("__transcript").distinct() if share_replies else told
-    ask = ask_model(scorer_factory or offline_scorer(), templates, concurrency)
+    ask = ask_model(scorer_factory or offline_scorer(), templates, concurrency, retry)
     asked = requests.withColumn("__reply", ask(F.col("__transcript")))
     if share_replies:
         asked = spread_join(told, asked, ["__transcript"], "left")
+    return with_replies(asked)
+
+
+def with_replies(asked: DataFrame) -> DataFrame:
+    """Rows with ``__transcript`` and ``__reply``, the struct that ``ask_model`` gives, as annotated rows."""
     flat = asked.withColumns(
-        {f"__{name}": F.col(f"__reply.{name}") for name in _REPLY_SCHEMA.names}
+        {f"__{name}": F.col(f"__reply.{name}") for name in REPLY_SCHEMA.names}
     )
     parsed = parse_replies(flat, "__summary", "__sentiment", "__topic", "__summary_error")
     usage = F.array(
@@ -258,7 +262,7 @@ def annotate(
     known = F.filter(usage, lambda call: call["prompt_tokens"].isNotNull())
     errors = {f"llm_{task}_call_error": F.col(f"__{task}_error") for task in TASKS}
     return parsed.withColumns({**errors, "llm_usage": known}).drop(
-        "__transcript", "__reply", *[f"__{name}" for name in _REPLY_SCHEMA.names]
+        "__transcript", "__reply", *[f"__{name}" for name in REPLY_SCHEMA.names]
     )
 
 

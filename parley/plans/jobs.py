@@ -7,15 +7,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.operators.annotate import (
-    CALL_ERRORS,
-    ScorerFactory,
-    Templates,
-    annotate,
-    not_yet_annotated,
-)
+from parley.operators.annotate import CALL_ERRORS, Templates, annotate, not_yet_annotated
+from parley.operators.calls import Retry, ScorerFactory
 from parley.operators.joins import spread_join
 from parley.operators.quality import all_sources_report, enforce
+from parley.operators.reply_store import annotate_from_store
 from parley.operators.unify import unify
 from parley.plans.increments import merge_batch, store_whole
 from parley.sources.published import current
@@ -95,13 +91,17 @@ def annotate_job(
     concurrency: int = 10,
     share_replies: bool = False,
     templates: Templates | None = None,
+    retry: Retry | None = None,
+    store: str | None = None,
+    run: str = "",
 ) -> None:
     """Annotate rows of the unified table and write them as JSON lines.
 
     ``done_paths`` are the outputs of earlier runs, whose rows are skipped by ``keys`` unless one of
     their calls failed; ``out`` has to be another folder. ``limit`` counts keys: rows that share one are annotated together, so that a
     later run misses none.
-    ``concurrency`` sets how many calls each task keeps under way.
+    ``concurrency`` sets how many calls each task keeps under way, ``retry`` when a call is made again. With ``store``,
+    replies are kept there under the name of this ``run`` and questions it has answered are not asked.
     """
     keys = keys or ["contact_id", "session_id", "created_at"]
     rows = read_unified(spark, unified_path)
@@ -115,7 +115,12 @@ def annotate_job(
     if limit:
         chosen = sample_rows(rows.select(*keys).distinct(), limit, keys)
         rows = spread_join(rows, chosen, keys, "left_semi")
-    annotated = annotate(rows, scorer_factory, concurrency, share_replies, templates)
+    if store:
+        annotated = annotate_from_store(
+            rows, store, run, scorer_factory, concurrency, templates, retry
+        )
+    else:
+        annotated = annotate(rows, scorer_factory, concurrency, share_replies, templates, retry)
     write_json_lines(annotated, out)
 
 
