@@ -48,7 +48,7 @@ def unify_job(
     run_ts: str,
     mode: str = "full",
     batch: str | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> tuple[DataFrame, dict[str, int]]:
     """Write the unified table; return it as read back, and the rows loaded and written.
 

@@ -7,33 +7,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions.casts import as_timestamp, cast_columns
+from parley.sources import csv_files
 from parley.sources.published import PARTITION_COLUMNS, current, read_days
 from parley.sources.schemas import SOURCES, TIME_COLUMN
 
 
-# Quotes inside a quoted cell are doubled, as most CSV writers do; Spark's default is a backslash.
-CSV_OPTIONS = {"header": True, "nullValue": "", "escape": '"'}
-
-
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool | None = None
 ) -> DataFrame:
     """CSV with a header, matched to ``schema`` by column name.
 
-    Spark would bind an explicit CSV schema by position, so the file is read as text (only the
-    header line is looked at up front, no inference pass) and cast afterwards. Blank cells and
-    text that does not parse become null; columns the schema does not name stay as text.
+    Spark would bind an explicit CSV schema by position, so cells are read as text (only header lines are
+    looked at up front, no inference pass) and cast afterwards. Blank cells and text that does not parse
+    become null; columns the schema does not name stay as text.
+
+    Files of a folder may have different headers: columns are matched by name file by file, and one that
+    a file lacks is null there. Without any file, or with empty files only, there are no rows.
 
-    All files of a folder need the same header: one whose columns differ or stand in another order
-    is refused when it is read. ``multi_line`` lets quoted cells hold line breaks; each file is then
-    read by a single task, so large files should have been cut before.
+    Quoted cells may hold line breaks. By default one pass over the text finds the files in which
+    some do: each of these is read by a single task, the others are cut as usual. ``multi_line=True`` says that any
+    file may have them, ``False`` that none has; either saves the pass. What ``False`` is wrong about is
+    read as two rows.
     """
-    raw = spark.read.options(**CSV_OPTIONS, enforceSchema=False, multiLine=multi_line).csv(path)
-    return cast_columns(raw, schema)
+    raw = csv_files.scan(spark, path, multi_line)
+    return spark.createDataFrame([], schema) if raw is None else cast_columns(raw, schema)
 
 
 def load_sources(
-    spark: SparkSession, base: str, multi_line: bool = False
+    spark: SparkSession, base: str, multi_line: bool | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Chatbot turns, clickstream events and session metadata found as CSV under ``base``."""
     root = base.rstrip("/")
@@ -50,7 +51,7 @@ def with_event_time(df: DataFrame, source: str, to: str = "event_time") -> DataF
 
 
 def load_timed(
-    spark: SparkSession, base: str, multi_line: bool = False
+    spark: SparkSession, base: str, multi_line: bool | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Chatbot turns and session metadata from CSV, each with its parsed ``event_time``.
 
@@ -88,7 +89,7 @@ def read_csv_sample(
     schema: T.StructType,
     limit: int = 0,
     order_by: list[str] | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     return sample_rows(read_csv(spark, path, schema, multi_line), limit, order_by)
 

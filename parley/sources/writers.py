@@ -17,7 +17,8 @@ from parley.sources.published import (
     read_days,
     write_days,
 )
-from parley.sources.readers import CSV_OPTIONS, read_unified
+from parley.sources.csv_files import CSV_OPTIONS
+from parley.sources.readers import read_unified
 
 # What tells the rows of the unified table apart when a batch is merged into it.
 TURN_KEYS = ["contact_id", "session_id", "created_at"]

@@ -164,28 +164,80 @@ def test_merge_keeps_stored_rows(spark, tmp_path):
         assert sorted((r.created_at, r.contact_id, r.thumbs_up) for r in back.collect()) == expected
 
 
-def test_headers_in_another_order_are_refused(spark, tmp_path):
+def test_files_with_differing_headers_are_united_by_name(spark, tmp_path):
     from parley.sources.schemas import CHATBOT
 
-    (tmp_path / "t").mkdir()
-    (tmp_path / "t" / "a.csv").write_text("contact_id,session_id\nc1,s1\n" + "c1,s1\n" * 50)
-    (tmp_path / "t" / "b.csv").write_text("session_id,contact_id\ns2,c2\n")
-    with pytest.raises(Exception, match="CSV header does not conform"):
-        readers.read_csv(spark, str(tmp_path / "t"), CHATBOT).collect()
+    folder = tmp_path / "t [1]"
+    folder.mkdir()
+    (folder / "a.csv").write_text("contact_id,session_id,thumbs_up\nc1,s1,1\n" + "c1,s1,1\n" * 50)
+    (folder / "b.csv").write_text("session_id,contact_id\ns2,c2\n")
+    (folder / "c d.csv").write_text("agent,contact_id,session_id,thumbs_up\nbo,c3,s3,x\n")
+    (folder / "e.csv").write_text("contact_id,session_id,thumbs_up\nc4,s4,\n")
+    (folder / "empty.csv").write_text("")
+    (folder / "_log").write_text("nothing,of,that\n1,2,3\n")
+    got = readers.read_csv(spark, str(folder).replace("[", "\\["), CHATBOT)
+    assert got.columns == ["contact_id", "session_id", "thumbs_up", "agent"]
+    rows = sorted(tuple(r) for r in got.distinct().collect())
+    assert rows == [
+        ("c1", "s1", 1, None), ("c2", "s2", None, None), ("c3", "s3", None, "bo"), ("c4", "s4", None, None),
+    ]
+    assert got.count() == 54
+    none = readers.read_csv(spark, str(tmp_path / "nowhere"), CHATBOT)
+    assert none.schema == CHATBOT and none.count() == 0
+
+
+def test_compressed_files_have_headers_too(spark, tmp_path):
+    import gzip
+
+    from parley.sources.schemas import CHATBOT
+
+    (tmp_path / "a.csv.gz").write_bytes(gzip.compress(b"session_id,contact_id\ns1,c1\n"))
+    (tmp_path / "b.csv").write_text("contact_id,session_id\nc2,s2\n")
+    rows = readers.read_csv(spark, str(tmp_path), CHATBOT).collect()
+    assert sorted((r.contact_id, r.session_id) for r in rows) == [("c1", "s1"), ("c2", "s2")]
 
 
 def test_line_breaks_in_quoted_cells(spark, tmp_path):
     from parley.sources.schemas import CHATBOT
 
-    path = tmp_path / "t.csv"
-    path.write_text('contact_id,session_id,topic_name\nc1,s1,"two\nlines"\nc2,s2,one\n')
-    assert readers.read_csv(spark, str(path), CHATBOT).count() == 3
-    rows = readers.read_csv(spark, str(path), CHATBOT, multi_line=True).collect()
-    assert [(r.contact_id, r.topic_name) for r in rows] == [("c1", "two\nlines"), ("c2", "one")]
-    back = readers.read_csv_sample(spark, str(path), CHATBOT, 1, ["contact_id"], multi_line=True)
+    path = tmp_path / "t x.csv"
+    path.write_text('contact_id,session_id,topic_name\nc1,s1,"two\nlines"\nc2,s2,"a ""b"""\n')
+    assert readers.read_csv(spark, str(path), CHATBOT, multi_line=False).count() == 3
+    for multi_line in (None, True):
+        rows = readers.read_csv(spark, str(path), CHATBOT, multi_line).collect()
+        assert [(r.contact_id, r.topic_name) for r in rows] == [("c1", "two\nlines"), ("c2", 'a "b"')]
+    back = readers.read_csv_sample(spark, str(path), CHATBOT, 1, ["contact_id"])
     assert back.first().topic_name == "two\nlines"
 
 
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    from parley.sources.schemas import CHATBOT
+
+    (tmp_path / "a.csv").write_text('contact_id,session_id,topic_name\nc1,s1,"two\n\nlines, and"\n')
+    (tmp_path / "b.csv").write_text("contact_id,session_id,topic_name\n" + "c2,s2,x\n" * 1000)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = readers.read_csv(spark, str(tmp_path), CHATBOT)
+        assert got.count() == 1001
+        assert got.filter("contact_id = 'c1'").first().topic_name == "two\n\nlines, and"
+        tasks = got.select("contact_id", F.spark_partition_id().alias("p")).distinct().groupBy("contact_id").count()
+        assert {r.contact_id: r["count"] > 1 for r in tasks.collect()} == {"c1": False, "c2": True}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_loaders_take_line_breaks_as_they_come(spark, tmp_path):
+    from parley.sources.schemas import SOURCES
+
+    for name, schema in SOURCES.items():
+        cells = ['"a\nb"' if c == "topic_name" else "1" for c in schema.names]
+        (tmp_path / f"{name}.csv").write_text(",".join(schema.names) + "\n" + ",".join(cells) + "\n")
+    timed, meta = readers.load_timed(spark, str(tmp_path))
+    assert timed.count() == meta.count() == 1 and meta.first().topic_name == "a\nb"
+    assert [df.count() for df in readers.load_sources(spark, str(tmp_path))] == [1, 1, 1]
+
+
 def test_any_rows_read_no_more_than_needed(spark, tmp_path):
     spark.range(1000).write.parquet(str(tmp_path / "t"))
     some = readers.read_parquet_sample(spark, str(tmp_path / "t"), 5, [])
