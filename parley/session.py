@@ -12,6 +12,7 @@ from functools import cache
 from pyspark.sql import SparkSession
 
 _made: dict[int, list[str]] = {}
+_tables: dict[str, str] = {}
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,6 +55,11 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return folder
 
 
+def scratch_table(folder: str, name: str) -> None:
+    """Notes that the catalog table ``name`` lies in a scratch folder, so that it goes with it."""
+    _tables[folder] = name
+
+
 def scratch_folders(spark: SparkSession) -> list[str]:
     """The scratch folders this session has asked for and not cleared, oldest first."""
     return list(_made.get(id(spark), []))
@@ -64,6 +70,8 @@ def clear_scratch(spark: SparkSession, folders: list[str] | None = None) -> None
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in scratch_folders(spark) if folders is None else folders:
+        if folder in _tables:
+            spark.sql(f"DROP TABLE IF EXISTS {_tables.pop(folder)}")
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
         _made[id(spark)].remove(folder)
