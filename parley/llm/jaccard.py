@@ -401,7 +401,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     is the smallest doc_id that links lead to, the own one included, and ``is_first`` tells whether the
     row is that document (or has no shingles). Null, empty and blank texts have no shingles and no
     links; equal texts with shingles are linked. A null id comes after all others and is its
-    component's only if no other is in it. Repeated rows stay. Other columns are not read.
+    component's only if no other is in it. Ids may be of any type with an order. Repeated rows stay. Other
+    columns are not read.
     """
     return settled(docs.sparkSession, lambda: _near_duplicates(docs, doc_id, text), "near-duplicates")
 
@@ -422,14 +423,13 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.coalesce(F.col("root") == F.col("node"), F.lit(True)).alias("_heads"),
         F.col("node.doc").alias("_first"),
     )
+    labelled = known.ids.named(labelled, "_root", "_root_id")
     alone = F.col("n_shingles") == 0
     return known.rows.join(labelled, "digest").select(
         "doc_id",
         "digest",
         "n_shingles",
-        F.when(alone, F.col("doc_id"))
-        .otherwise(F.when(F.col("_root") < windows.NO_ID, F.col("_root")))
-        .alias("component_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("_root_id")).alias("component_id"),
         (alone | (F.col("_heads") & (F.col("doc") == F.col("_first")))).alias("is_first"),
     )
 

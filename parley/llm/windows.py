@@ -29,12 +29,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parley.llm.common import release, slices, to_batch, written
-from parley.session import scratch_folder
+from parley.operators.joins import spread_join
+from parley.session import scratch_folder, scratch_table
 
-#: Rows without an id get one of these places, from ``NO_ID`` on.
-NO_ID, NO_ID_PLACES = 1 << 62, 1 << 20
+#: Rows without an id get one of so many places after all others.
+NO_ID_PLACES = 1 << 20
 BUCKET_BYTES, MAX_BUCKETS = 16 << 20, 1 << 17
 #: Windows taken at a time; a place in them and the hash of a gram share 64 bits.
 CHUNK, PLACE_BITS = 1 << 16, 18
@@ -155,28 +157,79 @@ def anchors(tokens: np.ndarray, length: int, gram: int, grams: np.ndarray | None
     return tuple(np.concatenate(c) for c in zip(*found)) if found else None
 
 
+class Ids(NamedTuple):
+    """How ids stand as 64-bit places in their order: whole numbers less ``shift``, or by a table.
+
+    ``none`` is the first place of rows without an id, null if there are no such rows; ``places`` is a stored
+    table of ids (``doc_id``) and their places (``doc``), for ids that are no whole numbers, and for
+    numbers that leave no room for rows without one.
+    """
+
+    kind: T.DataType
+    shift: int
+    none: int | None
+    places: DataFrame | None = None
+
+    def placed(self, docs: DataFrame) -> DataFrame:
+        """(doc_id, text) with ``doc``. Rows without an id come after all others, by a hash of the text."""
+        if self.places is not None:
+            docs = spread_join(docs, self.places, ["doc_id"], "left")
+            own = F.col("doc")
+        else:
+            own = F.col("doc_id").cast("long") - self.shift
+        if self.none is not None:
+            later = F.lit(self.none) + F.pmod(F.xxhash64("text"), F.lit(NO_ID_PLACES))
+            own = F.coalesce(own, later)
+        return docs.withColumn("doc", own)
+
+    def named(self, df: DataFrame, doc: str, name: str) -> DataFrame:
+        """``df`` with the ids of the places in column ``doc``, null for rows without one."""
+        if self.places is not None:
+            known = self.places.select(F.col("doc").alias(doc), F.col("doc_id").alias(name))
+            return spread_join(df, known, [doc], "left")
+        id_ = (F.col(doc) + self.shift).cast(self.kind)
+        if self.none is not None:
+            id_ = F.when(F.col(doc) < self.none, id_)
+        return df.withColumn(name, id_)
+
+
+def ids_of(docs: DataFrame) -> Ids:
+    """The places of the ids of (doc_id, ...); any type with an order will do."""
+    kind, id_ = docs.schema["doc_id"].dataType, F.col("doc_id")
+    if isinstance(kind, T.IntegralType):
+        low, high, some = docs.agg(F.min(id_), F.max(id_), F.count_if(id_.isNull())).first()
+        if not some:
+            return Ids(kind, 0, None)
+        if high is None or high < (1 << 63) - 1 - NO_ID_PLACES:
+            return Ids(kind, 0, 0 if high is None else high + 1)
+        if low > NO_ID_PLACES - (1 << 63):
+            return Ids(kind, NO_ID_PLACES, high + 1 - NO_ID_PLACES)
+    known = docs.select(id_).where(id_.isNotNull()).distinct()
+    ordered = known.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # rising from task to task, and within one
+    places = ordered.withColumn("doc", F.monotonically_increasing_id())
+    return Ids(kind, 0, 1 << 62, written(places, "window-ids"))
+
+
 class Corpus(NamedTuple):
     """``rows``: a narrow row per document; ``texts``: the first document of each text, in buckets by
-    ``doc`` (its id), with the number of its rows. ``tie`` tells apart the texts of one id."""
+    ``doc`` (the place of its id, see ``Ids``), with the number of its rows. ``tie`` tells apart the texts of one id."""
 
     rows: DataFrame
     texts: DataFrame
     buckets: int
+    ids: Ids
 
 
 def corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Corpus:
-    """Brings equal texts together.
-
-    Rows without an id come after all others, in the order of a hash. Ids from 2^62 on are not
-    supported.
-    """
+    """Brings equal texts together. Ids may be of any type with an order, and any size."""
     given = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    own = F.col(f"`{doc_id}`").cast("long")
-    doc = F.coalesce(own, F.lit(NO_ID) + F.pmod(F.xxhash64(given), F.lit(NO_ID_PLACES))).alias("doc")
-    digest = F.sha2(given, 256).alias("digest")
-    size = F.octet_length(given).cast("long").alias("bytes")
-    id_ = F.col(f"`{doc_id}`").alias("doc_id")
-    rows = written(docs.select(id_, doc, digest, size), "window-rows")
+    docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), given.alias("text"))
+    ids = ids_of(docs)
+    placed = ids.placed(docs)
+    digest = F.sha2("text", 256).alias("digest")
+    size = F.octet_length("text").cast("long").alias("bytes")
+    rows = written(placed.select("doc_id", "doc", digest, size), "window-rows")
     total = rows.agg(F.sum("bytes")).first()[0] or 0
     buckets = min(MAX_BUCKETS, max(1, -(-total // BUCKET_BYTES)))
 
@@ -191,7 +244,7 @@ def corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Corpu
     )
     # The text is shuffled once, into the buckets of the table it is written to.
     found = (
-        docs.select(doc, digest, given.alias("text"))
+        placed.select("doc", digest, "text")
         .repartition(buckets, "doc")
         .join(of_id.repartition(buckets, "doc"), "doc")
         .withColumn("chosen", F.filter("chosen", lambda x: x["digest"] == F.col("digest")))
@@ -201,14 +254,16 @@ def corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Corpu
         .dropDuplicates(["doc", "digest"])
     )
     spark, name = docs.sparkSession, f"window_texts_{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "window-texts")
+    scratch_table(folder, name)
     (
-        found.write.option("path", scratch_folder(spark, "window-texts"))
+        found.write.option("path", folder)
         .bucketBy(buckets, "doc")
         .sortBy("doc", "tie")
         .saveAsTable(name)
     )
     release(spark)
-    return Corpus(rows, spark.table(name), buckets)
+    return Corpus(rows, spark.table(name), buckets, ids)
 
 
 ANCHOR = (
@@ -553,8 +608,8 @@ def per_document(known: Corpus, cut: DataFrame, kind: Tokens, keep: Keep) -> Dat
     """
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     names = ["doc_id", "digest", "bytes", "n_tokens", "n_removed", "n_spans", "kept", "spans"]
-    id_ = F.when(F.col("first") < NO_ID, F.col("first")).alias("doc_id")
-    firsts = cut.withColumn("_", F.explode(F.sequence(one, F.col("times")))).select(id_, *names[1:])
+    named = known.ids.named(cut, "first", "doc_id")
+    firsts = named.withColumn("_", F.explode(F.sequence(one, F.col("times")))).select(*names)
     whole = F.col("short").isNull()
     all_of_it = F.array(F.struct(zero.alias("begin"), F.col("n_tokens").alias("end")))
     copies = (
