@@ -60,6 +60,24 @@ def test_nulls_repeats_clashes_and_empty(spark, frame):
     assert shards.shuffle_into_shards(df.where("false"), 3).collect() == []
 
 
+def test_equal_rows_are_dealt_to_all_buckets(spark, monkeypatch):
+    """Two thirds of the rows are equal, another tenth too; no bucket holds much more than its share."""
+    monkeypatch.setattr(shards, "COPIES", 100)
+    df = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 < 2 THEN 7 WHEN id % 10 = 0 THEN 8 ELSE id END AS doc_id", "'some text' AS text"
+    )
+    sizes, dealt = [], shards._dealt
+    monkeypatch.setattr(shards, "_dealt", lambda *args: sizes.append(dealt(*args)) or sizes[-1])
+    rows = shards.shuffle_into_shards(df, 7, bucket_bytes=25_000).collect()
+    check_law(rows, 7)
+    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in df.collect())
+    buckets = [r["count"] for r in sizes[0].groupBy("_bucket").count().collect()]
+    assert len(buckets) == 30 and max(buckets) < 1.3 * 1000
+    key = lambda found: sorted((r.doc_id, r.shard, r.slot) for r in found)
+    again = shards.shuffle_into_shards(df.repartition(3, "text"), 7, bucket_bytes=25_000).collect()
+    assert key(again) == key(rows)
+
+
 def test_written_shards(spark, tmp_path):
     df = spark.range(100).selectExpr("id AS doc_id", "'x' AS text")
     sharded = shards.shuffle_into_shards(df, 4)
