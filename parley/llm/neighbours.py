@@ -4,6 +4,11 @@ Queries and candidates are dealt into blocks, and each pair of blocks is one til
 products of int8 codes give all squared distances up to a bound on the quantisation error. A candidate
 whose lower bound lies above the k-th smallest upper bound of the query cannot be among its nearest;
 the others are computed in double precision. The tiles' best are merged by heaps. The result is exact.
+
+Both sides of a tile are as large as memory allows: ``TILE_BYTES`` as doubles, with d dimensions
+S = TILE_BYTES / 8 d vectors. So n candidates are copied ceil(m / S) times for m queries, and queries ceil(n / S) times, or as
+often as gives every core a tile. With 64 dimensions S is 32,768: a million candidates and ten thousand queries are copied
+once and 31 times, 1.3 times the input; all pairs of tiles are computed, so copies grow with m beyond that.
 """
 
 from __future__ import annotations
@@ -19,7 +24,9 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import to_batch
 
-CANDIDATES_PER_TILE, QUERIES_PER_TILE = 8192, 512
+TILE_BYTES = 16 << 20
+#: No fewer candidates in a tile just to have more tiles, and products that are held at a time.
+LEAST_CANDIDATES, PRODUCTS = 2048, 1 << 22
 #: Sums of int8 products stay exact in single precision up to this many dimensions.
 EXACT_IN_SINGLE = (1 << 24) // (127 * 127)
 NEAREST = "query_id long, vec_id long, score double"
@@ -58,10 +65,13 @@ def nearest_in_tile(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np
     x_codes, x_scale, x_missed = _codes(x)
     q_codes, q_scale, q_missed = _codes(q)
     kind = np.float32 if x.shape[1] <= EXACT_IN_SINGLE else np.float64
-    products = (q_codes.astype(kind) @ x_codes.astype(kind).T).astype(np.float64)
+    x_codes, q_codes = x_codes.astype(kind).T, q_codes.astype(kind)
     x_norm, q_norm = np.linalg.norm(x, axis=1), np.linalg.norm(q, axis=1)
+    held = max(1, PRODUCTS // len(x))
     for row in range(len(q)):
-        about = x_norm**2 + q_norm[row] ** 2 - 2 * products[row] * x_scale * q_scale[row]
+        if row % held == 0:
+            products = q_codes[row : row + held] @ x_codes
+        about = x_norm**2 + q_norm[row] ** 2 - 2 * products[row % held].astype(np.float64) * x_scale * q_scale[row]
         off = 2 * ((x_norm + x_missed) * q_missed[row] + x_missed * q_norm[row])
         off += 1e-9 * (x_norm**2 + q_norm[row] ** 2)  # rounding of the sums above
         others = ids != query_ids[row]
@@ -92,10 +102,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     to the smaller id. A query's own id is no candidate, nor are vectors of another length. With fewer
     candidates all are returned; a query without any has no rows. Where an id stands on several vectors,
     each is a candidate, and a query id has the ``k`` nearest to any of its vectors. Both inputs are read twice, so they
-    should be stored tables. A tile holds some thousand vectors, however large or skewed the inputs.
+    should be stored tables. Tiles are of like size, however large or skewed the inputs.
     """
-    n, m = vectors.count(), queries.count()
-    columns, rows = max(1, -(-n // CANDIDATES_PER_TILE)), max(1, -(-m // QUERIES_PER_TILE))
+    n, width = vectors.agg(F.count("*"), F.max(F.size("v"))).first()
+    side = max(1, TILE_BYTES // (8 * max(1, width or 0)))
+    rows = max(1, -(-queries.count() // side))
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    columns = max(1, -(-n // side), min(-(-2 * cores // rows), -(-n // LEAST_CANDIDATES)))
 
     def dealt(df: DataFrame, own: str, parts: int, other: str, copies: int) -> DataFrame:
         place = F.pmod(F.xxhash64("id", "v"), F.lit(parts)).cast("int")

@@ -27,10 +27,10 @@ def plain(vectors, every=100, k=10):
     return out
 
 
-@pytest.mark.parametrize("scale", [1.0, 1e-20, 1e15])
-def test_exact_over_many_tiles(spark, monkeypatch, scale):
-    monkeypatch.setattr(neighbours, "CANDIDATES_PER_TILE", 100)
-    monkeypatch.setattr(neighbours, "QUERIES_PER_TILE", 7)
+@pytest.mark.parametrize(("scale", "side"), [(1.0, 100), (1.0, 7), (1e-20, 100), (1e15, 100)])
+def test_exact_over_many_tiles(spark, monkeypatch, scale, side):
+    monkeypatch.setattr(neighbours, "TILE_BYTES", 8 * 16 * side)
+    monkeypatch.setattr(neighbours, "PRODUCTS", 700)
     rng = np.random.default_rng(1)
     base = rng.normal(size=(900, 16)) * scale * rng.choice([0.01, 1, 50], size=(900, 1))
     base[500:560] = base[3]  # ties
