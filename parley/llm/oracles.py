@@ -1,14 +1,15 @@
 """DuckDB SQL of the queries in this package that SQL can express over whole tables.
 
-Left out are the shards (their order comes from a seeded generator), the tokenizers, the runs (all lags of all texts
-are too many rows) and the language model.
+Left out are the shards (their order comes from a seeded generator), the tokenizers and the language model.
 """
 
 from __future__ import annotations
 
+import math
 import string
+from itertools import combinations
 
-from parley.llm import mixing, quality_rules
+from parley.llm import mixing
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -167,17 +168,35 @@ WHERE rank <= 10
 """
 
 
+#: The quality rules as stated, each with its score and its cutoffs from lenient to strict.
+QUALITY_RULES = {
+    "n_symbols / n_words": [0.8, 0.5, 0.3, 0.2, 0.1, 0.05],
+    "n_dup_lines / n_lines": [0.7, 0.5, 0.4, 0.3, 0.2, 0.1],
+    "n_repeat_words / n_words": [0.45, 0.4, 0.3, 0.2, 0.15, 0.1],
+    "word_chars / n_words": [30, 20, 15, 12, 10],
+    "- word_chars / n_words": [-1.5, -2, -2.5, -3, -3.5],
+}
+RATE, ERROR = 0.02, 0.05
+
+
 def _quality() -> str:
-    r = quality_rules
-    scores = " UNION ALL ".join(
-        f"SELECT doc_id, lang, '{name}' AS rule, CAST({above} AS DOUBLE) / CAST({below} AS DOUBLE) AS score FROM counts"
-        for name, (rule, _) in r.RULES.items()
-        for above, below in [rule.split(" / ")]
+    """The search for cutoffs as a recursion over the cutoffs in the order they are tried.
+
+    A language's good documents are counted by how many cutoffs of each rule they pass. Every step makes one
+    rule stricter, unless it has failed before, and asks how many good documents all rules reject together.
+    """
+    cuts = list(QUALITY_RULES.values())
+    scores = ", ".join(
+        f"CAST({above} AS DOUBLE) / nullif(CAST({below} AS DOUBLE), 0)"
+        for above, below in (rule.split(" / ") for rule in QUALITY_RULES)
     )
-    cuts = ", ".join(f"('{name}', {k}, {cut!r})" for name, (_, cs) in r.RULES.items() for k, cut in enumerate(cs))
-    rate = r.FALSE_REJECTION / len(r.RULES)
+    steps = [(rule + 1, k) for k in range(1, 7) for rule in range(len(cuts)) if k <= len(cuts[rule])]
+    # with m rules frozen, 1 / 2^(m + 1) of the error is shared by all sets of m cutoffs of different rules
+    sets = [sum(math.prod(c) for c in combinations(map(len, cuts), m)) for m in range(len(cuts) + 1)]
+    shares = [ERROR / 2 ** (m + 1) / n for m, n in enumerate(sets)]
+    listed = [f"CAST({x} AS DOUBLE[][])" if i == 0 else str(x) for i, x in enumerate([cuts, shares])]
     return rf"""
-WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, lang, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
 lines AS (
   SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
 grams AS (
@@ -191,48 +210,88 @@ counts AS (
     CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, CAST(len(l) AS BIGINT) AS n_lines
   FROM d JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
-failed AS (
-  SELECT doc_id, n_words < {r.MIN_WORDS} OR 100 * n_repeat_words > {r.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counts),
-scores AS ({scores}),
+rules AS (SELECT {listed[0]} AS cuts, {listed[1]} AS shares, {[list(x) for x in steps]} AS steps),
+scored AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, [{scores}] AS scores FROM counts),
 good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING max(quality) = 1),
-held AS (
-  SELECT lang, rule, score, s.doc_id FROM scores s JOIN good USING (doc_id) JOIN failed USING (doc_id) WHERE NOT base_failed),
-strata AS (SELECT lang, count(DISTINCT doc_id) AS n FROM held GROUP BY lang),
-cuts(rule, k, cut) AS (VALUES {cuts}),
-rejected AS (
-  SELECT s.lang, s.n, c.rule, c.k, c.cut, (SELECT count(*) FROM held h
-    WHERE h.lang IS NOT DISTINCT FROM s.lang AND h.rule = c.rule AND h.score > c.cut) AS x
-  FROM strata s, cuts c),
-tails AS (
-  SELECT lang, rule, k, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate!r}::DOUBLE)
-    + (n - i) * ln(1 - {rate!r}::DOUBLE))) AS tail
-  FROM (SELECT *, unnest(range(x + 1)) AS i FROM rejected) GROUP BY ALL),
-tests AS (
-  SELECT r.lang, r.rule, r.k, r.cut, x <= n * {rate!r}::DOUBLE
-    AND tail <= {r.ERROR!r}::DOUBLE / ((SELECT count(*) FROM strata) * {len(r.RULES)}) AS ok
-  FROM rejected r JOIN tails t ON r.lang IS NOT DISTINCT FROM t.lang AND r.rule = t.rule AND r.k = t.k),
+passes AS (
+  SELECT lang, list_transform(cuts, lambda own, r: len(own) - len(list_filter(own, lambda c: coalesce(scores[r] > c, FALSE)))) AS p
+  FROM scored JOIN good USING (doc_id), rules WHERE NOT base_failed),
+cells AS (SELECT lang, p, count(*) AS docs FROM passes GROUP BY ALL),
+strata AS (
+  SELECT lang, sum(docs)::BIGINT AS n, list(struct_pack(p := p, docs := docs)) AS cells, count(*) OVER () AS strata
+  FROM cells GROUP BY lang),
+search AS (
+  SELECT lang, n, cells, strata, 0 AS done, [0, 0, 0, 0, 0] AS levels, []::INTEGER[] AS frozen FROM strata
+  UNION ALL
+  SELECT lang, n, cells, strata, done + 1,
+    CASE WHEN ok THEN tried ELSE levels END,
+    CASE WHEN ok OR list_contains(frozen, rule) THEN frozen ELSE list_append(frozen, rule) END
+  FROM (
+    SELECT *, NOT list_contains(frozen, rule) AND x <= n * {RATE!r}::DOUBLE
+        AND list_sum(list_transform(range(least(x, ceil(n * {RATE!r}::DOUBLE)::BIGINT) + 1), lambda i:
+          exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RATE!r}::DOUBLE) + (n - i) * ln(1 - {RATE!r}::DOUBLE))))
+          <= shares[len(frozen) + 1] / strata AS ok
+    FROM (
+      SELECT *, coalesce(list_sum(list_transform(cells, lambda c: CASE WHEN len(list_filter(tried, lambda k, r: c.p[r] < k)) > 0
+          THEN c.docs ELSE 0 END)), 0)::BIGINT AS x
+      FROM (
+        SELECT *, list_transform(levels, lambda k, r: CASE WHEN r = rule THEN level ELSE k END) AS tried
+        FROM (
+          SELECT s.*, shares, CAST(steps[done + 1][1] AS INTEGER) AS rule, CAST(steps[done + 1][2] AS INTEGER) AS level
+          FROM search s, rules WHERE done < len(steps)))))),
 certified AS (
-  SELECT lang, rule, arg_max(cut, k) AS cut
-  FROM (SELECT *, min(CAST(ok AS INTEGER)) OVER (PARTITION BY lang, rule ORDER BY k) AS so_far FROM tests)
-  WHERE so_far = 1 GROUP BY lang, rule),
-above AS (
-  SELECT DISTINCT s.doc_id FROM scores s JOIN certified c
-  ON s.lang IS NOT DISTINCT FROM c.lang AND s.rule = c.rule AND s.score > c.cut)
+  SELECT lang, list_transform(levels, lambda k, r: CASE WHEN k > 0 THEN cuts[r][k] END) AS cut
+  FROM search, rules WHERE done = len(steps))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND a.doc_id IS NULL AS kept
-FROM counts c JOIN failed f USING (doc_id) LEFT JOIN above a USING (doc_id)
+  NOT base_failed AND (cut IS NULL OR len(list_filter(scores, lambda x, r: coalesce(x > cut[r], FALSE))) = 0) AS kept
+FROM scored s LEFT JOIN certified c ON s.lang IS NOT DISTINCT FROM c.lang
 """
 
 
-#: The checksum of a decimal number, byte by byte and bit by bit; 3988292384 is its fixed polynomial.
-TRIE = r"""
-WITH ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
-sums AS (
-  SELECT conv_id, xor(4294967295, list_reduce(
-    list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+def _checksum(text: str) -> str:
+    """CRC-32 of an ASCII text, byte by byte and bit by bit; 3988292384 is its fixed polynomial."""
+    return f"""xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)),
     lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
-      lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END))) % 9 AS h
-  FROM ids),
+      lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)))"""
+
+
+#: Runs as the stretches in which words equal those q places on, less those inside a stretch of a smaller q.
+RUNS = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, {WORDS} AS w, {_checksum("coalesce(CAST(doc_id AS VARCHAR), '')")} AS h FROM documents),
+planted AS (
+  SELECT row, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a,
+    CASE WHEN h % 10 = 0 AND len(w) > 0 THEN 1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) END AS p FROM d),
+words AS (
+  SELECT row, n, i, w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM planted)),
+pairs AS (
+  SELECT x.row, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.row = y.row AND x.word = y.word AND y.i > x.i
+  WHERE 4 * (y.i - x.i) <= x.n),
+stretches AS (
+  SELECT row, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS island FROM pairs)
+  GROUP BY row, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (
+  SELECT * FROM stretches s WHERE NOT EXISTS (SELECT 1 FROM stretches t WHERE t.row = s.row AND t.q < s.q
+    AND t.start <= s.start AND t.start + t.length >= s.start + s.length)),
+gone AS (SELECT DISTINCT row, unnest(range(start + q, start + length)) AS i FROM runs),
+collapsed AS (
+  SELECT row, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (row, i) GROUP BY row),
+found AS (
+  SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines,
+    min(struct_pack(l := -length, s := start, q := q)) AS best FROM runs GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(-best.l AS BIGINT) AS length,
+  CAST(best.q AS BIGINT) AS period, CAST(1000 * -best.l // best.q AS BIGINT) AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM d LEFT JOIN found USING (row) LEFT JOIN collapsed USING (row)
+"""
+
+TRIE = rf"""
+WITH ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+sums AS (SELECT conv_id, {_checksum("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM ids),
 own AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
@@ -277,5 +336,6 @@ def oracles() -> dict[str, str]:
         "op7_nearest_vectors": NEAREST,
         "op9_quality_rules": _quality(),
         "op10_lz_dedup": WORD_REPEATS,
+        "op11_periodic_runs": RUNS,
         "op12_prefix_trie": TRIE,
     }
