@@ -15,6 +15,9 @@ from dataclasses import dataclass
 Scorer = Callable[[str, "list[dict[str, str]]", int, float], "str | tuple[str, int, int] | None"]
 ScorerFactory = Callable[[], Scorer]
 
+#: Seconds a call takes, on average, for threads to pay.
+HARDLY = 0.0005
+
 #: Text of a reply, why there is none, tokens of the prompt and of the reply.
 Answer = tuple["str | None", "str | None", "int | None", "int | None"]
 
@@ -103,11 +106,18 @@ class Caller:
     def batches(self, batches: Iterator[list[tuple]]) -> Iterator[list[Answer]]:
         """The answers to each batch of ``ask``'s arguments, in order, with up to ``in_flight`` under way.
 
-        A thread takes a run of calls at a time, eight runs or so for each.
+        As long as calls hardly wait, threads only cost, so they are made here. The rest of a batch goes to threads; one
+        takes a run of calls at a time, eight runs or so for each.
         """
         with ThreadPoolExecutor(self.in_flight) as pool:
             for calls in batches:
-                step = max(1, len(calls) // (8 * self.in_flight))
-                runs = [calls[at : at + step] for at in range(0, len(calls), step)]
-                done = pool.map(lambda run: [self.ask(*call) for call in run], runs)
-                yield [answer for answers in done for answer in answers]
+                done, begun = [], time.monotonic()
+                for call in calls:
+                    if time.monotonic() - begun > HARDLY * (len(done) + 1):
+                        break
+                    done.append(self.ask(*call))
+                rest = calls[len(done) :]
+                step = max(1, len(rest) // (8 * self.in_flight))
+                runs = [rest[at : at + step] for at in range(0, len(rest), step)]
+                more = pool.map(lambda run: [self.ask(*call) for call in run], runs)
+                yield [*done, *(answer for answers in more for answer in answers)]

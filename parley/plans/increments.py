@@ -22,7 +22,7 @@ from parley.operators.unify import DERIVED, enrich, unify
 from parley.session import clear_scratch, scratch_folder
 from parley.sources import published
 from parley.sources.published import PARTITION_COLUMNS, Pointer
-from parley.sources.schemas import CHATBOT, CLICKSTREAM, KEYS, METADATA
+from parley.sources.schemas import CLICKSTREAM, KEYS, METADATA
 from parley.sources.writers import TURN_KEYS
 
 _TABLES = ("sessions", "values", "days")

@@ -14,6 +14,7 @@ from parley.operators.quality import all_sources_report, enforce
 from parley.operators.reply_store import annotate_from_store
 from parley.operators.unify import unify
 from parley.plans.increments import merge_batch, store_whole
+from parley.session import clear_scratch, scratch_folders
 from parley.sources.published import current
 from parley.sources.readers import load_sources, read_unified, sample_rows
 from parley.sources.schemas import SOURCES
@@ -25,7 +26,9 @@ def quality_job(spark: SparkSession, base: str, report_path: str) -> DataFrame:
 
     The gate reads the written report, so the checks run once.
     """
+    before = set(scratch_folders(spark))
     all_sources_report(*load_sources(spark, base)).write.mode("overwrite").parquet(report_path)
+    clear_scratch(spark, [f for f in scratch_folders(spark) if f not in before])
     report = spark.read.parquet(report_path)
     enforce(report)
     return report
