@@ -101,6 +101,21 @@ def _together(label: str, tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), named)
 
 
+def _numbered(df: DataFrame, number: Column) -> DataFrame:
+    """The rows stored once, each with its number: a part of them is then a plain filter.
+
+    A filter on a hash of derived columns is pushed below them, where it holds every expression once more,
+    in code too long to be compiled; and each part would derive all rows anew.
+    """
+    folder, rows = scratch_folder(df.sparkSession, "numbered"), df.withColumn("__number", number)
+    rows.write.parquet(folder)
+    return df.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def _with_number(rows: DataFrame, chosen: Column) -> DataFrame:
+    return rows.filter(chosen).drop("__number")
+
+
 def _csv_base(spark: SparkSession, sf: str) -> str:
     base = scratch_folder(spark, "raw-csv")
     for name in schemas.SOURCES:
@@ -671,9 +686,10 @@ def j9_quality_report_from_days(spark, sf):
     """Every source is added to its check state in two batches that share days; the report reads the state."""
     path = scratch_folder(spark, "gate")
     for df, rules in zip(interactions(spark, sf), gate.SOURCE_RULES, strict=True):
-        number = F.pmod(F.xxhash64(*df.columns), F.lit(2))
+        rows = _numbered(df, F.pmod(F.xxhash64(*df.columns), F.lit(2)))
         for k in range(2):
-            gate.add_rows(spark, path, df.filter(number == k), rules, f"batch {k}")
+            batch = _with_number(rows, F.col("__number") == k)
+            gate.add_rows(spark, path, batch, rules, f"batch {k}")
     return gate.report(spark, path)
 
 

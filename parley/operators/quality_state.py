@@ -98,12 +98,23 @@ def row_state(df: DataFrame, rules: RuleSet) -> DataFrame:
     return _filled(rows.withColumn("missing", lacks), "row")
 
 
-def added_rows(rows: DataFrame) -> DataFrame:
+def _lacks(rules: RuleSet) -> dict[str, Column]:
+    """Which required columns some row lacked. Flags, as an aggregate over arrays would have to sort all rows."""
+    return {f"__m{k}": F.bool_or(F.array_contains("missing", c)) for k, c in enumerate(sorted(rules.required))}
+
+
+def _lacking(rules: RuleSet) -> Column:
+    """The names of these columns, from the flags."""
+    names = [F.when(F.col(f"__m{k}"), c) for k, c in enumerate(sorted(rules.required))]
+    return F.array_compact(F.array(*names)).cast("array<string>").alias("missing")
+
+
+def added_rows(rows: DataFrame, rules: RuleSet) -> DataFrame:
     """Copies of a row from several batches made one."""
     added = rows.groupBy(*_ROW, *PARTITION_COLUMNS).agg(
-        F.sum("rows").alias("rows"), F.first("missing").alias("missing")
+        F.sum("rows").alias("rows"), *[c.alias(name) for name, c in _lacks(rules).items()]
     )
-    return _filled(added, "row")
+    return _filled(added.withColumn("missing", _lacking(rules)), "row")
 
 
 def day_state(rows: DataFrame, rules: RuleSet) -> DataFrame:
@@ -119,7 +130,7 @@ def day_state(rows: DataFrame, rules: RuleSet) -> DataFrame:
     cells = named.groupBy(*PARTITION_COLUMNS).agg(
         *measures.over_groups(),
         (F.sum("rows") - F.count("*")).alias("surplus"),
-        F.collect_set("missing").alias("lacking"),
+        *[c.alias(name) for name, c in _lacks(rules).items()],
         F.min("time").alias("oldest"),
         F.max("time").alias("newest"),
     )
@@ -129,7 +140,7 @@ def day_state(rows: DataFrame, rules: RuleSet) -> DataFrame:
         F.col("total").alias("rows"),
         F.array(*counted).cast("array<long>").alias("counts"),
         F.array(*[f"s{k}" for k in range(len(measures.values))]).cast("array<double>").alias("sums"),
-        F.array_distinct(F.flatten("lacking")).alias("missing"),
+        _lacking(rules),
     )
     keys = rows.groupBy(*PARTITION_COLUMNS, "keys").agg(F.sum("rows").alias("rows"))
     return _filled(cells, "cell").unionByName(_filled(keys, "key"))

@@ -36,15 +36,17 @@ def add_rows(
     state.row_state(df, rules).write.parquet(f"{scratch}/new")
     new = spark.read.schema(state.SCHEMA).parquet(f"{scratch}/new")
     days = published.day_names(new.select(*PARTITION_COLUMNS))
-    old = published.read_days(spark, folder, base or Pointer(), state.SCHEMA, days)
-    rows = state.added_rows(new.unionByName(old.where("kind = 'row'")))
-    rows.write.parquet(f"{scratch}/rows")
-    rows = spark.read.schema(state.SCHEMA).parquet(f"{scratch}/rows")
+    base_or_none = base or Pointer()
+    rows = new
+    if any(day in base_or_none.days for day in days):  # rows of a first batch are distinct as they are
+        old = published.read_days(spark, folder, base_or_none, state.SCHEMA, days)
+        rows = state.added_rows(new.unionByName(old.where("kind = 'row'")), rules)
+        rows.write.parquet(f"{scratch}/rows")
+        rows = spark.read.schema(state.SCHEMA).parquet(f"{scratch}/rows")
     version = published.new_version()
     written = published.write_days(
         rows.unionByName(state.day_state(rows, rules)), folder, version, ("kind",)
     )
-    base_or_none = base or Pointer()
     published.publish(spark, folder, base, replace(
         base_or_none,
         schema=state.SCHEMA.json(),

@@ -102,3 +102,33 @@ def test_empty_state_reports_as_an_empty_table(spark, tmp_path):
     gate.add_rows(spark, str(tmp_path), turns(spark), quality.CHATBOT_RULES)
     got = _results(gate.report(spark, str(tmp_path), [quality.CHATBOT_RULES]))
     assert got == _results(quality.quality_report(turns(spark), quality.CHATBOT_RULES))
+
+
+def test_rows_are_added_up_without_sorting_them(spark):
+    """An aggregate over an array sorts all rows; and of equal rows of two batches either may have lacked a column."""
+    rules = quality.CHATBOT_RULES
+    whole, lacking = turns(spark, {"topic_name": None}), turns(spark, {}).drop("topic_name")
+    new = quality_state.row_state(whole, rules).unionByName(quality_state.row_state(lacking, rules))
+    added = quality_state.added_rows(new, rules)
+    for df in (added, quality_state.day_state(new, rules)):
+        assert "SortAggregate" not in plan_of(df) and "ObjectHashAggregate" not in plan_of(df)
+    assert [(r.rows, r.missing) for r in added.collect()] == [(2, ["topic_name"])]
+
+
+def test_the_first_rows_of_a_day_are_not_grouped_again(spark, tmp_path, monkeypatch):
+    added, path, rules = [], str(tmp_path), quality.CHATBOT_RULES
+    plain = quality_state.added_rows
+    monkeypatch.setattr(quality_state, "added_rows", lambda *a: added.append(a) or plain(*a))
+    for day in ("01", "02", "02"):
+        gate.add_rows(spark, path, turns(spark, {"created_at": f"2024-01-{day}T00:00:00"}), rules)
+    assert len(added) == 1
+    assert _results(gate.report(spark, path, [rules]))[rules.source, "duplicate_rows", None].observed == 1
+
+
+def test_batches_of_the_query_are_not_derived_anew(spark, tmp_path, monkeypatch):
+    from catalog import queries
+
+    plans, plain = [], gate.add_rows
+    monkeypatch.setattr(gate, "add_rows", lambda s, p, df, *a: plans.append(plan_of(df)) or plain(s, p, df, *a))
+    queries.j9_quality_report_from_days(spark, "/root/testdata/sf0.001")
+    assert len(plans) == 6 and not any("regexp_extract" in p or "Aggregate" in p for p in plans)
