@@ -150,10 +150,10 @@ def a3_partitioned_parquet(spark, sf):
 def a3_merged_batch(spark, sf):
     """All rows but some late ones are stored; then a batch with them, and others, is merged twice."""
     path, rows = scratch_folder(spark, "unified"), _unified(spark, sf)
-    number = F.pmod(F.xxhash64(*writers.TURN_KEYS), F.lit(10))
-    writers.write_unified(rows.filter(number > 1), path)
+    rows = _numbered(rows, F.pmod(F.xxhash64(*writers.TURN_KEYS), F.lit(10)))
+    writers.write_unified(_with_number(rows, F.col("__number") > 1), path)
     for _ in range(2):
-        writers.merge_unified(rows.filter(number < 4), path)
+        writers.merge_unified(_with_number(rows, F.col("__number") < 4), path)
     return _rounded(readers.read_unified(spark, path), "avg_scroll_depth_pct")
 
 

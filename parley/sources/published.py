@@ -89,7 +89,8 @@ def write_days(
 ) -> dict[str, str]:
     """Write ``df`` as a version, which nobody reads yet; the days it holds, each with the version.
 
-    ``further`` names columns by which each day is split up into folders.
+    ``further`` names columns by which each day is split up into folders. Rows may be added to a version
+    by a further call, as long as it is not published.
 
     The rebalance hint gathers each day's rows like a repartition by day would, but lets adaptive
     execution cut a large day into several tasks and files instead of one.
@@ -97,7 +98,8 @@ def write_days(
     folder = f"{_root(path)}/{VERSION}={version}"
     (
         df.hint("rebalance", *PARTITION_COLUMNS, *further)
-        .write.option("compression", "snappy")
+        .write.mode("append")
+        .option("compression", "snappy")
         .partitionBy(*PARTITION_COLUMNS, *further)
         .parquet(folder)
     )

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from parley.operators.joins import spread_join
-from parley.session import clear_scratch, scratch_folder
 from parley.sources.published import (
     PARTITION_COLUMNS,
     Pointer,
     current,
-    day_names,
     has_plain_days,
     new_version,
     publish,
@@ -68,18 +66,19 @@ def merge_unified(batch: DataFrame, path: str, keys: list[str] | None = None) ->
     """
     keys = keys or TURN_KEYS
     spark = batch.sparkSession
-    staged = scratch_folder(spark, "unified-batch")
-    batch.write.parquet(staged)
-    fresh = spark.read.schema(batch.schema).parquet(staged)
-    days = fresh.select(*PARTITION_COLUMNS).distinct()
-    if pointer := current(spark, path):
-        touched = read_days(spark, path, pointer, batch.schema, day_names(days))
-    else:
-        stored = read_unified(spark, path, batch.schema)
-        touched = spread_join(stored, days, PARTITION_COLUMNS, "left_semi")
+    base, version = current(spark, path), new_version()
+    if base is None:
+        read_unified(spark, path, batch.schema)  # there has to be a folder
+        if has_plain_days(spark, path):
+            raise ValueError(f"{path} is a plain folder: write it in full first")
+    # the batch is written where it stays, day by day, and the stored rows that remain are put beside it
+    days = write_days(batch, path, version)
+    written = Pointer(days=days)
+    fresh = read_days(spark, path, written, batch.schema)
+    touched = read_days(spark, path, base or Pointer(), batch.schema, list(days))
     kept = spread_join(touched, fresh.select(*keys).distinct(), keys, "left_anti")
-    write_unified(kept.unionByName(fresh), path, mode="days")
-    clear_scratch(spark, [staged])
+    write_days(kept, path, version)
+    publish(spark, path, base, Pointer(schema=fresh.schema.json(), days={**(base.days if base else {}), **days}))
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
