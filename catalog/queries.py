@@ -378,16 +378,15 @@ def e3_unified_by_increments(spark, sf):
     """The three raw tables arrive in three batches, late rows of each in the later ones."""
     path = scratch_folder(spark, "unified")
 
-    def part(df: DataFrame, number: int, *by: str) -> DataFrame:
-        return df.filter(F.pmod(F.xxhash64(*by), F.lit(3)) == number)
-
-    turns, clicks, meta = interactions(spark, sf)
+    by = (writers.TURN_KEYS, ["event_timestamp", "page_name"], ["session_id"])
+    tables = [
+        _numbered(df, F.pmod(F.xxhash64(*columns), F.lit(3)))
+        for df, columns in zip(interactions(spark, sf), by, strict=True)
+    ]
     for number in range(3):
-        batch = (
-            part(turns, number, *writers.TURN_KEYS),
-            part(clicks, (number + 1) % 3, "event_timestamp", "page_name"),
-            part(meta, (number + 2) % 3, "session_id"),
-        )
+        batch = [
+            _with_number(df, F.col("__number") == (number + late) % 3) for late, df in enumerate(tables)
+        ]
         increments.merge_batch(spark, path, *batch, RUN_TS, batch=f"batch {number}")
     return _rounded(readers.read_unified(spark, path), "avg_scroll_depth_pct")
 

@@ -128,14 +128,10 @@ def merge_batch(
     sums, values = (
         state.of_sessions(extra(what, *base.extra, version), wanted) for what in ("sessions", "values")
     )
-    facts = _stored(state.facts(sums, values, some_meta.columns), f"{scratch}/facts")
-    derived = [*DERIVED, *PARTITION_COLUMNS, *[c for c in facts.columns if c not in KEYS]]
-    again = state.of_sessions(old, news).drop(*derived)
-    changed = again.unionByName(fresh, allowMissingColumns=True)
-    names = [*changed.columns, *[c for c in facts.columns if c not in KEYS]]
-    rows = enrich(changed.join(facts, KEYS, "left").select(*names), run_ts).unionByName(
-        state.of_sessions(old, news, "left_anti"), allowMissingColumns=True
-    )
+    facts = state.facts(sums, values, some_meta.columns)
+    late = news.select(*KEYS).withColumn("__news", F.lit(True))
+    facts = _stored(spread_join(facts, late, KEYS, "left"), f"{scratch}/facts")
+    rows = _derived_again(old, fresh, facts, run_ts)
     days = published.write_days(rows, path, version)
     done = replace(
         base,
@@ -149,6 +145,25 @@ def merge_batch(
     return done
 
 
+def _derived_again(old: DataFrame, fresh: DataFrame, facts: DataFrame, run_ts: str) -> DataFrame:
+    """Fresh rows, stored ones of sessions with news derived anew, and the other stored ones as they are.
+
+    Stored rows meet the facts in the same join as fresh ones and are told apart afterwards, so these wide
+    rows are shuffled once for it, not once for each kind.
+    """
+    known = [c for c in facts.columns if c not in (*KEYS, "__news")]
+    kept = [c for c in [*known, *DERIVED, *PARTITION_COLUMNS] if c in old.columns]
+    stored = old.withColumnsRenamed({c: f"__{c}" for c in kept}).withColumn("__news", F.lit(False))
+    turns = stored.unionByName(fresh.withColumn("__news", F.lit(True)), allowMissingColumns=True)
+    turns = turns.withColumnRenamed("__news", "__fresh")
+    found = enrich(turns.join(facts, KEYS, "left").select(*[f"`{c}`" for c in turns.columns], *known, "__news"), run_ts)
+    changed = F.col("__fresh") | F.coalesce("__news", F.lit(False))
+    chosen = {c: F.when(changed, F.col(c)).otherwise(F.col(f"__{c}") if c in kept else None)
+              for c in [*known, *DERIVED, *PARTITION_COLUMNS]}
+    helping = {"__fresh", "__news", *[f"__{c}" for c in kept]}
+    return found.select(*[chosen.get(c, F.col(f"`{c}`")).alias(c) for c in found.columns if c not in helping])
+
+
 def compact(spark: SparkSession, path: str) -> Pointer:
     """Add the stored facts of all batches up to one row per session, and publish that.
 

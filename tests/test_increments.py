@@ -13,7 +13,7 @@ from parley.plans import increments
 from parley.plans.jobs import daily_job, unify_job
 from parley.sources import published, readers, writers
 from parley.sources.schemas import SOURCES
-from tests.helpers import clicks, sessions, turns
+from tests.helpers import clicks, plan_of, sessions, turns
 
 RUN = "2024-02-01T00:00:00"
 
@@ -193,3 +193,44 @@ def test_sources_without_rows(spark, tmp_path, empty):
     if empty == 0:
         with pytest.raises(Exception, match="not_empty"):
             daily_job(spark, str(base), str(tmp_path / "day"), RUN)
+
+
+def test_stored_rows_are_read_once_when_they_are_derived_again(spark, tmp_path, monkeypatch):
+    """Those of sessions with news and the others take part in one join."""
+    path, plans, plain = str(tmp_path / "t"), [], published.write_days
+    monkeypatch.setattr(published, "write_days", lambda df, *a: plans.append(plan_of(df)) or plain(df, *a))
+    two = turns(spark, {}, {"session_id": "s2"})
+    increments.merge_batch(spark, path, two, clicks(spark), sessions(spark), RUN)
+    late = turns(spark, {"created_at": "2024-01-10T11:00:00"}), clicks(spark, {}), sessions(spark)
+    increments.merge_batch(spark, path, *late, "later")
+    assert plans[-1].count("FileScan") == 4  # stored rows, keys of fresh ones that replace some, fresh rows, facts
+    rows = {(r.session_id, r.created_at[11:13]): r for r in readers.read_unified(spark, path).collect()}
+    got = {k: (r.click_event_count, r.pipeline_run_at) for k, r in rows.items()}
+    assert got == {("s1", "10"): (1, "later"), ("s1", "11"): (1, "later"), ("s2", "10"): (None, RUN)}
+
+
+@pytest.mark.parametrize("query, place, name", [
+    ("a3_merged_batch", writers, "merge_unified"), ("e3_unified_by_increments", increments, "merge_batch"),
+])
+def test_batches_of_the_queries_are_not_derived_anew(spark, monkeypatch, query, place, name):
+    from catalog import queries
+
+    found, plain = [], getattr(place, name)
+    keep = lambda *a, **b: found.extend(plan_of(x) for x in a if hasattr(x, "_jdf")) or plain(*a, **b)
+    monkeypatch.setattr(place, name, keep)
+    getattr(queries, query)(spark, "/root/testdata/sf0.001")
+    plans = [p for p in found if "FileScan" in p]
+    assert plans and not any("Join" in p or "regexp_extract" in p or "Aggregate" in p for p in plans)
+
+
+def test_a_merged_batch_is_written_where_it_stays(spark, tmp_path, monkeypatch):
+    path, written, plain = str(tmp_path / "t"), [], writers.write_days
+    first = unify.unify(turns(spark, {}, {"session_id": "s2"}), clicks(spark), sessions(spark), RUN)
+    writers.write_unified(first, path)
+    monkeypatch.setattr(writers, "write_days", lambda df, *a: written.append(df.count()) or plain(df, *a))
+    writers.merge_unified(first.filter("session_id = 's2'").withColumn("thumbs_up", F.lit(5)), path)
+    assert written == [1, 1]  # the batch, and the stored row that remains
+    got = {r.session_id: r.thumbs_up for r in readers.read_unified(spark, path).collect()}
+    assert got == {"s1": 0, "s2": 5}
+    writers.merge_unified(first.limit(0), path)
+    assert readers.read_unified(spark, path).count() == 2
